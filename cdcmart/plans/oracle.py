@@ -103,7 +103,7 @@ SELECT p_partkey AS product_id, p_brand AS brand, p_type AS kind, p_size AS size
 """,
     "codec_roundtrip": """
 SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date, o_orderdate AS updated_at,
-       CAST(o_totalprice AS DECIMAL(12, 2)) AS price
+       CAST(CAST(o_totalprice AS DECIMAL(12, 2)) AS DOUBLE) AS price
 FROM orders
 """,
     "latest_by_key": _LATEST,
@@ -165,7 +165,7 @@ FROM backfilled
     "backfill_merge": """
 SELECT COALESCE(s.order_id, t.order_id) AS order_id,
        CASE WHEN s.order_id IS NOT NULL THEN s.status ELSE 'unknown' END AS status,
-       t.customer_id AS created_by
+       COALESCE(t.customer_id, -1) AS created_by
 FROM loaded t FULL OUTER JOIN backfilled s ON s.order_id = t.order_id
 """,
     "backfill_run_summary": """
@@ -200,7 +200,7 @@ SELECT c_custkey AS customer_id, c_name AS customer_name, true AS is_active,
     "mart_dim_product": """
 SELECT p_partkey AS product_id, p_name AS product_name,
        CASE WHEN p_size > 10 THEN p_brand ELSE '' END AS barcode,
-       CAST(p_retailprice AS DECIMAL(10, 2)) AS unity_price, true AS is_active, p_type AS kind FROM part
+       CAST(CAST(p_retailprice AS DECIMAL(10, 2)) AS DOUBLE) AS unity_price, true AS is_active, p_type AS kind FROM part
 """,
     "mart_fact_orders": """
 SELECT order_id, order_date, delivery_date, customer_id, status FROM fo
@@ -216,7 +216,7 @@ SELECT user_id, op <> 'd' AS is_active FROM (
 """,
     "backfill_job": """
 SELECT COALESCE(s.order_id, t.order_id) AS order_id,
-       COALESCE(s.status, t.status) AS status, t.customer_id AS created_by
+       COALESCE(s.status, t.status) AS status, COALESCE(t.customer_id, -1) AS created_by
 FROM loaded t FULL OUTER JOIN backfilled s ON s.order_id = t.order_id
 """,
     "reset_job": """

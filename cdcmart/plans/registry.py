@@ -167,7 +167,7 @@ def codec_roundtrip(spark, sf_dir):
     )
     wire = orders.select("order_id", *[codec.encode(F.col(c), t).alias(c) for c, t in kinds.items()])
     back = wire.select("order_id", *[codec.decode(F.col(c), t).alias(c) for c, t in kinds.items()])
-    return _plain_time(back)
+    return _plain_time(back.withColumn("price", F.col("price").cast("double")))
 
 
 # -- upsert -------------------------------------------------------------------------------------
@@ -324,6 +324,11 @@ def _loaded(spark, sf_dir) -> DataFrame:
     return rows.withColumns(lineage).select(*ORDERS.columns)
 
 
+def _created_by():
+    """A backfill leaves it unset on rows it inserts."""
+    return F.coalesce("created_by", F.lit(-1)).alias("created_by")
+
+
 @_query
 def backfill_extract(spark, sf_dir):
     return _backfilled(spark, sf_dir).select(
@@ -337,7 +342,7 @@ def backfill_merge(spark, sf_dir):
     target = _loaded(spark, sf_dir).withColumn("status", F.lit("unknown"))
     extracted = _backfilled(spark, sf_dir)
     merged = upsert.merge_upsert(target, extracted, ORDERS, columns=extracted.columns)
-    return merged.select("order_id", "status", "created_by")
+    return merged.select("order_id", "status", _created_by())
 
 
 @_query
@@ -395,7 +400,8 @@ def mart_dim_customer(spark, sf_dir):
 @_query
 def mart_dim_product(spark, sf_dir):
     return _mart_table(spark, sf_dir, PRODUCTS.name).select(
-        "product_id", "product_name", "barcode", "unity_price", "is_active",
+        "product_id", "product_name", "barcode", "is_active",
+        F.col("unity_price").cast("double").alias("unity_price"),
         F.get_json_object(EXTRAS, "$.kind").alias("kind"),
     )
 
@@ -421,6 +427,11 @@ def mart_fact_order_items(spark, sf_dir):
 # -- streams ------------------------------------------------------------------------------------
 
 
+def _append(records: DataFrame, path: str) -> None:
+    """Add records to a feed folder, in files small enough to be read in parallel."""
+    records.write.mode("append").option("maxRecordsPerFile", 50_000).parquet(path)
+
+
 def _stream_in(mart: Mart, name: str, feed: str, **options) -> None:
     """Run the table's stream over the feed folder until it has read what is there."""
     records = change_stream(mart.spark, "parquet", {"path": feed})
@@ -435,7 +446,7 @@ def _streamed_users(spark, sf_dir, **options) -> Mart:
     # The wire holds milliseconds, so the arrivals are cut on those.
     events = b.table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("millisecond", "ts"))
     for arrived in (events.where(F.col("ts") < day), events.where(F.col("ts") >= day)):
-        b.event_records(arrived).write.mode("append").parquet(f"{folder}/feed")
+        _append(b.event_records(arrived), f"{folder}/feed")
         _stream_in(mart, b.USER_STATE.name, f"{folder}/feed", **options)
     return mart
 
@@ -467,9 +478,7 @@ def stream_order_items(spark, sf_dir):
 
     def arrive(name, rows, offset):
         spec = mart.specs[name]
-        b.snapshot_records(rows, spec, F.col(offset)).write.mode("append").parquet(
-            f"{folder}/{spec.source}"
-        )
+        _append(b.snapshot_records(rows, spec, F.col(offset)), f"{folder}/{spec.source}")
         _stream_in(mart, name, f"{folder}/{spec.source}")
 
     arrive(ORDERS.name, orders.where(known), "order_id")
@@ -491,7 +500,7 @@ def _stored_orders(spark, rows: DataFrame) -> Mart:
 def backfill_job(spark, sf_dir):
     mart = _stored_orders(spark, _loaded(spark, sf_dir))
     repair.backfill(mart, "orders", b.source_orders(spark, sf_dir), *_BACKFILL)
-    return mart.read("orders").select("order_id", "status", "created_by")
+    return mart.read("orders").select("order_id", "status", _created_by())
 
 
 @_query

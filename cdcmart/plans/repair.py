@@ -44,8 +44,8 @@ def backfill(
 ) -> BackfillResult:
     """Upsert the source rows of a date range into a mart table.
 
-    The range overwrites streamed rows unless the mart keeps the newest. Columns a backfill does
-    not deliver keep their stored value. Only the extracted rows are written.
+    The range overwrites streamed rows unless the mart keeps the newest. Columns the source
+    does not deliver keep their stored value. Only the extracted rows are written.
     """
     table = mart.table(name)
     spec = table.spec
@@ -54,9 +54,9 @@ def backfill(
     if "order_status" in spec.derived:
         wanted = rows.select("order_id").where("order_id is not null")
         latest = upsert.denormalize(latest, mart.table("fact_orders").read(keys=wanted))
-    latest = upsert.apply_defaults(latest, spec)
-    stored = table.read(keys=latest)
-    changes = upsert.carry_over(latest, stored, spec, spec.backfill_omits)
+    absent = [c for c in spec.columns if c not in latest.columns]
+    filled = upsert.carry_over(latest, table.read(keys=rows), spec, absent)
+    changes = upsert.apply_defaults(filled, spec)
 
     if dry_run:
         return BackfillResult(spec.name, rows_extracted=rows.count(), plan=_plan(changes))

@@ -1,0 +1,273 @@
+import datetime as dt
+import itertools
+import random
+from decimal import Decimal
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cdcmart.operators import upsert
+from cdcmart.operators.skew import heavy_keys, salted_join
+from cdcmart.specs import CUSTOMERS, EXTRAS, OFFSET, ORDERS, PRODUCTS, TableSpec
+
+SPEC = TableSpec(
+    name="things",
+    source="things",
+    key=("id",),
+    schema=T.StructType(
+        [
+            T.StructField("id", T.LongType()),
+            T.StructField("name", T.StringType()),
+            T.StructField("note", T.StringType()),
+            T.StructField("updated_at", T.TimestampType()),
+            T.StructField("created_at", T.TimestampType()),
+        ]
+    ),
+    defaults={"name": "?"},
+)
+
+
+def at(minute):
+    return None if minute is None else dt.datetime(2024, 1, 1, 0, minute)
+
+
+def things(spark, *changes):
+    """Rows of (id, name, note, minute, offset); creation time follows the change time."""
+    data = [(i, n, t, at(m), at(m), None, o) for i, n, t, m, o in changes]
+    return spark.createDataFrame(data, SPEC.mart_schema)
+
+
+def state(df):
+    return {r.id: (r.name, r.note, r.updated_at, r.created_at, r[OFFSET]) for r in df.collect()}
+
+
+def merge(spark, batches, **options):
+    current = things(spark)
+    for batch in batches:
+        current = upsert.merge_upsert(current, things(spark, *batch), SPEC, **options)
+    return state(current)
+
+
+@pytest.mark.parametrize("form", [upsert.latest_by_key, upsert.latest_by_key_window])
+def test_latest_by_key(spark, form):
+    frame = things(
+        spark,
+        (1, "old", None, 1, 1),
+        (1, "new", None, 5, 2),
+        (2, "tie, first", None, 3, 3),
+        (2, "tie, later offset", None, 3, 4),
+        (3, "no time", None, None, 9),
+        (3, "time", None, 1, 5),
+        (4, "no time, first", None, None, 6),
+        (4, "no time, later", None, None, 7),
+        (None, "no key", None, 9, 8),
+    )
+    got = form(frame, SPEC.key, SPEC.order_by)
+    assert got.columns == frame.columns
+    assert rows(got, "id", "name") == [
+        (1, "new"),
+        (2, "tie, later offset"),
+        (3, "time"),
+        (4, "no time, later"),
+    ]
+
+
+def test_composite_keys(spark):
+    frame = spark.createDataFrame(
+        [(1, 1, "a", 1), (1, 1, "b", 2), (1, 2, "c", 1), (1, None, "d", 5)], "a int, b int, v string, o int"
+    )
+    assert rows(upsert.latest_by_key(frame, ["a", "b"], ["o"]), "a", "b", "v") == [
+        (1, 1, "b"),
+        (1, 2, "c"),
+    ]
+
+
+def test_a_late_batch_wins_and_keeps_the_first_creation_time(spark):
+    got = merge(spark, [[(1, "a", "x", 5, 1)], [(1, "late", "y", 2, 2)]])
+    assert got == {1: ("late", "y", at(2), at(5), 2)}
+
+
+def test_newest_keeps_the_larger_change_time(spark):
+    got = merge(spark, [[(1, "a", "x", 5, 1)], [(1, "late", "y", 2, 2)]], on_conflict="newest")
+    assert got == {1: ("a", "x", at(5), at(5), 1)}
+    got = merge(spark, [[(1, "a", "x", None, 1)], [(1, "b", "y", None, 2)]], on_conflict="newest")
+    assert got[1][0] == "b"
+
+
+def test_null_overwrites_and_defaults_apply(spark):
+    got = merge(spark, [[(1, "a", "x", 1, 1)], [(1, None, None, 2, 2)]])
+    assert got == {1: ("?", None, at(2), at(1), 2)}
+
+
+def test_unknown_conflict_rule_is_refused(spark):
+    with pytest.raises(ValueError):
+        merge(spark, [[(1, "a", "x", 1, 1)]], on_conflict="oldest")
+
+
+def test_replaying_the_same_batch_changes_nothing(spark):
+    batch = [(1, "a", "x", 1, 1), (2, "b", None, 2, 2), (1, "c", None, 3, 3)]
+    once = merge(spark, [batch])
+    assert merge(spark, [batch, batch]) == once
+    assert merge(spark, [batch, batch], on_conflict="newest") == once
+
+
+def test_partial_columns_leave_the_others(spark):
+    current = upsert.merge_upsert(things(spark), things(spark, (1, "a", "x", 1, 1)), SPEC)
+    part = things(spark, (1, "b", None, 2, 2), (2, "new", None, 2, 3)).drop("note")
+    got = state(upsert.merge_upsert(current, part, SPEC, columns=part.columns))
+    assert got[1][:2] == ("b", "x")
+    assert got[2][:2] == ("new", None)
+
+
+def fold_by_hand(batches, newest):
+    current = {}
+    for batch in batches:
+        best = {}
+        for i, name, note, minute, offset in batch:
+            rank = (minute is not None, minute or 0, offset)
+            if i is not None and (i not in best or rank > best[i][0]):
+                best[i] = (rank, (name or "?", note, at(minute), at(minute), offset))
+        for i, (rank, row) in best.items():
+            if i not in current:
+                current[i] = (rank, row)
+            elif not newest or rank >= current[i][0]:
+                current[i] = (rank, (*row[:3], current[i][1][3], row[4]))
+    return {i: row for i, (_, row) in current.items()}
+
+
+@pytest.mark.parametrize("on_conflict", ["last_batch", "newest"])
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_all_merge_forms_equal_a_fold_by_hand(spark, on_conflict, seed):
+    rnd = random.Random(seed)
+    offsets = itertools.count()
+    batches = [
+        [
+            (
+                rnd.choice([None, *range(8)]),
+                rnd.choice([None, "a", "b"]),
+                rnd.choice([None, "n"]),
+                rnd.choice([None, *range(5)]),
+                next(offsets),
+            )
+            for _ in range(rnd.randint(1, 12))
+        ]
+        for _ in range(5)
+    ]
+    want = fold_by_hand(batches, on_conflict == "newest")
+    assert merge(spark, batches, on_conflict=on_conflict) == want
+
+    latest = [
+        upsert.apply_defaults(upsert.drop_duplicate_keys(things(spark, *b), SPEC), SPEC) for b in batches
+    ]
+    versioned = [df.withColumn("v", F.lit(i)) for i, df in enumerate(latest)]
+    for cut in (0, 2):
+        rest = versioned[cut]
+        for df in versioned[cut + 1 :]:
+            rest = rest.unionByName(df)
+        folded = upsert.fold_batches(rest, SPEC, "v", on_conflict).select(*SPEC.columns)
+        base = things(spark)
+        for df in latest[:cut]:
+            base = upsert.merge_latest(base, df, SPEC, on_conflict)
+        for small in (False, True):
+            got = upsert.merge_latest(base, folded, SPEC, on_conflict, small_changes=small)
+            assert state(got) == want
+
+
+def test_defaults_of_every_table(spark):
+    day = dt.date(2020, 2, 3)
+
+    def filled(spec):
+        frame = spark.createDataFrame([(None,) * len(spec.columns)], spec.mart_schema)
+        return upsert.apply_defaults(frame, spec, day).first().asDict()
+
+    customer = filled(CUSTOMERS)
+    assert (customer["customer_name"], customer["is_active"]) == ("", True)
+    assert customer["customer_address"] is None and customer["updated_at"] is None
+    product = filled(PRODUCTS)
+    assert (product["barcode"], product["unity_price"]) == ("", Decimal("0.00"))
+    order = filled(ORDERS)
+    assert (order["customer_id"], order["status"]) == (0, "unknown")
+    assert order["order_date"] == order["delivery_date"] == day
+    assert order["created_by"] is None and order[EXTRAS] is None and order[OFFSET] is None
+
+
+def test_false_and_zero_are_not_nulls(spark):
+    frame = spark.createDataFrame(
+        [(1, None, False, None, None, None, None, None, None, None)], CUSTOMERS.mart_schema
+    )
+    assert upsert.apply_defaults(frame, CUSTOMERS).first().is_active is False
+
+
+def test_soft_delete(spark):
+    events = spark.createDataFrame([(1, True, "d"), (2, None, "u")], "customer_id long, is_active boolean, op string")
+    assert rows(upsert.soft_delete(events, CUSTOMERS), "customer_id", "is_active") == [(1, False), (2, None)]
+    with pytest.raises(ValueError):
+        upsert.soft_delete(events, ORDERS)
+
+
+@pytest.mark.parametrize("salt", [None, 4])
+def test_status_copy_and_sync(spark, salt):
+    items = spark.createDataFrame([(1, 10), (2, 11), (3, None), (4, 0)], "order_item_id long, order_id long")
+    orders = spark.createDataFrame([(10, "PENDING"), (12, "COMPLETED")], "order_id long, status string")
+    copied = upsert.denormalize(items, orders, salt=salt)
+    assert rows(copied, "order_item_id", "order_status") == [
+        (1, "PENDING"),
+        (2, "unknown"),
+        (3, "unknown"),
+        (4, "unknown"),
+    ]
+    later = spark.createDataFrame(
+        [(10, "COMPLETED"), (11, "PROCESSING")], "order_id long, status string"
+    )
+    synced = upsert.sync_from(copied, later, salt=salt)
+    assert synced.columns == copied.columns
+    assert rows(synced, "order_item_id", "order_status") == [
+        (1, "COMPLETED"),
+        (2, "PROCESSING"),
+        (3, "unknown"),
+        (4, "unknown"),
+    ]
+
+
+def test_carry_over_reads_missing_columns_from_the_target(spark):
+    target = things(spark, (1, "a", "kept", 1, 1))
+    changes = things(spark, (1, "b", None, 2, 2), (2, "c", None, 2, 2)).drop("note")
+    got = upsert.carry_over(changes, target, SPEC, ["note"])
+    assert rows(got, "id", "name", "note") == [(1, "b", "kept"), (2, "c", None)]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salting_never_changes_a_join(spark, how):
+    hot = F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 11 != 0, F.col("id"))
+    left = spark.range(4000).select(hot.alias("k"), "id")
+    right = spark.range(0, 4000, 2).select(F.col("id").alias("k"), (-F.col("id")).alias("v"))
+    right = right.union(spark.createDataFrame([(7, -7)], "k long, v long"))
+    plain, salted = salted_join(left, right, "k", how), salted_join(left, right, "k", how, 8)
+    assert rows(plain) == rows(salted, *plain.columns)
+
+
+def test_heavy_keys_finds_the_hot_ones_only(spark):
+    frame = spark.range(30000).select(F.when(F.col("id") % 3 == 0, -5).otherwise(F.col("id")).alias("k"))
+    assert heavy_keys(frame, "k") == [-5]
+    assert heavy_keys(frame.where("k is null"), "k") == []
+
+
+def test_salting_spreads_the_hot_key(spark):
+    left = spark.range(20000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"), "id")
+    right = spark.range(20000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+
+        def largest(salt):
+            joined = salted_join(left, right, "k", "inner", salt)
+            sizes = joined.groupBy(F.spark_partition_id()).count()
+            return sizes.agg(F.max("count")).first()[0]
+
+        assert largest(16) < 0.6 * largest(None)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
