@@ -7,9 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from cdcmart.operators import reports
-from cdcmart.operators.contracts import stamp
+from cdcmart.operators.contracts import CONTRACTS, stamp
 from cdcmart.sinks.mart import Mart
 
+REPORTS = tuple(CONTRACTS)
+
 
 def report_set(mart: Mart, k: int = 3) -> dict[str, DataFrame]:
     """All four reports over the current state."""

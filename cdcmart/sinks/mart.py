@@ -4,7 +4,7 @@ Layout below ``<root>/<table>/``::
 
     state/version=<v>/     the whole current state as of v
     changes/version=<v>/   one row per key changed by batch v
-    history/batch_id=<v>/  every event of batch v
+    history/recorded_on=<day>/batch_id=<v>/  every event of batch v
     rejected/batch_id=<v>/ events of batch v without a key
     generations/<g>/       marks the start of replay number g
 
@@ -20,6 +20,7 @@ import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcmart.operators import history, upsert
@@ -34,6 +35,9 @@ _PER_BATCH = 1000
 _FULL = "state"
 _DELTA = "changes"
 
+# Partition columns of the history.
+_HISTORY_FOLDERS = (T.StructField("recorded_on", T.DateType()), T.StructField("batch_id", T.LongType()))
+
 # Changes up to this many bytes of Parquet are small enough for Spark to broadcast them.
 _SMALL_CHANGES = 2 * 1024 * 1024
 
@@ -92,19 +96,26 @@ class MartTable:
     def exists(self) -> bool:
         return self.latest_version() >= 0
 
-    def read(self, up_to: int | None = None, keys: DataFrame | None = None) -> DataFrame:
+    def read(
+        self,
+        up_to: int | None = None,
+        keys: DataFrame | None = None,
+        bounds: tuple | None = None,
+    ) -> DataFrame:
         """The current state, or the state after version ``up_to``.
 
-        ``keys`` limits it to the keys of that frame, before anything is folded.
+        ``keys`` limits it to the keys of that frame, before anything is folded. ``bounds`` are the
+        smallest and largest of them; files are sorted by key, so the scan skips what lies outside.
         """
+        limits = (keys, bounds)
         limit = up_to if up_to is not None else self.latest_version()
         full = [v for v in self.versions(_FULL) if v <= limit][-1:]
         start = full[0] if full else -1
         deltas = [v for v in self.versions(_DELTA) if start < v <= limit]
-        state = self._scan(_FULL, full, keys).drop("_version") if full else None
+        state = self._scan(_FULL, full, *limits).drop("_version") if full else None
         if not deltas:
             return state if state is not None else self._empty(self.spec.mart_schema)
-        batches = self._scan(_DELTA, deltas, keys)
+        batches = self._scan(_DELTA, deltas, *limits)
         if len(deltas) == 1:
             folded = batches.drop("_version")
         else:
@@ -120,7 +131,13 @@ class MartTable:
             state, folded, self.spec, self.on_conflict, small_changes=small
         )
 
-    def _scan(self, kind: str, versions: list[int], keys: DataFrame | None = None) -> DataFrame:
+    def _scan(
+        self,
+        kind: str,
+        versions: list[int],
+        keys: DataFrame | None = None,
+        bounds: tuple | None = None,
+    ) -> DataFrame:
         base = f"{self.path}/{kind}"
         schema = T.StructType(list(self.spec.mart_schema) + [T.StructField("version", T.LongType())])
         rows = (
@@ -129,6 +146,8 @@ class MartTable:
             .parquet(*[f"{base}/version={v}" for v in versions])
             .withColumnRenamed("version", "_version")
         )
+        if bounds is not None:
+            rows = rows.where(F.col(self.spec.key[0]).between(*bounds))
         if keys is None:
             return rows
         return rows.join(keys.select(*self.spec.key), list(self.spec.key), "left_semi")
@@ -151,7 +170,7 @@ class MartTable:
             + [
                 T.StructField(TOPIC, T.StringType()),
                 T.StructField(PARTITION, T.IntegerType()),
-                T.StructField("batch_id", T.LongType()),
+                *_HISTORY_FOLDERS,
             ]
         )
 
@@ -162,26 +181,36 @@ class MartTable:
 
     def commit_changes(self, latest: DataFrame, version: int) -> None:
         """Write one batch: one row per changed key, defaults applied."""
-        latest.select(*self.spec.columns).write.mode("overwrite").parquet(
-            f"{self.path}/{_DELTA}/version={version}"
-        )
+        self._write(latest, f"{self.path}/{_DELTA}/version={version}")
 
     def commit_state(self, state: DataFrame, version: int) -> None:
         """Write a whole state. It may be computed from older versions, never from this one."""
-        state.select(*self.spec.columns).write.mode("overwrite").parquet(
-            f"{self.path}/{_FULL}/version={version}"
-        )
+        self._write(state, f"{self.path}/{_FULL}/version={version}")
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        ordered = rows.select(*self.spec.columns).sortWithinPartitions(*self.spec.key)
+        ordered.write.mode("overwrite").parquet(path)
 
     def append_history(
-        self,
-        changes: DataFrame,
-        version: int,
-        as_of: dt.date | None = None,
-        recorded_at: dt.datetime | None = None,
+        self, changes: DataFrame, version: int, recorded_at: dt.datetime | None = None
     ) -> None:
-        """Write every event of a batch to the batch's own history folder."""
-        rows = history.entries(changes, self.spec, as_of, recorded_at)
-        rows.write.mode("overwrite").parquet(f"{self.path}/history/batch_id={version}")
+        """Write every event of a batch to the batch's own history folder.
+
+        The folder is filed by day. A batch that runs again after midnight goes back to the folder
+        of its first run, which can only be below the newest day.
+        """
+        when = recorded_at or dt.datetime.now(dt.timezone.utc)
+        folder, own = f"{self.path}/history", f"batch_id={version}"
+        day = f"recorded_on={when.date().isoformat()}"
+        newest = max(self._history_days(), default=day)
+        if files.exists(self.spark, f"{folder}/{newest}/{own}"):
+            day = newest
+        rows = history.entries(changes, self.spec, when.date(), when)
+        rows.write.mode("overwrite").parquet(f"{folder}/{day}/{own}")
+
+    def _history_days(self) -> list[str]:
+        names = files.subfolders(self.spark, f"{self.path}/history")
+        return [n for n in names if n.startswith("recorded_on=")]
 
     def append_rejected(self, changes: DataFrame, version: int) -> None:
         changes.write.mode("overwrite").parquet(f"{self.path}/rejected/batch_id={version}")
@@ -210,10 +239,8 @@ class MartTable:
         """Empty the table by committing an empty state, and clear its history."""
         version = self.repair_version()
         self.commit_state(self._empty(self.spec.mart_schema), version)
-        if with_history and self.spec.history:
-            self._empty(self._history_schema()).drop("batch_id").write.mode("overwrite").parquet(
-                f"{self.path}/history"
-            )
+        if with_history:
+            files.remove_folder(self.spark, f"{self.path}/history")
         return version
 
 
@@ -269,12 +296,12 @@ class Mart:
                 f"{table.path}/{kind}/version={table.versions(kind)[-1]}"
             )
             found += [f"{name}: {p}" for p in schema_differences(stored, spec.mart_schema)]
-            folders = sorted(files.subfolders(self.spark, f"{table.path}/history"))
-            folders = [f for f in folders if f.startswith("batch_id=")]
-            if spec.history and folders:
-                stored = self.spark.read.parquet(f"{table.path}/history/{folders[-1]}")
-                wanted = T.StructType([f for f in table._history_schema() if f.name != "batch_id"])
-                found += [f"{name} history: {p}" for p in schema_differences(stored, wanted)]
+            days = table._history_days()
+            if spec.history and days:
+                stored = self.spark.read.parquet(f"{table.path}/history/{max(days)}")
+                inner = [f for f in table._history_schema() if f not in _HISTORY_FOLDERS]
+                problems = schema_differences(stored.drop("batch_id"), T.StructType(inner))
+                found += [f"{name} history: {p}" for p in problems]
         return found
 
     def validate(self) -> None:

@@ -75,19 +75,24 @@ def _handler(mart, name, generation, on_commit, compact_every, orders=None) -> B
         batch = batch.persist()
         try:
             keyed = batch.where(upsert.has_key(spec))
-            # Fills the cache, so later plans know the batch's size.
-            counts = batch.agg(
+            measures = [
                 F.count(F.lit(1)).alias("events"),
                 F.count_if(~upsert.has_key(spec)).alias("without_key"),
-            ).first()
+            ]
+            if orders:
+                measures += [F.min("order_id").alias("low"), F.max("order_id").alias("high")]
+            # Fills the cache, so later plans know the batch's size.
+            counts = batch.agg(*measures).first()
             if counts["events"] > counts["without_key"]:
                 latest = upsert.drop_duplicate_keys(keyed, spec)
                 if orders:
                     wanted = keyed.select("order_id").where("order_id is not null")
-                    latest = upsert.denormalize(latest, mart.table(orders).read(keys=wanted))
+                    bounds = (counts["low"], counts["high"]) if counts["low"] is not None else None
+                    known = mart.table(orders).read(keys=wanted, bounds=bounds)
+                    latest = upsert.denormalize(latest, known)
                 table.commit_changes(upsert.apply_defaults(latest, spec, now.date()), version)
                 if spec.history:
-                    table.append_history(keyed, version, now.date(), now)
+                    table.append_history(keyed, version, now)
             if counts["without_key"]:
                 table.append_rejected(batch.where(~upsert.has_key(spec)), version)
             logger.info("%s batch %s: %s", name, batch_id, counts.asDict())
