@@ -34,6 +34,7 @@ def _names(given: list[str]) -> list[str]:
 def build_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="cdcmart", description=__doc__)
     parser.add_argument("--master", help="Spark master; default is the one spark-submit gives")
+    parser.add_argument("--input-gib", type=int, help="data a job reads, to size its shuffles")
     commands = parser.add_subparsers(dest="command", required=True)
 
     def command(name: str, text: str) -> argparse.ArgumentParser:
@@ -156,7 +157,8 @@ def _status(mart: Mart, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
-    spark = build_session(master=args.master)
+    size = args.input_gib * 1024**3 if args.input_gib else None
+    spark = build_session(master=args.master, input_bytes=size)
     mart = Mart(spark, args.root, on_conflict=getattr(args, "on_conflict", upsert.LAST_BATCH))
     if args.command == "init":
         mart.create()

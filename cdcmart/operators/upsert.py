@@ -84,8 +84,9 @@ def merge_upsert(
     (``newest``); an incoming null does overwrite. Insert-only columns keep their first value.
     ``columns`` limits what an update may touch; an insert leaves the others null.
     """
-    latest = apply_defaults(latest_by_key(changes, spec.key, spec.order_by), spec, as_of)
-    return merge_latest(target, latest, spec, on_conflict, columns)
+    needed = [c for c in changes.columns if c in target.columns or c in spec.order_by]
+    latest = drop_duplicate_keys(changes.select(*needed), spec)
+    return merge_latest(target, apply_defaults(latest, spec, as_of), spec, on_conflict, columns)
 
 
 def merge_latest(

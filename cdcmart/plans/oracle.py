@@ -53,6 +53,15 @@ FROM fi JOIN fo ON fo.order_id = fi.order_id LEFT JOIN part p ON p.p_partkey = f
 WHERE fo.status = 'PENDING' GROUP BY fi.product_id, p.p_name
 """
 
+_TOP_CUSTOMERS = """
+SELECT * FROM (
+  SELECT CAST(ROW_NUMBER() OVER (ORDER BY pending_order_count DESC, customer_id) AS INTEGER) AS rnk,
+         customer_id, customer_name, pending_order_count
+  FROM (SELECT fo.customer_id, c.c_name AS customer_name, COUNT(fo.order_id) AS pending_order_count
+        FROM fo JOIN customer c ON c.c_custkey = fo.customer_id
+        WHERE fo.status = 'PENDING' GROUP BY fo.customer_id, c.c_name) a) b WHERE rnk <= 3
+"""
+
 _LATEST = "SELECT user_id, updated_at, value, kafka_offset FROM newest"
 
 _ITEMS_WITH_STATUS = """
@@ -80,14 +89,7 @@ SELECT * FROM (
     "report_pending_items_by_product": _PENDING,
     "report_pending_items_salted": _PENDING,
     "report_pending_items_item_status": _PENDING,
-    "report_top_customers": """
-SELECT * FROM (
-  SELECT CAST(ROW_NUMBER() OVER (ORDER BY pending_order_count DESC, customer_id) AS INTEGER) AS rnk,
-         customer_id, customer_name, pending_order_count
-  FROM (SELECT fo.customer_id, c.c_name AS customer_name, COUNT(fo.order_id) AS pending_order_count
-        FROM fo JOIN customer c ON c.c_custkey = fo.customer_id
-        WHERE fo.status = 'PENDING' GROUP BY fo.customer_id, c.c_name) a) b WHERE rnk <= 3
-""",
+    "report_top_customers": _TOP_CUSTOMERS,
     "report_stamped": """
 SELECT '1.0.0' AS contract_version, delivery_date, status, COUNT(order_id) AS order_count FROM fo
 WHERE status <> 'COMPLETED' GROUP BY delivery_date, status
@@ -209,6 +211,8 @@ SELECT order_id, order_date, delivery_date, customer_id, status FROM fo
     "stream_scd4_current": _MERGE_IN_ORDER,
     "stream_scd4_history": _HISTORY,
     "stream_order_items": _ITEMS_WITH_STATUS.format(orders="fo"),
+    "stream_report_pending_items": _PENDING.replace("FROM fi JOIN", "FROM lines fi JOIN"),
+    "stream_report_top_customers": _TOP_CUSTOMERS,
     "stream_soft_delete": """
 SELECT user_id, op <> 'd' AS is_active FROM (
   SELECT ev.*, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY updated_at DESC, kafka_offset DESC) AS rn

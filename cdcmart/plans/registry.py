@@ -14,6 +14,7 @@ from cdcmart.operators import backfill, contracts, history, reports, upsert
 from cdcmart.operators.replay import replay_from
 from cdcmart.plans import bindings as b
 from cdcmart.plans import repair
+from cdcmart.plans.reporting import report_set
 from cdcmart.session import scratch_dir
 from cdcmart.sinks.mart import Mart
 from cdcmart.sources.changes import change_stream
@@ -487,6 +488,28 @@ def stream_order_items(spark, sf_dir):
     return _item_view(mart.read(b.LINE_ITEMS.name))
 
 
+def _streamed_shop(spark, sf_dir) -> Mart:
+    """All four tables, each kept by its own stream from its own feed."""
+    folder = scratch_dir(spark, "shop")
+    mart = Mart(spark, f"{folder}/mart", {n: spec for n, (spec, _, _) in b.SOURCES.items()})
+    for name in b.SOURCES:
+        spec, records = b.records_of(spark, sf_dir, name)
+        _append(records, f"{folder}/{spec.source}")
+        _stream_in(mart, name, f"{folder}/{spec.source}")
+    return mart
+
+
+@_query
+def stream_report_pending_items(spark, sf_dir):
+    return report_set(_streamed_shop(spark, sf_dir))["pending_items_by_product"]
+
+
+@_query
+def stream_report_top_customers(spark, sf_dir):
+    top = report_set(_streamed_shop(spark, sf_dir))["top_customers"]
+    return reports.with_rank(top, "pending_order_count", "customer_id")
+
+
 # -- jobs on a stored mart ----------------------------------------------------------------------
 
 

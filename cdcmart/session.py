@@ -21,12 +21,33 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str = "cdcmart", master: str | None = None, **extra: str) -> SparkSession:
+# Shuffled bytes one task should get, and the most tasks of one shuffle.
+_TASK_BYTES = 512 * 1024**2
+_MAX_TASKS = 40_000
+
+
+def shuffle_width(input_bytes: int) -> int:
+    """Shuffle partitions to start from for a job over that much data.
+
+    AQE merges small partitions but never adds any, so the start has to be wide enough.
+    """
+    return min(max(200, -(-input_bytes // _TASK_BYTES)), _MAX_TASKS)
+
+
+def build_session(
+    app_name: str = "cdcmart",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **extra: str,
+) -> SparkSession:
     """Session with the settings the mart expects; a running session is reused."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    settings = {**SETTINGS, **extra}
+    if input_bytes:
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_width(input_bytes))
+    for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

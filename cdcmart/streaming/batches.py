@@ -84,7 +84,8 @@ def _handler(mart, name, generation, on_commit, compact_every, orders=None) -> B
             # Fills the cache, so later plans know the batch's size.
             counts = batch.agg(*measures).first()
             if counts["events"] > counts["without_key"]:
-                latest = upsert.drop_duplicate_keys(keyed, spec)
+                stored = [c for c in spec.columns if c in keyed.columns]
+                latest = upsert.drop_duplicate_keys(keyed.select(*stored), spec)
                 if orders:
                     wanted = keyed.select("order_id").where("order_id is not null")
                     bounds = (counts["low"], counts["high"]) if counts["low"] is not None else None

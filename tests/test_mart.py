@@ -95,6 +95,18 @@ def test_compaction_changes_nothing_visible(spark, root, feed, compact_every):
         assert table.versions("state") == [version_of(0, 2), version_of(0, 3)]
 
 
+def test_small_changes_leave_the_state_unshuffled(spark, root):
+    table = Mart(spark, root).table("customers")
+    schema = table.spec.mart_schema
+    rows_of = lambda n, name: [(i, name, True, None, None, None, None, None, None, 1) for i in range(n)]
+    table.commit_state(spark.createDataFrame(rows_of(50, "old"), schema), 1)
+    table.commit_changes(spark.createDataFrame(rows_of(60, "new"), schema), 2)
+    merged = table.read()
+    assert merged.where("customer_name = 'new'").count() == merged.count() == 60
+    updated = merged._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
+    assert "BroadcastHashJoin" in updated and "Exchange hashpartitioning" not in updated.split("LeftAnti")[0]
+
+
 def test_large_changes_use_the_full_join(spark, root, feed, monkeypatch):
     monkeypatch.setattr("cdcmart.sinks.mart._SMALL_CHANGES", 0)
     test_compaction_changes_nothing_visible(spark, root, feed, 2)

@@ -4,7 +4,7 @@ import pytest
 
 from cdcmart.operators import backfill, replay
 from cdcmart.plans.repair import row_counts
-from cdcmart.session import scratch_dir
+from cdcmart.session import scratch_dir, shuffle_width
 from cdcmart.sinks.external import merge_into_table, staging_options
 from cdcmart.sources import changes, tables
 from cdcmart.specs import CUSTOMERS, ORDER_ITEMS, OFFSET, resolve
@@ -57,14 +57,21 @@ def test_jdbc_options():
 
 
 def test_merge_needs_a_table_format_that_supports_it(spark, tmp_path):
-    spark.sql(f"create table plain_customers (customer_id long) using parquet location '{tmp_path}/t'")
+    empty = spark.createDataFrame([], CUSTOMERS.mart_schema)
+    empty.write.option("path", str(tmp_path / "t")).saveAsTable("plain_customers")
     try:
-        with pytest.raises(Exception, match="UNSUPPORTED|not support|UNRESOLVED|INCOMPATIBLE|ANALYSIS"):
-            merge_into_table(spark.createDataFrame([], CUSTOMERS.mart_schema), "plain_customers", CUSTOMERS)
+        with pytest.raises(Exception, match="MERGE INTO TABLE"):
+            merge_into_table(empty, "plain_customers", CUSTOMERS)
     finally:
         spark.sql("drop table plain_customers")
 
 
+def test_shuffle_width():
+    assert shuffle_width(1) == 200
+    assert shuffle_width(1024**4) == 2048
+    assert shuffle_width(100 * 1000**4) == 40_000
+
+
 def test_names_resolve():
     assert resolve("Customers") is resolve("dim_customer") is CUSTOMERS
     assert resolve("order_items") is ORDER_ITEMS
