@@ -177,7 +177,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(repair.request_replay(mart, *_names(args.table))))
     elif args.command == "compact":
         for name in _names(args.table):
-            print(json.dumps({"table": name, "version": mart.table(name).compact()}))
+            print(json.dumps({"table": name, "version": mart.table(name).compact(state_share=0)}))
     elif args.command == "status":
         _status(mart, args)
     return 0

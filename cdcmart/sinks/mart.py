@@ -4,14 +4,16 @@ Layout below ``<root>/<table>/``::
 
     state/version=<v>/     the whole current state as of v
     changes/version=<v>/   one row per key changed by batch v
+    merged/version=<v>/    all changes after the last state up to v, one row per key
     history/recorded_on=<day>/batch_id=<v>/  every event of batch v
     rejected/batch_id=<v>/ events of batch v without a key
     generations/<g>/       marks the start of replay number g
 
 A batch writes only its own rows, so its cost does not grow with the table. The current state is
-the newest ``state`` folded with the ``changes`` after it; :meth:`MartTable.compact` writes that
-fold as a new ``state``. Only folders with a ``_SUCCESS`` file count, and a batch that runs again
-overwrites its own folder.
+the newest ``state``, the newest ``merged`` after it and the ``changes`` after that, folded.
+:meth:`MartTable.compact` writes a new ``merged`` while the changes are few beside the state, and a
+new ``state`` once they are not. Only folders with a ``_SUCCESS`` file count, and a batch that runs
+again overwrites its own folder.
 """
 
 from __future__ import annotations
@@ -33,11 +35,15 @@ _PER_GENERATION = 10**12
 _PER_BATCH = 1000
 
 _FULL = "state"
+_MERGED = "merged"
 _DELTA = "changes"
 
 # Partition columns of the history.
 _HISTORY_FOLDERS = (T.StructField("recorded_on", T.DateType()), T.StructField("batch_id", T.LongType()))
 
+# Changes below this share of the state's bytes are merged among themselves, not into the state.
+_STATE_SHARE = 0.1
+
 # Changes up to this many bytes of Parquet are small enough for Spark to broadcast them.
 _SMALL_CHANGES = 2 * 1024 * 1024
 
@@ -71,8 +77,9 @@ class MartTable:
         )
 
     def latest_version(self) -> int:
-        """The newest version of either kind; -1 for a new table."""
-        return max([-1, *self.versions(_FULL)[-1:], *self.versions(_DELTA)[-1:]])
+        """The newest version of any kind; -1 for a new table."""
+        kinds = (_FULL, _MERGED, _DELTA)
+        return max([-1, *(v for kind in kinds for v in self.versions(kind)[-1:])])
 
     def repair_version(self) -> int:
         """The next free version before the next stream batch."""
@@ -107,29 +114,45 @@ class MartTable:
         ``keys`` limits it to the keys of that frame, before anything is folded. ``bounds`` are the
         smallest and largest of them; files are sorted by key, so the scan skips what lies outside.
         """
+        full, merged, deltas = self._parts(up_to if up_to is not None else self.latest_version())
         limits = (keys, bounds)
-        limit = up_to if up_to is not None else self.latest_version()
-        full = [v for v in self.versions(_FULL) if v <= limit][-1:]
-        start = full[0] if full else -1
-        deltas = [v for v in self.versions(_DELTA) if start < v <= limit]
         state = self._scan(_FULL, full, *limits).drop("_version") if full else None
-        if not deltas:
+        folded = self._changes(merged, deltas, *limits)
+        if folded is None:
             return state if state is not None else self._empty(self.spec.mart_schema)
-        batches = self._scan(_DELTA, deltas, *limits)
-        if len(deltas) == 1:
-            folded = batches.drop("_version")
-        else:
-            folded = upsert.fold_batches(batches, self.spec, "_version", self.on_conflict)
-        folded = folded.select(*self.spec.columns)
         if state is None:
             return folded
-        size = sum(
-            files.size(self.spark, f"{self.path}/{_DELTA}/version={v}") for v in deltas
-        )
-        small = size <= _SMALL_CHANGES
-        return upsert.merge_latest(
-            state, folded, self.spec, self.on_conflict, small_changes=small
-        )
+        small = self._bytes(merged, deltas) <= _SMALL_CHANGES
+        return upsert.merge_latest(state, folded, self.spec, self.on_conflict, small_changes=small)
+
+    def _parts(self, limit: int) -> tuple[list[int], list[int], list[int]]:
+        """Versions a read at ``limit`` is made of: at most one state and one merge, and changes."""
+        full = [v for v in self.versions(_FULL) if v <= limit][-1:]
+        start = full[0] if full else -1
+        merged = [v for v in self.versions(_MERGED) if start < v <= limit][-1:]
+        start = merged[0] if merged else start
+        return full, merged, [v for v in self.versions(_DELTA) if start < v <= limit]
+
+    def _changes(self, merged: list[int], deltas: list[int], *limits) -> DataFrame | None:
+        """Changes since the state, one row per key; None without any."""
+        scans = [
+            self._scan(kind, versions, *limits)
+            for kind, versions in ((_MERGED, merged), (_DELTA, deltas))
+            if versions
+        ]
+        if not scans:
+            return None
+        if len(merged) + len(deltas) == 1:
+            folded = scans[0]
+        else:
+            every = scans[0].unionByName(scans[1]) if len(scans) == 2 else scans[0]
+            folded = upsert.fold_batches(every, self.spec, "_version", self.on_conflict)
+        return folded.select(*self.spec.columns)
+
+    def _bytes(self, merged: list[int], deltas: list[int]) -> int:
+        folders = [f"{_MERGED}/version={v}" for v in merged]
+        folders += [f"{_DELTA}/version={v}" for v in deltas]
+        return sum(files.size(self.spark, f"{self.path}/{f}") for f in folders)
 
     def _scan(
         self,
@@ -216,24 +239,41 @@ class MartTable:
         changes.write.mode("overwrite").parquet(f"{self.path}/rejected/batch_id={version}")
 
     def compact(
-        self, transform: Callable[[DataFrame], DataFrame] | None = None, keep: int = 2
+        self,
+        transform: Callable[[DataFrame], DataFrame] | None = None,
+        state_share: float = _STATE_SHARE,
     ) -> int | None:
-        """Fold state and changes into a new state, and drop versions older than the last ``keep``
-        states. Returns the version written, or None when there was nothing to fold."""
+        """Fold pending changes, into one ``merged`` or, from ``state_share`` of the state on, into
+        a new ``state``.
+
+        Returns the version written, or None when nothing was pending. What readers of the
+        previous version use stays until the next time.
+        """
         latest = self.latest_version()
-        full = self.versions(_FULL)
-        if latest < 0 or (full and full[-1] == latest):
+        full, merged, deltas = self._parts(latest)
+        if not deltas and not (merged and state_share == 0):
             return None
+        pending = self._bytes(merged, deltas)
+        if full and pending < state_share * files.size(self.spark, f"{self.path}/{_FULL}/version={full[0]}"):
+            if len(merged) + len(deltas) == 1:
+                return None
+            self._write(self._changes(merged, deltas), f"{self.path}/{_MERGED}/version={latest}")
+            self._drop(_DELTA, merged[0] if merged else -1)
+            self._drop(_MERGED, merged[0] - 1 if merged else -1)
+            return latest
         state = self.read(latest)
         self.commit_state(transform(state) if transform else state, latest)
-        self._drop_before(self.versions(_FULL)[-keep:][0])
+        if full:
+            self._drop(_FULL, full[0] - 1)
+            self._drop(_MERGED, full[0])
+            self._drop(_DELTA, full[0])
         return latest
 
-    def _drop_before(self, oldest: int) -> None:
-        for kind, last in ((_FULL, oldest - 1), (_DELTA, oldest)):
-            for v in self.versions(kind):
-                if v <= last:
-                    files.remove_folder(self.spark, f"{self.path}/{kind}/version={v}")
+    def _drop(self, kind: str, last: int) -> None:
+        """Remove versions up to ``last``."""
+        for v in self.versions(kind):
+            if v <= last:
+                files.remove_folder(self.spark, f"{self.path}/{kind}/version={v}")
 
     def reset(self, with_history: bool = True) -> int:
         """Empty the table by committing an empty state, and clear its history."""

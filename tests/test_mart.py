@@ -91,8 +91,45 @@ def test_compaction_changes_nothing_visible(spark, root, feed, compact_every):
     assert {r[0] for r in made.collect()} == {0}
     table = mart.table("customers")
     assert bool(table.versions("state")) == (compact_every > 0)
-    if compact_every == 1:
-        assert table.versions("state") == [version_of(0, 2), version_of(0, 3)]
+
+
+def test_few_changes_are_merged_among_themselves(spark, root):
+    table = Mart(spark, root).table("customers")
+    schema = table.spec.mart_schema
+
+    def frame(ids, name, created=None):
+        data = [(i, name, True, None, None, None, created, None, None, 1) for i in ids]
+        return spark.createDataFrame(data, schema).coalesce(1)
+
+    first, later = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
+    one = frame([0], "old", first)
+    many = one.withColumn("customer_id", F.explode(F.sequence(F.lit(0), F.lit(99_999)).cast("array<long>")))
+    table.commit_state(many, 1)
+    for version in range(2, 6):
+        table.commit_changes(frame([version, 10, 600_000], str(version), later), version)
+        assert table.compact() == (None if version == 2 else version)
+    assert table.versions("state") == [1]
+    assert table.versions("merged") == [4, 5]
+    assert table.versions("changes") == [5]
+    table.commit_changes(frame([10, 700_000], "last", later), 6)
+    want = {i: "old" for i in range(100_000)} | {v: str(v) for v in range(2, 6)}
+    want |= {600_000: "5", 10: "last", 700_000: "last"}
+
+    def check():
+        got = table.read()
+        assert dict(rows(got, "customer_id", "customer_name")) == want
+        assert got.where(F.col("created_at") == first).count() == 100_000
+        some = spark.createDataFrame([(10,), (600_000,), (999_999,)], "customer_id long")
+        picked = table.read(keys=some, bounds=(10, 999_999))
+        assert rows(picked, "customer_id", "customer_name") == [(10, "last"), (600_000, "5")]
+
+    check()
+    table.commit_changes(frame([10, 700_000], "last", later), 6)
+    check()
+    assert table.compact(state_share=0) == 6
+    assert table.versions("state") == [1, 6]
+    check()
+    assert table.compact(state_share=0) is None
 
 
 def test_small_changes_leave_the_state_unshuffled(spark, root):
