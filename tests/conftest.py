@@ -15,7 +15,8 @@ def spark():
         "local[4]",
         **{
             "spark.ui.enabled": "false",
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "2",
+            "spark.default.parallelism": "2",
             "spark.driver.memory": "4g",
         },
     )

@@ -259,7 +259,9 @@ def test_salting_spreads_the_hot_key(spark):
     right = spark.range(20000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    width = spark.conf.get("spark.sql.shuffle.partitions")
     try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
         spark.conf.set("spark.sql.adaptive.enabled", "false")
 
         def largest(salt):
@@ -269,5 +271,6 @@ def test_salting_spreads_the_hot_key(spark):
 
         assert largest(16) < 0.6 * largest(None)
     finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
