@@ -132,7 +132,7 @@ def _backfill(mart: Mart, args: argparse.Namespace) -> None:
 
 
 def _report(mart: Mart, args: argparse.Namespace) -> None:
-    made = reporting.report_set(mart, args.top)
+    made = reporting.report_set(mart, args.name, args.top)
     for name in args.name:
         report = made[name]
         if name in RANKED:

@@ -3,33 +3,52 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
 from cdcmart.operators import reports
-from cdcmart.operators.contracts import CONTRACTS, stamp
+from cdcmart.operators.contracts import stamp
+from cdcmart.sinks import files
 from cdcmart.sinks.mart import Mart
 
-REPORTS = tuple(CONTRACTS)
+# Each report with the tables it reads.
+REPORTS = {
+    "delivery_status_summary": {"fact_orders"},
+    "top_delivery_dates": {"fact_orders"},
+    "pending_items_by_product": {"fact_order_items", "fact_orders", "dim_product"},
+    "top_customers": {"fact_orders", "dim_customer"},
+}
 
+# Stored versions of a report that stay, per table that caused them.
+_KEEP = 2
 
-def report_set(mart: Mart, k: int = 3) -> dict[str, DataFrame]:
-    """All four reports over the current state."""
+
+def report_set(mart: Mart, names: Iterable[str] = tuple(REPORTS), k: int = 3) -> dict[str, DataFrame]:
+    """Reports over the current state, by name."""
     orders = mart.read("fact_orders")
-    return {
-        "delivery_status_summary": reports.delivery_status_summary(orders),
-        "top_delivery_dates": reports.top_delivery_dates(orders, k),
-        "pending_items_by_product": reports.pending_items_by_product(
+    make = {
+        "delivery_status_summary": lambda: reports.delivery_status_summary(orders),
+        "top_delivery_dates": lambda: reports.top_delivery_dates(orders, k),
+        # The report joins the orders itself, so the items' own copy of the status is not needed.
+        "pending_items_by_product": lambda: reports.pending_items_by_product(
             mart.table("fact_order_items").read(), orders, mart.read("dim_product")
         ),
-        "top_customers": reports.top_customers(orders, mart.read("dim_customer"), k),
+        "top_customers": lambda: reports.top_customers(orders, mart.read("dim_customer"), k),
     }
+    return {name: make[name]() for name in names}
+
 
+def refresh(mart: Mart, table: str, version: int) -> None:
+    """Store the stamped reports that read a table; fits ``on_commit`` of its stream.
 
-def refresh(mart: Mart, version: int, k: int = 3) -> None:
-    """Write the stamped reports below ``<root>/reports``; fits ``on_commit`` of a stream."""
+    Below ``<root>/reports/<report>``, each table's stream writes to its own folder.
+    """
     now = dt.datetime.now(dt.timezone.utc)
-    for name, report in report_set(mart, k).items():
-        stamp(report, now).write.mode("overwrite").parquet(
-            f"{mart.root}/reports/{name}/version={version}"
-        )
+    affected = [name for name, reads in REPORTS.items() if table in reads]
+    for name, report in report_set(mart, affected).items():
+        folder = f"{mart.root}/reports/{name}/after={table}"
+        stamp(report, now).write.mode("overwrite").parquet(f"{folder}/version={version}")
+        stored = sorted(int(v.split("=")[1]) for v in files.subfolders(mart.spark, folder))
+        for old in stored[:-_KEEP]:
+            files.remove_folder(mart.spark, f"{folder}/version={old}")

@@ -173,7 +173,8 @@ class MartTable:
             rows = rows.where(F.col(self.spec.key[0]).between(*bounds))
         if keys is None:
             return rows
-        return rows.join(keys.select(*self.spec.key), list(self.spec.key), "left_semi")
+        wanted = keys.select(*self.spec.key).distinct()
+        return rows.join(wanted, list(self.spec.key), "left_semi")
 
     def read_history(self, distinct: bool = False) -> DataFrame:
         """All history rows, with the batch that wrote them.

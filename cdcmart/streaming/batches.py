@@ -19,6 +19,9 @@ logger = logging.getLogger(__name__)
 
 BatchHandler = Callable[[DataFrame, int], None]
 
+# Called after a commit with the mart, the table's name and the version committed.
+OnCommit = Callable[[Mart, str, int], None]
+
 
 def parse(
     records: DataFrame, spec: TableSpec, deletes: str = "ignore", encoding: str = codec.CONNECT
@@ -35,7 +38,7 @@ def scd4_batch(
     mart: Mart,
     name: str,
     generation: int = 0,
-    on_commit: Callable[[Mart, int], None] | None = None,
+    on_commit: OnCommit | None = None,
     compact_every: int = 0,
 ) -> BatchHandler:
     """Handler that keeps current state and history from one batch.
@@ -50,7 +53,7 @@ def order_items_batch(
     mart: Mart,
     name: str = "fact_order_items",
     generation: int = 0,
-    on_commit: Callable[[Mart, int], None] | None = None,
+    on_commit: OnCommit | None = None,
     compact_every: int = 0,
     orders: str = "fact_orders",
 ) -> BatchHandler:
@@ -102,6 +105,6 @@ def _handler(mart, name, generation, on_commit, compact_every, orders=None) -> B
         if compact_every and (batch_id + 1) % compact_every == 0:
             table.compact(synced if orders else None)
         if on_commit:
-            on_commit(mart, version)
+            on_commit(mart, spec.name, version)
 
     return handle

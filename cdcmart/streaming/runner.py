@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -26,7 +26,7 @@ def start_mart_stream(
     trigger: str | None = TRIGGER,
     deletes: str = "ignore",
     encoding: str = codec.CONNECT,
-    on_commit: Callable[[Mart, int], None] | None = None,
+    on_commit: batches.OnCommit | None = None,
     compact_every: int = 10,
 ) -> StreamingQuery:
     """Start the stream that keeps one mart table current.
@@ -57,6 +57,7 @@ def start_mart_stream(
 def run_all(mart: Mart, records: Mapping[str, DataFrame], **options) -> None:
     """Run one stream per table until any of them ends, then stop all; a failure is raised."""
     mart.validate()
+    mart.spark.streams.resetTerminated()
     queries: list[StreamingQuery] = []
     try:
         for name, scan in records.items():

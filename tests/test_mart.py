@@ -155,7 +155,7 @@ def test_a_failed_batch_runs_again_without_duplicates(spark, root, feed):
     feed.run(mart, "customers")
     feed.send(event("u", customer(1, "b", 1)), event("c", customer(2, "c", 1)))
 
-    def fail(_, version):
+    def fail(_mart, _table, version):
         raise RuntimeError(f"stop after {version}")
 
     with pytest.raises(Exception, match="stop after"):
@@ -290,9 +290,15 @@ def test_reports_are_refreshed_after_a_commit(shop, spark):
     mart, feeds = shop
     feeds["orders"].send(event("c", order(13, customer_id=2)))
     feeds["orders"].run(mart, "orders", on_commit=reporting.refresh)
-    stored = spark.read.parquet(f"{mart.root}/reports/top_customers/version={version_of(0, 1)}")
+    folder = f"{mart.root}/reports/top_customers/after=fact_orders"
+    stored = spark.read.parquet(f"{folder}/version={version_of(0, 1)}")
     assert rows(stored, "contract_version", "customer_name", "pending_order_count") == [
         ("1.0.0", "ann", 1), ("1.0.0", "bob", 2)]
+    feeds["products"].send(event("c", {"product_id": 6, "product_name": "nut"}))
+    feeds["products"].run(mart, "products", on_commit=reporting.refresh)
+    assert files.subfolders(spark, f"{mart.root}/reports/top_customers") == ["after=fact_orders"]
+    assert sorted(files.subfolders(spark, f"{mart.root}/reports/pending_items_by_product")) == [
+        "after=dim_product", "after=fact_orders"]
 
 
 def source_orders(spark, *extra):
@@ -422,11 +428,11 @@ def test_run_all_stops_every_stream_when_one_fails(spark, root, tmp_path):
         "orders": change_stream(spark, "parquet", {"path": bad.path}),
     }
 
-    def fail_on_orders(_, version):
-        if mart.table("orders").versions("changes"):
-            raise RuntimeError("stop")
+    def fail_on_orders(_mart, table, _version):
+        if table == "fact_orders":
+            raise RuntimeError("orders stopped")
 
-    with pytest.raises(Exception, match="stop"):
+    with pytest.raises(Exception, match="orders stopped"):
         runner.run_all(mart, scans, trigger="1 second", on_commit=fail_on_orders)
     assert spark.streams.active == []
 
