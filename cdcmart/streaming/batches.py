@@ -26,12 +26,16 @@ OnCommit = Callable[[Mart, str, int], None]
 def parse(
     records: DataFrame, spec: TableSpec, deletes: str = "ignore", encoding: str = codec.CONNECT
 ) -> DataFrame:
-    """Changes of a record scan; ``deletes="soft"`` keeps deletes as inactive rows."""
-    if deletes == "ignore":
-        return parse_changes(records, spec, encoding)
-    if deletes == "soft":
+    """Changes of a record scan.
+
+    ``deletes="soft"`` keeps deletes as inactive rows in tables that have an active flag; the other
+    tables ignore them in any case.
+    """
+    if deletes not in ("ignore", "soft"):
+        raise ValueError(f"deletes must be 'ignore' or 'soft', got {deletes!r}")
+    if deletes == "soft" and spec.soft_delete_flag:
         return upsert.soft_delete(parse_events(records, spec, encoding), spec)
-    raise ValueError(f"deletes must be 'ignore' or 'soft', got {deletes!r}")
+    return parse_changes(records, spec, encoding)
 
 
 def scd4_batch(

@@ -213,6 +213,13 @@ def test_soft_deletes(spark, root, feed):
     assert rows(mart.read("dim_customer"), "customer_id", "is_active") == [(1, False), (2, True)]
 
 
+def test_tables_without_a_flag_ignore_deletes(spark):
+    log = records(spark, [event("c", order(1)), event("d", None, order(1))])
+    assert batches.parse(log, SPECS["fact_orders"], "soft").count() == 1
+    with pytest.raises(ValueError):
+        batches.parse(log, SPECS["fact_orders"], "hard")
+
+
 def test_events_without_a_key_are_set_aside(spark, root, feed):
     mart = Mart(spark, root)
     feed.send(event("c", customer(1, "a")), event("c", {"customer_name": "nobody"}), '{"op":"u"}')
