@@ -6,6 +6,8 @@ import decimal
 import pytest
 
 import __spark_entry__ as driver
+from cdcmart.plans.oracle import SQL
+from cdcmart.plans.registry import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 
@@ -38,13 +40,15 @@ def _bag(columns, rows):
 
 
 def test_every_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, db, name):
-    got = driver.queries()[name](spark, SF_DIR)
-    want = db.execute(driver.oracle_sql()[name])
+    got = QUERIES[name](spark, SF_DIR)
+    want = db.execute(SQL[name])
     columns = [d[0] for d in want.description]
     expected = want.fetchall()
     assert sorted(got.columns) == sorted(columns)
