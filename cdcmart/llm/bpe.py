@@ -19,14 +19,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcmart.llm.common import free_name
+from cdcmart.llm.common import free_name, ship_package
 
 # The pattern that splits text before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 # Characters whose class is the same in every Unicode version in use. Texts with others are split
 # by the tokenizers library itself, whose tables may be older than those of ``regex``.
-_SETTLED = regex.compile(r"[\u0000-ԯ -⁯₠-₿　-〿ぁ-ゖ一-龥가-힣]*")
+_SETTLED = regex.compile(r"[\u0000-ԯ‐-⁯₠-₿　-〿ぁ-ゖ一-龥가-힣]*")
 
 # Words kept with their encoding by one Python worker, and characters split at once.
 _KEPT_WORDS = 400_000
@@ -274,6 +274,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
     Rows are kept as they are, repeated ones too; a column named like ``ids`` gives way to it (the name
     gets underscores: see ``free_name``). The file has to be readable at that path on every executor.
     """
+    ship_package(df.sparkSession)
     name = free_name(df, ids)
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType(), False))])
 
@@ -297,6 +298,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     Null or empty ids give an empty text; bytes that are no UTF-8 become U+FFFD. An id that the
     vocabulary lacks is left out, as is a null one.
     """
+    ship_package(df.sparkSession)
     name = free_name(df, decoded)
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType())])
 

@@ -1,14 +1,37 @@
-"""Helpers the operators share: reserved column names and written intermediates."""
+"""Helpers the operators share: their code on the executors, column names, written intermediates."""
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcmart.session import scratch_dir
 
 
+_PACKAGE = Path(__file__).resolve().parents[1]
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Spark serve this package to its Python workers, once per application.
+
+    The archive is the driver's own; executors fetch it from the driver as they do any ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    archive = Path(tempfile.mkdtemp()) / f"{_PACKAGE.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(_PACKAGE.rglob("*.py")):
+            z.write(source, source.relative_to(_PACKAGE.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, or that with underscores, so that no column of ``df`` is hidden by it."""
     taken = {c.lower() for c in df.columns}

@@ -29,6 +29,8 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cdcmart.llm.common import ship_package
+
 MAGIC = b"IDPLANE1"
 END = b"\x00ENDSEG\n"
 
@@ -178,6 +180,7 @@ def write_ids(
     number of key ranges, by default as many as the session's shuffle has.
     """
     spark = df.sparkSession
+    ship_package(spark)
     files = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # The text is dealt out as it is: sampling for the ranges then reads the table, not its encoding.
     sorted_rows = (
@@ -246,6 +249,7 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFr
 
     A file is read by one task, segment after segment. A damaged file raises ``ValueError``.
     """
+    ship_package(spark)
     schema = "part int, place long, key long, start long, n_tokens long, ids_crc32 long"
     if with_ids:
         schema += ", ids array<long>"

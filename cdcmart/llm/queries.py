@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm import bpe, idfile
+from cdcmart.llm import bpe, decontam, idfile
 from cdcmart.llm.common import run_folder, saved
 
 
@@ -27,6 +27,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against every window of the benchmark."""
+    return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written in key order and read back."""
     docs = _table(spark, sf_dir, "documents")
@@ -39,7 +44,39 @@ def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op6_decontamination": op6_decontamination,
     "op8_id_files": op8_id_files,
 }
 
-SQL: dict[str, str] = {}
+# Words of a text: A-Z lower-cased, then runs of digits, letters and all that is not ASCII.
+_WORDS = """regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+SQL: dict[str, str] = {
+    "op6_decontamination": f"""
+        with doc as materialized (select doc_id, {_WORDS} as w from documents),
+        item as (select item_id, {_WORDS} as w from benchmark where item_id is not null),
+        patterns as (
+            select distinct item_id, least(10, len(w)) as m,
+                   array_to_string(w[i : i + least(10, len(w)) - 1], ' ') as win
+            from item, range(1, len(w) - least(10, len(w)) + 2) t(i)
+            where len(w) > 0),
+        lengths as (select distinct m from patterns),
+        windows as (
+            select doc_id, i, m, array_to_string(w[i : i + m - 1], ' ') as win
+            from doc, lengths, range(1, len(w) - m + 2) t(i)),
+        found as materialized (
+            select doc_id, i, m, item_id from windows join patterns using (m, win)),
+        hit as (
+            select doc_id, count(distinct i + k) as n_hit
+            from (select distinct doc_id, i, m from found), range(0, m) t(k) group by doc_id),
+        hits as (
+            select doc_id, count(distinct item_id) as n_items,
+                   string_agg(distinct cast(item_id as varchar), ',' order by cast(item_id as varchar)) as ids
+            from found group by doc_id)
+        select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+               coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
+               coalesce(n_hit, 0) > 0 as contaminated
+        from doc left join hit using (doc_id) left join hits using (doc_id)""",
+}
