@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm import bpe, decontam, idfile
+from cdcmart.llm import bpe, decontam, idfile, secrets, urlfilter
 from cdcmart.llm.common import run_folder, saved
 
 
@@ -42,10 +42,31 @@ def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfile.with_starts(found).select(F.col("key").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 
 
+# The rules that every page is judged by: host, path, action.
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page by its rule, or by its equivalents'."""
+    return urlfilter.judge(_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets; ``source`` is the owner, each document a repository."""
+    return secrets.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op6_decontamination": op6_decontamination,
     "op8_id_files": op8_id_files,
+    "op9_url_filter": op9_url_filter,
+    "op10_secrets": op10_secrets,
 }
 
 # Words of a text: A-Z lower-cased, then runs of digits, letters and all that is not ASCII.
@@ -53,7 +74,97 @@ _WORDS = """regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _form(url: str) -> str:
+    """The canonical form of a url as SQL."""
+    host = _LOWER.format(f"regexp_extract({url}, '^.*?://([^/?#]*)', 1, 's')")
+    path = f"regexp_extract({url}, '^.*?://[^/?#]*([^?#]*)', 1, 's')"
+    query = f"'?' || regexp_extract({url}, '^[^?#]*[?]([^#]*)', 1, 's')"
+    kept = f"regexp_replace(regexp_replace({query}, '([?&])((utm_[a-z]+|gclid|fbclid)=[^&]*(&|$))+', '\\1', 'g'), '[?&]+$', '')"
+    return f"case when contains({url}, '://') then '//' || {host} || regexp_replace({path}, '/+$', '') || {kept} end"
+
+
+def _span_sql(kind: str, pattern: str, group: int, least: int) -> str:
+    """Spans of one kind as SQL: the texts between the matches give the positions."""
+    quoted = pattern.replace("'", "''")
+    return f"""
+        select doc_id, source, '{kind[1:]}' as kind, {kind[0]} as nth, v as value, s, s + length(m) as e from (
+            select doc_id, source, found[k] as m, vals[k] as v,
+                   cast(list_sum([length(x) for x in gaps[1 : k]])
+                        + coalesce(list_sum([length(x) for x in found[1 : k - 1]]), 0) as bigint) as s
+            from (select doc_id, source, string_split_regex(text, '{quoted}') as gaps,
+                         regexp_extract_all(text, '{quoted}', 0) as found,
+                         regexp_extract_all(text, '{quoted}', {group}) as vals
+                  from documents where regexp_matches(text, '{quoted}')) x,
+                 range(1, len(found) + 1) t(k)) y
+        where length(v) >= {least}"""
+
+
 SQL: dict[str, str] = {
+    "op9_url_filter": f"""
+        with recursive page as (
+            select page_id, {_LOWER.format("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')")} as host,
+                   regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') as path,
+                   {_form("url")} as form, url, html
+            from pages),
+        rules(rhost, rpath, action) as (values {", ".join(map(str, URL_RULES))}),
+        ruled as (
+            select page_id, host, path, form,
+                   (select rhost || rpath || ' ' || action from rules
+                    where (host = rhost or ends_with(host, '.' || rhost)) and starts_with(path, rpath)
+                    order by length(rhost || rpath) desc, action limit 1) as best
+            from page),
+        judged as (select *, split_part(best, ' ', 1) as rule, split_part(best, ' ', 2) as action from ruled),
+        tags as (
+            select form, host, unnest(regexp_extract_all(html, '<(link|meta)\\b[^>]*>', 0, 'is')) as tag
+            from page where form is not null and html is not null),
+        target as (
+            select form, host, case
+                when regexp_matches(tag, '<link\\b.*\\brel\\s*=\\s*["'']?canonical\\b', 'is')
+                    then regexp_extract(tag, '\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is')
+                when regexp_matches(tag, '<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b', 'is')
+                    then regexp_extract(tag, '\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is') end as t
+            from tags),
+        whole as (
+            select form as a, case when contains(t, '://') then t when starts_with(t, '//') then 'http:' || t
+                                   when starts_with(t, '/') then 'http://' || host || t end as w
+            from target where t <> ''),
+        edge as (select a, {_form("w")} as b from whole where w is not null),
+        both_ways as (select a, b from edge union select b, a from edge),
+        reach(a, b) as (
+            select form, form from judged where form is not null
+            union select reach.a, both_ways.b from reach join both_ways on reach.b = both_ways.a),
+        ranks as (
+            select reach.a as form, max(case action when 'allow' then 2 when 'block' then 1 end) as rank
+            from reach join judged on judged.form = reach.b group by reach.a)
+        select page_id, host, path, rule,
+               coalesce(action, case when rank = 1 then 'block' else 'allow' end) as verdict
+        from judged left join ranks using (form)""",
+    "op10_secrets": f"""
+        with base as materialized (
+            {_span_sql("1assign", secrets.ASSIGN, 2, 6)}
+            union all {_span_sql("2access", secrets.ACCESS, 0, 20)}
+            union all {_span_sql("3hex", secrets.HEX, 0, 24)}),
+        live as (
+            select value from base
+            where length(value) >= 16 and regexp_matches(value, '[0-9]') and regexp_matches(value, '[A-Za-z]')
+            group by value having count(distinct coalesce(source, chr(1))) <= 1),
+        spans as (
+            select doc_id, kind, nth, s, e from base
+            union all
+            select distinct doc_id, 'live', 4, e - length(value), e from base join live using (value)),
+        listed as (
+            select doc_id, string_agg(kind || ':' || s || ':' || e, ',' order by s, nth, e) as spans,
+                   string_agg(kind || ':' || s || ':' || e, ',' order by s, nth, e) filter (nth < 4) as base,
+                   count(*) filter (nth = 1) as n_assign, count(*) filter (nth = 2) as n_access,
+                   count(*) filter (nth = 3) as n_hex, count(*) filter (nth = 4) as n_live
+            from spans group by doc_id)
+        select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+               coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
+               coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live
+        from documents left join listed using (doc_id)""",
     "op6_decontamination": f"""
         with doc as materialized (select doc_id, {_WORDS} as w from documents),
         item as (select item_id, {_WORDS} as w from benchmark where item_id is not null),

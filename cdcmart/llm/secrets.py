@@ -1,0 +1,198 @@
+"""Secret scans with corpus-wide ownership: DataFrame operations only.
+
+Three kinds of candidates are found in every text. The value of each candidate is hashed, and the hashes are counted
+over the corpus by distinct repositories and distinct owners. A value that more than ``max_owners`` owners have is
+a copied example; a value of one owner that looks like a credential gets a span of its own, kind ``live``,
+beside the candidate's span.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from cdcmart.llm.common import free_name, run_folder, saved
+
+# The kinds in their order, pattern and least length (of group 2 for the first kind).
+KINDS = ("assign", "access", "hex", "live")
+ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+ACCESS = r"AKIA[A-Z0-9]+"
+HEX = r"[0-9a-f]+"
+LEAST = {"assign": 6, "access": 20, "hex": 24}
+
+# The same matches as above once those that are too short are dropped: a run that is too short from its
+# begin has no longer match inside.
+_LONG_ACCESS = r"AKIA[A-Z0-9]{16,}"
+_LONG_HEX = r"[0-9a-f]{24,}"
+
+# Owners (and letters of the value) up to which a value counts as owner-specific and live-looking.
+MAX_OWNERS = 1
+LEAST_LIVE = 16
+
+
+def _matches(text: Column, pattern: str, hint: Column, kind: str, group: int = 0) -> Column:
+    """Spans of all matches: begin and end in characters, and value. The texts between the matches give the positions."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
+    between = F.split(text, pattern, -1)
+    start = F.aggregate(
+        F.arrays_zip(between.alias("gap"), found.alias("match"), values.alias("value")),
+        F.expr("struct(0 as at, cast(array() as array<struct<start:int,end:int,kind:int,value:string>>) as spans)"),
+        lambda done, part: F.struct(
+            (done["at"] + F.char_length(part["gap"]) + F.coalesce(F.char_length(part["match"]), F.lit(0))).alias("at"),
+            F.when(
+                part["match"].isNotNull(),
+                F.concat(
+                    done["spans"],
+                    F.array(
+                        F.struct(
+                            (done["at"] + F.char_length(part["gap"])).alias("start"),
+                            (done["at"] + F.char_length(part["gap"]) + F.char_length(part["match"])).alias("end"),
+                            F.lit(KINDS.index(kind)).alias("kind"),
+                            part["value"].alias("value"),
+                        )
+                    ),
+                ),
+            )
+            .otherwise(done["spans"])
+            .alias("spans"),
+        ),
+        lambda done: done["spans"],
+    )
+    return F.when(hint, start).otherwise(F.expr("cast(array() as array<struct<start:int,end:int,kind:int,value:string>>)"))
+
+
+def base_spans(text: Column) -> Column:
+    """All candidates of a text, ordered by begin, then kind: array of (start, end, kind, value)."""
+    text = F.coalesce(text, F.lit(""))
+    assign = F.filter(
+        _matches(text, ASSIGN, text.rlike(ASSIGN), "assign", 2), lambda s: F.char_length(s["value"]) >= LEAST["assign"]
+    )
+    access = _matches(text, _LONG_ACCESS, text.contains("AKIA"), "access")
+    hexes = _matches(text, _LONG_HEX, text.rlike(_LONG_HEX), "hex")
+    by_place = lambda a, b: (
+        F.when(a["start"] != b["start"], a["start"] - b["start"]).otherwise(a["kind"] - b["kind"])
+    )
+    return F.array_sort(F.concat(assign, access, hexes), by_place)
+
+
+def value_places(span: Column) -> Column:
+    """Where the value of a span begins: values stand at the end of their match."""
+    return span["end"] - F.char_length(span["value"])
+
+
+def live_looking(value: Column) -> Column:
+    """Long enough, and both letters and digits."""
+    return (F.char_length(value) >= LEAST_LIVE) & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
+
+
+def find_secrets(
+    docs: DataFrame,
+    text: str = "text",
+    owner: str = "source",
+    repository: str = "doc_id",
+    max_owners: int = MAX_OWNERS,
+) -> DataFrame:
+    """Add ``spans`` to every row: array of (start, end, kind, value), by begin, then kind as in ``KINDS``.
+
+    ``start`` and ``end`` count code points. Kind ``live`` marks the value of a candidate that at most
+    ``max_owners`` owners have in the whole table (a null owner is an owner of its own) and that looks like a credential.
+    Null and empty texts have no spans. Rows are kept as they are, repeated ones too; a column named ``spans``
+    gives way (see ``free_name``).
+    """
+    folder = run_folder(docs.sparkSession, "secrets")
+    row, out = free_name(docs, "row_id"), free_name(docs, "spans")
+    # Scanned once and written: the ids of the rows have to stay the same for the join below.
+    found = saved(
+        docs.withColumn(out, base_spans(F.col(text))).withColumn(row, F.monotonically_increasing_id()), folder, "base"
+    )
+    return _with_live(found, row, out, owner, repository, max_owners, folder)
+
+
+def _with_live(found: DataFrame, row: str, out: str, owner: str, repository: str, max_owners: int, folder: str) -> DataFrame:
+    none = found.where(F.size(out) == 0).drop(row)
+    some = found.where(F.size(out) > 0)
+    single = some.select(
+        F.col(row).alias("row"), F.col(owner).alias("owner"), F.col(repository).alias("repository"), F.explode(out).alias("span")
+    ).withColumn("hash", F.sha2("span.value", 256))
+    # Copies of one value in one repository, then repositories of one owner, are merged before they are shuffled on.
+    by_repository = single.where(live_looking(F.col("span.value"))).groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
+    by_owner = by_repository.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
+    owned = by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    live = saved(owned.where(F.col("owners") <= max_owners).select("hash"), folder, "live")
+    added = (
+        single.join(live, "hash")
+        .select(
+            "row",
+            F.struct(
+                value_places(F.col("span")).alias("start"),
+                F.col("span.end").alias("end"),
+                F.lit(KINDS.index("live")).alias("kind"),
+                F.col("span.value").alias("value"),
+            ).alias("span"),
+        )
+        .groupBy("row")
+        .agg(F.collect_set("span").alias("added"))
+    )
+    by_place = lambda a, b: (
+        F.when(a["start"] != b["start"], a["start"] - b["start"])
+        .when(a["kind"] != b["kind"], a["kind"] - b["kind"])
+        .otherwise(a["end"] - b["end"])
+    )
+    merged = F.array_sort(F.concat(F.col(out), F.coalesce("added", F.slice(out, 1, 0))), by_place)
+    joined = some.join(added, some[row] == added["row"], "left").withColumn(out, merged).select(*none.columns)
+    return none.unionByName(joined)
+
+
+def _listed(spans: Column) -> Column:
+    kinds = F.array(*[F.lit(k) for k in KINDS])
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(kinds, s["kind"]), s["start"], s["end"])))
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_live of every document."""
+    folder = run_folder(docs.sparkSession, "secrets")
+    # The texts are not written again: only ids, owners and spans.
+    base = docs.select("doc_id", "source", base_spans(F.col("text")).alias("spans"))
+    found = saved(base.withColumn("row_id", F.monotonically_increasing_id()), folder, "base")
+    all_spans = _with_live(found, "row_id", "spans", "source", "doc_id", MAX_OWNERS, folder)
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
+    live = KINDS.index("live")
+    return all_spans.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(_listed(F.filter("spans", lambda s: s["kind"] != live)), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"),
+        count("live").alias("n_live"),
+    )
+
+
+def masked(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
+    """The rows of ``docs`` with the text of every span, overlapping ones as one, replaced by ``mask`` and
+    ``n_chars`` counted again; texts without spans stay as they are."""
+    found = find_secrets(docs)
+    spans, text = found.columns[-1], F.col("text")
+    # A span that begins before the last one has ended belongs to it.
+    cut = F.aggregate(
+        spans,
+        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
+        lambda done, s: F.struct(
+            F.greatest(done["at"], s["end"]).alias("at"),
+            F.when(
+                (s["start"] >= done["at"]),
+                F.concat(done["out"], text.substr(done["at"] + 1, s["start"] - done["at"]), F.lit(mask)),
+            )
+            .otherwise(done["out"])
+            .alias("out"),
+        ),
+        lambda done: F.concat(done["out"], text.substr(done["at"] + 1, F.char_length(text) - done["at"])),
+    )
+    changed = F.size(spans) > 0
+    found = found.withColumn("text", F.when(changed, cut).otherwise(text))
+    if "n_chars" in docs.columns:
+        found = found.withColumn(
+            "n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+        )
+    return found.select(*docs.columns)
