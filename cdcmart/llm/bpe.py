@@ -29,7 +29,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _SETTLED = regex.compile(r"[\u0000-ԯ‐-⁯₠-₿　-〿ぁ-ゖ一-龥가-힣]*")
 
 # Words kept with their encoding by one Python worker, and characters split at once.
-_KEPT_WORDS = 400_000
+_KEPT_WORDS = 300_000
 _PIECE = 1 << 20
 
 _NEVER = 1 << 60
@@ -124,7 +124,7 @@ class Vocabulary:
         key = first * len(self.bytes) + second
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 4 * _KEPT_WORDS:
+            if len(self._pairs) > 3 * _KEPT_WORDS:
                 self._pairs.clear()
             known = self._pairs[key] = self._stay_apart(first, second)
         return known
@@ -235,12 +235,12 @@ class Encoder:
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text, as the bytes of 32-bit integers; a null text is an empty one."""
-        if len(self._words) > _KEPT_WORDS:
-            self._words = dict(self._fixed)
-        kept = self._words
         out = []
         begin = 0
         while begin < len(texts):
+            if len(self._words) > _KEPT_WORDS:
+                self._words = dict(self._fixed)
+            kept = self._words
             split, chars, end = [], 0, begin
             while end < len(texts) and (end == begin or chars < _PIECE):
                 text = texts[end] or ""

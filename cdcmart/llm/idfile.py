@@ -118,7 +118,7 @@ class ChunkEncoder:
     text's ids are those of its chunks, one after the other. Checked on the file when it is opened.
     """
 
-    _KEPT = 400_000
+    _KEPT = 300_000
 
     def __init__(self, path: str):
         self._own = _library(path)
