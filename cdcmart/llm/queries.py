@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm import bpe, decontam, idfile, langid, secrets, urlfilter
+from cdcmart.llm import bpe, decontam, idfile, jaccard, langid, secrets, urlfilter
 from cdcmart.llm.common import run_folder, saved
 
 
@@ -27,6 +27,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near-duplicates and its links."""
+    return jaccard.join_similar(_table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from those that are not held out."""
     return langid.report(_table(spark, sf_dir, "documents"))
@@ -68,6 +73,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op6_decontamination": op6_decontamination,
     "op8_id_files": op8_id_files,
