@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.llm.common import run_folder, saved, ship_package
 from cdcmart.llm.components import components
+from cdcmart.llm.links import local_groups
 from cdcmart.llm.words import mixed, words_of
 
 WORDS = 5
@@ -157,7 +158,7 @@ def shares_earlier(one: list[list[int]], other: list[list[int]], key: int) -> np
 
 
 def compare(rows: list[tuple], key: int, a: int, b: int, threshold: float) -> list[tuple[bytes, int, bytes]]:
-    """Links in one tile of a bucket: (node, copies it is linked with here, smallest node of its group here).
+    """Links in one tile of a bucket: (node, copies it is linked with here, a node of its group here).
 
     ``rows`` are (tile, node, copies, keys, shingles); a node that comes twice counts once.
     """
@@ -182,26 +183,13 @@ def compare(rows: list[tuple], key: int, a: int, b: int, threshold: float) -> li
         np.fill_diagonal(linked, False)
     if not linked.any():
         return []
-    copies_one, copies_other = np.array([r[2] for r in one]), np.array([r[2] for r in other])
     nodes = [r[1] for r in one] + ([] if a == b else [r[1] for r in other])
-    # Labels are ranks of nodes; they sink until neighbours agree.
-    label = np.empty(len(nodes), np.int64)
-    order = sorted(range(len(nodes)), key=nodes.__getitem__)
-    label[order] = np.arange(len(nodes))
-    n = len(one)
-    top = len(nodes)
-    while True:
-        mine, theirs = label[:n], (label if a == b else label[n:])
-        down = np.minimum(mine, np.where(linked, theirs[None, :], top).min(axis=1))
-        across = np.minimum(theirs, np.where(linked, down[:, None], top).min(axis=0))
-        new = np.minimum(down, across) if a == b else np.concatenate([down, across])
-        if (new == label).all():
-            break
-        label = new
-    links = linked @ copies_other
+    links = linked @ np.array([r[2] for r in other])
+    left_end, right_end = np.nonzero(linked)
     if a != b:
-        links = np.concatenate([links, linked.T @ copies_one])
-    return [(nodes[i], int(links[i]), nodes[order[label[i]]]) for i in range(len(nodes)) if links[i]]
+        links = np.concatenate([links, linked.T @ np.array([r[2] for r in one])])
+        right_end = right_end + len(one)
+    return [(nodes[i], int(links[i]), nodes[root]) for i, root in local_groups(left_end, right_end)]
 
 
 def node_of(text: str = "text") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm import bpe, decontam, idfile, jaccard, langid, secrets, urlfilter
+from cdcmart.llm import bpe, decontam, idfile, jaccard, langid, neardup, secrets, urlfilter
 from cdcmart.llm.common import run_folder, saved
 
 
@@ -42,6 +42,11 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links by cosine and its component."""
+    return neardup.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written in key order and read back."""
     docs = _table(spark, sf_dir, "documents")
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
     "op6_decontamination": op6_decontamination,
+    "op7_near_vectors": op7_near_vectors,
     "op8_id_files": op8_id_files,
     "op9_url_filter": op9_url_filter,
     "op10_secrets": op10_secrets,
