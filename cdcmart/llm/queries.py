@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm import bpe, decontam, idfile, jaccard, langid, neardup, secrets, urlfilter
+from cdcmart.llm import bpe, chat, decontam, idfile, jaccard, langid, neardup, secretscan, urlfilter, warc
 from cdcmart.llm.common import run_folder, saved
 
 
@@ -37,6 +37,16 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(_table(spark, sf_dir, "documents"))
 
 
+def op4_chat_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against the same one with another reply, as prompt and masked completions."""
+    return chat.report(_table(spark, sf_dir, "conversations"))
+
+
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page to WARC archives and back."""
+    return warc.report(_table(spark, sf_dir, "pages"))
+
+
 def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document against every window of the benchmark."""
     return decontam.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -73,13 +83,15 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's secrets; ``source`` is the owner, each document a repository."""
-    return secrets.report(_table(spark, sf_dir, "documents"))
+    return secretscan.report(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_language_id": op3_language_id,
+    "op4_chat_pairs": op4_chat_pairs,
+    "op5_warc": op5_warc,
     "op6_decontamination": op6_decontamination,
     "op7_near_vectors": op7_near_vectors,
     "op8_id_files": op8_id_files,
@@ -121,6 +133,45 @@ def _span_sql(kind: str, pattern: str, group: int, least: int) -> str:
 
 
 SQL: dict[str, str] = {
+    "op4_chat_pairs": """
+        with turns as (
+            select conv_id, role, text, row_number() over (partition by conv_id order by turn nulls first, role, text) as n
+            from (select distinct conv_id, turn, coalesce(role, 'user') as role, coalesce(text, '') as text
+                  from conversations where conv_id is not null)),
+        replies as (select conv_id, max(n) filter (role = 'assistant') as place from turns group by conv_id),
+        reply as (select conv_id, role, text from turns join replies using (conv_id) where n = place),
+        other as (
+            select conv_id, role, text, row_number() over (partition by conv_id order by n) as n from (
+                select turns.conv_id, n,
+                       case when n = place then reply.role else turns.role end as role,
+                       case when n = place then reply.text else turns.text end as text
+                from turns join replies using (conv_id) left join reply on reply.conv_id = xor(turns.conv_id, 1)) x
+            where role is not null),
+        cut as (
+            select conv_id, coalesce(min(n) filter (not same) - 1, max(n)) as shared from (
+                select coalesce(turns.conv_id, other.conv_id) as conv_id, coalesce(turns.n, other.n) as n,
+                       coalesce(turns.role = other.role and turns.text = other.text, false) as same
+                from turns full join other on turns.conv_id = other.conv_id and turns.n = other.n) x
+            group by conv_id),
+        sides as (select 'one' as side, * from turns union all select 'other', * from other),
+        texts as (
+            select side, conv_id, n, shared, role, '<|' || role || '|>' || chr(10) || text || chr(10) as t, length(role) + 5 as opening
+            from sides join cut using (conv_id)),
+        placed as (
+            select *, cast(sum(case when n > shared then length(t) end)
+                           over (partition by side, conv_id order by n) as bigint) as stop from texts),
+        whole as (
+            select side, conv_id, any_value(shared) as shared,
+                   coalesce(string_agg(t, '' order by n) filter (n <= shared), '') as prompt,
+                   coalesce(string_agg(t, '' order by n) filter (n > shared), '') as completion,
+                   coalesce(string_agg(stop - length(t) + opening || ':' || stop, ',' order by n)
+                            filter (n > shared and role = 'assistant'), '') as spans
+            from placed group by side, conv_id)
+        select one.conv_id as pair_id, one.conv_id as chosen_id, xor(one.conv_id, 1) as rejected_id,
+               one.shared as n_prompt_turns, one.prompt, one.completion as chosen_text, one.spans as chosen_spans,
+               coalesce(other.completion, '') as rejected_text, coalesce(other.spans, '') as rejected_spans
+        from whole one left join whole other on other.conv_id = one.conv_id and other.side = 'other'
+        where one.side = 'one'""",
     "op9_url_filter": f"""
         with recursive page as (
             select page_id, {_LOWER.format("regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's')")} as host,
@@ -162,9 +213,9 @@ SQL: dict[str, str] = {
         from judged left join ranks using (form)""",
     "op10_secrets": f"""
         with base as materialized (
-            {_span_sql("1assign", secrets.ASSIGN, 2, 6)}
-            union all {_span_sql("2access", secrets.ACCESS, 0, 20)}
-            union all {_span_sql("3hex", secrets.HEX, 0, 24)}),
+            {_span_sql("1assign", secretscan.ASSIGN, 2, 6)}
+            union all {_span_sql("2access", secretscan.ACCESS, 0, 20)}
+            union all {_span_sql("3hex", secretscan.HEX, 0, 24)}),
         live as (
             select value from base
             where length(value) >= 16 and regexp_matches(value, '[0-9]') and regexp_matches(value, '[A-Za-z]')
