@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import logging
 import sys
@@ -13,6 +14,8 @@ from cdcmart.functions import codec
 from cdcmart.operators import replay, reports, upsert
 from cdcmart.plans import repair, reporting
 from cdcmart.session import build_session
+from cdcmart.sinks import files
+from cdcmart.sinks.external import merge_sink
 from cdcmart.sinks.mart import Mart
 from cdcmart.sources import changes, tables
 from cdcmart.specs import SPECS, resolve
@@ -57,16 +60,20 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("--path", help="folder with one sub-folder per source table, for file formats")
     sub.add_argument("--offset", type=replay.parse_position, default=replay.EARLIEST)
     sub.add_argument("--partitions", type=int, default=1, help="topic partitions, for a numeric offset")
-    sub.add_argument("--max-offsets", type=int, help="largest batch, in log positions")
+    sub.add_argument("--max-offsets", type=int, default=5_000_000, help="largest batch, in log positions")
+    sub.add_argument("--min-partitions", type=int, help="tasks a Kafka batch is split into at least")
+    sub.add_argument("--max-files", type=int, default=1000, help="largest batch of a file log, in files")
     sub.add_argument("--trigger", default=runner.TRIGGER)
     sub.add_argument("--once", action="store_true", help="process what is there, then stop")
     sub.add_argument("--deletes", default="ignore", choices=["ignore", "soft"])
     sub.add_argument("--encoding", default=codec.CONNECT, choices=[codec.CONNECT, codec.ISO])
-    sub.add_argument("--on-conflict", default=upsert.LAST_BATCH, choices=[upsert.LAST_BATCH, upsert.NEWEST])
-    sub.add_argument("--compact-every", type=int, default=10)
-    sub.add_argument("--refresh-reports", action="store_true", help="store the reports after each commit")
+    sub.add_argument("--on-conflict", choices=[upsert.LAST_BATCH, upsert.NEWEST])
+    sub.add_argument("--merge-into", metavar="TABLE=CATALOG_TABLE", nargs="*", default=[],
+                     help="keep catalog tables by MERGE instead of the mart's files")
 
-    sub = command("report", "print reports")
+    sub = command("report", "write whole reports and print where they are")
+    sub.add_argument("--output", help="folder for them; default: reports, below the root")
+    sub.add_argument("--show", type=int, help="also print the first so many rows of each")
     sub.add_argument("--name", nargs="+", default=sorted(reporting.REPORTS), choices=sorted(reporting.REPORTS))
     sub.add_argument("--top", type=int, default=3)
 
@@ -77,6 +84,10 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("--source", help="Parquet folder of the source table")
     sub.add_argument("--url", help="JDBC url of the source database")
     sub.add_argument("--source-table", help="source table, with --url")
+    sub.add_argument("--split-by", help="integer column to read over several connections, with --split-bounds")
+    sub.add_argument("--split-bounds", type=int, nargs=2, metavar=("LOW", "HIGH"))
+    sub.add_argument("--connections", type=int, help="connections, with --split-by")
+    sub.add_argument("--property", nargs="*", default=[], metavar="NAME=VALUE", help="JDBC properties, as user and password")
     sub.add_argument("--rename", nargs="*", default=[], metavar="SOURCE=MART")
     sub.add_argument("--dry-run", action="store_true")
 
@@ -85,7 +96,12 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("--replay", action="store_true", help="read the log again as well")
 
     with_tables(command("replay", "let streams read the log again at their next start"))
+    with_tables(command("merge", "fold the pending changes of tables among themselves"))
     with_tables(command("compact", "fold the changes of tables into their states"))
+    sub = command("vacuum", "remove files that folds replaced long enough ago")
+    with_tables(sub)
+    sub.add_argument("--older-than-hours", type=float, default=24.0)
+    command("sync", "store the present status of their orders with the order items")
     with_tables(command("status", "row counts, versions and checkpoints"))
     return parser
 
@@ -93,34 +109,50 @@ def build_parser() -> argparse.ArgumentParser:
 def _scan(spark: SparkSession, args: argparse.Namespace, name: str) -> DataFrame:
     source = SPECS[name].source
     if args.format != "kafka":
-        return changes.change_stream(spark, args.format, {"path": f"{args.path}/{source}"})
+        options = {"path": f"{args.path}/{source}", "maxFilesPerTrigger": str(args.max_files)}
+        return replay.replay_from(changes.change_stream(spark, args.format, options), args.offset, "offset")
     topic = changes.topic_name(args.prefix, args.schema, source)
     start = replay.starting_offsets(topic, args.offset, range(args.partitions))
     options = changes.kafka_options(
-        args.bootstrap, topic, start, max_offsets_per_trigger=args.max_offsets
+        args.bootstrap,
+        topic,
+        start,
+        max_offsets_per_trigger=args.max_offsets,
+        min_partitions=args.min_partitions,
     )
     return changes.change_stream(spark, "kafka", options)
 
 
 def _stream(mart: Mart, args: argparse.Namespace) -> None:
-    mart.create()
-    options = {
-        "deletes": args.deletes,
-        "encoding": args.encoding,
-        "compact_every": args.compact_every,
-        "on_commit": reporting.refresh if args.refresh_reports else None,
-    }
-    scans = {n: _scan(mart.spark, args, n) for n in _names(args.table)}
+    mart.create(deletes=args.deletes, encoding=args.encoding)
+    names = _names(args.table)
+    for name in names:
+        # A checkpoint goes on from where it is; a start position would be ignored without a word.
+        if args.offset != replay.EARLIEST and files.exists(mart.spark, f"{mart.checkpoint(name)}/metadata"):
+            raise SystemExit(f"{name}: --offset has no effect on a stream that has started; run replay first")
+    into = dict(m.split("=", 1) for m in args.merge_into)
+    sinks = {resolve(n).name: merge_sink(t, mart.table(n).spec, mart.table(n).on_conflict) for n, t in into.items()}
+    options = {"deletes": args.deletes, "encoding": args.encoding}
+    scans = {n: _scan(mart.spark, args, n) for n in names}
     if not args.once:
-        runner.run_all(mart, scans, trigger=args.trigger, **options)
+        runner.run_all(mart, scans, trigger=args.trigger, sinks=sinks, **options)
         return
     for name, scan in scans.items():
-        runner.start_mart_stream(mart, name, scan, trigger=None, **options).awaitTermination()
+        query = runner.start_mart_stream(mart, name, scan, trigger=None, sink=sinks.get(name), **options)
+        query.awaitTermination()
 
 
 def _backfill(mart: Mart, args: argparse.Namespace) -> None:
     if args.url:
-        source = tables.jdbc_table(mart.spark, url=args.url, table=args.source_table)
+        source = tables.jdbc_table(
+            mart.spark,
+            url=args.url,
+            table=args.source_table,
+            properties=dict(p.split("=", 1) for p in args.property),
+            key=args.split_by,
+            bounds=tuple(args.split_bounds) if args.split_bounds else None,
+            partitions=args.connections,
+        )
     else:
         source = tables.file_table(mart.spark, args.source)
     renames = dict(r.split("=", 1) for r in args.rename)
@@ -132,13 +164,14 @@ def _backfill(mart: Mart, args: argparse.Namespace) -> None:
 
 
 def _report(mart: Mart, args: argparse.Namespace) -> None:
-    made = reporting.report_set(mart, args.name, args.top)
-    for name in args.name:
-        report = made[name]
-        if name in RANKED:
-            report = reports.with_rank(report, *RANKED[name])
-        print(name)
-        report.show(truncate=False)
+    for name, path in reporting.publish(mart, args.name, args.top, args.output).items():
+        print(json.dumps({"report": name, "path": path}))
+        if args.show:
+            report = mart.spark.read.parquet(path).drop("contract_version", "generated_at")
+            if name in RANKED:
+                report = reports.with_rank(report, *RANKED[name])
+            print(f"the first {args.show} rows:")
+            report.show(args.show, truncate=False)
 
 
 def _status(mart: Mart, args: argparse.Namespace) -> None:
@@ -159,7 +192,7 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s %(message)s")
     size = args.input_gib * 1024**3 if args.input_gib else None
     spark = build_session(master=args.master, input_bytes=size)
-    mart = Mart(spark, args.root, on_conflict=getattr(args, "on_conflict", upsert.LAST_BATCH))
+    mart = Mart(spark, args.root, on_conflict=getattr(args, "on_conflict", None))
     if args.command == "init":
         mart.create()
     elif args.command == "validate":
@@ -177,7 +210,16 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(repair.request_replay(mart, *_names(args.table))))
     elif args.command == "compact":
         for name in _names(args.table):
-            print(json.dumps({"table": name, "version": mart.table(name).compact(state_share=0)}))
+            print(json.dumps({"table": name, "version": mart.table(name).rewrite()}))
+    elif args.command == "merge":
+        for name in _names(args.table):
+            print(json.dumps({"table": name, "version": mart.table(name).merge()}))
+    elif args.command == "vacuum":
+        age = dt.timedelta(hours=args.older_than_hours)
+        for name in _names(args.table):
+            print(json.dumps({"table": name, "removed": mart.table(name).vacuum(age)}))
+    elif args.command == "sync":
+        print(json.dumps({"version": repair.sync_status(mart)}))
     elif args.command == "status":
         _status(mart, args)
     return 0

@@ -22,6 +22,10 @@ _WIRE_DECIMAL = T.StructType(
     [T.StructField("scale", T.IntegerType()), T.StructField("value", T.StringType())]
 )
 _TWO_POW_64 = "18446744073709551616"
+_MOST_MILLIS = (2**63 - 1) // 1000
+
+# No decimal has more digits; a scale beyond that is damage.
+_MOST_SCALE = 76
 
 
 def _check(encoding: str) -> None:
@@ -54,7 +58,8 @@ def decode(value: Column, dtype: T.DataType, encoding: str = CONNECT) -> Column:
         if isinstance(dtype, T.DateType):
             return F.date_from_unix_date(value)
         if isinstance(dtype, T.TimestampType):
-            return F.timestamp_millis(value)
+            # Beyond this a timestamp has no microseconds that fit, and the call would fail.
+            return F.when(value.between(-_MOST_MILLIS, _MOST_MILLIS), F.timestamp_millis(value))
         if isinstance(dtype, T.DecimalType):
             return decode_decimal(value.getField("value"), value.getField("scale"), dtype)
     return value
@@ -76,7 +81,8 @@ def decode_decimal(encoded: Column, scale: Column, dtype: T.DecimalType) -> Colu
         "decimal(20,0)"
     )
     unscaled = F.try_add(F.try_multiply(signed_high, shift), low)
-    text = F.concat(unscaled.cast("string"), F.lit("E"), (-scale).cast("string"))
+    sane = scale.between(-_MOST_SCALE, _MOST_SCALE)
+    text = F.concat(unscaled.cast("string"), F.lit("E"), F.when(sane, -scale).cast("string"))
     fits = (F.length(digits) > 0) & (F.length(digits) <= 32)
     return F.when(fits, text.try_cast(dtype))
 

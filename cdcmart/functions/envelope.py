@@ -99,22 +99,24 @@ def parse_events(records: DataFrame, spec: TableSpec, encoding: str = codec.CONN
     return flat.select(
         *_image(spec, F.col("_row"), encoding),
         F.col("_event.op").alias("op"),
-        extra_columns(F.col("_value"), spec.schema.names).alias(EXTRAS),
+        F.when(F.col("_event.op") == DELETE, extra_columns(F.col("_value"), spec.schema.names, "before"))
+        .otherwise(extra_columns(F.col("_value"), spec.schema.names))
+        .alias(EXTRAS),
         TOPIC,
         PARTITION,
         OFFSET,
     )
 
 
-def extra_columns(value: Column, known: Iterable[str]) -> Column:
-    """Fields of the after-image outside the table schema, as JSON text; NULL when there are none.
+def extra_columns(value: Column, known: Iterable[str], image: str = "after") -> Column:
+    """Fields of an image outside the table schema, as JSON text; NULL when there are none.
 
     The image is read as a map of variants, which keeps numbers, strings, nested values and
     explicit nulls apart.
     """
     names = [n for n in known if n not in LINEAGE]
-    after = F.from_json(value, "struct<after: map<string, variant>>").getField("after")
-    unknown = F.map_filter(after, lambda k, _: ~k.isin(*names))
+    fields = F.from_json(value, f"struct<{image}: map<string, variant>>").getField(image)
+    unknown = F.map_filter(fields, lambda k, _: ~k.isin(*names))
     return F.nullif(F.to_json(unknown), F.lit("{}"))
 
 

@@ -95,46 +95,42 @@ def merge_latest(
     spec: TableSpec,
     on_conflict: str = LAST_BATCH,
     columns: Iterable[str] | None = None,
-    small_changes: bool = False,
 ) -> DataFrame:
     """:func:`merge_upsert` for changes that already hold one row per key, defaults applied.
 
-    One full outer join. With ``small_changes`` the same rows come from two joins whose smaller
-    side is the changes, so that Spark can broadcast them and leave the target unshuffled; the
-    target's key column is read a second time for it.
+    Rows of the target without a change pass as they are, so a filter on the result reaches their
+    scan. Only the changed keys are looked up in the target, with the columns that can survive there;
+    where the changes are small Spark broadcasts them and leaves the target unshuffled.
     """
     key = list(spec.key)
     covered = set(columns if columns is not None else target.columns) & set(latest.columns)
-    old = target.withColumn("_old", F.lit(True)).alias("t")
-    new = latest.withColumn("_new", F.lit(True)).alias("s")
-
-    def merged(joined: DataFrame) -> DataFrame:
-        in_old, in_new = F.col("_old").isNotNull(), F.col("_new").isNotNull()
-        take_new = in_new & (~in_old | _wins(spec, on_conflict))
-        out = []
-        for name in target.columns:
-            mine, theirs = F.col(f"t.{name}"), F.col(f"s.{name}")
-            if name in key:
-                out.append(F.col(name))
-            elif name not in covered:
-                out.append(mine)
-            elif name in spec.insert_only:
-                out.append(F.when(in_old, mine).otherwise(theirs).alias(name))
-            else:
-                out.append(F.when(take_new, theirs).otherwise(mine).alias(name))
-        return joined.select(*out)
-
-    if not small_changes:
-        return merged(old.join(new, key, "full_outer"))
-    known = target.select(*key).join(latest.select(*key), key, "left_semi")
-    inserted = latest.join(known, key, "left_anti")
-    nulls = {
-        f.name: F.lit(None).cast(f.dataType)
-        for f in target.schema
-        if f.name not in covered and f.name not in key
-    }
-    inserted = inserted.withColumns(nulls) if nulls else inserted
-    return merged(old.join(new, key, "left")).unionByName(inserted.select(*target.columns))
+    unchanged = target.join(latest.select(*key), key, "left_anti").select(*target.columns)
+
+    survivors = [c for c in target.columns if c not in key and (c not in covered or c in spec.insert_only)]
+    if on_conflict != LAST_BATCH:
+        survivors = [c for c in target.columns if c not in key]
+    old = (
+        target.select(*key, *survivors)
+        .join(latest.select(*key), key, "left_semi")
+        .withColumn("_old", F.lit(True))
+        .alias("t")
+    )
+    joined = latest.alias("s").join(old, key, "left")
+    known = F.col("_old").isNotNull()
+    take_new = ~known | _wins(spec, on_conflict)
+    changed = []
+    for name in target.columns:
+        if name in key:
+            changed.append(F.col(name))
+        elif name not in covered:
+            changed.append(F.col(f"t.{name}"))
+        elif name in spec.insert_only:
+            changed.append(F.when(known, F.col(f"t.{name}")).otherwise(F.col(f"s.{name}")).alias(name))
+        elif on_conflict == LAST_BATCH:
+            changed.append(F.col(f"s.{name}"))
+        else:
+            changed.append(F.when(take_new, F.col(f"s.{name}")).otherwise(F.col(f"t.{name}")).alias(name))
+    return unchanged.unionByName(joined.select(*changed))
 
 
 def _wins(spec: TableSpec, on_conflict: str) -> Column:
@@ -187,8 +183,15 @@ def denormalize(
 ) -> DataFrame:
     """Copy the order's status onto each item; items without a known order get the default."""
     lookup = orders.select(on, F.col(value).alias("_status"))
-    joined = salted_join(items, lookup, on, "left", salt)
-    return joined.withColumn(into, F.coalesce("_status", F.lit(default))).drop("_status")
+    able, unable = _matchable(items, on)
+    joined = salted_join(able, lookup, on, "left", salt)
+    found = joined.withColumn(into, F.coalesce("_status", F.lit(default))).drop("_status")
+    return found.unionByName(unable.withColumn(into, F.lit(default)))
+
+
+def _matchable(items: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that may find their order, and those that cannot: a null key matches nothing, and may be frequent."""
+    return items.where(F.col(on).isNotNull()), items.where(F.col(on).isNull())
 
 
 def sync_from(
@@ -201,9 +204,10 @@ def sync_from(
 ) -> DataFrame:
     """Refresh the copied status where it differs; items without an order keep theirs."""
     lookup = orders.select(on, F.col(value).alias("_status"))
-    joined = salted_join(items, lookup, on, "left", salt)
+    able, unable = _matchable(items, on)
+    joined = salted_join(able, lookup, on, "left", salt)
     fresh = F.when(F.col(into) != F.col("_status"), F.col("_status")).otherwise(F.col(into))
-    return joined.withColumn(into, fresh).drop("_status").select(*items.columns)
+    return joined.withColumn(into, fresh).drop("_status").select(*items.columns).unionByName(unable)
 
 
 def carry_over(

@@ -35,7 +35,7 @@ late AS (
     FROM up WHERE updated_at >= TIMESTAMP '2024-01-30 00:00:00') l WHERE rn = 1),
 backfilled AS (
   SELECT * FROM fo WHERE order_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'),
-loaded AS (SELECT * FROM fo WHERE order_date <= DATE '1996-06-30')
+loaded AS (SELECT * FROM fo WHERE order_date NOT BETWEEN DATE '1996-03-01' AND DATE '1996-08-31')
 """
 
 _MERGE_IN_ORDER = """
@@ -69,7 +69,19 @@ SELECT l.order_id, l.line_no, l.product_id, l.quantity, COALESCE(o.status, 'unkn
 FROM lines l LEFT JOIN {orders} o ON o.order_id = l.order_id
 """
 
-_HISTORY = "SELECT user_id, updated_at, value, kafka_offset FROM up"
+_HISTORY = "SELECT user_id, updated_at, value, kafka_offset, CAST(1 AS BIGINT) AS same_id FROM up"
+
+_SOFT_DELETE = """
+SELECT user_id, op <> 'd' AS is_active, CAST(json_extract_string(props, '$.k') AS INTEGER) AS extra_k FROM (
+  SELECT ev.*, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY updated_at DESC, kafka_offset DESC) AS rn
+  FROM ev) a WHERE rn = 1
+"""
+
+_STATUS_TWICE = """
+SELECT fi.order_id, fi.line_no, fi.product_id, fi.quantity, COALESCE(k.status, 'unknown') AS first_status,
+       COALESCE(o.status, 'unknown') AS order_status
+FROM fi LEFT JOIN fo o ON o.order_id = fi.order_id LEFT JOIN known k ON k.order_id = fi.order_id
+"""
 
 _BODIES = {
     "report_delivery_status": """
@@ -142,23 +154,12 @@ FROM newest n JOIN (
   WHERE CAST(updated_at AS DATE) = first_day GROUP BY user_id) f ON f.user_id = n.user_id
 """,
     "history_append": _HISTORY,
-    "soft_delete": """
-SELECT user_id, op <> 'd' AS is_active FROM (
-  SELECT ev.*, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY updated_at DESC, kafka_offset DESC) AS rn
-  FROM ev) a WHERE rn = 1
-""",
-    "denormalize_status": """
-SELECT fi.order_id, fi.line_no, fi.product_id, fi.quantity, COALESCE(o.status, 'unknown') AS order_status
-FROM fi LEFT JOIN known o ON o.order_id = fi.order_id
-""",
-    "denormalize_status_salted": """
-SELECT fi.order_id, fi.line_no, fi.product_id, fi.quantity, COALESCE(o.status, 'unknown') AS order_status
-FROM fi LEFT JOIN known o ON o.order_id = fi.order_id
-""",
+    "soft_delete": _SOFT_DELETE,
+    "denormalize_status": _STATUS_TWICE,
+    "denormalize_status_salted": _STATUS_TWICE,
     "status_sync": """
-SELECT fi.order_id, fi.line_no, fi.product_id, fi.quantity,
-       CASE WHEN o.status IS NOT NULL AND o.status <> 'PENDING' THEN o.status ELSE 'PENDING' END AS order_status
-FROM fi LEFT JOIN known o ON o.order_id = fi.order_id
+SELECT fi.order_id, fi.line_no, fi.product_id, fi.quantity, COALESCE(o.status, 'PENDING') AS order_status
+FROM fi LEFT JOIN fo o ON o.order_id = fi.order_id
 """,
     "backfill_extract": """
 SELECT order_id, customer_id, order_date, delivery_date, status, CAST(0 AS BIGINT) AS kafka_offset
@@ -213,11 +214,7 @@ SELECT order_id, order_date, delivery_date, customer_id, status FROM fo
     "stream_order_items": _ITEMS_WITH_STATUS.format(orders="fo"),
     "stream_report_pending_items": _PENDING.replace("FROM fi JOIN", "FROM lines fi JOIN"),
     "stream_report_top_customers": _TOP_CUSTOMERS,
-    "stream_soft_delete": """
-SELECT user_id, op <> 'd' AS is_active FROM (
-  SELECT ev.*, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY updated_at DESC, kafka_offset DESC) AS rn
-  FROM ev) a WHERE rn = 1
-""",
+    "stream_soft_delete": _SOFT_DELETE,
     "backfill_job": """
 SELECT COALESCE(s.order_id, t.order_id) AS order_id,
        COALESCE(s.status, t.status) AS status, COALESCE(t.customer_id, -1) AS created_by
@@ -228,4 +225,58 @@ SELECT 'fact_orders' AS table_name, COUNT(*) AS rows_before, CAST(0 AS BIGINT) A
 """,
 }
 
+_BODIES |= {
+    "reset_all_job": """
+SELECT 'fact_orders' AS table_name, COUNT(*) AS rows_before, CAST(0 AS BIGINT) AS rows_after FROM fo
+UNION ALL SELECT 'dim_customer', COUNT(*), CAST(0 AS BIGINT) FROM customer
+""",
+    "backfill_beside_stream": """
+SELECT order_id, CASE WHEN order_date > DATE '1998-01-01' THEN 'LATE' ELSE status END AS status FROM fo
+""",
+    "stream_newest_compacted": _BODIES["merge_upsert_newest"],
+    "stream_replay_from_offset": _HISTORY + " WHERE kafka_offset >= 50",
+    "null_keys_set_aside": """
+SELECT CAST(updated_at AS DATE) AS day, COUNT(*) FILTER (kafka_offset % 10 <> 0) AS kept,
+       COUNT(*) FILTER (kafka_offset % 10 = 0) AS set_aside
+FROM up GROUP BY CAST(updated_at AS DATE)
+""",
+    "apply_defaults_dates": """
+SELECT order_id, CASE WHEN order_id % 3 <> 0 THEN order_date ELSE DATE '2020-02-03' END AS order_date, delivery_date
+FROM fo
+""",
+    "cdc_decode_literals": """
+SELECT o_orderkey AS order_id,
+       CASE o_orderkey % 7 WHEN 0 THEN TIMESTAMP '1970-01-01 00:00:00' WHEN 1 THEN TIMESTAMP '1969-12-31 23:59:59.999'
+                           WHEN 2 THEN TIMESTAMP '2023-11-14 22:13:20.123' END AS t,
+       CASE o_orderkey % 7 WHEN 0 THEN DATE '1970-01-01' WHEN 1 THEN DATE '1969-12-31' WHEN 2 THEN DATE '2024-02-29'
+                           WHEN 3 THEN DATE '9999-12-31' WHEN 4 THEN DATE '0001-01-01' END AS d,
+       CAST(CASE o_orderkey % 7 WHEN 0 THEN 0 WHEN 1 THEN -0.01 WHEN 2 THEN 19.99 END AS DOUBLE) AS p
+FROM orders
+""",
+    "report_pending_items_fallback": """
+SELECT fi.product_id, CASE WHEN fi.product_id % 7 <> 0 THEN p.p_name END AS product_name,
+       CAST(SUM(CASE WHEN fi.order_id % 3 = 2 THEN 0 ELSE fi.quantity END) AS BIGINT) AS pending_quantity,
+       COUNT(*) AS pending_item_count
+FROM fi JOIN fo ON fo.order_id = fi.order_id LEFT JOIN part p ON p.p_partkey = fi.product_id
+WHERE fo.status = 'PENDING' GROUP BY fi.product_id, p.p_name
+""",
+    "report_contract_violations": """
+SELECT r.report, r.column_name, 'not_null' AS rule, n.n AS n_rows, CAST(0 AS BIGINT) AS violations
+FROM (VALUES ('delivery_status_summary', 'delivery_date'), ('delivery_status_summary', 'status'),
+             ('delivery_status_summary', 'order_count'), ('top_delivery_dates', 'delivery_date'),
+             ('top_delivery_dates', 'open_order_count'), ('pending_items_by_product', 'product_id'),
+             ('pending_items_by_product', 'pending_quantity'), ('pending_items_by_product', 'pending_item_count'),
+             ('top_customers', 'customer_id'), ('top_customers', 'customer_name'),
+             ('top_customers', 'pending_order_count')) r(report, column_name)
+JOIN (SELECT 'delivery_status_summary' AS report, COUNT(*) AS n FROM (
+        SELECT delivery_date, status FROM fo WHERE status <> 'COMPLETED' GROUP BY delivery_date, status) a
+      UNION ALL SELECT 'top_delivery_dates', LEAST(3, COUNT(DISTINCT delivery_date)) FROM fo WHERE status <> 'COMPLETED'
+      UNION ALL SELECT 'pending_items_by_product', COUNT(DISTINCT fi.product_id)
+                FROM fi JOIN fo ON fo.order_id = fi.order_id WHERE fo.status = 'PENDING'
+      UNION ALL SELECT 'top_customers', LEAST(3, COUNT(DISTINCT fo.customer_id))
+                FROM fo JOIN customer c ON c.c_custkey = fo.customer_id WHERE fo.status = 'PENDING') n
+  ON n.report = r.report
+""",
+}
+
 SQL = {name: PRELUDE + body for name, body in _BODIES.items()}

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import dataclasses
+import datetime as dt
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +16,9 @@ from cdcmart.operators import backfill, contracts, history, reports, upsert
 from cdcmart.operators.replay import replay_from
 from cdcmart.plans import bindings as b
 from cdcmart.plans import repair
-from cdcmart.plans.reporting import report_set
-from cdcmart.session import scratch_dir
-from cdcmart.sinks.mart import Mart
+from cdcmart.plans.reporting import all_violations, report_set
+from cdcmart.session import prepare, scratch_dir
+from cdcmart.sinks.mart import Mart, version_of
 from cdcmart.sources.changes import change_stream
 from cdcmart.specs import CUSTOMERS, EXTRAS, OFFSET, ORDERS, PRODUCTS
 from cdcmart.streaming.runner import start_mart_stream
@@ -28,13 +30,18 @@ QUERIES: dict[str, Query] = {}
 # Days that split the data where a query needs an earlier and a later part.
 _BATCH_DAY = "2024-01-30"
 _ORDERS_KNOWN_UNTIL = "2000-12-31"
-_LOADED_UNTIL = "1996-06-30"
+_GAP = ("1996-03-01", "1996-08-31")
 _BACKFILL = ("1996-01-01", "1996-12-31")
 _SALT = 16
 
 
 def _query(run: Query) -> Query:
-    QUERIES[run.__name__] = run
+    @functools.wraps(run)
+    def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+        prepare(spark)
+        return run(spark, sf_dir)
+
+    QUERIES[run.__name__] = prepared
     return run
 
 
@@ -84,11 +91,40 @@ def report_pending_items_salted(spark, sf_dir):
 
 @_query
 def report_pending_items_item_status(spark, sf_dir):
-    orders = b.fact_orders(spark, sf_dir)
-    items = upsert.denormalize(b.fact_order_items(spark, sf_dir), orders)
-    return reports.pending_items_by_product(
-        items, orders, b.dim_product(spark, sf_dir), status_from="item"
+    """The items store their status; the report reads no order."""
+    path = f"{scratch_dir(spark, 'items')}/stored"
+    upsert.denormalize(b.fact_order_items(spark, sf_dir), b.fact_orders(spark, sf_dir)).write.parquet(path)
+    items = spark.read.parquet(path)
+    return reports.pending_items_by_product(items, None, b.dim_product(spark, sf_dir), status_from="item")
+
+
+@_query
+def report_pending_items_fallback(spark, sf_dir):
+    """A third of the items have their quantity in the column only, a third nowhere; some products have no name."""
+    third = F.pmod(F.col("order_id"), F.lit(3))
+    own = F.get_json_object(EXTRAS, f"$.{reports.SOURCE_QUANTITY}").try_cast("int")
+    items = b.fact_order_items(spark, sf_dir).withColumns(
+        {
+            "quantity": F.when(third == 1, own),
+            EXTRAS: F.when(third == 0, F.col(EXTRAS)).when(third == 1, F.lit('{"other":1}')),
+        }
     )
+    named = F.when(F.col("product_id") % 7 != 0, F.col("product_name"))
+    products = b.dim_product(spark, sf_dir).withColumn("product_name", named)
+    return reports.pending_items_by_product(items, b.fact_orders(spark, sf_dir), products)
+
+
+@_query
+def report_contract_violations(spark, sf_dir):
+    """Every rule of the four reports, over their whole rows."""
+    orders, items = b.fact_orders(spark, sf_dir), b.fact_order_items(spark, sf_dir)
+    made = {
+        "delivery_status_summary": reports.delivery_status_summary(orders),
+        "top_delivery_dates": reports.top_delivery_dates(orders),
+        "pending_items_by_product": reports.pending_items_by_product(items, orders, b.dim_product(spark, sf_dir)),
+        "top_customers": reports.top_customers(orders, b.dim_customer(spark, sf_dir)),
+    }
+    return all_violations(made)
 
 
 @_query
@@ -171,6 +207,33 @@ def codec_roundtrip(spark, sf_dir):
     return _plain_time(back.withColumn("price", F.col("price").cast("double")))
 
 
+# Wire values as a connector writes them, extremes included: milliseconds, days, unscaled digits and scale.
+_WIRE_CASES = (
+    '{"t":0,"d":0,"p":{"scale":0,"value":"AA=="}}',
+    '{"t":-1,"d":-1,"p":{"scale":2,"value":"/w=="}}',
+    '{"t":1700000000123,"d":19782,"p":{"scale":2,"value":"B88="}}',
+    '{"t":9223372036854775807,"d":2932896,"p":{"scale":-2147483648,"value":"AQ=="}}',
+    '{"t":-9223372036854775808,"d":-719162,"p":{"scale":2147483647,"value":"AQ=="}}',
+    '{"t":null,"d":null,"p":{"scale":2,"value":""}}',
+    '{"t":"soon","d":"soon","p":{"scale":2,"value":"?"}}',
+)
+
+
+@_query
+def cdc_decode_literals(spark, sf_dir):
+    """Hand-written wire values, one for each order in turn, so that an error in the encoder cannot hide one here."""
+    cases = F.array(*[F.lit(c) for c in _WIRE_CASES])
+    kinds = {"t": T.TimestampType(), "d": T.DateType(), "p": T.DecimalType(12, 2)}
+    schema = codec.wire_schema(T.StructType([T.StructField(n, k) for n, k in kinds.items()]))
+    orders = b.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.get(cases, F.pmod("o_orderkey", F.lit(len(_WIRE_CASES))).cast("int")).alias("wire"),
+    )
+    read = orders.select("order_id", F.from_json("wire", schema).alias("row"))
+    decoded = read.select("order_id", *[codec.decode(F.col(f"row.{n}"), k).alias(n) for n, k in kinds.items()])
+    return _plain_time(decoded.withColumn("p", F.col("p").cast("double")))
+
+
 # -- upsert -------------------------------------------------------------------------------------
 
 
@@ -198,6 +261,27 @@ def drop_duplicate_keys(spark, sf_dir):
     return kept.withColumn("quantity", F.col(reports.SOURCE_QUANTITY)).select(*_LINE)
 
 
+@_query
+def apply_defaults_dates(spark, sf_dir):
+    """Missing dates take the day of the batch."""
+    orders = b.fact_orders(spark, sf_dir).withColumn(
+        "order_date", F.when(F.col("order_id") % 3 != 0, F.col("order_date"))
+    )
+    return upsert.apply_defaults(orders, ORDERS, dt.date(2020, 2, 3)).select("order_id", "order_date", "delivery_date")
+
+
+@_query
+def null_keys_set_aside(spark, sf_dir):
+    """Changes with and without a key, counted by day; only the former are merged."""
+    changes = _changes(spark, sf_dir).withColumn(
+        "user_id", F.when(F.col(OFFSET) % 10 != 0, F.col("user_id"))
+    )
+    keyed = F.coalesce(upsert.has_key(b.USER_STATE), F.lit(False))
+    return changes.groupBy(F.to_date("updated_at").alias("day")).agg(
+        F.count_if(keyed).alias("kept"), F.count_if(~keyed).alias("set_aside")
+    )
+
+
 @_query
 def apply_defaults(spark, sf_dir):
     customers = b.table(spark, sf_dir, "customer").select(
@@ -240,7 +324,7 @@ def merge_upsert_small_changes(spark, sf_dir):
     early, late = _split(_changes(spark, sf_dir))
     state = upsert.merge_upsert(_empty_state(spark), early, spec)
     latest = upsert.apply_defaults(upsert.drop_duplicate_keys(late, spec), spec)
-    return _state_view(upsert.merge_latest(state, latest, spec, small_changes=True))
+    return _state_view(upsert.merge_latest(state, latest, spec))
 
 
 @_query
@@ -273,7 +357,13 @@ def history_append(spark, sf_dir):
     changes = _changes(spark, sf_dir)
     once = history.entries(changes, b.USER_STATE)
     twice = once.unionByName(history.entries(changes, b.USER_STATE))
-    return _change_view(history.distinct_events(twice), *_VERSIONED)
+    return _history_view(history.distinct_events(twice))
+
+
+def _history_view(stored: DataFrame) -> DataFrame:
+    """With the number of rows that share an id: one, if the id tells events apart and repeats for none."""
+    counted = stored.groupBy("history_id").agg(F.count("*").alias("same_id"))
+    return _change_view(stored.join(counted, "history_id"), *_VERSIONED, "same_id")
 
 
 @_query
@@ -281,33 +371,45 @@ def soft_delete(spark, sf_dir):
     events = envelope.parse_events(_events(spark, sf_dir), b.USER_STATE)
     marked = upsert.soft_delete(events, b.USER_STATE)
     merged = upsert.merge_upsert(_empty_state(spark), marked, b.USER_STATE)
-    return merged.select("user_id", "is_active")
+    return merged.select("user_id", "is_active", _extra_k())
+
+
+def _extra_k():
+    return F.get_json_object(EXTRAS, "$.k").try_cast("int").alias("extra_k")
 
 
 # -- order status on items ----------------------------------------------------------------------
 
 
-def _known_orders(spark, sf_dir) -> DataFrame:
-    """Orders that arrived before the items did."""
-    return b.fact_orders(spark, sf_dir).where(
-        F.col("order_date") <= F.lit(_ORDERS_KNOWN_UNTIL).cast("date")
-    )
+def _arrivals(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Orders that arrived before the items did, and those that came after."""
+    orders, known = b.fact_orders(spark, sf_dir), F.col("order_date") <= F.lit(_ORDERS_KNOWN_UNTIL).cast("date")
+    return orders.where(known), orders.where(~known)
+
+
+def _denormalized(spark, sf_dir, salt=None) -> DataFrame:
+    """The status at arrival, and after the other orders have come."""
+    before, after = _arrivals(spark, sf_dir)
+    first = upsert.denormalize(b.item_lines(spark, sf_dir), before, salt=salt)
+    return upsert.sync_from(first.withColumn("first_status", F.col("order_status")), after, salt=salt)
 
 
 @_query
 def denormalize_status(spark, sf_dir):
-    return upsert.denormalize(b.item_lines(spark, sf_dir), _known_orders(spark, sf_dir))
+    return _denormalized(spark, sf_dir)
 
 
 @_query
 def denormalize_status_salted(spark, sf_dir):
-    return upsert.denormalize(b.item_lines(spark, sf_dir), _known_orders(spark, sf_dir), salt=_SALT)
+    return _denormalized(spark, sf_dir, _SALT)
 
 
 @_query
 def status_sync(spark, sf_dir):
-    stale = b.item_lines(spark, sf_dir).withColumn("order_status", F.lit("PENDING"))
-    return upsert.sync_from(stale, _known_orders(spark, sf_dir))
+    state = b.item_lines(spark, sf_dir).withColumn("order_status", F.lit("PENDING"))
+    for orders in _arrivals(spark, sf_dir):
+        state = upsert.sync_from(state, orders)
+    return state
 
 
 # -- repair -------------------------------------------------------------------------------------
@@ -318,8 +420,9 @@ def _backfilled(spark, sf_dir) -> DataFrame:
 
 
 def _loaded(spark, sf_dir) -> DataFrame:
+    """All orders but those of a gap inside the range that is filled again."""
     rows = b.source_orders(spark, sf_dir).where(
-        F.col("order_date") <= F.lit(_LOADED_UNTIL).cast("date")
+        ~F.col("order_date").between(*[F.lit(d).cast("date") for d in _GAP])
     )
     lineage = {EXTRAS: F.lit(None).cast("string"), OFFSET: F.col("order_id")}
     return rows.withColumns(lineage).select(*ORDERS.columns)
@@ -439,14 +542,15 @@ def _stream_in(mart: Mart, name: str, feed: str, **options) -> None:
     start_mart_stream(mart, name, records, trigger=None, **options).awaitTermination()
 
 
-def _streamed_users(spark, sf_dir, **options) -> Mart:
+def _streamed_users(spark, sf_dir, later_first=False, on_conflict=None, **options) -> Mart:
     """Two arrivals of the event feed, a stream run after each."""
     folder = scratch_dir(spark, "users")
-    mart = Mart(spark, f"{folder}/mart", {b.USER_STATE.name: b.USER_STATE})
+    mart = Mart(spark, f"{folder}/mart", {b.USER_STATE.name: b.USER_STATE}, on_conflict)
     day = F.lit(_BATCH_DAY).cast("timestamp_ntz")
     # The wire holds milliseconds, so the arrivals are cut on those.
     events = b.table(spark, sf_dir, "events").withColumn("ts", F.date_trunc("millisecond", "ts"))
-    for arrived in (events.where(F.col("ts") < day), events.where(F.col("ts") >= day)):
+    arrivals = [events.where(F.col("ts") < day), events.where(F.col("ts") >= day)]
+    for arrived in reversed(arrivals) if later_first else arrivals:
         _append(b.event_records(arrived), f"{folder}/feed")
         _stream_in(mart, b.USER_STATE.name, f"{folder}/feed", **options)
     return mart
@@ -460,13 +564,32 @@ def stream_scd4_current(spark, sf_dir):
 @_query
 def stream_scd4_history(spark, sf_dir):
     stored = _streamed_users(spark, sf_dir).table(b.USER_STATE.name).read_history()
-    return _change_view(stored, *_VERSIONED)
+    return _history_view(stored)
 
 
 @_query
 def stream_soft_delete(spark, sf_dir):
     mart = _streamed_users(spark, sf_dir, deletes="soft")
-    return mart.read(b.USER_STATE.name).select("user_id", "is_active")
+    return mart.read(b.USER_STATE.name).select("user_id", "is_active", _extra_k())
+
+
+@_query
+def stream_newest_compacted(spark, sf_dir):
+    """The later events arrive first; a state is written, and read by a mart that was told no rule."""
+    mart = _streamed_users(spark, sf_dir, later_first=True, on_conflict=upsert.NEWEST)
+    mart.table(b.USER_STATE.name).rewrite()
+    return _state_view(Mart(spark, mart.root, mart.specs).read(b.USER_STATE.name))
+
+
+@_query
+def stream_replay_from_offset(spark, sf_dir):
+    """A stored log, streamed into a new mart from a position on."""
+    folder = scratch_dir(spark, "replay")
+    mart = Mart(spark, f"{folder}/mart", {b.USER_STATE.name: b.USER_STATE})
+    _append(_events(spark, sf_dir), f"{folder}/feed")
+    records = replay_from(change_stream(spark, "parquet", {"path": f"{folder}/feed"}), 50, "offset")
+    start_mart_stream(mart, b.USER_STATE.name, records, trigger=None).awaitTermination()
+    return _history_view(mart.table(b.USER_STATE.name).read_history())
 
 
 @_query
@@ -485,7 +608,9 @@ def stream_order_items(spark, sf_dir):
     arrive(ORDERS.name, orders.where(known), "order_id")
     arrive(b.LINE_ITEMS.name, b.source_line_items(spark, sf_dir), "position")
     arrive(ORDERS.name, orders.where(~known), "order_id")
-    return _item_view(mart.read(b.LINE_ITEMS.name))
+    # What the items store themselves, by the orders that changed.
+    repair.sync_status(mart, b.LINE_ITEMS.name)
+    return _item_view(mart.read(b.LINE_ITEMS.name, stored_status=True))
 
 
 def _streamed_shop(spark, sf_dir) -> Mart:
@@ -526,10 +651,47 @@ def backfill_job(spark, sf_dir):
     return mart.read("orders").select("order_id", "status", _created_by())
 
 
+@_query
+def backfill_beside_stream(spark, sf_dir):
+    """While a backfill is at work, a batch arrives and a state is written; both outlast it."""
+    lineage = {EXTRAS: F.lit(None).cast("string"), OFFSET: F.col("order_id")}
+    mart = _stored_orders(spark, _loaded(spark, sf_dir))
+    table = mart.table(ORDERS.name)
+    version = table.claim()
+    late = b.source_orders(spark, sf_dir).where(F.col("order_date") > F.lit("1998-01-01").cast("date"))
+    table.commit_changes(late.withColumns(lineage).withColumn("status", F.lit("LATE")), version_of(0, 0))
+    table.rewrite()
+    filled = upsert.apply_defaults(
+        upsert.carry_over(_backfilled(spark, sf_dir), table.read(), ORDERS, ["created_by", "updated_by"]), ORDERS
+    )
+    table.commit_changes(filled, version)
+    table.release(version)
+    table.rewrite()
+    return mart.read("orders").select("order_id", "status")
+
+
+@_query
+def reset_all_job(spark, sf_dir):
+    """Counts of every table before and after all are emptied."""
+    mart = Mart(spark, f"{scratch_dir(spark, 'all')}/mart", {s.name: s for s in (ORDERS, CUSTOMERS)})
+    lineage = {EXTRAS: F.lit(None).cast("string")}
+    for spec, rows, key in (
+        (ORDERS, b.source_orders(spark, sf_dir), "order_id"),
+        (CUSTOMERS, b.source_customers(spark, sf_dir), "customer_id"),
+    ):
+        mart.table(spec.name).commit_state(rows.withColumns({**lineage, OFFSET: F.col(key)}), 0)
+    before = {n: mart.table(n).read(0) for n in mart.specs}
+    repair.reset_all(mart)
+    after = repair.row_counts({n: mart.read(n) for n in mart.specs}).withColumnRenamed("n", "rows_after")
+    return repair.row_counts(before).withColumnRenamed("n", "rows_before").join(after, "table_name")
+
+
 @_query
 def reset_job(spark, sf_dir):
     lineage = {EXTRAS: F.lit(None).cast("string"), OFFSET: F.col("order_id")}
     mart = _stored_orders(spark, b.source_orders(spark, sf_dir).withColumns(lineage))
-    done = repair.reset_table(mart, "orders", replay=True)
-    row = {k: done[k] for k in ("table", "rows_before", "rows_after")}
-    return spark.createDataFrame([tuple(row.values())], "table_name string, rows_before long, rows_after long")
+    before = mart.table("orders").read(0)
+    repair.reset_table(mart, "orders", replay=True)
+    counts = repair.row_counts({"fact_orders": before}).withColumnRenamed("n", "rows_before")
+    after = repair.row_counts({"fact_orders": mart.read("orders")}).withColumnRenamed("n", "rows_after")
+    return counts.join(after, "table_name")

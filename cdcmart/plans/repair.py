@@ -50,28 +50,69 @@ def backfill(
     table = mart.table(name)
     spec = table.spec
     rows = ops.extract(source, spec, from_date, to_date, date_column, renames)
-    latest = upsert.drop_duplicate_keys(rows, spec)
-    if "order_status" in spec.derived:
-        wanted = rows.select("order_id").where("order_id is not null")
-        latest = upsert.denormalize(latest, mart.table("fact_orders").read(keys=wanted))
-    absent = [c for c in spec.columns if c not in latest.columns]
-    filled = upsert.carry_over(latest, table.read(keys=rows), spec, absent)
-    changes = upsert.apply_defaults(filled, spec)
+
+    def prepared() -> DataFrame:
+        latest = upsert.drop_duplicate_keys(rows, spec)
+        if "order_status" in spec.derived:
+            wanted = rows.select("order_id").where("order_id is not null")
+            latest = upsert.denormalize(latest, mart.table("fact_orders").read(keys=wanted))
+        absent = [c for c in spec.columns if c not in latest.columns]
+        filled = upsert.carry_over(latest, table.read(keys=rows), spec, absent)
+        return upsert.apply_defaults(filled, spec)
 
     if dry_run:
-        return BackfillResult(spec.name, rows_extracted=rows.count(), plan=_plan(changes))
+        return BackfillResult(spec.name, rows_extracted=rows.count(), plan=_plan(prepared()))
+
+    # Reserved before anything is read, so that no fold of a stream beside this job passes it by.
+    version = table.claim()
+    try:
+        changes = prepared().persist()
+        try:
+            counts = ops.run_summary(table.read().select(*spec.key), changes, spec).first().asDict()
+            if counts["rows_extracted"] == 0:
+                logger.warning("%s: the source has no rows from %s to %s", spec.name, from_date, to_date)
+                return BackfillResult(spec.name, **counts)
+            table.commit_changes(changes, version)
+            # Only a claim that outlived its day can have been passed by; the rows then go in again.
+            while table.superseded(version):
+                table.release(version)
+                version = table.claim()
+                table.commit_changes(changes, version)
+            return BackfillResult(spec.name, version=version, **counts)
+        finally:
+            changes.unpersist()
+    finally:
+        table.release(version)
 
-    changes = changes.persist()
+
+def sync_status(mart: Mart, name: str = "fact_order_items", orders: str = "fact_orders") -> int | None:
+    """Store the present status of their orders with the items that differ; returns the version written.
+
+    Only orders changed since the last sync are looked at, and only items of those are read and written; once a
+    rewrite or a replay of the orders has folded those changes away, all items are compared once.
+    """
+    items, parents = mart.table(name), mart.table(orders)
+    seen, latest = items.synced_to(orders), parents.latest_version()
+    if latest <= seen:
+        return None
+    changed = parents.changed_since(seen, latest)
+    known = parents.read(latest, keys=changed)
+    able = items.read().where("order_id is not null")
+    touched = able if changed is None else able.join(changed.select("order_id").distinct(), "order_id", "left_semi")
+    version = items.claim()
     try:
-        counts = ops.run_summary(table.read(), changes, spec).first().asDict()
-        if counts["rows_extracted"] == 0:
-            logger.warning("%s: the source has no rows from %s to %s", spec.name, from_date, to_date)
-            return BackfillResult(spec.name, **counts)
-        version = table.repair_version()
-        table.commit_changes(changes, version)
-        return BackfillResult(spec.name, version=version, **counts)
+        fresh = upsert.sync_from(touched.withColumn("_stored", F.col("order_status")), known)
+        stale = fresh.where(~F.col("_stored").eqNullSafe(F.col("order_status"))).drop("_stored").persist()
+        try:
+            wrote = not stale.isEmpty()
+            if wrote:
+                items.commit_changes(stale, version)
+        finally:
+            stale.unpersist()
+        items.mark_synced(orders, latest)
+        return version if wrote else None
     finally:
-        changes.unpersist()
+        items.release(version)
 
 
 def _plan(df: DataFrame) -> str:

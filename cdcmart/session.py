@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -18,12 +17,19 @@ SETTINGS = {
     # Lets AQE replace a sort-merge join by a hash join once every partition is known to be small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.parquet.filterPushdown": "true",
+    # A union of joins keeps no partitioning: adaptive execution may give its sides different widths.
+    "spark.sql.unionOutputPartitioning": "false",
 }
 
 
-# Shuffled bytes one task should get, and the most tasks of one shuffle.
+def prepare(spark: SparkSession) -> None:
+    """Set what the merge plans need in a session that was made elsewhere."""
+    name = "spark.sql.unionOutputPartitioning"
+    spark.conf.set(name, SETTINGS[name])
+
+
+# Shuffled bytes one task should get.
 _TASK_BYTES = 512 * 1024**2
-_MAX_TASKS = 40_000
 
 
 def shuffle_width(input_bytes: int) -> int:
@@ -31,7 +37,7 @@ def shuffle_width(input_bytes: int) -> int:
 
     AQE merges small partitions but never adds any, so the start has to be wide enough.
     """
-    return min(max(200, -(-input_bytes // _TASK_BYTES)), _MAX_TASKS)
+    return max(200, -(-input_bytes // _TASK_BYTES))
 
 
 def build_session(
@@ -55,12 +61,9 @@ def build_session(
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder for written intermediates, under ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a temporary folder: on a cluster the executors do not
-    share the driver's disk.
+    Without that setting they go below the session's warehouse folder, which all executors share too.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="cdcmart-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

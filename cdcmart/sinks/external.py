@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cdcmart.operators.upsert import LAST_BATCH, NEWEST
 from cdcmart.specs import TableSpec
 
 
@@ -33,16 +34,27 @@ def write_jdbc_staging(batch: DataFrame, **arguments) -> None:
     batch.write.format("jdbc").options(**staging_options(**arguments)).mode("overwrite").save()
 
 
-def merge_into_table(latest: DataFrame, table: str, spec: TableSpec) -> None:
-    """Upsert a batch, one row per key, into a catalog table whose format supports MERGE."""
-    matched = {c: F.col(f"s.{c}") for c in spec.columns if c not in (*spec.key, *spec.insert_only)}
+def merge_into_table(
+    latest: DataFrame, table: str, spec: TableSpec, on_conflict: str = LAST_BATCH
+) -> None:
+    """Upsert a batch, one row per key, into a catalog table whose format supports MERGE.
+
+    With ``newest`` a matched row is updated only where the batch's order columns are not smaller.
+    """
+    names = [c for c in spec.columns if c in latest.columns]
+    matched = {c: F.col(f"s.{c}") for c in names if c not in (*spec.key, *spec.insert_only)}
     on = " and ".join(f"{table}.{k} = s.{k}" for k in spec.key)
-    (
-        latest.alias("s")
-        .mergeInto(table, F.expr(on))
-        .whenMatched()
-        .update(matched)
-        .whenNotMatched()
-        .insert({c: F.col(f"s.{c}") for c in spec.columns})
-        .merge()
-    )
+    merge = latest.alias("s").mergeInto(table, F.expr(on))
+    update = merge.whenMatched(newer(table, spec)) if on_conflict == NEWEST else merge.whenMatched()
+    update.update(matched).whenNotMatched().insert({c: F.col(f"s.{c}") for c in names}).merge()
+
+
+def newer(table: str, spec: TableSpec) -> Column:
+    """The batch's row is at least as new as the table's; a null is older than anything."""
+    mine, theirs = (", ".join(f"{side}.{c}" for c in spec.order_by) for side in ("s", table))
+    return F.expr(f"struct({mine}) >= struct({theirs})")
+
+
+def merge_sink(table: str, spec: TableSpec, on_conflict: str = LAST_BATCH) -> Callable[[DataFrame], None]:
+    """A sink for ``start_mart_stream`` that keeps a catalog table current."""
+    return lambda latest: merge_into_table(latest, table, spec, on_conflict)

@@ -8,12 +8,15 @@ Layout below ``<root>/<table>/``::
     history/recorded_on=<day>/batch_id=<v>/  every event of batch v
     rejected/batch_id=<v>/ events of batch v without a key
     generations/<g>/       marks the start of replay number g
+    settings/<name>        conflict rule, delete mode and encoding, fixed by the first writer
+    claims/                versions that a repair or a fold is working on
 
 A batch writes only its own rows, so its cost does not grow with the table. The current state is
 the newest ``state``, the newest ``merged`` after it and the ``changes`` after that, folded.
-:meth:`MartTable.compact` writes a new ``merged`` while the changes are few beside the state, and a
-new ``state`` once they are not. Only folders with a ``_SUCCESS`` file count, and a batch that runs
-again overwrites its own folder.
+Three jobs beside the streams keep that short: :meth:`MartTable.merge` folds the pending changes among
+themselves, :meth:`MartTable.rewrite` folds them into a new state, and :meth:`MartTable.vacuum` removes
+what no reader of the last day can still use. Only folders with a ``_SUCCESS`` file count, and a batch
+that runs again overwrites its own folder.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from pyspark.sql import types as T
 
 from cdcmart.operators import history, upsert
 from cdcmart.operators.contracts import schema_differences
+from cdcmart.session import prepare
 from cdcmart.sinks import files
 from cdcmart.specs import PARTITION, SPECS, TOPIC, TableSpec, resolve
 
@@ -41,11 +45,9 @@ _DELTA = "changes"
 # Partition columns of the history.
 _HISTORY_FOLDERS = (T.StructField("recorded_on", T.DateType()), T.StructField("batch_id", T.LongType()))
 
-# Changes below this share of the state's bytes are merged among themselves, not into the state.
-_STATE_SHARE = 0.1
-
-# Changes up to this many bytes of Parquet are small enough for Spark to broadcast them.
-_SMALL_CHANGES = 2 * 1024 * 1024
+# Claims older than this belong to a job that died; files superseded for less may still be read.
+_CLAIM_SECONDS = 24 * 3600
+RETENTION = dt.timedelta(days=1)
 
 
 def version_of(generation: int, batch_id: int) -> int:
@@ -56,13 +58,34 @@ def version_of(generation: int, batch_id: int) -> int:
 class MartTable:
     """One current-state table with its history."""
 
-    def __init__(
-        self, spark: SparkSession, root: str, spec: TableSpec, on_conflict: str = upsert.LAST_BATCH
-    ):
+    def __init__(self, spark: SparkSession, root: str, spec: TableSpec, on_conflict: str | None = None):
         self.spark = spark
         self.spec = spec
-        self.on_conflict = on_conflict
         self.path = f"{root.rstrip('/')}/{spec.name}"
+        self._asked = on_conflict
+
+    # -- settings -------------------------------------------------------------------------
+
+    def setting(self, name: str) -> str | None:
+        """A stored setting; None if no writer fixed it yet."""
+        return files.read_text(self.spark, f"{self.path}/settings/{name}")
+
+    def settle(self, **wanted: str | None) -> None:
+        """Store settings with the table, or fail where a stored one differs. None asks for nothing."""
+        for name, value in wanted.items():
+            if value is None or files.create_new(self.spark, f"{self.path}/settings/{name}", value):
+                continue
+            stored = self.setting(name)
+            if stored != value:
+                raise ValueError(f"{self.spec.name} is kept with {name}={stored}, not {value}")
+
+    @property
+    def on_conflict(self) -> str:
+        """The stored conflict rule; folding by another one would give other rows."""
+        stored = self.setting("on_conflict")
+        if stored and self._asked and stored != self._asked:
+            raise ValueError(f"{self.spec.name} is kept with on_conflict={stored}, not {self._asked}")
+        return stored or self._asked or upsert.LAST_BATCH
 
     # -- versions -------------------------------------------------------------------------
 
@@ -82,12 +105,58 @@ class MartTable:
         return max([-1, *(v for kind in kinds for v in self.versions(kind)[-1:])])
 
     def repair_version(self) -> int:
-        """The next free version before the next stream batch."""
-        latest = max(self.latest_version(), self.generation() * _PER_GENERATION)
+        """The next free version before the next stream batch, claimed ones left out."""
+        latest = max(self.latest_version(), self.generation() * _PER_GENERATION, *self._claimed(), -1)
         if latest % _PER_BATCH == _PER_BATCH - 1:
             raise RuntimeError("no repair version left before the next batch; run a batch first")
         return latest + 1
 
+    def claim(self) -> int:
+        """Reserve a version for a repair. Folds stop below it until it is committed or released."""
+        while True:
+            version = self.repair_version()
+            if not files.create_new(self.spark, f"{self.path}/claims/version={version}", ""):
+                continue
+            if not self.superseded(version):
+                return version
+            self.release(version)
+
+    def release(self, version: int) -> None:
+        files.remove_folder(self.spark, f"{self.path}/claims/version={version}")
+
+    def superseded(self, version: int) -> bool:
+        """Whether a fold was committed that readers start from without looking at ``version``."""
+        return any(v >= version for kind in (_FULL, _MERGED) for v in self.versions(kind))
+
+    def _claimed(self) -> list[int]:
+        """Versions a living job has reserved."""
+        base = f"{self.path}/claims"
+        return [
+            int(n.split("=")[1])
+            for n in files.names(self.spark, base)
+            if n.startswith("version=") and self._fresh(f"{base}/{n}")
+        ]
+
+    # -- what was synced ------------------------------------------------------------------
+
+    def synced_to(self, other: str) -> int:
+        """The version of another table up to which its values are stored here; -1 for none."""
+        done = [int(n) for n in files.names(self.spark, f"{self.path}/synced/{other}")]
+        return max(done, default=-1)
+
+    def mark_synced(self, other: str, version: int) -> None:
+        files.create_new(self.spark, f"{self.path}/synced/{other}/{version}", "")
+
+    def changed_since(self, version: int, up_to: int) -> DataFrame | None:
+        """Rows changed after ``version``; None where a state or a merge has folded some of them away."""
+        if version < 0 or any(version < v <= up_to for v in (*self.versions(_FULL), *self.versions(_MERGED))):
+            return None
+        later = [v for v in self.versions(_DELTA) if version < v <= up_to]
+        return self._scan(_DELTA, later).drop("_version") if later else self._empty(self.spec.mart_schema)
+
+    def _fresh(self, path: str) -> bool:
+        return files.exists(self.spark, path) and files.age(self.spark, path) < _CLAIM_SECONDS
+
     def generation(self) -> int:
         """How often the log was replayed into this table."""
         return max((int(n) for n in files.subfolders(self.spark, f"{self.path}/generations")), default=0)
@@ -112,8 +181,10 @@ class MartTable:
         """The current state, or the state after version ``up_to``.
 
         ``keys`` limits it to the keys of that frame, before anything is folded. ``bounds`` are the
-        smallest and largest of them; files are sorted by key, so the scan skips what lies outside.
+        smallest and largest of them; the files of a state hold ranges of keys, so the scan skips those
+        that lie outside.
         """
+        rule = self.on_conflict
         full, merged, deltas = self._parts(up_to if up_to is not None else self.latest_version())
         limits = (keys, bounds)
         state = self._scan(_FULL, full, *limits).drop("_version") if full else None
@@ -122,8 +193,7 @@ class MartTable:
             return state if state is not None else self._empty(self.spec.mart_schema)
         if state is None:
             return folded
-        small = self._bytes(merged, deltas) <= _SMALL_CHANGES
-        return upsert.merge_latest(state, folded, self.spec, self.on_conflict, small_changes=small)
+        return upsert.merge_latest(state, folded, self.spec, rule)
 
     def _parts(self, limit: int) -> tuple[list[int], list[int], list[int]]:
         """Versions a read at ``limit`` is made of: at most one state and one merge, and changes."""
@@ -149,11 +219,6 @@ class MartTable:
             folded = upsert.fold_batches(every, self.spec, "_version", self.on_conflict)
         return folded.select(*self.spec.columns)
 
-    def _bytes(self, merged: list[int], deltas: list[int]) -> int:
-        folders = [f"{_MERGED}/version={v}" for v in merged]
-        folders += [f"{_DELTA}/version={v}" for v in deltas]
-        return sum(files.size(self.spark, f"{self.path}/{f}") for f in folders)
-
     def _scan(
         self,
         kind: str,
@@ -183,9 +248,15 @@ class MartTable:
         """
         schema = self._history_schema()
         path = f"{self.path}/history"
-        if not files.exists(self.spark, path):
+        done = [
+            f"{path}/{day}/{batch}"
+            for day in self._history_days()
+            for batch in files.subfolders(self.spark, f"{path}/{day}")
+            if files.exists(self.spark, f"{path}/{day}/{batch}/_SUCCESS")
+        ]
+        if not done:
             return self._empty(schema)
-        rows = self.spark.read.schema(schema).parquet(path)
+        rows = self.spark.read.schema(schema).option("basePath", path).parquet(*done)
         return history.distinct_events(rows) if distinct else rows
 
     def _history_schema(self) -> T.StructType:
@@ -208,12 +279,17 @@ class MartTable:
         self._write(latest, f"{self.path}/{_DELTA}/version={version}")
 
     def commit_state(self, state: DataFrame, version: int) -> None:
-        """Write a whole state. It may be computed from older versions, never from this one."""
-        self._write(state, f"{self.path}/{_FULL}/version={version}")
+        """Write a whole state. It may be computed from older versions, never from this one.
 
-    def _write(self, rows: DataFrame, path: str) -> None:
+        Each file holds one range of keys, and a bloom filter of them for keys that lie far apart.
+        """
+        ranges = state.select(*self.spec.columns).repartitionByRange(*self.spec.key)
+        options = {f"parquet.bloom.filter.enabled#{k}": "true" for k in self.spec.key}
+        self._write(ranges, f"{self.path}/{_FULL}/version={version}", options)
+
+    def _write(self, rows: DataFrame, path: str, options: dict[str, str] | None = None) -> None:
         ordered = rows.select(*self.spec.columns).sortWithinPartitions(*self.spec.key)
-        ordered.write.mode("overwrite").parquet(path)
+        ordered.write.mode("overwrite").options(**(options or {})).parquet(path)
 
     def append_history(
         self, changes: DataFrame, version: int, recorded_at: dt.datetime | None = None
@@ -239,47 +315,88 @@ class MartTable:
     def append_rejected(self, changes: DataFrame, version: int) -> None:
         changes.write.mode("overwrite").parquet(f"{self.path}/rejected/batch_id={version}")
 
-    def compact(
-        self,
-        transform: Callable[[DataFrame], DataFrame] | None = None,
-        state_share: float = _STATE_SHARE,
-    ) -> int | None:
-        """Fold pending changes, into one ``merged`` or, from ``state_share`` of the state on, into
-        a new ``state``.
-
-        Returns the version written, or None when nothing was pending. What readers of the
-        previous version use stays until the next time.
+    def _foldable(self) -> int:
+        """The newest committed version that no claimed one comes before."""
+        limit = min([v - 1 for v in self._claimed() if v not in self.versions(_DELTA)], default=None)
+        kinds = (_FULL, _MERGED, _DELTA)
+        found = [v for kind in kinds for v in self.versions(kind) if limit is None or v <= limit]
+        return max(found, default=-1)
+
+    def _alone(self, version: int, work: Callable[[], None]) -> int | None:
+        """Run a fold unless another one of the same version is at work; returns the version written."""
+        mark = f"{self.path}/claims/fold={version}"
+        if not files.create_new(self.spark, mark, ""):
+            if self._fresh(mark):
+                return None
+            files.remove_folder(self.spark, mark)
+            if not files.create_new(self.spark, mark, ""):
+                return None
+        try:
+            work()
+        finally:
+            files.remove_folder(self.spark, mark)
+        return version
+
+    def merge(self) -> int | None:
+        """Fold pending changes among themselves, so that readers open fewer files. The state is not touched.
+
+        Returns the version written, or None when there is nothing to fold. For between two rewrites.
         """
-        latest = self.latest_version()
-        full, merged, deltas = self._parts(latest)
-        if not deltas and not (merged and state_share == 0):
+        latest = self._foldable()
+        _, merged, deltas = self._parts(latest)
+        if not deltas or len(merged) + len(deltas) == 1:
             return None
-        pending = self._bytes(merged, deltas)
-        if full and pending < state_share * files.size(self.spark, f"{self.path}/{_FULL}/version={full[0]}"):
-            if len(merged) + len(deltas) == 1:
-                return None
-            self._write(self._changes(merged, deltas), f"{self.path}/{_MERGED}/version={latest}")
-            self._drop(_DELTA, merged[0] if merged else -1)
-            self._drop(_MERGED, merged[0] - 1 if merged else -1)
-            return latest
-        state = self.read(latest)
-        self.commit_state(transform(state) if transform else state, latest)
-        if full:
-            self._drop(_FULL, full[0] - 1)
-            self._drop(_MERGED, full[0])
-            self._drop(_DELTA, full[0])
-        return latest
-
-    def _drop(self, kind: str, last: int) -> None:
-        """Remove versions up to ``last``."""
-        for v in self.versions(kind):
-            if v <= last:
-                files.remove_folder(self.spark, f"{self.path}/{kind}/version={v}")
+        path = f"{self.path}/{_MERGED}/version={latest}"
+        return self._alone(latest, lambda: self._write(self._changes(merged, deltas), path))
+
+    def rewrite(self, transform: Callable[[DataFrame], DataFrame] | None = None) -> int | None:
+        """Fold pending changes into a new state, with ``transform`` applied to it.
+
+        Returns the version written, or None when nothing was pending. Older files stay for their
+        readers until :meth:`vacuum`.
+        """
+        latest = self._foldable()
+        _, merged, deltas = self._parts(latest)
+        if not deltas and not merged:
+            return None
+
+        def work() -> None:
+            state = self.read(latest)
+            self.commit_state(transform(state) if transform else state, latest)
+
+        return self._alone(latest, work)
+
+    def vacuum(self, older_than: dt.timedelta = RETENTION) -> list[str]:
+        """Remove versions that a fold replaced at least ``older_than`` ago; returns their folders.
+
+        A reader planned before that fold has had that long to end.
+        """
+        removed = []
+
+        def settled(kind: str) -> int:
+            """The newest fold that is old enough; readers since then do not look below it."""
+            done = [
+                v
+                for v in self.versions(kind)
+                if files.age(self.spark, f"{self.path}/{kind}/version={v}/_SUCCESS") >= older_than.total_seconds()
+            ]
+            return max(done, default=-1)
+
+        state, merge = settled(_FULL), settled(_MERGED)
+        for kind, last in ((_FULL, state - 1), (_MERGED, max(state, merge - 1)), (_DELTA, max(state, merge))):
+            for v in self.versions(kind):
+                if v <= last:
+                    removed.append(f"{kind}/version={v}")
+                    files.remove_folder(self.spark, f"{self.path}/{kind}/version={v}")
+        return removed
 
     def reset(self, with_history: bool = True) -> int:
         """Empty the table by committing an empty state, and clear its history."""
-        version = self.repair_version()
-        self.commit_state(self._empty(self.spec.mart_schema), version)
+        version = self.claim()
+        try:
+            self.commit_state(self._empty(self.spec.mart_schema), version)
+        finally:
+            self.release(version)
         if with_history:
             files.remove_folder(self.spark, f"{self.path}/history")
         return version
@@ -293,8 +410,9 @@ class Mart:
         spark: SparkSession,
         root: str,
         specs: dict[str, TableSpec] | None = None,
-        on_conflict: str = upsert.LAST_BATCH,
+        on_conflict: str | None = None,
     ):
+        prepare(spark)
         self.spark = spark
         self.root = root.rstrip("/")
         self.specs = dict(specs or SPECS)
@@ -304,11 +422,15 @@ class Mart:
         spec = self.specs.get(name) or resolve(name)
         return MartTable(self.spark, self.root, self.specs.get(spec.name, spec), self.on_conflict)
 
-    def read(self, name: str) -> DataFrame:
-        """Current state of a table; order items come with the status of their order as of now."""
+    def read(self, name: str, stored_status: bool = False) -> DataFrame:
+        """Current state of a table; order items come with the status of their order as of now.
+
+        ``stored_status`` takes the status that the items' own table holds, without a join with the orders:
+        that of the last ``repair.sync_status``.
+        """
         table = self.table(name)
         state = table.read()
-        if "order_status" in table.spec.derived:
+        if "order_status" in table.spec.derived and not stored_status:
             state = upsert.sync_from(state, self.table("fact_orders").read())
         return state
 
@@ -317,10 +439,11 @@ class Mart:
         table = self.table(name)
         return f"{self.root}/checkpoints/{table.spec.source}/generation={table.generation()}"
 
-    def create(self) -> None:
-        """Commit an empty state for every table that has none."""
+    def create(self, **settings: str | None) -> None:
+        """Commit an empty state for every table that has none, and settle its settings."""
         for name in self.specs:
             table = self.table(name)
+            table.settle(on_conflict=self.on_conflict, **settings)
             if not table.exists():
                 table.commit_state(table._empty(table.spec.mart_schema), 0)
 

@@ -43,14 +43,13 @@ def scd4_batch(
     name: str,
     generation: int = 0,
     on_commit: OnCommit | None = None,
-    compact_every: int = 0,
 ) -> BatchHandler:
     """Handler that keeps current state and history from one batch.
 
     Events without a key go to a side folder. Any failure ends the query; the restarted batch has
     the same version and overwrites what it wrote before.
     """
-    return _handler(mart, name, generation, on_commit, compact_every)
+    return _handler(mart, name, generation, on_commit)
 
 
 def order_items_batch(
@@ -58,21 +57,16 @@ def order_items_batch(
     name: str = "fact_order_items",
     generation: int = 0,
     on_commit: OnCommit | None = None,
-    compact_every: int = 0,
     orders: str = "fact_orders",
 ) -> BatchHandler:
     """Handler for order items: newest row per key, order status copied from the orders table.
 
-    The copy is refreshed whenever the table is read or compacted, so an order that changes later
-    needs no rewrite of its items.
+    The copy is refreshed whenever the table is read, and stored anew by ``repair.sync_status``.
     """
-    return _handler(mart, name, generation, on_commit, compact_every, orders)
+    return _handler(mart, name, generation, on_commit, orders)
 
 
-def _handler(mart, name, generation, on_commit, compact_every, orders=None) -> BatchHandler:
-    def synced(state: DataFrame) -> DataFrame:
-        return upsert.sync_from(state, mart.table(orders).read())
-
+def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
     def handle(batch: DataFrame, batch_id: int) -> None:
         table = mart.table(name)
         spec = table.spec
@@ -106,9 +100,21 @@ def _handler(mart, name, generation, on_commit, compact_every, orders=None) -> B
             logger.info("%s batch %s: %s", name, batch_id, counts.asDict())
         finally:
             batch.unpersist()
-        if compact_every and (batch_id + 1) % compact_every == 0:
-            table.compact(synced if orders else None)
         if on_commit:
             on_commit(mart, spec.name, version)
 
     return handle
+
+
+def sink_batch(spec: TableSpec, sink: Callable[[DataFrame], None]) -> BatchHandler:
+    """Handler that hands the newest row of each key, defaults applied, to a sink of another system.
+
+    The sink has to bear a batch that comes again; an upsert does.
+    """
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        stored = [c for c in spec.columns if c in batch.columns]
+        latest = upsert.drop_duplicate_keys(batch.select(*stored), spec)
+        sink(upsert.apply_defaults(latest, spec, dt.datetime.now(dt.timezone.utc).date()))
+
+    return handle

@@ -9,7 +9,7 @@ from cdcmart.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "cdcmart-tests",
         "local[4]",
@@ -18,6 +18,7 @@ def spark():
             "spark.sql.shuffle.partitions": "2",
             "spark.default.parallelism": "2",
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

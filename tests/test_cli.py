@@ -20,12 +20,18 @@ def test_a_day_with_the_command_line(spark, root, tmp_path, capsys):
         Feed(spark, tmp_path / source).send(*values)
     run(root, "init")
     run(root, "validate")
-    run(root, "stream", "--format", "parquet", "--path", str(tmp_path), "--once", "--refresh-reports")
+    run(root, "stream", "--format", "parquet", "--path", str(tmp_path), "--once")
     capsys.readouterr()
     run(root, "report", "--name", "top_customers", "pending_items_by_product")
-    text = capsys.readouterr().out
-    assert "ann" in text and "bolt" in text
+    places = {x["report"]: x["path"] for x in map(json.loads, capsys.readouterr().out.splitlines())}
+    assert spark.read.parquet(places["top_customers"]).first().customer_name == "ann"
+    assert spark.read.parquet(places["pending_items_by_product"]).first().product_name == "bolt"
+    run(root, "report", "--name", "top_customers", "--show", "5", "--output", str(tmp_path / "out"))
+    assert "ann" in capsys.readouterr().out
+    run(root, "sync")
+    run(root, "merge")
     run(root, "compact")
+    run(root, "vacuum")
     capsys.readouterr()
     run(root, "status", "--table", "orders")
     line = json.loads(capsys.readouterr().out)
@@ -45,8 +51,15 @@ def test_a_day_with_the_command_line(spark, root, tmp_path, capsys):
     run(root, "reset", "--table", "orders", "--replay")
     assert json.loads(capsys.readouterr().out)["rows_before"] == 3
     run(root, "stream", "--format", "parquet", "--path", str(tmp_path), "--once", "--table", "orders")
+    with pytest.raises(SystemExit, match="no effect"):
+        run(root, "stream", "--format", "parquet", "--path", str(tmp_path), "--once", "--table", "orders", "--offset", "1")
     run(root, "replay", "--table", "all")
     assert "generation=2" in capsys.readouterr().out
+    run(root, "reset", "--table", "orders")
+    run(root, "stream", "--format", "parquet", "--path", str(tmp_path), "--once", "--table", "orders", "--offset", "1")
+    capsys.readouterr()
+    run(root, "status", "--table", "orders")
+    assert json.loads(capsys.readouterr().out)["rows"] == 1
 
 
 def test_wrong_arguments_are_refused(root):

@@ -80,73 +80,150 @@ def test_stream_equals_batch_by_batch(spark, root, feed):
     assert rows(mart.table("customers").read_history(), OFFSET) == [(0,), (1,), (4,), (5,), (7,), (8,)]
 
 
-@pytest.mark.parametrize("compact_every", [0, 1, 2])
-def test_compaction_changes_nothing_visible(spark, root, feed, compact_every):
+@pytest.mark.parametrize("fold", ["none", "merge", "rewrite"])
+def test_folds_change_nothing_visible(spark, root, feed, fold):
     mart = Mart(spark, root)
+    table = mart.table("customers")
     for n in range(4):
         feed.send(*[event("u", customer(i, f"{n}", n)) for i in range(n, 6)])
-        feed.run(mart, "customers", compact_every=compact_every)
+        feed.run(mart, "customers")
+        if fold != "none":
+            getattr(table, fold)()
     assert names(mart) == [(i, str(min(i, 3))) for i in range(6)]
     made = mart.read("dim_customer").select(F.unix_seconds("created_at"))
     assert {r[0] for r in made.collect()} == {0}
-    table = mart.table("customers")
-    assert bool(table.versions("state")) == (compact_every > 0)
+    assert bool(table.versions("state")) == (fold == "rewrite")
+    assert bool(table.versions("merged")) == (fold == "merge")
 
 
-def test_few_changes_are_merged_among_themselves(spark, root):
-    table = Mart(spark, root).table("customers")
-    schema = table.spec.mart_schema
+def frame_of(spark, table, ids, name, created=None, minute=None):
+    when = None if minute is None else dt.datetime(2024, 1, 1, 0, minute)
+    data = [(i, name, True, None, when, None, created, None, None, 1) for i in ids]
+    return spark.createDataFrame(data, table.spec.mart_schema).coalesce(1)
 
-    def frame(ids, name, created=None):
-        data = [(i, name, True, None, None, None, created, None, None, 1) for i in ids]
-        return spark.createDataFrame(data, schema).coalesce(1)
 
+def test_changes_are_merged_among_themselves(spark, root):
+    table = Mart(spark, root).table("customers")
     first, later = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 2)
-    one = frame([0], "old", first)
-    many = one.withColumn("customer_id", F.explode(F.sequence(F.lit(0), F.lit(99_999)).cast("array<long>")))
+    one = frame_of(spark, table, [0], "old", first)
+    many = one.withColumn("customer_id", F.explode(F.sequence(F.lit(0), F.lit(9_999)).cast("array<long>")))
     table.commit_state(many, 1)
     for version in range(2, 6):
-        table.commit_changes(frame([version, 10, 600_000], str(version), later), version)
-        assert table.compact() == (None if version == 2 else version)
+        table.commit_changes(frame_of(spark, table, [version, 10, 600_000], str(version), later), version)
+        assert table.merge() == (None if version == 2 else version)
     assert table.versions("state") == [1]
-    assert table.versions("merged") == [4, 5]
-    assert table.versions("changes") == [5]
-    table.commit_changes(frame([10, 700_000], "last", later), 6)
-    want = {i: "old" for i in range(100_000)} | {v: str(v) for v in range(2, 6)}
+    table.commit_changes(frame_of(spark, table, [10, 700_000], "last", later), 6)
+    want = {i: "old" for i in range(10_000)} | {v: str(v) for v in range(2, 6)}
     want |= {600_000: "5", 10: "last", 700_000: "last"}
 
     def check():
         got = table.read()
         assert dict(rows(got, "customer_id", "customer_name")) == want
-        assert got.where(F.col("created_at") == first).count() == 100_000
+        assert got.where(F.col("created_at") == first).count() == 10_000
         some = spark.createDataFrame([(10,), (600_000,), (999_999,)], "customer_id long")
         picked = table.read(keys=some, bounds=(10, 999_999))
         assert rows(picked, "customer_id", "customer_name") == [(10, "last"), (600_000, "5")]
 
     check()
-    table.commit_changes(frame([10, 700_000], "last", later), 6)
-    check()
-    assert table.compact(state_share=0) == 6
+    assert table.rewrite() == 6
     assert table.versions("state") == [1, 6]
     check()
-    assert table.compact(state_share=0) is None
+    assert table.rewrite() is None and table.merge() is None
+    assert table.vacuum() == []
+    removed = table.vacuum(dt.timedelta(0))
+    assert "state/version=1" in removed and "changes/version=6" in removed
+    check()
+
+
+def test_a_reader_outlives_folds_and_vacuum(spark, root):
+    table = Mart(spark, root).table("customers")
+    table.commit_state(frame_of(spark, table, range(5), "old"), 1)
+    table.commit_changes(frame_of(spark, table, [1], "new"), 2)
+    planned = table.read()
+    for version in (3, 4, 5):
+        assert table.rewrite() == version - 1
+        table.vacuum()
+        table.commit_changes(frame_of(spark, table, [version], "later"), version)
+    assert rows(planned, "customer_id", "customer_name") == [(0, "old"), (1, "new"), *[(i, "old") for i in (2, 3, 4)]]
+
+
+@pytest.mark.parametrize("rule", ["last_batch", "newest"])
+def test_filters_reach_the_state_with_changes_pending(spark, root, rule):
+    table = Mart(spark, root, on_conflict=rule).table("customers")
+    table.commit_state(frame_of(spark, table, range(50), "old", minute=1), 1)
+    table.commit_changes(frame_of(spark, table, range(45, 60), "new", minute=2), 2)
+    found = table.read().where("customer_name = 'old'")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 45
+    assert any("FileScan parquet" in x and "EqualTo(customer_name,old)" in x for x in plan.split("\n"))
+
+
+def test_files_of_a_state_hold_ranges_of_keys(spark, root):
+    table = Mart(spark, root).table("customers")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        table.commit_state(frame_of(spark, table, range(1000), "x").repartition(4), 1)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spans = (
+        table.read()
+        .groupBy(F.input_file_name().alias("file"))
+        .agg(F.min("customer_id").alias("low"), F.max("customer_id").alias("high"))
+        .orderBy("low")
+        .collect()
+    )
+    assert len(spans) > 1
+    assert all(a.high < b.low for a, b in zip(spans, spans[1:]))
+
+
+def test_the_conflict_rule_stays_with_the_table(spark, root, feed):
+    mart = Mart(spark, root, on_conflict="newest")
+    feed.send(event("u", customer(1, "NEW", 9)))
+    feed.run(mart, "customers")
+    feed.send(event("u", customer(1, "OLD", 2)))
+    feed.run(mart, "customers")
+    told_nothing = Mart(spark, root)
+    assert names(told_nothing) == [(1, "NEW")]
+    told_nothing.table("customers").rewrite()
+    assert names(told_nothing) == names(mart) == [(1, "NEW")]
+    with pytest.raises(ValueError, match="on_conflict=newest"):
+        Mart(spark, root, on_conflict="last_batch").read("dim_customer")
+    with pytest.raises(ValueError, match="deletes=ignore"):
+        feed.run(told_nothing, "customers", deletes="soft")
 
 
-def test_small_changes_leave_the_state_unshuffled(spark, root):
+def test_a_fold_stops_below_a_claimed_version(spark, root):
     table = Mart(spark, root).table("customers")
-    schema = table.spec.mart_schema
-    rows_of = lambda n, name: [(i, name, True, None, None, None, None, None, None, 1) for i in range(n)]
-    table.commit_state(spark.createDataFrame(rows_of(50, "old"), schema), 1)
-    table.commit_changes(spark.createDataFrame(rows_of(60, "new"), schema), 2)
-    merged = table.read()
-    assert merged.where("customer_name = 'new'").count() == merged.count() == 60
-    updated = merged._jdf.queryExecution().executedPlan().toString().split("SortMergeJoin")[0]
-    assert "BroadcastHashJoin" in updated and "Exchange hashpartitioning" not in updated.split("LeftAnti")[0]
+    table.commit_state(frame_of(spark, table, [1], "state"), 0)
+    claimed = table.claim()
+    assert table.claim() == claimed + 1
+    table.release(claimed + 1)
+    # A stream batch and a fold while the repair is at work.
+    table.commit_changes(frame_of(spark, table, [2], "batch"), version_of(0, 0))
+    assert table.rewrite() is None
+    table.commit_changes(frame_of(spark, table, [3], "repair"), claimed)
+    assert table.rewrite() == version_of(0, 0)
+    table.release(claimed)
+    assert rows(table.read(), "customer_id") == [(1,), (2,), (3,)]
+
+
+def test_only_one_fold_of_a_version_runs(spark, root):
+    table = Mart(spark, root).table("customers")
+    table.commit_changes(frame_of(spark, table, [1], "a"), 1)
+    assert files.create_new(spark, f"{table.path}/claims/fold=1", "")
+    assert table.rewrite() is None
+    files.remove_folder(spark, f"{table.path}/claims/fold=1")
+    assert table.rewrite() == 1
 
 
-def test_large_changes_use_the_full_join(spark, root, feed, monkeypatch):
-    monkeypatch.setattr("cdcmart.sinks.mart._SMALL_CHANGES", 0)
-    test_compaction_changes_nothing_visible(spark, root, feed, 2)
+def test_half_written_history_is_not_read(spark, root):
+    table = Mart(spark, root).table("customers")
+    changes = batches.parse(records(spark, [event("c", customer(1, "a"))]), table.spec)
+    table.append_history(changes, 1000)
+    table.append_history(changes, 2000)
+    day = files.subfolders(spark, f"{table.path}/history")[0]
+    files.remove_folder(spark, f"{table.path}/history/{day}/batch_id=2000/_SUCCESS")
+    assert rows(table.read_history(), "batch_id") == [(1000,)]
 
 
 def test_a_failed_batch_runs_again_without_duplicates(spark, root, feed):
@@ -213,6 +290,30 @@ def test_soft_deletes(spark, root, feed):
     assert rows(mart.read("dim_customer"), "customer_id", "is_active") == [(1, False), (2, True)]
 
 
+def test_soft_deletes_keep_unknown_fields(spark):
+    log = records(spark, [event("d", None, customer(1, "a", colour="red")), event("c", customer(2, "b", size=3))])
+    parsed = batches.parse(log, SPECS["dim_customer"], "soft")
+    assert [json.loads(r[0]) for r in parsed.orderBy("customer_id").select(EXTRAS).collect()] == [
+        {"colour": "red"}, {"size": 3}]
+
+
+def test_a_bad_timestamp_is_null_and_the_stream_goes_on(spark, root, feed):
+    mart = Mart(spark, root)
+    for bad in (2**63 - 1, -(2**63)):
+        feed.send(event("c", {"customer_id": 1, "customer_name": "a", "updated_at": bad}))
+    feed.send(event("c", {"product_id": 1, "unity_price": {"scale": -(2**31), "value": "AQ=="}}))
+    feed.run(mart, "customers")
+    assert rows(mart.read("dim_customer"), "customer_name", "updated_at") == [("a", None)]
+
+
+def test_a_sink_takes_the_newest_rows(spark, root, feed):
+    mart, taken = Mart(spark, root), []
+    feed.send(event("c", customer(1, "a", 1)), event("u", customer(1, "b", 2)), event("c", {"customer_name": "x"}))
+    feed.run(mart, "customers", sink=lambda df: taken.extend(rows(df, "customer_id", "customer_name", "is_active")))
+    assert taken == [(1, "b", True)]
+    assert not mart.table("customers").exists()
+
+
 def test_tables_without_a_flag_ignore_deletes(spark):
     log = records(spark, [event("c", order(1)), event("d", None, order(1))])
     assert batches.parse(log, SPECS["fact_orders"], "soft").count() == 1
@@ -234,7 +335,8 @@ def test_newest_mode(spark, root, feed):
     mart = Mart(spark, root, on_conflict="newest")
     for value in (customer(1, "new", 9), customer(1, "late", 2), customer(1, "newer", 10)):
         feed.send(event("u", value))
-        feed.run(mart, "customers", compact_every=2)
+        feed.run(mart, "customers")
+        mart.table("customers").rewrite()
     assert names(mart) == [(1, "newer")]
     feed.send(event("u", customer(1, "late again", 3)))
     feed.run(mart, "customers")
@@ -276,11 +378,19 @@ def test_item_status_follows_the_orders(shop):
     feeds["orders"].run(mart, "orders")
     want = [(1, "COMPLETED"), (2, "PROCESSING"), (3, "unknown")]
     assert status_of(mart) == want
-    # Only what items store themselves: the copy made by the next compaction.
+    # Only what items store themselves, by the orders that changed.
+    assert repair.sync_status(mart) is not None
     feeds["order_items"].send(event("c", item(4, 11)))
-    feeds["order_items"].run(mart, "order_items", compact_every=1)
-    stored = mart.table("order_items").read()
+    feeds["order_items"].run(mart, "order_items")
+    assert repair.sync_status(mart) is None
+    stored = mart.read("order_items", stored_status=True)
     assert rows(stored, "order_item_id", "order_status") == [*want, (4, "PENDING")]
+    assert "fact_orders" not in stored._jdf.queryExecution().executedPlan().toString()
+    mart.table("orders").rewrite()
+    feeds["orders"].send(event("u", order(11, "COMPLETED", 2)))
+    feeds["orders"].run(mart, "orders")
+    assert repair.sync_status(mart) is not None
+    assert rows(mart.read("order_items", stored_status=True), "order_item_id", "order_status")[-1] == (4, "COMPLETED")
 
 
 def test_both_status_sources_agree_after_sync(shop):
@@ -293,19 +403,25 @@ def test_both_status_sources_agree_after_sync(shop):
     assert rows(by_order) == rows(by_item) == [(5, "bolt", 9, 2)]
 
 
-def test_reports_are_refreshed_after_a_commit(shop, spark):
+def test_reports_are_published_whole_and_checked(shop, spark, monkeypatch):
     mart, feeds = shop
     feeds["orders"].send(event("c", order(13, customer_id=2)))
-    feeds["orders"].run(mart, "orders", on_commit=reporting.refresh)
-    folder = f"{mart.root}/reports/top_customers/after=fact_orders"
-    stored = spark.read.parquet(f"{folder}/version={version_of(0, 1)}")
+    feeds["orders"].run(mart, "orders")
+    written = reporting.publish(mart)
+    assert set(written) == set(reporting.REPORTS)
+    stored = reporting.latest_report(mart, "top_customers")
     assert rows(stored, "contract_version", "customer_name", "pending_order_count") == [
         ("1.0.0", "ann", 1), ("1.0.0", "bob", 2)]
-    feeds["products"].send(event("c", {"product_id": 6, "product_name": "nut"}))
-    feeds["products"].run(mart, "products", on_commit=reporting.refresh)
-    assert files.subfolders(spark, f"{mart.root}/reports/top_customers") == ["after=fact_orders"]
-    assert sorted(files.subfolders(spark, f"{mart.root}/reports/pending_items_by_product")) == [
-        "after=dim_product", "after=fact_orders"]
+    assert reporting.latest_report(mart, "none") is None
+    # A report that breaks its contract is not left behind.
+    broken = stored.drop("contract_version", "generated_at").withColumn("customer_name", F.lit(None).cast("string"))
+    monkeypatch.setattr(reporting, "report_set", lambda *a: {"top_customers": broken})
+    with pytest.raises(reporting.BrokenContract, match="customer_name: 2 of 2 rows break not_null"):
+        reporting.publish(mart)
+    assert rows(reporting.latest_report(mart, "top_customers")) == rows(stored)
+    monkeypatch.setattr(reporting, "report_set", lambda *a: {"top_customers": broken.drop("customer_id")})
+    with pytest.raises(reporting.BrokenContract, match="missing column customer_id"):
+        reporting.publish(mart)
 
 
 def source_orders(spark, *extra):
