@@ -18,6 +18,7 @@ task commits and any file system Spark knows come with it.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -112,36 +113,85 @@ def _library(path: str):
 
 
 class ChunkEncoder:
-    """Whole texts through the tokenizers library, each distinct chunk between blanks once.
+    """Whole texts through the tokenizers library, each distinct word once.
 
-    Right for tokenizers whose words never hold a blank or line feed and that drop white space: then a
-    text's ids are those of its chunks, one after the other. Checked on the file when it is opened.
+    Right for tokenizers whose words never hold a blank or line feed, that drop white space and case and keep signs
+    apart from the letters before them: then a text's ids are those of its chunks between blanks, one after the
+    other. Each of these is tried on the file when it is opened; without them texts are encoded whole.
     """
 
-    _KEPT = 300_000
+    _KEPT = 700_000
+    # Letters and digits of Latin-1, whose lower case and composition no tokenizer disputes, then ASCII signs.
+    _STEM = re.compile(r"([0-9A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+    _WORD = re.compile("[a-zß-öø-ÿ]+")
 
     def __init__(self, path: str):
         self._own = _library(path)
-        probe = "ab, c's\n1 d\n\n e"
-        parts = [self._own.encode(x, add_special_tokens=False).ids for x in probe.replace("\n", " ").split(" ")]
-        whole = self._own.encode(probe, add_special_tokens=False).ids
-        self.by_chunk = sum(parts, []) == whole and len(self._own.encode("a b").ids) == 2
+        one = self._ids
+        probe = "ab, c's\n1 d\n\n e."
+        parts = [one(x) for x in probe.replace("\n", " ").split(" ")]
+        self.by_chunk = sum(parts, []) == one(probe)
+        self.by_stem = all(
+            one(stem + tail) == one(stem.lower()) + one(tail) for stem in ("Ab1", "É", "àÖ") for tail in (".", "'", "#*,")
+        )
+        # Ids that end a word, where the vocabulary marks them: many words are then encoded in one call.
+        ends = [i for token, i in self._own.get_vocab().items() if token.endswith("</w>")]
+        self._ends = np.zeros(self._own.get_vocab_size(), bool)
+        self._ends[ends] = True
         self._kept: dict[str, bytes] = {"": b""}
 
+    def _ids(self, text: str) -> list[int]:
+        return self._own.encode(text, add_special_tokens=False).ids
+
+    def _each(self, texts: list[str]) -> Iterator[bytes]:
+        for at in range(0, len(texts), 4096):
+            for found in self._own.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
+                yield np.array(found.ids, "<u4").tobytes()
+
+    def _together(self, words: list[str]) -> list[bytes] | None:
+        """Encodings of words of letters from one call on all of them; None if their ends do not show."""
+        joined = [" ".join(words[at : at + 1000]) for at in range(0, len(words), 1000)]
+        ids = np.concatenate(
+            [np.array(x.ids, "<u4") for x in self._own.encode_batch_fast(joined, add_special_tokens=False)]
+        )
+        stops = np.flatnonzero(self._ends[ids]) + 1
+        if len(stops) != len(words) or stops[-1] != len(ids):
+            return None
+        raw, stops = ids.tobytes(), (4 * stops).tolist()
+        return [raw[a:b] for a, b in zip([0, *stops], stops)]
+
+    def _learn(self, chunks: set[str]) -> None:
+        kept = self._kept
+        stems = {}
+        if self.by_stem:
+            for chunk in chunks:
+                if found := self._STEM.fullmatch(chunk):
+                    stem, tail = found.groups()
+                    stems[chunk] = (stem.lower(), tail)
+        new = {part for parts in stems.values() for part in parts if part not in kept}
+        new.update(chunks - stems.keys())
+        words = [w for w in new if self._WORD.fullmatch(w)]
+        found = self._together(words) if words else None
+        if found:
+            kept.update(zip(words, found))
+            new.difference_update(words)
+        rest = list(new)
+        kept.update(zip(rest, self._each(rest)))
+        for chunk, (stem, tail) in stems.items():
+            kept[chunk] = kept[stem] + kept[tail]
+
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         if not self.by_chunk:
-            found = self._own.encode_batch_fast(texts, add_special_tokens=False)
-            return [np.array(x.ids, "<u4").tobytes() for x in found]
+            return list(self._each(texts))
         if len(self._kept) > self._KEPT:
             self._kept = {"": b""}
         kept = self._kept
         split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = list({w for chunks in split for w in chunks if w not in kept})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, found in zip(part, self._own.encode_batch_fast(part, add_special_tokens=False)):
-                kept[word] = np.array(found.ids, "<u4").tobytes()
-        return [b"".join([kept[w] for w in chunks]) for chunks in split]
+        new = set().union(*split).difference(kept)
+        if new:
+            self._learn(new)
+        get = kept.__getitem__
+        return [b"".join(map(get, chunks)) for chunks in split]
 
 
 @lru_cache(maxsize=2)
