@@ -12,6 +12,7 @@ are fitted on a bounded sample; they change the speed, never the result.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -228,7 +229,11 @@ def _links(
     classes: DataFrame, width: int, count: int, threshold: float, block: int, sample: int, folder: str
 ) -> DataFrame:
     """node, links and root found in the tiles of all vectors of one length."""
-    drawn = classes.orderBy(F.xxhash64("node"), "node").limit(sample).select("embedding").collect()
+    # By a hash, about ``sample`` of them, so that no more than that leaves the tasks.
+    chance = F.pmod(F.xxhash64("node"), F.lit(1 << 40)) / float(1 << 40)
+    drawn = classes.where(chance <= sample / count).orderBy("node").limit(2 * sample).select("embedding").collect()
+    if not drawn:
+        drawn = classes.limit(1).select("embedding").collect()
     fit = Fit(np.array([r["embedding"] for r in drawn], np.float64), -(-count // block))
 
     def placed(batches):
@@ -255,47 +260,56 @@ def _links(
         folder,
         "leaves",
     )
-    # A leaf with more vectors than the sample let expect is cut by a hash.
-    sizes = {r["leaf"]: -(-r["count"] // block) for r in leaves.groupBy("leaf").count().collect()}
-    pieces = F.create_map(*[F.lit(x) for item in sorted(sizes.items()) for x in item])
     width_led = min(_BOX, width)
-    blocks = leaves.withColumn("piece", F.pmod(F.xxhash64("node"), F.element_at(pieces, F.col("leaf"))))
+    # At most 4096 leaves, whatever the number of vectors: what goes to the driver and back to the tasks.
     stats = (
-        blocks.groupBy("leaf", "piece")
+        leaves.groupBy("leaf")
         .agg(
+            F.count("*").alias("size"),
             *[F.min(F.col("led")[k]).alias(f"low{k}") for k in range(width_led)],
             *[F.max(F.col("led")[k]).alias(f"high{k}") for k in range(width_led)],
             F.max("rest").alias("rest"),
         )
-        .orderBy("leaf", "piece")
+        .orderBy("leaf")
         .collect()
     )
-    number = {(r["leaf"], r["piece"]): k for k, r in enumerate(stats)}
+    number = {r["leaf"]: k for k, r in enumerate(stats)}
+    # A leaf with more vectors than a block is cut by a hash; its blocks have one box.
+    pieces = np.array([-(-r["size"] // block) for r in stats], np.int64)
+    first_block = np.cumsum(pieces) - pieces
     boxes = np.array([list(r)[2:] for r in stats], np.float64)
-    # One row for each block of thousands of vectors.
-    shared = classes.sparkSession.sparkContext.broadcast((number, boxes))
+    shared = classes.sparkSession.sparkContext.broadcast((number, pieces, first_block, boxes))
 
     def dealt(batches):
-        number, boxes = shared.value
-        pairs: dict[int, list[int]] = {}
+        number, pieces, first_block, boxes = shared.value
+        partners: dict[int, np.ndarray] = {}
         for batch in batches:
-            own = np.array([number[k] for k in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())], np.int64)
-            for mine in np.unique(own).tolist():
-                if mine not in pairs:
-                    pairs[mine] = reachable(boxes, mine, threshold).tolist()
-                members = np.flatnonzero(own == mine)
-                for partner in pairs[mine]:
-                    taken = pa.array(members)
-                    n = len(members)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n, min(mine, partner))),
-                            pa.array(np.full(n, max(mine, partner))),
-                            pa.array(np.full(n, mine)),
-                            *[batch.column(k).take(taken) for k in range(3)],
-                        ],
-                        ["a", "b", "own", "node", "copies", "vector"],
-                    )
+            if not batch.num_rows:
+                continue
+            leaf = np.array([number[k] for k in batch.column(3).to_pylist()], np.int64)
+            spread = np.array([zlib.crc32(n.encode()) for n in batch.column(0).to_pylist()], np.int64)
+            own = first_block[leaf] + spread % pieces[leaf]
+            rows, others = [], []
+            for at in np.unique(leaf).tolist():
+                if at not in partners:
+                    near = reachable(boxes, at, threshold)
+                    partners[at] = np.concatenate([first_block[k] + np.arange(pieces[k]) for k in near])
+                members = np.flatnonzero(leaf == at)
+                rows.append(np.repeat(members, len(partners[at])))
+                others.append(np.tile(partners[at], len(members)))
+            rows, others = np.concatenate(rows), np.concatenate(others)
+            for begin in range(0, len(rows), 4096):
+                row, other = rows[begin : begin + 4096], others[begin : begin + 4096]
+                mine, taken = own[row], pa.array(row)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.minimum(mine, other)),
+                        pa.array(np.maximum(mine, other)),
+                        pa.array(mine),
+                        *[batch.column(k).take(taken) for k in range(3)],
+                    ],
+                    ["a", "b", "own", "node", "copies", "vector"],
+                )
 
     def tiles(batches) -> Iterator[tuple[int, int, list[pa.RecordBatch]]]:
         current, held = None, []
@@ -329,7 +343,7 @@ def _links(
                 )
 
     return (
-        blocks.select("node", "copies", "vector", "leaf", "piece")
+        leaves.select("node", "copies", "vector", "leaf")
         .mapInArrow(dealt, "a long, b long, own long, node string, copies long, vector binary")
         .repartition("a", "b")
         .sortWithinPartitions("a", "b")
