@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -54,6 +55,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "8",
             "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

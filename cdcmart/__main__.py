@@ -97,6 +97,7 @@ def build_parser() -> argparse.ArgumentParser:
 
     with_tables(command("replay", "let streams read the log again at their next start"))
     with_tables(command("merge", "fold the pending changes of tables among themselves"))
+    with_tables(command("merge-history", "put the history of days that are over into one folder each"))
     with_tables(command("compact", "fold the changes of tables into their states"))
     sub = command("vacuum", "remove files that folds replaced long enough ago")
     with_tables(sub)
@@ -218,6 +219,9 @@ def main(argv: list[str] | None = None) -> int:
         age = dt.timedelta(hours=args.older_than_hours)
         for name in _names(args.table):
             print(json.dumps({"table": name, "removed": mart.table(name).vacuum(age)}))
+    elif args.command == "merge-history":
+        for name in _names(args.table):
+            print(json.dumps({"table": name, "days": mart.table(name).merge_history()}))
     elif args.command == "sync":
         print(json.dumps({"version": repair.sync_status(mart)}))
     elif args.command == "status":

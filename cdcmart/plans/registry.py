@@ -563,7 +563,11 @@ def stream_scd4_current(spark, sf_dir):
 
 @_query
 def stream_scd4_history(spark, sf_dir):
-    stored = _streamed_users(spark, sf_dir).table(b.USER_STATE.name).read_history()
+    """Read after the day's batches were put into one folder and their own folders removed."""
+    table = _streamed_users(spark, sf_dir).table(b.USER_STATE.name)
+    table.merge_history(before=dt.date(9999, 1, 1))
+    table.vacuum(dt.timedelta(0))
+    stored = table.read_history()
     return _history_view(stored)
 
 

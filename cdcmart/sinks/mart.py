@@ -6,6 +6,7 @@ Layout below ``<root>/<table>/``::
     changes/version=<v>/   one row per key changed by batch v
     merged/version=<v>/    all changes after the last state up to v, one row per key
     history/recorded_on=<day>/batch_id=<v>/  every event of batch v
+    history_days/recorded_on=<day>/          the same of a whole day that is over
     rejected/batch_id=<v>/ events of batch v without a key
     generations/<g>/       marks the start of replay number g
     settings/<name>        conflict rule, delete mode and encoding, fixed by the first writer
@@ -248,15 +249,24 @@ class MartTable:
         """
         schema = self._history_schema()
         path = f"{self.path}/history"
+        merged = self._merged_days()
         done = [
             f"{path}/{day}/{batch}"
             for day in self._history_days()
+            if day not in merged
             for batch in files.subfolders(self.spark, f"{path}/{day}")
             if files.exists(self.spark, f"{path}/{day}/{batch}/_SUCCESS")
         ]
-        if not done:
+        parts = [(path, done)] if done else []
+        if merged:
+            days = f"{self.path}/history_days"
+            parts.append((days, [f"{days}/{day}" for day in merged]))
+        if not parts:
             return self._empty(schema)
-        rows = self.spark.read.schema(schema).option("basePath", path).parquet(*done)
+        frames = [
+            self.spark.read.schema(schema).option("basePath", base).parquet(*paths) for base, paths in parts
+        ]
+        rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
         return history.distinct_events(rows) if distinct else rows
 
     def _history_schema(self) -> T.StructType:
@@ -312,6 +322,28 @@ class MartTable:
         names = files.subfolders(self.spark, f"{self.path}/history")
         return [n for n in names if n.startswith("recorded_on=")]
 
+    def _merged_days(self) -> list[str]:
+        base = f"{self.path}/history_days"
+        return [
+            day for day in files.subfolders(self.spark, base) if files.exists(self.spark, f"{base}/{day}/_SUCCESS")
+        ]
+
+    def merge_history(self, before: dt.date | None = None) -> list[str]:
+        """Rewrite each day before ``before`` (by default yesterday) from a folder per batch into one; returns the days.
+
+        A day has to be over for as long as a batch of it may still be retried. Rows, ids and batch numbers
+        stay; the batches' folders go with a later :meth:`vacuum`.
+        """
+        limit = before or dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
+        known, done = self._merged_days(), []
+        for day in sorted(self._history_days()):
+            if day in known or day.split("=")[1] >= limit.isoformat():
+                continue
+            rows = self.read_history().where(F.col("recorded_on") == day.split("=")[1]).drop("recorded_on")
+            rows.write.mode("overwrite").parquet(f"{self.path}/history_days/{day}")
+            done.append(day)
+        return done
+
     def append_rejected(self, changes: DataFrame, version: int) -> None:
         changes.write.mode("overwrite").parquet(f"{self.path}/rejected/batch_id={version}")
 
@@ -388,6 +420,12 @@ class MartTable:
                 if v <= last:
                     removed.append(f"{kind}/version={v}")
                     files.remove_folder(self.spark, f"{self.path}/{kind}/version={v}")
+        batches = self._history_days()
+        for day in self._merged_days():
+            mark = f"{self.path}/history_days/{day}/_SUCCESS"
+            if day in batches and files.age(self.spark, mark) >= older_than.total_seconds():
+                removed.append(f"history/{day}")
+                files.remove_folder(self.spark, f"{self.path}/history/{day}")
         return removed
 
     def reset(self, with_history: bool = True) -> int:
@@ -399,6 +437,7 @@ class MartTable:
             self.release(version)
         if with_history:
             files.remove_folder(self.spark, f"{self.path}/history")
+            files.remove_folder(self.spark, f"{self.path}/history_days")
         return version
 
 

@@ -80,6 +80,11 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
                 F.count(F.lit(1)).alias("events"),
                 F.count_if(~upsert.has_key(spec)).alias("without_key"),
             ]
+            measures += [
+                F.count_if(F.length(c) > size).alias(f"{c}_too_long")
+                for c, size in spec.max_lengths.items()
+                if c in batch.columns
+            ]
             if orders:
                 measures += [F.min("order_id").alias("low"), F.max("order_id").alias("high")]
             # Fills the cache, so later plans know the batch's size.
@@ -98,6 +103,9 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
             if counts["without_key"]:
                 table.append_rejected(batch.where(~upsert.has_key(spec)), version)
             logger.info("%s batch %s: %s", name, batch_id, counts.asDict())
+            for column, size in spec.max_lengths.items():
+                if broken := counts.asDict().get(f"{column}_too_long"):
+                    logger.warning("%s batch %s: %s values of %s exceed %s", name, batch_id, broken, column, size)
         finally:
             batch.unpersist()
         if on_commit:

@@ -260,6 +260,30 @@ def test_a_batch_retried_after_midnight_stays_on_its_day(spark, root):
     assert rows(one_day, "batch_id") == [(2000,)]
 
 
+def test_days_that_are_over_are_merged(spark, root):
+    table = Mart(spark, root).table("customers")
+    days = [dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc) for d in (1, 2)]
+    for n, day in enumerate((days[0], days[0], days[1])):
+        log = records(spark, [event("c", customer(n, "a"))], first=n)
+        table.append_history(batches.parse(log, table.spec), 1000 * (n + 1), day)
+    before = rows(table.read_history(), "recorded_on", "batch_id", "history_id", "customer_id")
+    assert table.merge_history(days[1].date()) == ["recorded_on=2024-01-01"]
+    assert table.merge_history(days[1].date()) == []
+    assert rows(table.read_history(), "recorded_on", "batch_id", "history_id", "customer_id") == before
+    assert table.vacuum() == []
+    assert table.vacuum(dt.timedelta(0)) == ["history/recorded_on=2024-01-01"]
+    assert rows(table.read_history(), "recorded_on", "batch_id", "history_id", "customer_id") == before
+    table.reset()
+    assert table.read_history().count() == 0
+
+
+def test_values_that_are_too_long_are_told(spark, root, feed, caplog):
+    feed.send(event("c", customer(1, "x" * 1000)))
+    with caplog.at_level("WARNING"):
+        feed.run(Mart(spark, root), "customers")
+    assert "1 values of customer_name exceed" in caplog.text
+
+
 def test_an_unfinished_version_is_ignored(spark, root, feed):
     mart = Mart(spark, root)
     feed.send(event("c", customer(1, "a")))
