@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcmart.llm.common import free_name, ship_package
+from cdcmart.llm.common import free_name, in_slices, ship_package
 
 # The pattern that splits text before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -29,7 +29,7 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 _SETTLED = regex.compile(r"[\u0000-ԯ‐-⁯₠-₿　-〿ぁ-ゖ一-龥가-힣]*")
 
 # Words kept with their encoding by one Python worker, and characters split at once.
-_KEPT_WORDS = 300_000
+_KEPT_WORDS = 200_000
 _PIECE = 1 << 20
 
 _NEVER = 1 << 60
@@ -124,7 +124,7 @@ class Vocabulary:
         key = first * len(self.bytes) + second
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 3 * _KEPT_WORDS:
+            if len(self._pairs) > 2 * _KEPT_WORDS:
                 self._pairs.clear()
             known = self._pairs[key] = self._stay_apart(first, second)
         return known
@@ -280,7 +280,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
 
     def step(batches):
         own = encoder(path)
-        for batch in batches:
+        for batch in in_slices(batches, text):
             column = batch.column(batch.schema.get_field_index(text))
             found = own.encode_batch(column.to_pylist())
             offsets = np.zeros(len(found) + 1, np.int32)
@@ -305,7 +305,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
     def step(batches):
         known = token_bytes(path)
         size = len(known)
-        for batch in batches:
+        for batch in in_slices(batches, ids):
             column = batch.column(batch.schema.get_field_index(ids))
             values = column.values.fill_null(-1).to_numpy()
             offsets, given = column.offsets.to_numpy(), column.is_valid().to_pylist()

@@ -5,8 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from cdcmart.session import scratch_dir
@@ -16,11 +20,16 @@ _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
 
+# Rows that Spark hands to a Python worker at once: texts are thousands of bytes, so its default is too many.
+_ROWS_AT_ONCE = "1000"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Let Spark serve this package to its Python workers, once per application.
+    """Let Spark serve this package to its Python workers, once per application, in batches they can hold.
 
     The archive is the driver's own; executors fetch it from the driver as they do any ``--py-files``.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", _ROWS_AT_ONCE)
     context = spark.sparkContext
     if context.applicationId in _shipped:
         return
@@ -32,6 +41,28 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def in_slices(
+    batches: Iterable[pa.RecordBatch], column: str | int, limit: int = 2 << 20
+) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in slices whose texts or lists in ``column`` are about ``limit`` bytes; a row that is
+    larger is a slice of its own. What Arrow keeps for later is given back at the end."""
+    for batch in batches:
+        at = batch.schema.get_field_index(column) if isinstance(column, str) else column
+        values = batch.column(at)
+        if pa.types.is_list(values.type):
+            sizes = 4 * np.diff(values.offsets.to_numpy())
+        else:
+            sizes = pc.fill_null(pc.binary_length(values), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        begin = 0
+        while begin < batch.num_rows:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(begin, end - begin)
+            begin = end
+    pa.default_memory_pool().release_unused()
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, or that with underscores, so that no column of ``df`` is hidden by it."""
     taken = {c.lower() for c in df.columns}

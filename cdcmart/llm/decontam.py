@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcmart.llm.common import free_name, run_folder, saved, ship_package
+from cdcmart.llm.common import free_name, in_slices, run_folder, saved, ship_package
 from cdcmart.llm.words import Words, mixed, words_of
 
 WIDTH = 10
@@ -182,7 +182,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, pass_c
 
         def step(batches, shared=shared, again=k > 0):
             patterns = Patterns(shared.value, width)
-            for batch in batches:
+            for batch in in_slices(batches, "text"):
                 texts = batch.column(batch.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
                 before = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names] if again else None
                 counts, spans, items = [], [], []

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import run_folder, saved, ship_package
+from cdcmart.llm.common import in_slices, run_folder, saved, ship_package
 from cdcmart.llm.components import components
 from cdcmart.llm.links import local_groups
 from cdcmart.llm.words import mixed, words_of
@@ -210,7 +210,7 @@ def _signed(texts: DataFrame) -> DataFrame:
     """none, id, node and tokens of every row (none, id, node, text)."""
 
     def step(batches):
-        for batch in batches:
+        for batch in in_slices(batches, 3):
             texts = batch.column(3).cast(pa.binary()).to_pylist()
             found = []
             for _, _, words in words_of(texts):
@@ -297,7 +297,7 @@ def _with_shingles(rows: DataFrame) -> DataFrame:
     """node, copies, keys, shingles of every row (node, copies, keys, text): sorted distinct hashes as bytes."""
 
     def step(batches):
-        for batch in batches:
+        for batch in in_slices(batches, 3):
             texts = batch.column(3).cast(pa.binary()).to_pylist()
             found = []
             for _, _, words in words_of(texts):

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcmart.llm.common import free_name, ship_package
+from cdcmart.llm.common import free_name, in_slices, ship_package
 from cdcmart.llm.words import LOWER
 
 SPAN = 64
@@ -192,7 +192,7 @@ class Network:
         other = self.back.learn(windows[::-1], back, keep[1], np.matmul(self.labels[:, size:].T, wrong)[::-1])
         return loss, [*own, *other, by_labels, by_bias]
 
-    def pooled(self, texts: list[bytes], at_once: int = 4096) -> np.ndarray:
+    def pooled(self, texts: list[bytes], at_once: int = 2048) -> np.ndarray:
         """Mean probabilities of each text over all its bytes; zeros for an empty text."""
         windows, counts = windows_of(texts)
         sums = np.zeros((windows.shape[1], len(self.languages)))
@@ -277,7 +277,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
     )
 
     def step(batches):
-        for batch in batches:
+        for batch in in_slices(batches, "text", 1 << 20):
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
             known = [i for i, t in enumerate(texts) if network and t and _LETTER.search(t)]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import run_folder, saved, ship_package
+from cdcmart.llm.common import in_slices, run_folder, saved, ship_package
 
 # Fixed values of the formats.
 VERSION = b"WARC/1.1"
@@ -244,7 +244,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, members:
     )
 
     def step(batches):
-        for batch in batches:
+        for batch in in_slices(batches, 2):
             ids, urls, revisits, refers = (batch.column(k).to_pylist() for k in (0, 1, 3, 4))
             payloads = batch.column(2).cast(pa.binary())
             for begin in range(0, batch.num_rows, 200):
