@@ -37,7 +37,7 @@ TILE = 1024
 # Buckets whose sets agree so often on the next places are not split: it would not part them.
 ALIKE = 0.5
 
-_HAS_WORD = r"[0-9A-Za-z\u0080-￿]|[^\u0000-￿]"
+_HAS_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 
 _random = np.random.default_rng(411)
 _XOR = _random.integers(0, 1 << 32, TOKENS, dtype=np.uint64).astype(np.uint32)
@@ -143,6 +143,34 @@ def similar(one: list[np.ndarray], other: list[np.ndarray], threshold: float) ->
     return (both >= threshold * union - 1e-6) & (union > 0)
 
 
+def _runs(sets: list[np.ndarray], limit: int) -> list[tuple[int, int]]:
+    """Runs of sets with about ``limit`` shingles in all; a larger set is a run of its own."""
+    runs, begin, held = [], 0, 0
+    for i, s in enumerate(sets):
+        if i > begin and held + len(s) > limit:
+            runs.append((begin, i))
+            begin, held = i, 0
+        held += len(s)
+    return [*runs, (begin, len(sets))] if sets else []
+
+
+def linked_sets(
+    one: list[np.ndarray], other: list[np.ndarray], threshold: float, limit: int = 1 << 20
+) -> np.ndarray:
+    """:func:`similar`, for sets of any size: what is held beside them does not grow with the longest text."""
+    out = np.zeros((len(one), len(other)), bool)
+    same = one is other
+    for a, b in _runs(one, limit):
+        left = one[a:b]
+        for c, d in _runs(other, limit):
+            if same and c < a:
+                continue
+            out[a:b, c:d] = similar(left, left if same and a == c else other[c:d], threshold)
+            if same and c > a:
+                out[c:d, a:b] = out[a:b, c:d].T
+    return out
+
+
 def shares_earlier(one: list[list[int]], other: list[list[int]], key: int) -> np.ndarray:
     """Which pairs have a bucket before ``key`` in common: they are compared there."""
     before = sorted({k for keys in (*one, *other) for k in keys if k < key})
@@ -177,7 +205,7 @@ def compare(rows: list[tuple], key: int, a: int, b: int, threshold: float) -> li
         root = min(first[1], second[1])
         return [(first[1], second[2], root), (second[1], first[2], root)]
     left = [r[4] for r in one]
-    linked = similar(left, left if a == b else [r[4] for r in other], threshold)
+    linked = linked_sets(left, left if a == b else [r[4] for r in other], threshold)
     linked &= ~shares_earlier([r[3] for r in one], [r[3] for r in other], key)
     if a == b:
         np.fill_diagonal(linked, False)

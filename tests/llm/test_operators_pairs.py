@@ -11,7 +11,7 @@ from cdcmart.llm import components, jaccard, links, neardup, urlfilter
 from cdcmart.llm.common import run_folder
 
 SMALL = "/root/testdata/sf0.001"
-_WORD = re.compile("[0-9a-z\u0080-\U0010ffff]+")
+_WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
 
 
 def groups_of(nodes, pairs):
@@ -99,6 +99,17 @@ def test_join_edges(spark):
     assert jaccard.one_of_each(docs.limit(0)).count() == jaccard.join_similar(docs.limit(0)).count() == 0
 
 
+def test_long_sets_are_compared_in_runs():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 60, 40).astype(np.uint64)) for _ in range(30)] + [np.zeros(0, np.uint64)]
+    for limit in (1, 50, 10**6):
+        got = jaccard.linked_sets(sets, sets, 0.5, limit)
+        want = [[len(np.intersect1d(x, y)) >= 0.5 * len(np.union1d(x, y)) > 0 for y in sets] for x in sets]
+        # A set and itself are no pair.
+        assert ((got == np.array(want)) | np.eye(31, dtype=bool)).all()
+        assert (jaccard.linked_sets(sets[:7], sets[9:], 0.5, limit) == np.array(want)[:7, 9:]).all()
+
+
 def test_runs_follow_from_the_recall():
     assert jaccard.runs_for(0.8, 0.9) < jaccard.runs_for(0.8, 0.9999)
     rng = np.random.default_rng(3)
