@@ -26,10 +26,10 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 # Characters whose class is the same in every Unicode version in use. Texts with others are split
 # by the tokenizers library itself, whose tables may be older than those of ``regex``.
-_SETTLED = regex.compile(r"[\u0000-ԯ‐-⁯₠-₿　-〿ぁ-ゖ一-龥가-힣]*")
+_SETTLED = regex.compile(r"[\u0000-\u052f\u2000-\u206f\u20a0-\u20bf\u3000-\u303f\u3041-\u3096\u4e00-\u9fa5\uac00-\ud7a3]*")
 
 # Words kept with their encoding by one Python worker, and characters split at once.
-_KEPT_WORDS = 200_000
+_KEPT_WORDS = 400_000
 _PIECE = 1 << 20
 
 _NEVER = 1 << 60
@@ -282,16 +282,30 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
         own = encoder(path)
         for batch in in_slices(batches, text):
             column = batch.column(batch.schema.get_field_index(text))
-            found = own.encode_batch(column.to_pylist())
-            offsets = np.zeros(len(found) + 1, np.int32)
-            np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
-            values = pa.array(np.frombuffer(b"".join(found), np.int32))
-            column = pa.ListArray.from_arrays(pa.array(offsets), values)
-            yield pa.RecordBatch.from_arrays([*batch.columns, column], [*batch.schema.names, name])
+            found = _id_lists(own.encode_batch(column.to_pylist()))
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
     return df.mapInArrow(step, schema)
 
 
+def _id_lists(found: list[bytes]) -> pa.ListArray:
+    offsets = np.zeros(len(found) + 1, np.int32)
+    np.cumsum([len(x) // 4 for x in found], out=offsets[1:])
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(found), np.int32)))
+
+
+def _texts(column: pa.ListArray, known: list[bytes]) -> pa.StringArray:
+    """Texts of lists of ids; ids that the vocabulary lacks are left out."""
+    values = column.values.fill_null(-1).to_numpy()
+    offsets, given = column.offsets.to_numpy(), column.is_valid().to_pylist()
+    texts = []
+    for i, begin, end in zip(given, offsets, offsets[1:]):
+        row = values[begin:end] if i else values[:0]
+        row = row[(row >= 0) & (row < len(known))].tolist()
+        texts.append(b"".join([known[x] for x in row]).decode("utf-8", "replace"))
+    return pa.array(texts, pa.string())
+
+
 def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add ``decoded``: the text of the token ids, added tokens included.
 
@@ -304,27 +318,38 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
 
     def step(batches):
         known = token_bytes(path)
-        size = len(known)
         for batch in in_slices(batches, ids):
-            column = batch.column(batch.schema.get_field_index(ids))
-            values = column.values.fill_null(-1).to_numpy()
-            offsets, given = column.offsets.to_numpy(), column.is_valid().to_pylist()
-            texts = []
-            for i, begin, end in zip(given, offsets, offsets[1:]):
-                row = values[begin:end] if i else values[:0]
-                row = row[(row >= 0) & (row < size)].tolist()
-                texts.append(b"".join([known[x] for x in row]).decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, name]
-            )
+            texts = _texts(batch.column(batch.schema.get_field_index(ids)), known)
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, name])
+
+    return df.mapInArrow(step, schema)
+
+
+def encode_and_decode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
+    """:func:`encode`, then :func:`decode` of its ids, in one pass through the Python workers: adds both columns."""
+    ship_package(df.sparkSession)
+    names = [free_name(df, "ids"), free_name(df, "decoded")]
+    schema = T.StructType(
+        [
+            *df.schema.fields,
+            T.StructField(names[0], T.ArrayType(T.IntegerType(), False)),
+            T.StructField(names[1], T.StringType()),
+        ]
+    )
+
+    def step(batches):
+        own = encoder(path)
+        for batch in in_slices(batches, text):
+            found = _id_lists(own.encode_batch(batch.column(batch.schema.get_field_index(text)).to_pylist()))
+            back = _texts(found, own.vocabulary.bytes)
+            yield pa.RecordBatch.from_arrays([*batch.columns, found, back], [*batch.schema.names, *names])
 
     return df.mapInArrow(step, schema)
 
 
 def digests(df: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row's text."""
-    coded = encode(df.select("doc_id", "text"), path).drop("text")
-    return decode(coded, path).select(
+    return encode_and_decode(df.select("doc_id", "text"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
