@@ -109,16 +109,25 @@ def find_secrets(
     return _with_live(found, row, out, owner, repository, max_owners, folder)
 
 
-def _with_live(found: DataFrame, row: str, out: str, owner: str, repository: str, max_owners: int, folder: str) -> DataFrame:
-    none = found.where(F.size(out) == 0).drop(row)
-    some = found.where(F.size(out) > 0)
-    single = some.select(
+def _single_spans(some: DataFrame, row: str, out: str, owner: str, repository: str) -> DataFrame:
+    return some.select(
         F.col(row).alias("row"), F.col(owner).alias("owner"), F.col(repository).alias("repository"), F.explode(out).alias("span")
     ).withColumn("hash", F.sha2("span.value", 256))
+
+
+def _counted(single: DataFrame) -> DataFrame:
+    """Distinct owners and repositories of every value."""
     # Copies of one value in one repository, then repositories of one owner, are merged before they are shuffled on.
-    by_repository = single.where(live_looking(F.col("span.value"))).groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
+    by_repository = single.groupBy("hash", "owner", "repository").agg(F.lit(1).alias("one"))
     by_owner = by_repository.groupBy("hash", "owner").agg(F.count("*").alias("repositories"))
-    owned = by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+    return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
+
+
+def _with_live(found: DataFrame, row: str, out: str, owner: str, repository: str, max_owners: int, folder: str) -> DataFrame:
+    none = found.where(F.size(out) == 0).drop(row)
+    some = found.where(F.size(out) > 0)
+    single = _single_spans(some, row, out, owner, repository)
+    owned = _counted(single.where(live_looking(F.col("span.value"))))
     live = saved(owned.where(F.col("owners") <= max_owners).select("hash"), folder, "live")
     added = (
         single.join(live, "hash")
@@ -169,11 +178,32 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def masked(docs: DataFrame, mask: str = "[secret]") -> DataFrame:
-    """The rows of ``docs`` with the text of every span, overlapping ones as one, replaced by ``mask`` and
-    ``n_chars`` counted again; texts without spans stay as they are."""
-    found = find_secrets(docs)
-    spans, text = found.columns[-1], F.col("text")
+def _without_copied(docs: DataFrame, out: str) -> DataFrame:
+    """Add the base spans of every row as ``out``, but those whose value is a copied example."""
+    folder = run_folder(docs.sparkSession, "secrets")
+    row = free_name(docs, "row_id")
+    found = saved(
+        docs.withColumn(out, base_spans(F.col("text"))).withColumn(row, F.monotonically_increasing_id()), folder, "base"
+    )
+    none = found.where(F.size(out) == 0).drop(row)
+    some = found.where(F.size(out) > 0)
+    single = _single_spans(some, row, out, "source", "doc_id")
+    copied = saved(_counted(single).where(F.col("owners") > MAX_OWNERS).select("hash"), folder, "copied")
+    left_out = single.join(copied, "hash").groupBy("row").agg(F.collect_set("span.value").alias("examples"))
+    kept = F.filter(out, lambda s: ~F.coalesce(F.array_contains("examples", s["value"]), F.lit(False)))
+    joined = some.join(left_out, some[row] == left_out["row"], "left").withColumn(out, kept).select(*none.columns)
+    return none.unionByName(joined)
+
+
+def masked(docs: DataFrame, mask: str = "[secret]", keep_copied: bool = False) -> DataFrame:
+    """The rows of ``docs`` with the text of every base span, overlapping ones as one, replaced by ``mask`` and
+    ``n_chars`` counted again; texts without spans stay as they are.
+
+    With ``keep_copied``, ownership decides: a span whose value is a copied example stays in the text. All others
+    are masked: live ones with the key before them, and those of one owner that do not look like a credential."""
+    spans, text = free_name(docs, "spans"), F.col("text")
+    # A live span lies in its base span: without the counts there is nothing more to mask.
+    found = _without_copied(docs, spans) if keep_copied else docs.withColumn(spans, base_spans(text))
     # A span that begins before the last one has ended belongs to it.
     cut = F.aggregate(
         spans,

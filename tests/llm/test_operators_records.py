@@ -172,6 +172,17 @@ def test_owners_tell_live_secrets_from_examples(spark):
     assert secretscan.report(docs.limit(0)).count() == 0 and secretscan.masked(docs.limit(0)).count() == 0
 
 
+def test_the_stage_masks_by_ownership(spark):
+    copied, own = "AKIA" + "EXAMPLE1" * 2, "abc123def456ghi789"
+    texts = [f"key {copied} token: something"] * 3 + [f"é token={own}, {copied}!", "password=hunterhunter", None, "clean"]
+    rows = [(i, "en", t, f"s{i}", len(t or "")) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string, source string, n_chars long").withColumn("spans", F.lit(1))
+    stage = dict(corpus_pipeline.STAGES)["secrets"]
+    got = {r.doc_id: r for r in stage(spark, docs, SMALL).collect()}
+    assert [got[i].text for i in range(7)] == texts[:3] + [f"é [secret], {copied}!", "[secret]", None, "clean"]
+    assert all(r.n_chars == len(r.text or "") and r.spans == 1 for r in got.values())
+
+
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
