@@ -1,9 +1,10 @@
 """Secret scans with corpus-wide ownership: DataFrame operations only.
 
 Three kinds of candidates are found in every text. The value of each candidate is hashed, and the hashes are counted
-over the corpus by distinct repositories and distinct owners. A value that more than ``max_owners`` owners have is
-a copied example; a value of one owner that looks like a credential gets a span of its own, kind ``live``,
-beside the candidate's span.
+over the corpus by distinct repositories and distinct owners. A value that more than ``max_owners`` owners or more
+than ``max_repositories`` repositories have is a copied example: a credential is reused in some repositories of its
+owner, not in hundreds, so one large owner does not turn an example into a secret. Any other value that looks like a
+credential gets a span of its own, kind ``live``, beside the candidate's span.
 """
 
 from __future__ import annotations
@@ -25,8 +26,9 @@ LEAST = {"assign": 6, "access": 20, "hex": 24}
 _LONG_ACCESS = r"AKIA[A-Z0-9]{16,}"
 _LONG_HEX = r"[0-9a-f]{24,}"
 
-# Owners (and letters of the value) up to which a value counts as owner-specific and live-looking.
+# Owners and repositories up to which a value counts as owner-specific, and letters from which it looks live.
 MAX_OWNERS = 1
+MAX_REPOSITORIES = 100
 LEAST_LIVE = 16
 
 
@@ -92,11 +94,13 @@ def find_secrets(
     owner: str = "source",
     repository: str = "doc_id",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """Add ``spans`` to every row: array of (start, end, kind, value), by begin, then kind as in ``KINDS``.
 
     ``start`` and ``end`` count code points. Kind ``live`` marks the value of a candidate that at most
-    ``max_owners`` owners have in the whole table (a null owner is an owner of its own) and that looks like a credential.
+    ``max_owners`` owners and ``max_repositories`` repositories have in the whole table (a null owner is an owner of its
+    own, and so is a null repository; one id under two owners is two repositories) and that looks like a credential.
     Null and empty texts have no spans. Rows are kept as they are, repeated ones too; a column named ``spans``
     gives way (see ``free_name``).
     """
@@ -106,7 +110,7 @@ def find_secrets(
     found = saved(
         docs.withColumn(out, base_spans(F.col(text))).withColumn(row, F.monotonically_increasing_id()), folder, "base"
     )
-    return _with_live(found, row, out, owner, repository, max_owners, folder)
+    return _with_live(found, row, out, owner, repository, max_owners, max_repositories, folder)
 
 
 def _single_spans(some: DataFrame, row: str, out: str, owner: str, repository: str) -> DataFrame:
@@ -123,12 +127,19 @@ def _counted(single: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.count("*").alias("owners"), F.sum("repositories").alias("repositories"))
 
 
-def _with_live(found: DataFrame, row: str, out: str, owner: str, repository: str, max_owners: int, folder: str) -> DataFrame:
+def _copied(max_owners: int, max_repositories: int) -> Column:
+    """Whether a counted value is a copied example."""
+    return (F.col("owners") > max_owners) | (F.col("repositories") > max_repositories)
+
+
+def _with_live(
+    found: DataFrame, row: str, out: str, owner: str, repository: str, max_owners: int, max_repositories: int, folder: str
+) -> DataFrame:
     none = found.where(F.size(out) == 0).drop(row)
     some = found.where(F.size(out) > 0)
     single = _single_spans(some, row, out, owner, repository)
     owned = _counted(single.where(live_looking(F.col("span.value"))))
-    live = saved(owned.where(F.col("owners") <= max_owners).select("hash"), folder, "live")
+    live = saved(owned.where(~_copied(max_owners, max_repositories)).select("hash"), folder, "live")
     added = (
         single.join(live, "hash")
         .select(
@@ -164,7 +175,7 @@ def report(docs: DataFrame) -> DataFrame:
     # The texts are not written again: only ids, owners and spans.
     base = docs.select("doc_id", "source", base_spans(F.col("text")).alias("spans"))
     found = saved(base.withColumn("row_id", F.monotonically_increasing_id()), folder, "base")
-    all_spans = _with_live(found, "row_id", "spans", "source", "doc_id", MAX_OWNERS, folder)
+    all_spans = _with_live(found, "row_id", "spans", "source", "doc_id", MAX_OWNERS, MAX_REPOSITORIES, folder)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
     live = KINDS.index("live")
     return all_spans.select(
@@ -188,7 +199,7 @@ def _without_copied(docs: DataFrame, out: str) -> DataFrame:
     none = found.where(F.size(out) == 0).drop(row)
     some = found.where(F.size(out) > 0)
     single = _single_spans(some, row, out, "source", "doc_id")
-    copied = saved(_counted(single).where(F.col("owners") > MAX_OWNERS).select("hash"), folder, "copied")
+    copied = saved(_counted(single).where(_copied(MAX_OWNERS, MAX_REPOSITORIES)).select("hash"), folder, "copied")
     left_out = single.join(copied, "hash").groupBy("row").agg(F.collect_set("span.value").alias("examples"))
     kept = F.filter(out, lambda s: ~F.coalesce(F.array_contains("examples", s["value"]), F.lit(False)))
     joined = some.join(left_out, some[row] == left_out["row"], "left").withColumn(out, kept).select(*none.columns)

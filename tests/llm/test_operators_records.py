@@ -183,6 +183,19 @@ def test_the_stage_masks_by_ownership(spark):
     assert all(r.n_chars == len(r.text or "") and r.spans == 1 for r in got.values())
 
 
+def test_repositories_count_for_a_hot_owner(spark):
+    copied, own = "AKIA" + "EXAMPLE1" * 2, "abc123def456ghi789"
+    rows = [(i, f"key {copied}", "hot", 24) for i in range(secretscan.MAX_REPOSITORIES + 1)]
+    rows += [(1000 + i, f"token={own}", "hot", 24) for i in range(secretscan.MAX_REPOSITORIES)]
+    rows += [(1000, f"token={own}", "hot", 24)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    live = {(r.doc_id >= 1000, any(s.kind == 3 for s in r.spans)) for r in secretscan.find_secrets(docs).collect()}
+    assert live == {(False, False), (True, True)}
+    assert {(r.doc_id >= 1000, r.n_live) for r in secretscan.report(docs).collect()} == {(False, 0), (True, 1)}
+    texts = {(r.doc_id >= 1000, r.text) for r in secretscan.masked(docs, keep_copied=True).collect()}
+    assert texts == {(False, f"key {copied}"), (True, "[secret]")}
+
+
 @pytest.fixture(scope="module")
 def db():
     con = duckdb.connect()
