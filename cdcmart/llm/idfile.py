@@ -8,11 +8,12 @@ The ids of a segment are cut into blocks of a fixed number of ids. Each block is
 ``k`` holds byte ``k`` (or bit ``k``) of all its ids, and each plane is compressed with zstandard by
 itself, so the nearly constant high planes cost next to nothing. The chunk index has the
 length of every compressed plane, so one block is read without the others. The documents of a
-segment (id, tokens in this segment, whether it continues) are stored the same way. Documents may
-cross blocks and segments, so memory is bounded by the segment, not by the longest document.
+segment (id, tokens in this segment, whether it continues) are stored the same way. A segment ends with
+a document; a document of more ids than a segment holds has several segments of its own.
 
-Files are written by Spark's own text writer, a segment a row and the end mark as line separator:
-task commits and any file system Spark knows come with it.
+Files are written by Spark's own text writer, whole documents' segments a row and the end mark as line separator:
+task commits and any file system Spark knows come with it. A file ends after a fixed number of rows, so
+its size does not follow that of its key range.
 """
 
 from __future__ import annotations
@@ -35,10 +36,16 @@ from cdcmart.llm.common import ship_package
 MAGIC = b"IDPLANE1"
 END = b"\x00ENDSEG\n"
 
-# Ids of a block, and ids after which a segment is closed.
+# Ids of a block, and the most ids of a segment.
 BLOCK = 1 << 16
 SEGMENT = 1 << 20
 
+# Rows of a file: some 4.5 MB each at most, but for longer documents. A reader holds a whole file.
+FILE_ROWS = 16
+
+# Characters of the text by which the rows of one key are dealt out: the driver samples them.
+PREFIX = 256
+
 
 def to_planes(values: np.ndarray, unit: str = "byte") -> list[bytes]:
     """The byte or bit planes of a block, lowest first."""
@@ -227,7 +234,9 @@ def write_ids(
     A null text is an empty one; with ``end_id`` each document ends in it, so even an empty document
     has an id. Null keys come first, rows of one key in the order of their text (nulls first).
     An empty table gives a folder without segments. Other columns are not looked at. ``files`` is the
-    number of key ranges, by default as many as the session's shuffle has.
+    number of ranges, by default as many as the session's shuffle has; each is written to one or more files.
+    A range ends at a key or, so that a frequent key is spread, between texts of it that differ in their first
+    ``PREFIX`` characters.
     """
     spark = df.sparkSession
     ship_package(spark)
@@ -235,7 +244,7 @@ def write_ids(
     # The text is dealt out as it is: sampling for the ranges then reads the table, not its encoding.
     sorted_rows = (
         df.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-        .repartitionByRange(files, "key")
+        .repartitionByRange(files, F.col("key"), F.substring("text", 1, PREFIX))
         .sortWithinPartitions("key", "text")
         .withColumn("part", F.spark_partition_id())
     )
@@ -243,9 +252,9 @@ def write_ids(
     def step(batches):
         own = _chunks(path)
         tail = np.array([] if end_id is None else [end_id], "<u4").tobytes()
-        keys, known, counts, more, held, size, part = [], [], [], [], [], 0, 0
+        keys, known, counts, more, held, size, part, n_rows = [], [], [], [], [], 0, 0, 0
 
-        def closed() -> pa.RecordBatch:
+        def closed() -> bytes:
             columns = {
                 "ids": np.frombuffer(b"".join(held), "<u4"),
                 "keys": np.array(keys, "<i8"),
@@ -253,10 +262,13 @@ def write_ids(
                 "counts": np.array(counts, "<u4"),
                 "more": np.array(more, "<u1"),
             }
-            row = Segment.pack({"part": part}, columns, unit)
+            segment = Segment.pack({"part": part, "row": n_rows}, columns, unit)
             for kept in (keys, known, counts, more, held):
                 kept.clear()
-            return pa.RecordBatch.from_arrays([pa.array([row], pa.binary())], ["value"])
+            return segment
+
+        def row(segments: list[bytes]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([END.join(segments)], pa.binary())], ["value"])
 
         for batch in batches:
             batch_keys = batch.column(0).to_pylist()
@@ -266,9 +278,13 @@ def write_ids(
                 for found in own.encode_batch(texts):
                     found += tail
                     k, at = batch_keys[at], at + 1
-                    begin = 0
+                    # Rows, and so files, begin with a document.
+                    if size and size + len(found) // 4 > SEGMENT:
+                        yield row([closed()])
+                        size, n_rows = 0, n_rows + 1
+                    begin, full = 0, []
                     while True:
-                        take = found[begin : begin + 4 * (SEGMENT - size)]
+                        take = found[begin : begin + 4 * SEGMENT]
                         begin += len(take)
                         keys.append(k or 0)
                         known.append(k is not None)
@@ -276,41 +292,45 @@ def write_ids(
                         more.append(begin < len(found))
                         held.append(take)
                         size += len(take) // 4
-                        if size >= SEGMENT:
-                            yield closed()
-                            size = 0
                         if begin >= len(found):
                             break
+                        full.append(closed())
+                    if full:
+                        yield row([*full, closed()])
+                        size, n_rows = 0, n_rows + 1
         if keys:
-            yield closed()
+            yield row([closed()])
 
     (
         sorted_rows.mapInArrow(step, "value binary")
         .select(F.col("value").cast("string"))
         .write.option("encoding", "ISO-8859-1")
         .option("lineSep", END.decode("latin-1"))
+        .option("maxRecordsPerFile", FILE_ROWS)
         .text(folder)
     )
 
 
 def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFrame:
-    """One row per document of the files in ``folder``: part, place (in its part), key, start (ids of the
-    part before it), n_tokens, ids_crc32 and, if asked for, ids (array of long).
+    """One row per document of the files in ``folder``: part (its file, in the order of the rows), place (in its
+    file), key, start (ids of the file before it), n_tokens, ids_crc32 and, if asked for, ids (array of long).
 
     A file is read by one task, segment after segment. A damaged file raises ``ValueError``.
     """
     ship_package(spark)
-    schema = "part int, place long, key long, start long, n_tokens long, ids_crc32 long"
+    schema = "part long, place long, key long, start long, n_tokens long, ids_crc32 long"
     if with_ids:
         schema += ", ids array<long>"
     names = [x.split(" ")[0] for x in schema.split(", ")]
 
     def documents(data: memoryview) -> Iterator[tuple]:
         at = start = place = tokens = crc = 0
-        held = []
+        part, held = None, []
         while at < len(data):
             head, columns, at = Segment.unpack(data, at)
             raw = columns["ids"].astype("<u4")
+            if part is None:
+                part = (head["part"] << 32) + head["row"]
             begin = 0
             for k, known, count, goes_on in zip(
                 columns["keys"].tolist(), columns["known"].tolist(), columns["counts"].tolist(), columns["more"].tolist()
@@ -323,12 +343,12 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFr
                     held += ids.tolist()
                 if goes_on:
                     continue
-                yield (head["part"], place, k if known else None, start, tokens, crc, held)
+                yield (part, place, k if known else None, start, tokens, crc, held)
                 start, place = start + tokens, place + 1
                 tokens, crc, held = 0, 0, []
 
     def step(batches):
-        types = [pa.int32(), *[pa.int64()] * 5, pa.list_(pa.int64())]
+        types = [*[pa.int64()] * 6, pa.list_(pa.int64())]
         for batch in batches:
             for content in batch.column(0):
                 rows = []
@@ -349,7 +369,7 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFr
 
 
 def with_starts(documents: DataFrame) -> DataFrame:
-    """Turn the starts within each part into starts within all parts.
+    """Turn the starts within each file into starts within all files.
 
     The sums have one row per file, so the running sum over them is small whatever the files hold.
     """
@@ -360,6 +380,6 @@ def with_starts(documents: DataFrame) -> DataFrame:
         at += row["_sum"]
     if not before:
         return documents
-    bases = documents.sparkSession.createDataFrame(before, "part int, _base long")
+    bases = documents.sparkSession.createDataFrame(before, "part long, _base long")
     joined = documents.join(bases, "part")
     return joined.withColumn("start", F.col("start") + F.col("_base")).drop("_base")

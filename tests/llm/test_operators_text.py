@@ -111,6 +111,33 @@ def test_id_files_read_back(spark, texts, tmp_path, monkeypatch):
     assert idfile.with_starts(idfile.read_ids(spark, str(tmp_path / "none"))).count() == 0
 
 
+def test_a_hot_key_is_spread_over_ranges_and_files(spark, texts, tmp_path, monkeypatch):
+    monkeypatch.setattr(idfile, "SEGMENT", 100)
+    monkeypatch.setattr(idfile, "FILE_ROWS", 3)
+    own, path = library("word_bpe_49k.json"), tokenizer_file("word_bpe_49k.json")
+    hot = [t for t in texts[:60] if t] + ["same " * 20] * 30 + ["long " * 1000, None]
+    rows = [(7, t) for t in hot] + [(None, t) for t in hot] + [(8, "last")]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    idfile.write_ids(given, str(tmp_path / "ids"), path, files=4)
+    read = idfile.read_ids(spark, str(tmp_path / "ids"), with_ids=True)
+    parts = {r.part for r in read.where("key = 7").collect()}
+    assert len({p >> 32 for p in parts}) > 1 and len(parts) > len({p >> 32 for p in parts})
+    at = 0
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode()))
+    found = sorted(idfile.with_starts(read).collect(), key=lambda r: r.start)
+    assert len(found) == len(order)
+    for (key, text), got in zip(order, found):
+        ids = own.encode(text or "", add_special_tokens=False).ids + [2]
+        assert (got.key, got.start, got.n_tokens, got.ids) == (key, at, len(ids), ids)
+        at += len(ids)
+    for file in (tmp_path / "ids").glob("part-*"):
+        data, at, written = memoryview(file.read_bytes()), 0, set()
+        while at < len(data):
+            head, _, at = idfile.Segment.unpack(data, at)
+            written.add(head["row"])
+        assert len(written) <= 3
+
+
 def test_chunks_equal_whole_texts(texts):
     own = library("word_bpe_49k.json")
     odd = ["A.", "..", "a,.", "É.", "it's DON'T. I'll,", "<|endoftext|>. <|startoftext|>,x", "1,2.3. 12", "'s 's. '", "a.b,c."]
