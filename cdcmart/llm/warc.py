@@ -36,6 +36,7 @@ MOST_BYTES = 1 << 30
 
 _BEGIN = re.compile(rb"WARC/1\.[01]\r\n")
 _LINE = re.compile(rb"([!#$%&'*+.^_`|~0-9A-Za-z-]+):[ \t]*([^\r\n]*)")
+_HEAD = re.compile(_BEGIN.pattern + rb"(?:" + _LINE.pattern + rb"\r\n)*+")
 
 
 def base32_sha1(data: bytes) -> str:
@@ -109,13 +110,14 @@ def _fields(data: bytes) -> dict[str, str]:
 def parse(data: bytes | memoryview, at: int = 0) -> tuple[Record, int]:
     """The record that begins at ``at``, and where the next one would begin; ``Damage`` if a check fails."""
     view = memoryview(data)
-    head = bytes(view[at : at + 65536])
-    if not _BEGIN.match(head):
+    # As far as there are header lines, however long: no more than the header itself is looked at.
+    head = _HEAD.match(view, at)
+    if not head:
         raise Damage("version line")
-    stop = head.find(_CLOSE)
-    if stop < 0:
+    if bytes(view[head.end() : head.end() + 2]) != b"\r\n":
         raise Damage("header end")
-    headers = _fields(head[:stop])
+    stop = head.end() - 2 - at
+    headers = _fields(bytes(view[at : at + stop]))
     length = headers.get("content-length", "")
     if not length.isdecimal() or int(length) > MOST_BYTES:
         raise Damage("length")

@@ -45,6 +45,27 @@ def test_archives_round_trip(spark, tmp_path, members):
     assert warc.read_archives(spark, str(tmp_path / "none"), "part-*").count() == 0
 
 
+@pytest.mark.parametrize("members", [True, False])
+def test_long_urls_round_trip(spark, tmp_path, members):
+    urls = ["http://a/" + "x" * 70_000, "http://b/" + "漢" * 12_000, "http://c/?" + "WARC/1.1 " * 9000, "http://d/"]
+    pages = spark.createDataFrame([(i, u, f"page {i}") for i, u in enumerate(urls)], PAGES)
+    warc.write_archives(pages, str(tmp_path / "w"), members=members)
+    found = warc.read_archives(spark, str(tmp_path / "w"), "part-*").collect()
+    assert all(r.gap_bytes is None for r in found)
+    assert sorted(r.url for r in found) == sorted(warc._header_safe(u) for u in urls)
+    assert warc.report(pages).count() == len(urls)
+
+
+def test_headers_of_foreign_archives_may_be_long():
+    one, two, three = records(3)
+    many = two.replace(b"\r\n", b"\r\n" + b"X-Note: WARC/1.1\r\n" * 9000, 1)
+    found = list(warc.read(one + many + three))
+    assert ids(found) == [f"<urn:page:{i}>" for i in range(3)] and len(found) == 3
+    found = list(warc.read(one + many[: 10 + 18 * 8000] + three))
+    assert ids(found) == ["<urn:page:0>", "<urn:page:2>"]
+    assert [(g.offset, g.length) for g in found if isinstance(g, warc.Gap)] == [(len(one), 10 + 18 * 8000)]
+
+
 def test_small_payloads_are_all_responses(spark, tmp_path):
     pages = spark.createDataFrame([(1, "a", "xx"), (2, "b", "xx"), (3, "c", "long"), (4, "d", "long")], PAGES)
     warc.write_archives(pages, str(tmp_path / "w"), least_bytes=3)
