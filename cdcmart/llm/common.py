@@ -5,13 +5,14 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from cdcmart.session import scratch_dir
 
@@ -63,6 +64,21 @@ def in_slices(
     pa.default_memory_pool().release_unused()
 
 
+def map_arrow(
+    rows: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
+) -> DataFrame:
+    """``rows.mapInArrow(step, schema)`` for columns of any name: Spark's own fails at a dot. ``step`` finds the columns
+    by their position only."""
+    inner = T.StructType([T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
+
+    def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in step(batches):
+            yield pa.RecordBatch.from_arrays(batch.columns, inner.names)
+
+    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    return plain.mapInArrow(renamed, inner).toDF(*schema.names)
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, or that with underscores, so that no column of ``df`` is hidden by it."""
     taken = {c.lower() for c in df.columns}

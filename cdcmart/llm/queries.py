@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm import bpe, chat, decontam, idfile, jaccard, langid, neardup, secretscan, urlfilter, warc
+from cdcmart.llm import bpe, chat, decontam, idfile, jaccard, langid, neardup, runs, secretscan, urlfilter, warc
 from cdcmart.llm.common import run_folder, saved
 
 
@@ -86,6 +86,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.report(_table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs of repeated words, a tenth of the documents made periodic first."""
+    return runs.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
@@ -97,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_id_files": op8_id_files,
     "op9_url_filter": op9_url_filter,
     "op10_secrets": op10_secrets,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
 # Words of a text: A-Z lower-cased, then runs of digits, letters and all that is not ASCII.
