@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm import bpe, chat, decontam, idfile, jaccard, langid, neardup, runs, secretscan, urlfilter, warc
+from cdcmart.llm import bpe, chat, decontam, idfile, jaccard, langid, lexical, neardup, runs, secretscan, urlfilter, warc
 from cdcmart.llm.common import run_folder, saved
 
 
@@ -91,6 +91,11 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.report(_table(spark, sf_dir, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard_join": op2_jaccard_join,
@@ -103,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_secrets": op10_secrets,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 # Words of a text: A-Z lower-cased, then runs of digits, letters and all that is not ASCII.
@@ -265,4 +271,26 @@ SQL: dict[str, str] = {
                coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
                coalesce(n_hit, 0) > 0 as contaminated
         from doc left join hit using (doc_id) left join hits using (doc_id)""",
+    "op13_ranked_search": f"""
+        with doc as materialized (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+        sizes as (select cast(count(*) as bigint) as docs, cast(sum(len(w)) as bigint) as total from doc where len(w) > 0),
+        held as materialized (
+            select r, term, count(*) as tf from (select r, unnest(w) as term from doc) x group by r, term),
+        item as (
+            select item_id, term, count(*) as times
+            from (select item_id, unnest(w) as term from (select distinct item_id, text, {_WORDS} as w from benchmark) y) x
+            group by item_id, term),
+        weights as (
+            select term, cast(floor(1000 * ln(cast(2 * any_value(docs) + 2 as double) / (2 * count(*) + 1))) as bigint) as weight
+            from held, sizes group by term),
+        scores as (
+            select item_id, doc.r, doc_id, cast(sum(times * weight * (
+                (1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * len(w) * docs) // total)))) as bigint) as score
+            from item join weights using (term) join held using (term) join doc using (r), sizes
+            group by item_id, doc.r, doc_id),
+        ranked as (
+            select item_id, doc_id, score,
+                   row_number() over (partition by item_id order by score desc, doc_id nulls first) as rank
+            from scores where score > 0)
+        select item_id, cast(rank as integer) as rank, doc_id, score from ranked where rank <= 10""",
 }
