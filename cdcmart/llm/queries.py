@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm import bpe, chat, decontam, idfile, jaccard, langid, lexical, neardup, runs, secretscan, urlfilter, warc
+from cdcmart.llm import (
+    bpe,
+    chat,
+    decontam,
+    idfile,
+    jaccard,
+    langid,
+    lexical,
+    neardup,
+    personal,
+    runs,
+    secretscan,
+    urlfilter,
+    warc,
+)
 from cdcmart.llm.common import run_folder, saved
 
 
@@ -86,6 +100,11 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secretscan.report(_table(spark, sf_dir, "documents"))
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data, in disguise too."""
+    return personal.report(_table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's runs of repeated words, a tenth of the documents made periodic first."""
     return runs.report(_table(spark, sf_dir, "documents"))
@@ -107,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_id_files": op8_id_files,
     "op9_url_filter": op9_url_filter,
     "op10_secrets": op10_secrets,
+    "op11_personal_data": op11_personal_data,
     "op12_periodic_runs": op12_periodic_runs,
     "op13_ranked_search": op13_ranked_search,
 }
