@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cdcmart.functions import codec
 from cdcmart.operators import replay, reports, upsert
 from cdcmart.plans import repair, reporting
+from cdcmart.plans.incremental import MaintainedReports
 from cdcmart.session import build_session
 from cdcmart.sinks import files
 from cdcmart.sinks.external import merge_sink
@@ -77,6 +78,11 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("--name", nargs="+", default=sorted(reporting.REPORTS), choices=sorted(reporting.REPORTS))
     sub.add_argument("--top", type=int, default=3)
 
+    sub = command("refresh", "bring the maintained reports up to date by what changed, and print them")
+    sub.add_argument("--name", nargs="+", default=sorted(reporting.REPORTS), choices=sorted(reporting.REPORTS))
+    sub.add_argument("--top", type=int, default=3)
+    sub.add_argument("--show", type=int, default=20, help="rows of each to print")
+
     sub = command("backfill", "upsert a date range of a source table")
     sub.add_argument("--table", required=True)
     sub.add_argument("--from-date", required=True)
@@ -175,6 +181,16 @@ def _report(mart: Mart, args: argparse.Namespace) -> None:
             report.show(args.show, truncate=False)
 
 
+def _refresh(mart: Mart, args: argparse.Namespace) -> None:
+    maintained = MaintainedReports(mart)
+    done = maintained.refresh()
+    print(json.dumps({"refreshed": done is not None, "whole": bool(done and done.whole)}))
+    maintained.clean()
+    for name in args.name:
+        print(name)
+        maintained.report(name, args.top).show(args.show, truncate=False)
+
+
 def _status(mart: Mart, args: argparse.Namespace) -> None:
     for name in _names(args.table):
         table = mart.table(name)
@@ -202,6 +218,8 @@ def main(argv: list[str] | None = None) -> int:
         _stream(mart, args)
     elif args.command == "report":
         _report(mart, args)
+    elif args.command == "refresh":
+        _refresh(mart, args)
     elif args.command == "backfill":
         _backfill(mart, args)
     elif args.command == "reset":

@@ -84,10 +84,22 @@ def pending_items_by_product(
         F.sum("_quantity").alias("pending_quantity"),
         F.count(F.lit(1)).alias("pending_item_count"),
     )
-    named = totals.join(products.select("product_id", "product_name"), "product_id", "left").select(
+    named = with_product_names(totals, products)
+    return named.orderBy(F.desc("pending_quantity"), "product_id") if ordered else named
+
+
+def with_product_names(totals: DataFrame, products: DataFrame) -> DataFrame:
+    """Totals by product with the product's name, null where it is not known."""
+    return totals.join(products.select("product_id", "product_name"), "product_id", "left").select(
         "product_id", "product_name", "pending_quantity", "pending_item_count"
     )
-    return named.orderBy(F.desc("pending_quantity"), "product_id") if ordered else named
+
+
+def with_customer_names(counts: DataFrame, customers: DataFrame) -> DataFrame:
+    """Counts by customer with the customer's name; those of unknown customers are left out."""
+    return counts.join(customers.select("customer_id", "customer_name"), "customer_id").select(
+        "customer_id", "customer_name", "pending_order_count"
+    )
 
 
 def top_customers(orders: DataFrame, customers: DataFrame, k: int = 3) -> DataFrame:
@@ -97,10 +109,7 @@ def top_customers(orders: DataFrame, customers: DataFrame, k: int = 3) -> DataFr
         .groupBy("customer_id")
         .agg(F.count("order_id").alias("pending_order_count"))
     )
-    named = counts.join(customers.select("customer_id", "customer_name"), "customer_id").select(
-        "customer_id", "customer_name", "pending_order_count"
-    )
-    return top_k(named, k, "pending_order_count", "customer_id")
+    return top_k(with_customer_names(counts, customers), k, "pending_order_count", "customer_id")
 
 
 def top_k(rows: DataFrame, k: int, measure: str, tie_break: str) -> DataFrame:

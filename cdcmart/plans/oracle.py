@@ -279,4 +279,11 @@ JOIN (SELECT 'delivery_status_summary' AS report, COUNT(*) AS n FROM (
 """,
 }
 
+_BODIES |= {
+    "report_incremental_delivery_status": _BODIES["report_delivery_status"],
+    "report_incremental_top_delivery_dates": _BODIES["report_top_delivery_dates"],
+    "report_incremental_pending_items": _BODIES["stream_report_pending_items"],
+    "report_incremental_top_customers": _TOP_CUSTOMERS,
+}
+
 SQL = {name: PRELUDE + body for name, body in _BODIES.items()}

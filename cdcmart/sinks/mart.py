@@ -347,7 +347,7 @@ class MartTable:
     def append_rejected(self, changes: DataFrame, version: int) -> None:
         changes.write.mode("overwrite").parquet(f"{self.path}/rejected/batch_id={version}")
 
-    def _foldable(self) -> int:
+    def settled_version(self) -> int:
         """The newest committed version that no claimed one comes before."""
         limit = min([v - 1 for v in self._claimed() if v not in self.versions(_DELTA)], default=None)
         kinds = (_FULL, _MERGED, _DELTA)
@@ -374,7 +374,7 @@ class MartTable:
 
         Returns the version written, or None when there is nothing to fold. For between two rewrites.
         """
-        latest = self._foldable()
+        latest = self.settled_version()
         _, merged, deltas = self._parts(latest)
         if not deltas or len(merged) + len(deltas) == 1:
             return None
@@ -387,7 +387,7 @@ class MartTable:
         Returns the version written, or None when nothing was pending. Older files stay for their
         readers until :meth:`vacuum`.
         """
-        latest = self._foldable()
+        latest = self.settled_version()
         _, merged, deltas = self._parts(latest)
         if not deltas and not merged:
             return None

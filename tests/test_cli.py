@@ -28,6 +28,8 @@ def test_a_day_with_the_command_line(spark, root, tmp_path, capsys):
     assert spark.read.parquet(places["pending_items_by_product"]).first().product_name == "bolt"
     run(root, "report", "--name", "top_customers", "--show", "5", "--output", str(tmp_path / "out"))
     assert "ann" in capsys.readouterr().out
+    run(root, "refresh", "--name", "top_customers")
+    assert "ann" in (said := capsys.readouterr().out) and json.loads(said.splitlines()[0]) == {"refreshed": True, "whole": True}
     run(root, "sync")
     run(root, "merge")
     run(root, "compact")
