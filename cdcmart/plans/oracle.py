@@ -286,4 +286,19 @@ _BODIES |= {
     "report_incremental_top_customers": _TOP_CUSTOMERS,
 }
 
+_LOST = "(SELECT CASE WHEN line_no < 6 THEN order_id ELSE 0 END AS order_id, line_no, product_id, quantity FROM fi)"
+
+_BODIES |= {
+    "bucketed_denormalize_status": f"""
+SELECT l.order_id, l.line_no, l.product_id, l.quantity, COALESCE(o.status, 'unknown') AS order_status
+FROM {_LOST} l LEFT JOIN fo o ON o.order_id = l.order_id
+""",
+    "bucketed_status_sync": f"""
+SELECT l.order_id, l.line_no, l.product_id,
+       COALESCE(o.status, CASE WHEN l.order_id % 3 = 0 THEN 'PENDING' ELSE 'unknown' END) AS order_status
+FROM {_LOST} l LEFT JOIN fo o ON o.order_id = l.order_id
+""",
+    "bucketed_pending_items": _PENDING.replace("FROM fi JOIN", f"FROM {_LOST} fi JOIN"),
+}
+
 SQL = {name: PRELUDE + body for name, body in _BODIES.items()}

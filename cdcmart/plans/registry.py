@@ -12,16 +12,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcmart.functions import codec, envelope
-from cdcmart.operators import backfill, contracts, history, reports, upsert
+from cdcmart.operators import backfill, contracts, deltas, history, reports, upsert
 from cdcmart.operators.replay import replay_from
 from cdcmart.plans import bindings as b
 from cdcmart.plans import repair
 from cdcmart.plans.incremental import MaintainedReports
 from cdcmart.plans.reporting import all_violations, report_set
 from cdcmart.session import prepare, scratch_dir
+from cdcmart.sinks import bucketed
 from cdcmart.sinks.mart import Mart, version_of
 from cdcmart.sources.changes import change_stream
-from cdcmart.specs import CUSTOMERS, EXTRAS, OFFSET, ORDERS, PRODUCTS
+from cdcmart.specs import CUSTOMERS, EXTRAS, OFFSET, ORDER_ITEMS, ORDERS, PRODUCTS
 from cdcmart.streaming.runner import start_mart_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,7 @@ _ORDERS_KNOWN_UNTIL = "2000-12-31"
 _GAP = ("1996-03-01", "1996-08-31")
 _BACKFILL = ("1996-01-01", "1996-12-31")
 _SALT = 16
+_BUCKETS = 8
 
 
 def _query(run: Query) -> Query:
@@ -413,6 +415,47 @@ def status_sync(spark, sf_dir):
     return state
 
 
+# -- items and orders in buckets ----------------------------------------------------------------
+
+
+def _bucketed(spark, sf_dir) -> tuple[bucketed.BucketedTable, bucketed.BucketedTable]:
+    """Items and orders in buckets of the order; the last lines of orders have lost theirs and hold its default."""
+    folder = scratch_dir(spark, "buckets")
+    mark = folder.rsplit("-", 1)[1]
+    items = bucketed.BucketedTable(spark, f"items_{mark}", "order_id")
+    orders = bucketed.BucketedTable(spark, f"orders_{mark}", "order_id")
+    lost = F.col("line_no") >= 6
+    rows = b.fact_order_items(spark, sf_dir).withColumn("order_id", F.when(~lost, F.col("order_id")).otherwise(0))
+    items.write(rows, _BUCKETS, folder, default=ORDER_ITEMS.defaults["order_id"])
+    orders.write(b.fact_orders(spark, sf_dir), _BUCKETS, folder, unique=True)
+    return items, orders
+
+
+@_query
+def bucketed_denormalize_status(spark, sf_dir):
+    items = bucketed.by_parts(*_bucketed(spark, sf_dir), upsert.denormalize)
+    quantity = reports.pending_quantity().alias("quantity")
+    return items.select("order_id", "line_no", "product_id", quantity, "order_status")
+
+
+@_query
+def bucketed_status_sync(spark, sf_dir):
+    """The stored status of every item, wrong for two in three, brought to that of its order."""
+    items, orders = _bucketed(spark, sf_dir)
+    stored = F.when(F.pmod("order_id", F.lit(3)) == 0, F.lit("PENDING")).otherwise(F.lit("unknown"))
+    sync = lambda rows, other: upsert.sync_from(rows.withColumn("order_status", stored), other)
+    synced = bucketed.by_parts(items, orders, sync)
+    return synced.select("order_id", "line_no", "product_id", "order_status")
+
+
+@_query
+def bucketed_pending_items(spark, sf_dir):
+    """Totals of both parts added up, then named."""
+    found = [deltas.pending_items(deltas.appeared(i), o) for i, o in bucketed.parts(*_bucketed(spark, sf_dir))]
+    totals = deltas.added_up(deltas.union(found), "pending_items")
+    return deltas.pending_items_by_product(totals, b.dim_product(spark, sf_dir))
+
+
 # -- repair -------------------------------------------------------------------------------------
 
 
