@@ -16,7 +16,7 @@ from cdcmart.plans import repair, reporting
 from cdcmart.plans.incremental import MaintainedReports
 from cdcmart.session import build_session
 from cdcmart.sinks import files
-from cdcmart.sinks.external import merge_sink
+from cdcmart.sinks.external import catalog_table
 from cdcmart.sinks.mart import Mart
 from cdcmart.sources import changes, tables
 from cdcmart.specs import SPECS, resolve
@@ -44,6 +44,8 @@ def build_parser() -> argparse.ArgumentParser:
     def command(name: str, text: str) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=text)
         sub.add_argument("--root", required=True, help="folder of the mart, on shared storage")
+        sub.add_argument("--merge-into", metavar="TABLE=CATALOG_TABLE", nargs="*", default=[],
+                         help="tables whose current state is a catalog table, kept by MERGE; the same for every command")
         return sub
 
     def with_tables(sub: argparse.ArgumentParser) -> None:
@@ -69,8 +71,6 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("--deletes", default="ignore", choices=["ignore", "soft"])
     sub.add_argument("--encoding", default=codec.CONNECT, choices=[codec.CONNECT, codec.ISO])
     sub.add_argument("--on-conflict", choices=[upsert.LAST_BATCH, upsert.NEWEST])
-    sub.add_argument("--merge-into", metavar="TABLE=CATALOG_TABLE", nargs="*", default=[],
-                     help="keep catalog tables by MERGE instead of the mart's files")
 
     sub = command("report", "write whole reports and print where they are")
     sub.add_argument("--output", help="folder for them; default: reports, below the root")
@@ -137,15 +137,13 @@ def _stream(mart: Mart, args: argparse.Namespace) -> None:
         # A checkpoint goes on from where it is; a start position would be ignored without a word.
         if args.offset != replay.EARLIEST and files.exists(mart.spark, f"{mart.checkpoint(name)}/metadata"):
             raise SystemExit(f"{name}: --offset has no effect on a stream that has started; run replay first")
-    into = dict(m.split("=", 1) for m in args.merge_into)
-    sinks = {resolve(n).name: merge_sink(t, mart.table(n).spec, mart.table(n).on_conflict) for n, t in into.items()}
     options = {"deletes": args.deletes, "encoding": args.encoding}
     scans = {n: _scan(mart.spark, args, n) for n in names}
     if not args.once:
-        runner.run_all(mart, scans, trigger=args.trigger, sinks=sinks, **options)
+        runner.run_all(mart, scans, trigger=args.trigger, **options)
         return
     for name, scan in scans.items():
-        query = runner.start_mart_stream(mart, name, scan, trigger=None, sink=sinks.get(name), **options)
+        query = runner.start_mart_stream(mart, name, scan, trigger=None, **options)
         query.awaitTermination()
 
 
@@ -196,7 +194,7 @@ def _status(mart: Mart, args: argparse.Namespace) -> None:
         table = mart.table(name)
         line = {
             "table": name,
-            "rows": table.read().count(),
+            "rows": mart.current(name).count(),
             "version": table.latest_version(),
             "generation": table.generation(),
             "checkpoint": runner.checkpoint_status(mart.spark, mart.checkpoint(name)),
@@ -210,6 +208,10 @@ def main(argv: list[str] | None = None) -> int:
     size = args.input_gib * 1024**3 if args.input_gib else None
     spark = build_session(master=args.master, input_bytes=size)
     mart = Mart(spark, args.root, on_conflict=getattr(args, "on_conflict", None))
+    for given in args.merge_into:
+        name, table = given.split("=", 1)
+        kept = mart.table(name)
+        mart.outside[kept.spec.name] = catalog_table(spark, table, kept.spec, kept.on_conflict)
     if args.command == "init":
         mart.create()
     elif args.command == "validate":

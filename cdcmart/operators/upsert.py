@@ -10,7 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cdcmart.operators.skew import salted_join
-from cdcmart.specs import TODAY, TableSpec
+from cdcmart.specs import ORDER_ITEMS, TODAY, TableSpec
+
+# The order of items that have none.
+NO_ORDER = ORDER_ITEMS.defaults["order_id"]
 
 LAST_BATCH = "last_batch"
 NEWEST = "newest"
@@ -180,18 +183,30 @@ def denormalize(
     into: str = "order_status",
     default: str = "unknown",
     salt: int | None = None,
+    no_key: object = NO_ORDER,
 ) -> DataFrame:
-    """Copy the order's status onto each item; items without a known order get the default."""
-    lookup = orders.select(on, F.col(value).alias("_status"))
-    able, unable = _matchable(items, on)
-    joined = salted_join(able, lookup, on, "left", salt)
-    found = joined.withColumn(into, F.coalesce("_status", F.lit(default))).drop("_status")
-    return found.unionByName(unable.withColumn(into, F.lit(default)))
+    """Copy the order's status onto each item; items without a known order get the default.
 
+    ``no_key`` is the default of the key, see :func:`_with_status`.
+    """
+    joined = _with_status(items, orders, on, value, salt, no_key)
+    return joined.withColumn(into, F.coalesce("_status", F.lit(default))).drop("_status")
 
-def _matchable(items: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
-    """Rows that may find their order, and those that cannot: a null key matches nothing, and may be frequent."""
-    return items.where(F.col(on).isNotNull()), items.where(F.col(on).isNull())
+
+def _with_status(
+    items: DataFrame, orders: DataFrame, on: str, value: str, salt: int | None, no_key: object
+) -> DataFrame:
+    """Add the status of its order, or null, to each item.
+
+    A null key matches nothing and the key's default at most one order, and both may be frequent: such items go
+    round the join. The status of that one order, where there is one, is looked up once.
+    """
+    lookup = orders.select(on, F.col(value).alias("_status"))
+    able = F.col(on).isNotNull() & (F.col(on) != F.lit(no_key))
+    joined = salted_join(items.where(able), lookup, on, "left", salt)
+    only = lookup.where(F.col(on) == F.lit(no_key)).agg(F.max("_status")).scalar()
+    rest = items.where(F.col(on).isNull() | (F.col(on) == F.lit(no_key)))
+    return joined.unionByName(rest.withColumn("_status", F.when(F.col(on).isNotNull(), only)))
 
 
 def sync_from(
@@ -201,13 +216,12 @@ def sync_from(
     value: str = "status",
     into: str = "order_status",
     salt: int | None = None,
+    no_key: object = NO_ORDER,
 ) -> DataFrame:
     """Refresh the copied status where it differs; items without an order keep theirs."""
-    lookup = orders.select(on, F.col(value).alias("_status"))
-    able, unable = _matchable(items, on)
-    joined = salted_join(able, lookup, on, "left", salt)
+    joined = _with_status(items, orders, on, value, salt, no_key)
     fresh = F.when(F.col(into) != F.col("_status"), F.col("_status")).otherwise(F.col(into))
-    return joined.withColumn(into, fresh).drop("_status").select(*items.columns).unionByName(unable)
+    return joined.withColumn(into, fresh).select(*items.columns)
 
 
 def carry_over(

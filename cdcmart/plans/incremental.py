@@ -41,6 +41,8 @@ class MaintainedReports:
     def __init__(
         self, mart: Mart, orders: str = "fact_orders", items: str = "fact_order_items", folder: str | None = None
     ):
+        if kept := {orders, items} & set(mart.outside):
+            raise ValueError(f"no versions to follow: {', '.join(sorted(kept))} is kept outside")
         self.mart = mart
         self.orders, self.items = mart.table(orders), mart.table(items)
         self.path = folder or f"{mart.root}/totals"

@@ -55,24 +55,27 @@ def backfill(
         latest = upsert.drop_duplicate_keys(rows, spec)
         if "order_status" in spec.derived:
             wanted = rows.select("order_id").where("order_id is not null")
-            latest = upsert.denormalize(latest, mart.table("fact_orders").read(keys=wanted))
+            latest = upsert.denormalize(latest, mart.current("fact_orders", wanted))
         absent = [c for c in spec.columns if c not in latest.columns]
-        filled = upsert.carry_over(latest, table.read(keys=rows), spec, absent)
+        filled = upsert.carry_over(latest, mart.current(spec.name, rows), spec, absent)
         return upsert.apply_defaults(filled, spec)
 
     if dry_run:
         return BackfillResult(spec.name, rows_extracted=rows.count(), plan=_plan(prepared()))
 
+    outside = spec.name in mart.outside
     # Reserved before anything is read, so that no fold of a stream beside this job passes it by.
-    version = table.claim()
+    version = None if outside else table.claim()
     try:
         changes = prepared().persist()
         try:
-            counts = ops.run_summary(table.read().select(*spec.key), changes, spec).first().asDict()
+            counts = ops.run_summary(mart.current(spec.name).select(*spec.key), changes, spec).first().asDict()
             if counts["rows_extracted"] == 0:
                 logger.warning("%s: the source has no rows from %s to %s", spec.name, from_date, to_date)
                 return BackfillResult(spec.name, **counts)
-            table.commit_changes(changes, version)
+            mart.commit(spec.name, changes, version)
+            if outside:
+                return BackfillResult(spec.name, **counts)
             # Only a claim that outlived its day can have been passed by; the rows then go in again.
             while table.superseded(version):
                 table.release(version)
@@ -82,7 +85,8 @@ def backfill(
         finally:
             changes.unpersist()
     finally:
-        table.release(version)
+        if version is not None:
+            table.release(version)
 
 
 def sync_status(mart: Mart, name: str = "fact_order_items", orders: str = "fact_orders") -> int | None:
@@ -92,6 +96,9 @@ def sync_status(mart: Mart, name: str = "fact_order_items", orders: str = "fact_
     rewrite or a replay of the orders has folded those changes away, all items are compared once.
     """
     items, parents = mart.table(name), mart.table(orders)
+    kept = {items.spec.name, parents.spec.name} & set(mart.outside)
+    if kept:
+        return _sync_outside(mart, items.spec.name, parents.spec.name)
     seen, latest = items.synced_to(orders), parents.latest_version()
     if latest <= seen:
         return None
@@ -101,8 +108,7 @@ def sync_status(mart: Mart, name: str = "fact_order_items", orders: str = "fact_
     touched = able if changed is None else able.join(changed.select("order_id").distinct(), "order_id", "left_semi")
     version = items.claim()
     try:
-        fresh = upsert.sync_from(touched.withColumn("_stored", F.col("order_status")), known)
-        stale = fresh.where(~F.col("_stored").eqNullSafe(F.col("order_status"))).drop("_stored").persist()
+        stale = _stale(touched, known).persist()
         try:
             wrote = not stale.isEmpty()
             if wrote:
@@ -115,6 +121,32 @@ def sync_status(mart: Mart, name: str = "fact_order_items", orders: str = "fact_
         items.release(version)
 
 
+def _stale(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Items that store another status than their order has, with the present one."""
+    fresh = upsert.sync_from(items.withColumn("_stored", F.col("order_status")), orders)
+    return fresh.where(~F.col("_stored").eqNullSafe(F.col("order_status"))).drop("_stored")
+
+
+def _sync_outside(mart: Mart, items: str, orders: str) -> int | None:
+    """:func:`sync_status` where one of the tables has no versions to go by: all items are compared."""
+    stale = _stale(mart.current(items).where("order_id is not null"), mart.current(orders)).persist()
+    try:
+        if stale.isEmpty():
+            return None
+        if items in mart.outside:
+            mart.outside[items].write(stale)
+            return None
+        table = mart.table(items)
+        version = table.claim()
+        try:
+            table.commit_changes(stale, version)
+        finally:
+            table.release(version)
+        return version
+    finally:
+        stale.unpersist()
+
+
 def _plan(df: DataFrame) -> str:
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
@@ -125,6 +157,8 @@ def _plan(df: DataFrame) -> str:
 def reset_table(mart: Mart, name: str, replay: bool = False) -> dict:
     """Empty one table and its history; with ``replay`` its stream starts over as well."""
     table = mart.table(name)
+    if table.spec.name in mart.outside:
+        raise ValueError(f"{table.spec.name} is kept outside: empty it there")
     before = table.read().count()
     version = table.reset()
     if replay:

@@ -40,7 +40,7 @@ def report_set(mart: Mart, names: Iterable[str] = tuple(REPORTS), k: int = 3) ->
         "top_delivery_dates": lambda: reports.top_delivery_dates(orders, k),
         # The report joins the orders itself, so the items' own copy of the status is not needed.
         "pending_items_by_product": lambda: reports.pending_items_by_product(
-            mart.table("fact_order_items").read(), orders, mart.read("dim_product")
+            mart.current("fact_order_items"), orders, mart.read("dim_product")
         ),
         "top_customers": lambda: reports.top_customers(orders, mart.read("dim_customer"), k),
     }

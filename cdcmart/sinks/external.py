@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cdcmart.operators.upsert import LAST_BATCH, NEWEST
@@ -55,6 +56,17 @@ def newer(table: str, spec: TableSpec) -> Column:
     return F.expr(f"struct({mine}) >= struct({theirs})")
 
 
-def merge_sink(table: str, spec: TableSpec, on_conflict: str = LAST_BATCH) -> Callable[[DataFrame], None]:
-    """A sink for ``start_mart_stream`` that keeps a catalog table current."""
-    return lambda latest: merge_into_table(latest, table, spec, on_conflict)
+@dataclass(frozen=True)
+class Outside:
+    """A current-state table that is kept elsewhere: how to read it, and how to upsert the newest rows of a batch.
+
+    The write has to bear a batch that comes again; an upsert does.
+    """
+
+    read: Callable[[], DataFrame]
+    write: Callable[[DataFrame], None]
+
+
+def catalog_table(spark: SparkSession, table: str, spec: TableSpec, on_conflict: str = LAST_BATCH) -> Outside:
+    """A catalog table whose format supports ``MERGE``."""
+    return Outside(lambda: spark.table(table), lambda latest: merge_into_table(latest, table, spec, on_conflict))

@@ -23,8 +23,9 @@ that runs again overwrites its own folder.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +34,7 @@ from cdcmart.operators import history, upsert
 from cdcmart.operators.contracts import schema_differences
 from cdcmart.session import prepare
 from cdcmart.sinks import files
+from cdcmart.sinks.external import Outside
 from cdcmart.specs import PARTITION, SPECS, TOPIC, TableSpec, resolve
 
 # Version numbers order all writes to a table: generation, then batch, then repairs after it.
@@ -307,13 +309,19 @@ class MartTable:
         """Write every event of a batch to the batch's own history folder.
 
         The folder is filed by day. A batch that runs again after midnight goes back to the folder
-        of its first run, which can only be below the newest day.
+        of its first run, which can only be below the newest day. Where that day is merged by now it holds the
+        batch whole, since a day is not merged while a batch of it is unfinished.
         """
         when = recorded_at or dt.datetime.now(dt.timezone.utc)
         folder, own = f"{self.path}/history", f"batch_id={version}"
         day = f"recorded_on={when.date().isoformat()}"
-        newest = max(self._history_days(), default=day)
-        if files.exists(self.spark, f"{folder}/{newest}/{own}"):
+        merged = self._merged_days()
+        newest = max([*self._history_days(), *merged], default=day)
+        if newest in merged:
+            stored = self.spark.read.parquet(f"{self.path}/history_days/{newest}").where(F.col("batch_id") == version)
+            if not stored.isEmpty():
+                return
+        elif files.exists(self.spark, f"{folder}/{newest}/{own}"):
             day = newest
         rows = history.entries(changes, self.spec, when.date(), when)
         rows.write.mode("overwrite").parquet(f"{folder}/{day}/{own}")
@@ -331,19 +339,29 @@ class MartTable:
     def merge_history(self, before: dt.date | None = None) -> list[str]:
         """Rewrite each day before ``before`` (by default yesterday) from a folder per batch into one; returns the days.
 
-        A day has to be over for as long as a batch of it may still be retried. Rows, ids and batch numbers
-        stay; the batches' folders go with a later :meth:`vacuum`.
+        A day with an unfinished batch is left alone: the batch will run again and write there. Rows, ids and batch
+        numbers stay; the batches' folders go with a later :meth:`vacuum`.
         """
         limit = before or dt.datetime.now(dt.timezone.utc).date() - dt.timedelta(days=1)
         known, done = self._merged_days(), []
         for day in sorted(self._history_days()):
-            if day in known or day.split("=")[1] >= limit.isoformat():
+            if day in known or day.split("=")[1] >= limit.isoformat() or self._unfinished(day):
                 continue
+            batches = files.subfolders(self.spark, f"{self.path}/history/{day}")
             rows = self.read_history().where(F.col("recorded_on") == day.split("=")[1]).drop("recorded_on")
             rows.write.mode("overwrite").parquet(f"{self.path}/history_days/{day}")
+            if files.subfolders(self.spark, f"{self.path}/history/{day}") != batches:
+                # A batch came back to the day meanwhile: it is not in what was written.
+                files.remove_folder(self.spark, f"{self.path}/history_days/{day}")
+                continue
             done.append(day)
         return done
 
+    def _unfinished(self, day: str) -> bool:
+        """Whether a batch of the day has begun to write its events and not ended."""
+        path = f"{self.path}/history/{day}"
+        return any(not files.exists(self.spark, f"{path}/{b}/_SUCCESS") for b in files.subfolders(self.spark, path))
+
     def append_rejected(self, changes: DataFrame, version: int) -> None:
         changes.write.mode("overwrite").parquet(f"{self.path}/rejected/batch_id={version}")
 
@@ -450,12 +468,15 @@ class Mart:
         root: str,
         specs: dict[str, TableSpec] | None = None,
         on_conflict: str | None = None,
+        outside: Mapping[str, Outside] | None = None,
     ):
+        """``outside`` names tables whose current state is kept elsewhere; their histories are kept here all the same."""
         prepare(spark)
         self.spark = spark
         self.root = root.rstrip("/")
         self.specs = dict(specs or SPECS)
         self.on_conflict = on_conflict
+        self.outside = dict(outside or {})
 
     def table(self, name: str) -> MartTable:
         spec = self.specs.get(name) or resolve(name)
@@ -467,12 +488,30 @@ class Mart:
         ``stored_status`` takes the status that the items' own table holds, without a join with the orders:
         that of the last ``repair.sync_status``.
         """
-        table = self.table(name)
-        state = table.read()
-        if "order_status" in table.spec.derived and not stored_status:
-            state = upsert.sync_from(state, self.table("fact_orders").read())
+        spec = self.table(name).spec
+        state = self.current(spec.name)
+        if "order_status" in spec.derived and not stored_status:
+            state = upsert.sync_from(state, self.current("fact_orders"))
         return state
 
+    def current(self, name: str, keys: DataFrame | None = None, bounds: tuple | None = None) -> DataFrame:
+        """The stored current state of a table, wherever it is kept; for ``keys`` and ``bounds`` see
+        :meth:`MartTable.read`."""
+        if name not in self.outside:
+            return self.table(name).read(keys=keys, bounds=bounds)
+        spec = self.table(name).spec
+        rows = self.outside[name].read().select(*spec.columns)
+        if bounds is not None:
+            rows = rows.where(F.col(spec.key[0]).between(*bounds))
+        return rows if keys is None else rows.join(keys.select(*spec.key).distinct(), list(spec.key), "left_semi")
+
+    def commit(self, name: str, latest: DataFrame, version: int) -> None:
+        """Upsert one row per changed key, defaults applied, wherever the table is kept."""
+        if name in self.outside:
+            self.outside[name].write(latest)
+        else:
+            self.table(name).commit_changes(latest, version)
+
     def checkpoint(self, name: str) -> str:
         """Checkpoint folder of a table's stream; a replay starts a new one."""
         table = self.table(name)
@@ -483,7 +522,7 @@ class Mart:
         for name in self.specs:
             table = self.table(name)
             table.settle(on_conflict=self.on_conflict, **settings)
-            if not table.exists():
+            if name not in self.outside and not table.exists():
                 table.commit_state(table._empty(table.spec.mart_schema), 0)
 
     def problems(self) -> list[str]:
@@ -491,13 +530,13 @@ class Mart:
         found = []
         for name, spec in self.specs.items():
             table = self.table(name)
-            if not table.exists():
+            if name not in self.outside and not table.exists():
                 found.append(f"{name}: missing")
                 continue
-            kind = _FULL if table.versions(_FULL) else _DELTA
-            stored = self.spark.read.parquet(
-                f"{table.path}/{kind}/version={table.versions(kind)[-1]}"
-            )
+            stored = self._stored(name)
+            if stored is None:
+                found.append(f"{name}: missing outside")
+                continue
             found += [f"{name}: {p}" for p in schema_differences(stored, spec.mart_schema)]
             days = table._history_days()
             if spec.history and days:
@@ -507,6 +546,17 @@ class Mart:
                 found += [f"{name} history: {p}" for p in problems]
         return found
 
+    def _stored(self, name: str) -> DataFrame | None:
+        """A table's rows with the columns they are stored with; None where one kept outside cannot be read."""
+        if name in self.outside:
+            try:
+                return self.outside[name].read()
+            except AnalysisException:
+                return None
+        table = self.table(name)
+        kind = _FULL if table.versions(_FULL) else _DELTA
+        return self.spark.read.parquet(f"{table.path}/{kind}/version={table.versions(kind)[-1]}")
+
     def validate(self) -> None:
         """Fail before any stream starts when a table is missing or has the wrong columns."""
         found = self.problems()

@@ -95,9 +95,9 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
                 if orders:
                     wanted = keyed.select("order_id").where("order_id is not null")
                     bounds = (counts["low"], counts["high"]) if counts["low"] is not None else None
-                    known = mart.table(orders).read(keys=wanted, bounds=bounds)
+                    known = mart.current(orders, wanted, bounds)
                     latest = upsert.denormalize(latest, known)
-                table.commit_changes(upsert.apply_defaults(latest, spec, now.date()), version)
+                mart.commit(spec.name, upsert.apply_defaults(latest, spec, now.date()), version)
                 if spec.history:
                     table.append_history(keyed, version, now)
             if counts["without_key"]:
@@ -113,16 +113,3 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
 
     return handle
 
-
-def sink_batch(spec: TableSpec, sink: Callable[[DataFrame], None]) -> BatchHandler:
-    """Handler that hands the newest row of each key, defaults applied, to a sink of another system.
-
-    The sink has to bear a batch that comes again; an upsert does.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        stored = [c for c in spec.columns if c in batch.columns]
-        latest = upsert.drop_duplicate_keys(batch.select(*stored), spec)
-        sink(upsert.apply_defaults(latest, spec, dt.datetime.now(dt.timezone.utc).date()))
-
-    return handle

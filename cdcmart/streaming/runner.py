@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -27,14 +27,12 @@ def start_mart_stream(
     deletes: str = "ignore",
     encoding: str = codec.CONNECT,
     on_commit: batches.OnCommit | None = None,
-    sink: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Start the stream that keeps one mart table current.
 
     ``trigger=None`` processes what is there and stops. The checkpoint belongs to the table's
     generation, so a stream started after a replay request reads the log from its start position.
-    Folds, vacuum and reports are jobs of their own. ``sink`` takes the newest row of each key of a batch
-    instead of the mart's files, for example ``external.merge_sink``.
+    Folds, vacuum and reports are jobs of their own.
     """
     table = mart.table(name)
     table.settle(on_conflict=table.on_conflict, deletes=deletes, encoding=encoding)
@@ -45,8 +43,6 @@ def start_mart_stream(
         generation=table.generation(),
         on_commit=on_commit,
     )
-    if sink is not None:
-        handler = batches.sink_batch(table.spec, sink)
     changes = batches.parse(records, table.spec, deletes, encoding)
     writer = (
         changes.writeStream.queryName(f"{table.spec.source}_stream")
@@ -61,7 +57,6 @@ def start_mart_stream(
 def run_all(
     mart: Mart,
     records: Mapping[str, DataFrame],
-    sinks: Mapping[str, Callable[[DataFrame], None]] | None = None,
     **options,
 ) -> None:
     """Run one stream per table until any of them ends, then stop all; a failure is raised."""
@@ -70,7 +65,7 @@ def run_all(
     queries: list[StreamingQuery] = []
     try:
         for name, scan in records.items():
-            queries.append(start_mart_stream(mart, name, scan, sink=(sinks or {}).get(name), **options))
+            queries.append(start_mart_stream(mart, name, scan, **options))
         mart.spark.streams.awaitAnyTermination()
     finally:
         stop_all(queries)

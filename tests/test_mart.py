@@ -8,9 +8,11 @@ import pytest
 from helpers import decimal, event, records, rows
 from pyspark.sql import functions as F
 
-from cdcmart.operators import reports
+from cdcmart.operators import reports, upsert
 from cdcmart.plans import repair, reporting
+from cdcmart.plans.incremental import MaintainedReports
 from cdcmart.sinks import files
+from cdcmart.sinks.external import Outside
 from cdcmart.sinks.mart import Mart, version_of
 from cdcmart.sources.changes import change_batch, change_stream
 from cdcmart.specs import EXTRAS, OFFSET, SPECS
@@ -330,12 +332,105 @@ def test_a_bad_timestamp_is_null_and_the_stream_goes_on(spark, root, feed):
     assert rows(mart.read("dim_customer"), "customer_name", "updated_at") == [("a", None)]
 
 
-def test_a_sink_takes_the_newest_rows(spark, root, feed):
-    mart, taken = Mart(spark, root), []
+class Elsewhere:
+    """A current-state table of another system: upserts into a frame that is written anew each time."""
+
+    def __init__(self, spark, path, spec):
+        self.spark, self.path, self.spec, self.number = spark, str(path), spec, 0
+        spark.createDataFrame([], spec.mart_schema).write.parquet(f"{self.path}/0")
+
+    def read(self):
+        return self.spark.read.parquet(f"{self.path}/{self.number}")
+
+    def write(self, latest):
+        upsert.merge_latest(self.read(), latest, self.spec).write.parquet(f"{self.path}/{self.number + 1}")
+        self.number += 1
+
+    def outside(self):
+        return Outside(self.read, self.write)
+
+
+def test_only_the_current_state_is_kept_outside(spark, root, feed, tmp_path):
+    kept = Elsewhere(spark, tmp_path / "kept", SPECS["dim_customer"])
+    mart = Mart(spark, root, outside={"dim_customer": kept.outside()})
+    mart.create()
+    mart.validate()
     feed.send(event("c", customer(1, "a", 1)), event("u", customer(1, "b", 2)), event("c", {"customer_name": "x"}))
-    feed.run(mart, "customers", sink=lambda df: taken.extend(rows(df, "customer_id", "customer_name", "is_active")))
-    assert taken == [(1, "b", True)]
-    assert not mart.table("customers").exists()
+    feed.run(mart, "customers")
+    assert names(mart) == [(1, "b")] and rows(kept.read(), "is_active") == [(True,)]
+    table = mart.table("customers")
+    assert not table.exists()
+    assert rows(table.read_history(), OFFSET) == [(0,), (1,)]
+    assert spark.read.parquet(f"{table.path}/rejected").count() == 1
+    with pytest.raises(ValueError, match="kept outside"):
+        repair.reset_table(mart, "customers")
+    gone = Outside(lambda: spark.table("no_such_table"), print)
+    assert Mart(spark, root, outside={"dim_customer": gone}).problems() == ["dim_customer: missing outside"]
+
+
+def test_orders_and_items_outside_feed_status_sync_backfill_and_reports(spark, root, tmp_path):
+    kept = {n: Elsewhere(spark, tmp_path / n, SPECS[n]) for n in ("fact_orders", "fact_order_items")}
+    mart = Mart(spark, root, outside={n: k.outside() for n, k in kept.items()})
+    plain = Mart(spark, f"{root}-plain")
+    sent = {
+        "orders": [event("c", order(1)), event("c", order(2, "COMPLETED"))],
+        "order_items": [event("c", item(1, 1)), event("c", item(2, 2)), event("c", item(3, 9))],
+        "products": [event("c", {"product_id": 5, "product_name": "bolt"})],
+        "customers": [event("c", customer(1, "ann"))],
+    }
+    for m in (mart, plain):
+        m.create()
+        for name, values in sent.items():
+            log = Feed(spark, tmp_path / m.root.replace("/", "_") / name)
+            log.send(*values)
+            log.run(m, name)
+    stored = rows(kept["fact_order_items"].read(), "order_item_id", "order_status")
+    assert stored == [(1, "PENDING"), (2, "COMPLETED"), (3, "unknown")]
+    found, want = reporting.report_set(mart), reporting.report_set(plain)
+    assert {n: rows(r) for n, r in found.items()} == {n: rows(r) for n, r in want.items()}
+    assert rows(found["pending_items_by_product"], "product_name", "pending_quantity") == [("bolt", 2)]
+
+    source = spark.sql("select 9L order_id, 'PENDING' status, timestamp'2024-05-01' created_at, timestamp'2024-05-01' updated_at")
+    done = repair.backfill(mart, "orders", source, "2024-05-01", "2024-05-02")
+    assert (done.rows_before, done.net_change, done.version) == (2, 1, None)
+    assert not mart.table("orders").exists()
+    assert repair.sync_status(mart) is None
+    assert rows(kept["fact_order_items"].read(), "order_item_id", "order_status")[2] == (3, "PENDING")
+    assert repair.sync_status(mart) is None and kept["fact_order_items"].number == 2
+    with pytest.raises(ValueError, match="kept outside"):
+        MaintainedReports(mart)
+
+
+def test_a_day_with_an_unfinished_batch_is_not_merged(spark, root):
+    """The batch dies while it writes, the fold comes, the batch runs again the next day, and all is cleaned up."""
+    table = Mart(spark, root).table("customers")
+    first, later = (dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc) for d in (1, 3))
+    logs = [records(spark, [event("c", customer(n, "a"))], first=n) for n in range(2)]
+    changes = [batches.parse(log, table.spec) for log in logs]
+    table.append_history(changes[0], 1000, first)
+    table.append_history(changes[1], 2000, first)
+    files.remove_folder(spark, f"{table.path}/history/recorded_on=2024-01-01/batch_id=2000/_SUCCESS")
+    assert table.merge_history(later.date()) == []
+    table.append_history(changes[1], 2000, later)
+    assert table.merge_history(later.date()) == ["recorded_on=2024-01-01"]
+    table.vacuum(dt.timedelta(0))
+    assert rows(table.read_history(), OFFSET, "batch_id") == [(0, 1000), (1, 2000)]
+
+
+@pytest.mark.parametrize("vacuumed", [False, True])
+def test_a_batch_of_a_merged_day_is_kept_once(spark, root, vacuumed):
+    """The batch had written its events and then failed: the fold has them, so the retry adds nothing."""
+    table = Mart(spark, root).table("customers")
+    first, later = (dt.datetime(2024, 1, d, tzinfo=dt.timezone.utc) for d in (1, 3))
+    logs = [records(spark, [event("c", customer(n, "a"))], first=n) for n in range(2)]
+    changes = [batches.parse(log, table.spec) for log in logs]
+    table.append_history(changes[0], 1000, first)
+    assert table.merge_history(later.date()) == ["recorded_on=2024-01-01"]
+    if vacuumed:
+        table.vacuum(dt.timedelta(0))
+    table.append_history(changes[0], 1000, later)
+    table.append_history(changes[1], 2000, later)
+    assert rows(table.read_history(), OFFSET, "batch_id", "recorded_on") == [(0, 1000, first.date()), (1, 2000, later.date())]
 
 
 def test_tables_without_a_flag_ignore_deletes(spark):
