@@ -13,14 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from cdcmart.functions import codec
 from cdcmart.operators import replay, reports, upsert
 from cdcmart.plans import repair, reporting
-from cdcmart.plans.incremental import MaintainedReports
+from cdcmart.plans.incremental import MaintainedReports, refresh_after_commit
 from cdcmart.session import build_session
 from cdcmart.sinks import files
 from cdcmart.sinks.external import catalog_table
 from cdcmart.sinks.mart import Mart
 from cdcmart.sources import changes, tables
 from cdcmart.specs import SPECS, resolve
-from cdcmart.streaming import runner
+from cdcmart.streaming import batches, runner
+
+AFTER_BATCH = {"sync": repair.sync_after_commit, "refresh": refresh_after_commit}
 
 RANKED = {
     "top_delivery_dates": ("open_order_count", "delivery_date"),
@@ -72,6 +74,14 @@ def build_parser() -> argparse.ArgumentParser:
     sub.add_argument("--encoding", default=codec.CONNECT, choices=[codec.CONNECT, codec.ISO])
     sub.add_argument("--on-conflict", choices=[upsert.LAST_BATCH, upsert.NEWEST])
 
+    sub.add_argument("--audit", action="store_true", help="keep offsets and unreadable records of every batch")
+    sub.add_argument("--after-batch", nargs="*", default=[], choices=sorted(AFTER_BATCH),
+                     help="sync: store the status of changed orders with their items; refresh: the maintained reports")
+
+    sub = command("audit", "print lost offsets and unreadable records of audited streams")
+    with_tables(sub)
+    sub.add_argument("--show", type=int, default=20, help="rows of each to print")
+
     sub = command("report", "write whole reports and print where they are")
     sub.add_argument("--output", help="folder for them; default: reports, below the root")
     sub.add_argument("--show", type=int, help="also print the first so many rows of each")
@@ -137,7 +147,12 @@ def _stream(mart: Mart, args: argparse.Namespace) -> None:
         # A checkpoint goes on from where it is; a start position would be ignored without a word.
         if args.offset != replay.EARLIEST and files.exists(mart.spark, f"{mart.checkpoint(name)}/metadata"):
             raise SystemExit(f"{name}: --offset has no effect on a stream that has started; run replay first")
-    options = {"deletes": args.deletes, "encoding": args.encoding}
+
+    def after(mart: Mart, name: str, version: int) -> None:
+        for word in sorted(args.after_batch, reverse=True):  # the reports see what the sync has stored
+            AFTER_BATCH[word](mart, name, version)
+
+    options = {"deletes": args.deletes, "encoding": args.encoding, "audit": args.audit, "on_commit": after}
     scans = {n: _scan(mart.spark, args, n) for n in names}
     if not args.once:
         runner.run_all(mart, scans, trigger=args.trigger, **options)
@@ -189,6 +204,14 @@ def _refresh(mart: Mart, args: argparse.Namespace) -> None:
         maintained.report(name, args.top).show(args.show, truncate=False)
 
 
+def _audit(mart: Mart, args: argparse.Namespace) -> None:
+    for name in _names(args.table):
+        for kind, rows in (("lost offsets", batches.lost_offsets(mart, name)), ("unreadable", batches.unreadable(mart, name))):
+            if rows is not None:
+                print(json.dumps({"table": name, kind: rows.count()}))
+                rows.show(args.show, truncate=False)
+
+
 def _status(mart: Mart, args: argparse.Namespace) -> None:
     for name in _names(args.table):
         table = mart.table(name)
@@ -220,6 +243,8 @@ def main(argv: list[str] | None = None) -> int:
         _stream(mart, args)
     elif args.command == "report":
         _report(mart, args)
+    elif args.command == "audit":
+        _audit(mart, args)
     elif args.command == "refresh":
         _refresh(mart, args)
     elif args.command == "backfill":

@@ -301,4 +301,46 @@ FROM {_LOST} l LEFT JOIN fo o ON o.order_id = l.order_id
     "bucketed_pending_items": _PENDING.replace("FROM fi JOIN", f"FROM {_LOST} fi JOIN"),
 }
 
+_LOSSY = """
+, seen AS (
+  SELECT 'users' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS pos FROM events),
+kept AS (SELECT * FROM seen WHERE pos % 97 >= 5 AND pos % 50 <> "partition")
+"""
+
+_OUTCOME = """
+SELECT event_id, event_type, CASE event_id % 13 WHEN 0 THEN 'not_json' WHEN 1 THEN 'unknown_op' WHEN 2 THEN 'no_op'
+  WHEN 3 THEN 'missing_image' WHEN 4 THEN 'misfit' WHEN 5 THEN 'not_json' WHEN 6 THEN 'tombstone' END AS damage
+FROM events
+"""
+
+_BODIES |= {
+    "offset_gaps": _LOSSY + """
+SELECT topic, "partition", before + 1 AS first_missing, pos - 1 AS last_missing, pos - before - 1 AS missing
+FROM (SELECT kept.*, LAG(pos) OVER (PARTITION BY topic, "partition" ORDER BY pos) AS before FROM kept) g
+WHERE pos > before + 1
+""",
+    "offset_summary": _LOSSY + """
+SELECT topic, "partition", MIN(pos) AS first_offset, MAX(pos) AS last_offset, COUNT(*) AS offsets,
+       CAST(COUNT(*) FILTER (pos % 31 = 0) AS BIGINT) AS repeated, MAX(pos) - MIN(pos) + 1 - COUNT(*) AS missing
+FROM kept GROUP BY topic, "partition"
+""",
+    "cdc_quarantine": f"""
+SELECT event_id AS kafka_offset, damage AS reason, CASE damage WHEN 'misfit' THEN 'user_id' END AS fields
+FROM ({_OUTCOME}) o WHERE damage <> 'tombstone'
+""",
+    "cdc_outcomes": f"""
+SELECT COALESCE(damage, CASE event_type WHEN 'error' THEN 'delete' ELSE 'change' END) AS outcome, COUNT(*) AS n
+FROM ({_OUTCOME}) o GROUP BY 1
+""",
+    "drift_report": """
+SELECT field, type, CASE field WHEN 'note' THEN 'VARIANT' ELSE type END AS merged_type, COUNT(*) AS "rows",
+       MIN(event_id) AS first_offset, MAX(event_id) AS last_offset
+FROM (
+  SELECT 'note' AS field, CASE event_id % 3 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'STRING' ELSE 'VOID' END AS type, event_id
+  FROM events
+  UNION ALL SELECT 'flag', 'BOOLEAN', event_id FROM events WHERE event_id % 3 = 0) f
+GROUP BY field, type
+""",
+}
+
 SQL = {name: PRELUDE + body for name, body in _BODIES.items()}

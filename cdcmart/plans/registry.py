@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cdcmart.functions import codec, envelope
-from cdcmart.operators import backfill, contracts, deltas, history, reports, upsert
+from cdcmart.operators import audit, backfill, contracts, deltas, history, reports, upsert
 from cdcmart.operators.replay import replay_from
 from cdcmart.plans import bindings as b
 from cdcmart.plans import repair
@@ -22,7 +22,7 @@ from cdcmart.session import prepare, scratch_dir
 from cdcmart.sinks import bucketed
 from cdcmart.sinks.mart import Mart, version_of
 from cdcmart.sources.changes import change_stream
-from cdcmart.specs import CUSTOMERS, EXTRAS, OFFSET, ORDER_ITEMS, ORDERS, PRODUCTS
+from cdcmart.specs import CUSTOMERS, EXTRAS, OFFSET, ORDER_ITEMS, ORDERS, PARTITION, PRODUCTS, TOPIC
 from cdcmart.streaming.runner import start_mart_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -237,6 +237,81 @@ def cdc_decode_literals(spark, sf_dir):
     return _plain_time(decoded.withColumn("p", F.col("p").cast("double")))
 
 
+# -- audit of the log ---------------------------------------------------------------------------
+
+
+def _lossy(spark, sf_dir) -> DataFrame:
+    """Positions of the feed over four partitions, some stretches of each lost and some offsets read twice."""
+    offset = F.floor(F.col("event_id") / 4)
+    read = b.table(spark, sf_dir, "events").select(
+        F.lit("users").alias(TOPIC), (F.col("event_id") % 4).cast("int").alias(PARTITION), offset.alias(OFFSET)
+    )
+    kept = read.where((F.col(OFFSET) % 97 >= 5) & (F.col(OFFSET) % 50 != F.col(PARTITION)))
+    return kept.unionByName(kept.where(F.col(OFFSET) % 31 == 0))
+
+
+def _position_view(rows: DataFrame) -> DataFrame:
+    return rows.withColumnsRenamed({TOPIC: "topic", PARTITION: "partition"})
+
+
+@_query
+def offset_gaps(spark, sf_dir):
+    """In ranges of 1000 offsets, so that gaps within and between ranges occur."""
+    return _position_view(audit.offset_gaps(_lossy(spark, sf_dir), 1000))
+
+
+@_query
+def offset_summary(spark, sf_dir):
+    return _position_view(audit.offset_summary(_lossy(spark, sf_dir), 1000))
+
+
+def _damaged(spark, sf_dir) -> DataFrame:
+    """The event feed with seven of thirteen records damaged, each in another way."""
+    text, kind = F.col("value").cast("string"), F.col("offset") % 13
+    damaged = (
+        F.when(kind == 0, F.substring(text, 1, 20))
+        .when(kind == 1, F.regexp_replace(text, '"op":"."', '"op":"x"'))
+        .when(kind == 2, F.regexp_replace(text, '"op":"."', '"other":"x"'))
+        .when(kind == 3, F.regexp_replace(text, '"(before|after)":', '"was_$1":'))
+        .when(kind == 4, F.regexp_replace(text, '"user_id":[0-9]+', '"user_id":"some"'))
+        .when(kind == 5, F.lit("[1]"))
+        .when(kind != 6, text)
+    )
+    return _events(spark, sf_dir).withColumn("value", damaged.cast("binary"))
+
+
+@_query
+def cdc_quarantine(spark, sf_dir):
+    """Reason and position of every record that cannot be read as it should."""
+    found = audit.quarantine(_damaged(spark, sf_dir), b.USER_STATE)
+    return found.select(F.col(OFFSET).alias("kafka_offset"), "reason", "fields")
+
+
+@_query
+def cdc_outcomes(spark, sf_dir):
+    """Every record counts once, under one outcome."""
+    found = audit.outcomes(_damaged(spark, sf_dir), b.USER_STATE)
+    return found.groupBy("outcome").agg(F.count("*").alias("n"))
+
+
+@_query
+def drift_report(spark, sf_dir):
+    """Unknown fields of a feed in which one changes its type and one is null or missing."""
+    events = b.table(spark, sf_dir, "events")
+    third = F.col("event_id") % 3
+    rows = events.select(
+        "user_id", "value", F.lit(None).cast("boolean").alias("is_active"),
+        F.col("ts").cast("timestamp").alias("updated_at"), F.col("ts").cast("timestamp").alias("created_at"),
+        "event_id", third.alias("third"),
+    )
+    parts = []
+    for k, note in enumerate((F.col("event_id"), F.concat(F.lit("n"), "event_id"), F.lit(None).cast("string"))):
+        extras = {"note": note} if k else {"note": note, "flag": F.col("event_id") % 2 == 0}
+        part = rows.where(F.col("third") == k)
+        parts.append(b.build_records(part, b.USER_STATE, "users", F.col("event_id"), F.lit("u"), extras))
+    return audit.drift_report(envelope.parse_changes(deltas.union(parts), b.USER_STATE))
+
+
 # -- upsert -------------------------------------------------------------------------------------
 
 

@@ -121,6 +121,13 @@ def sync_status(mart: Mart, name: str = "fact_order_items", orders: str = "fact_
         items.release(version)
 
 
+def sync_after_commit(mart: Mart, name: str, version: int) -> None:
+    """For ``on_commit`` of the streams: a batch of orders stores their status with the items, a batch of items does
+    that itself."""
+    if name == "fact_orders":
+        sync_status(mart)
+
+
 def _stale(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items that store another status than their order has, with the present one."""
     fresh = upsert.sync_from(items.withColumn("_stored", F.col("order_status")), orders)

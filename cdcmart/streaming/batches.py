@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from cdcmart.functions import codec
 from cdcmart.functions.envelope import parse_changes, parse_events
-from cdcmart.operators import upsert
+from cdcmart.operators import audit, upsert
+from cdcmart.sinks import files
 from cdcmart.sinks.mart import Mart, version_of
-from cdcmart.specs import TableSpec
+from cdcmart.specs import OFFSET, PARTITION, TOPIC, TableSpec
 
 logger = logging.getLogger(__name__)
 
@@ -113,3 +114,54 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
 
     return handle
 
+
+# -- audited streams --------------------------------------------------------------------------
+
+
+def audited(
+    mart: Mart, name: str, handler: BatchHandler, generation: int = 0, deletes: str = "ignore", encoding: str = codec.CONNECT
+) -> BatchHandler:
+    """Handler of raw records: notes the offsets of the batch and the records that cannot be read, then hands what the
+    parser makes of it to ``handler``. Both notes overwrite those of an earlier run of the batch."""
+
+    def handle(records: DataFrame, batch_id: int) -> None:
+        table = mart.table(name)
+        version = version_of(generation, batch_id)
+        records = records.persist()
+        try:
+            positions = records.select(
+                F.col("topic").alias(TOPIC), F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET)
+            )
+            audit.offset_ranges(positions).write.mode("overwrite").parquet(f"{table.path}/offsets/batch_id={version}")
+            unread = audit.quarantine(records, table.spec, encoding)
+            unread.write.mode("overwrite").parquet(f"{table.path}/quarantine/batch_id={version}")
+            handler(parse(records, table.spec, deletes, encoding), batch_id)
+        finally:
+            records.unpersist()
+
+    return handle
+
+
+def _noted(mart: Mart, name: str, kind: str, generation: int | None) -> DataFrame | None:
+    """Notes of the batches of a generation, by default the present one; None without any."""
+    table = mart.table(name)
+    number = table.generation() if generation is None else generation
+    base = f"{table.path}/{kind}"
+    done = [
+        f"{base}/{folder}"
+        for folder in files.subfolders(mart.spark, base)
+        if version_of(number, -1) <= int(folder.split("=")[1]) < version_of(number + 1, -1)
+        and files.exists(mart.spark, f"{base}/{folder}/_SUCCESS")
+    ]
+    return mart.spark.read.option("basePath", base).parquet(*done) if done else None
+
+
+def lost_offsets(mart: Mart, name: str, generation: int | None = None) -> DataFrame | None:
+    """Stretches of offsets that an audited stream has never been given; None before its first batch."""
+    ranges = _noted(mart, name, "offsets", generation)
+    return None if ranges is None else audit.gaps_of(ranges)
+
+
+def unreadable(mart: Mart, name: str, generation: int | None = None) -> DataFrame | None:
+    """Records that an audited stream could not read as they should be, with the batch; None before its first batch."""
+    return _noted(mart, name, "quarantine", generation)

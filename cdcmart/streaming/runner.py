@@ -27,12 +27,14 @@ def start_mart_stream(
     deletes: str = "ignore",
     encoding: str = codec.CONNECT,
     on_commit: batches.OnCommit | None = None,
+    audit: bool = False,
 ) -> StreamingQuery:
     """Start the stream that keeps one mart table current.
 
     ``trigger=None`` processes what is there and stops. The checkpoint belongs to the table's
     generation, so a stream started after a replay request reads the log from its start position.
-    Folds, vacuum and reports are jobs of their own.
+    Folds, vacuum and reports are jobs of their own. ``audit`` keeps the offsets of every batch and the records
+    that cannot be read (``batches.lost_offsets``, ``batches.unreadable``).
     """
     table = mart.table(name)
     table.settle(on_conflict=table.on_conflict, deletes=deletes, encoding=encoding)
@@ -43,7 +45,11 @@ def start_mart_stream(
         generation=table.generation(),
         on_commit=on_commit,
     )
-    changes = batches.parse(records, table.spec, deletes, encoding)
+    if audit:
+        handler = batches.audited(mart, name, handler, table.generation(), deletes, encoding)
+        changes = records
+    else:
+        changes = batches.parse(records, table.spec, deletes, encoding)
     writer = (
         changes.writeStream.queryName(f"{table.spec.source}_stream")
         .option("checkpointLocation", mart.checkpoint(name))
