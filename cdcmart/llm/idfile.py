@@ -19,7 +19,6 @@ its size does not follow that of its key range.
 from __future__ import annotations
 
 import json
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -27,11 +26,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import ship_package
+from cdcmart.llm.common import in_slices, ship_package
 
 MAGIC = b"IDPLANE1"
 END = b"\x00ENDSEG\n"
@@ -125,12 +125,16 @@ class ChunkEncoder:
     Right for tokenizers whose words never hold a blank or line feed, that drop white space and case and keep signs
     apart from the letters before them: then a text's ids are those of its chunks between blanks, one after the
     other. Each of these is tried on the file when it is opened; without them texts are encoded whole.
+
+    The chunks of a run of texts are told apart and cut into word and signs by Arrow, and the library sees only words
+    that are not kept from earlier runs. All the rest is done for the whole run at once: ids stand one after the
+    other in one array, from which those of every chunk are fetched by their places.
     """
 
-    _KEPT = 700_000
+    _KEPT = 500_000
     # Letters and digits of Latin-1, whose lower case and composition no tokenizer disputes, then ASCII signs.
-    _STEM = re.compile(r"([0-9A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-    _WORD = re.compile("[a-zß-öø-ÿ]+")
+    _STEM = r"^(?P<stem>[0-9A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[!-/:-@\[-`{-~]*)$"
+    _WORD = "^[a-zß-öø-ÿ]+$"
 
     def __init__(self, path: str):
         self._own = _library(path)
@@ -145,60 +149,123 @@ class ChunkEncoder:
         ends = [i for token, i in self._own.get_vocab().items() if token.endswith("</w>")]
         self._ends = np.zeros(self._own.get_vocab_size(), bool)
         self._ends[ends] = True
-        self._kept: dict[str, bytes] = {"": b""}
+        self._forget()
+
+    def _forget(self) -> None:
+        """Start over with the empty text alone."""
+        self._slots: dict[str, int] = {"": 0}
+        self._starts, self._sizes = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self._flat = np.zeros(0, np.uint32)
 
     def _ids(self, text: str) -> list[int]:
         return self._own.encode(text, add_special_tokens=False).ids
 
-    def _each(self, texts: list[str]) -> Iterator[bytes]:
+    def _each(self, texts: list[str]) -> Iterator[np.ndarray]:
         for at in range(0, len(texts), 4096):
             for found in self._own.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False):
-                yield np.array(found.ids, "<u4").tobytes()
+                yield np.array(found.ids, np.uint32)
 
-    def _together(self, words: list[str]) -> list[bytes] | None:
-        """Encodings of words of letters from one call on all of them; None if their ends do not show."""
+    def _together(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids and sizes of words of letters from one call on all of them; None if their ends do not show."""
         joined = [" ".join(words[at : at + 1000]) for at in range(0, len(words), 1000)]
+        # A few at a time: what the library returns is far larger than the ids.
         ids = np.concatenate(
-            [np.array(x.ids, "<u4") for x in self._own.encode_batch_fast(joined, add_special_tokens=False)]
+            [
+                np.array(x.ids, np.uint32)
+                for at in range(0, len(joined), 8)
+                for x in self._own.encode_batch_fast(joined[at : at + 8], add_special_tokens=False)
+            ]
         )
         stops = np.flatnonzero(self._ends[ids]) + 1
         if len(stops) != len(words) or stops[-1] != len(ids):
             return None
-        raw, stops = ids.tobytes(), (4 * stops).tolist()
-        return [raw[a:b] for a, b in zip([0, *stops], stops)]
-
-    def _learn(self, chunks: set[str]) -> None:
-        kept = self._kept
-        stems = {}
-        if self.by_stem:
-            for chunk in chunks:
-                if found := self._STEM.fullmatch(chunk):
-                    stem, tail = found.groups()
-                    stems[chunk] = (stem.lower(), tail)
-        new = {part for parts in stems.values() for part in parts if part not in kept}
-        new.update(chunks - stems.keys())
-        words = [w for w in new if self._WORD.fullmatch(w)]
+        return ids, np.diff(stops, prepend=0)
+
+    def _learn(self, texts: pa.Array) -> None:
+        """Keep the encodings of distinct words, signs and other chunks."""
+        plain = pc.match_substring_regex(texts, self._WORD)
+        words, rest = texts.filter(plain).to_pylist(), texts.filter(pc.invert(plain)).to_pylist()
         found = self._together(words) if words else None
-        if found:
-            kept.update(zip(words, found))
-            new.difference_update(words)
-        rest = list(new)
-        kept.update(zip(rest, self._each(rest)))
-        for chunk, (stem, tail) in stems.items():
-            kept[chunk] = kept[stem] + kept[tail]
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        if not self.by_chunk:
-            return list(self._each(texts))
-        if len(self._kept) > self._KEPT:
-            self._kept = {"": b""}
-        kept = self._kept
-        split = [text.replace("\n", " ").split(" ") for text in texts]
-        new = set().union(*split).difference(kept)
+        if found is None:
+            words, rest, found = [], words + rest, (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        each = list(self._each(rest))
+        sizes = np.concatenate([found[1], np.array([len(x) for x in each], np.int64)])
+        begin = len(self._sizes)
+        self._slots.update(zip(words + rest, range(begin, begin + len(sizes))))
+        self._starts = np.concatenate([self._starts, len(self._flat) + np.cumsum(sizes) - sizes])
+        self._sizes = np.concatenate([self._sizes, sizes])
+        self._flat = np.concatenate([self._flat, found[0], *each])
+
+    def _kept(self, texts: pa.Array) -> np.ndarray:
+        """Slots of distinct texts; those that have none yet get theirs."""
+        names, slots = texts.to_pylist(), self._slots
+        found = list(map(slots.get, names))
+        new = [i for i, slot in enumerate(found) if slot is None]
         if new:
-            self._learn(new)
-        get = kept.__getitem__
-        return [b"".join(map(get, chunks)) for chunks in split]
+            self._learn(texts.take(pa.array(new)))
+            for i in new:
+                found[i] = slots[names[i]]
+        return np.array(found, np.int64)
+
+    def _encode(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and sizes of distinct chunks; those of a stem and signs are put together from both."""
+        if not self.by_stem:
+            slots = self._kept(chunks)
+            return fetched(self._flat, self._starts, self._sizes, slots)
+        parts = pc.extract_regex(chunks, self._STEM)
+        split = parts.is_valid().to_numpy(zero_copy_only=False)
+        both = parts.filter(pa.array(split))
+        stems, tails = pc.utf8_lower(pc.struct_field(both, "stem")), pc.struct_field(both, "tail")
+        # The empty text stands for the tail of a chunk that is taken whole.
+        own = pa.concat_arrays([stems, tails, chunks.filter(pa.array(~split)), pa.array([""])]).dictionary_encode()
+        at, n = self._kept(own.dictionary)[own.indices.to_numpy()], len(stems)
+        pairs = np.full((len(chunks), 2), at[-1], np.int64)
+        pairs[split, 0], pairs[split, 1] = at[:n], at[n : 2 * n]
+        pairs[~split, 0] = at[2 * n : -1]
+        ids, sizes = fetched(self._flat, self._starts, self._sizes, pairs.ravel())
+        return ids, sizes.reshape(-1, 2).sum(axis=1)
+
+    def encode_batch(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of each text as the bytes of 32-bit integers; a null text is an empty one."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array(texts, pa.string())
+        texts = pc.fill_null(texts, "")
+        if not self.by_chunk:
+            return [found.astype("<u4").tobytes() for found in self._each(texts.to_pylist())]
+        if len(self._slots) > self._KEPT:
+            self._forget()
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        chunks = lists.flatten().dictionary_encode()
+        ids, sizes = self._encode(chunks.dictionary)
+        ids, sizes = fetched(ids, np.cumsum(sizes) - sizes, sizes, chunks.indices.to_numpy())
+        last = np.cumsum([0, *pc.list_value_length(lists).to_pylist()])
+        ends = (4 * np.concatenate([[0], np.cumsum(sizes)])[last]).tolist()
+        raw = ids.astype("<u4").tobytes()
+        return [raw[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def fetched(
+    ids: np.ndarray, starts: np.ndarray, sizes: np.ndarray, places: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Of the encodings that begin at ``starts`` those at ``places``, one after the other, and their sizes."""
+    own = sizes[places]
+    ends = np.cumsum(own)
+    at = np.repeat(starts[places] - (ends - own), own)
+    at += np.arange(len(at))
+    return ids[at], own
+
+
+def together(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches`` in larger ones of about ``limit`` bytes of text in ``column``."""
+    held, size = [], 0
+    for piece in in_slices(batches, column, limit):
+        if held and size + piece.column(column).nbytes > limit:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(piece)
+        size += piece.column(column).nbytes
+    if held:
+        yield pa.concat_batches(held)
 
 
 @lru_cache(maxsize=2)
@@ -206,19 +273,6 @@ def _chunks(path: str) -> ChunkEncoder:
     return ChunkEncoder(path)
 
 
-def _groups(texts: list[str], limit: int = 1 << 20) -> Iterator[list[str]]:
-    """Runs of texts of about ``limit`` characters, so that a batch is never split all at once."""
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size >= limit:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def write_ids(
     df: DataFrame,
     folder: str,
@@ -270,34 +324,30 @@ def write_ids(
         def row(segments: list[bytes]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([END.join(segments)], pa.binary())], ["value"])
 
-        for batch in batches:
-            batch_keys = batch.column(0).to_pylist()
-            part = batch.column(2)[0].as_py() if batch.num_rows else part
-            at = 0
-            for texts in _groups([t or "" for t in batch.column(1).to_pylist()]):
-                for found in own.encode_batch(texts):
-                    found += tail
-                    k, at = batch_keys[at], at + 1
-                    # Rows, and so files, begin with a document.
-                    if size and size + len(found) // 4 > SEGMENT:
-                        yield row([closed()])
-                        size, n_rows = 0, n_rows + 1
-                    begin, full = 0, []
-                    while True:
-                        take = found[begin : begin + 4 * SEGMENT]
-                        begin += len(take)
-                        keys.append(k or 0)
-                        known.append(k is not None)
-                        counts.append(len(take) // 4)
-                        more.append(begin < len(found))
-                        held.append(take)
-                        size += len(take) // 4
-                        if begin >= len(found):
-                            break
-                        full.append(closed())
-                    if full:
-                        yield row([*full, closed()])
-                        size, n_rows = 0, n_rows + 1
+        for batch in together(batches, 1):
+            part = batch.column(2)[0].as_py()
+            for k, found in zip(batch.column(0).to_pylist(), own.encode_batch(batch.column(1))):
+                found += tail
+                # Rows, and so files, begin with a document.
+                if size and size + len(found) // 4 > SEGMENT:
+                    yield row([closed()])
+                    size, n_rows = 0, n_rows + 1
+                begin, full = 0, []
+                while True:
+                    take = found[begin : begin + 4 * SEGMENT]
+                    begin += len(take)
+                    keys.append(k or 0)
+                    known.append(k is not None)
+                    counts.append(len(take) // 4)
+                    more.append(begin < len(found))
+                    held.append(take)
+                    size += len(take) // 4
+                    if begin >= len(found):
+                        break
+                    full.append(closed())
+                if full:
+                    yield row([*full, closed()])
+                    size, n_rows = 0, n_rows + 1
         if keys:
             yield row([closed()])
 
