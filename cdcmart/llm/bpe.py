@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcmart.llm.common import free_name, in_slices, ship_package
+from cdcmart.llm.common import free_name, in_slices, map_arrow, ship_package
 
 # The pattern that splits text before the merges.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -285,7 +285,7 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids") -> Da
             found = _id_lists(own.encode_batch(column.to_pylist()))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
-    return df.mapInArrow(step, schema)
+    return map_arrow(df, step, schema)
 
 
 def _id_lists(found: list[bytes]) -> pa.ListArray:
@@ -322,7 +322,7 @@ def decode(df: DataFrame, path: str, ids: str = "ids", decoded: str = "decoded")
             texts = _texts(batch.column(batch.schema.get_field_index(ids)), known)
             yield pa.RecordBatch.from_arrays([*batch.columns, texts], [*batch.schema.names, name])
 
-    return df.mapInArrow(step, schema)
+    return map_arrow(df, step, schema)
 
 
 def encode_and_decode(df: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -344,11 +344,12 @@ def encode_and_decode(df: DataFrame, path: str, text: str = "text") -> DataFrame
             back = _texts(found, own.vocabulary.bytes)
             yield pa.RecordBatch.from_arrays([*batch.columns, found, back], [*batch.schema.names, *names])
 
-    return df.mapInArrow(step, schema)
+    return map_arrow(df, step, schema)
 
 
 def digests(df: DataFrame, path: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row's text."""
+    """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row's text. Null texts count as empty; rows with a null
+    doc_id and repeated rows each get their result; other columns, whatever their names, are not read."""
     return encode_and_decode(df.select("doc_id", "text"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

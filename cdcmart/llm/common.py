@@ -67,18 +67,23 @@ def in_slices(
 def map_arrow(
     rows: DataFrame, step: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType
 ) -> DataFrame:
-    """``rows.mapInArrow(step, schema)`` for columns of any name: Spark's own fails at a dot. ``step`` finds the columns
-    by their position only."""
+    """``rows.mapInArrow(step, schema)`` for columns of any name: Spark's own fails at a dot."""
     inner = T.StructType([T.StructField(f"c{i}", f.dataType, f.nullable) for i, f in enumerate(schema)])
+    names = rows.columns
 
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in step(batches):
+        for batch in step(pa.RecordBatch.from_arrays(b.columns, names) for b in batches):
             yield pa.RecordBatch.from_arrays(batch.columns, inner.names)
 
-    plain = rows.toDF(*[f"c{i}" for i in range(len(rows.columns))])
+    plain = rows.toDF(*[f"c{i}" for i in range(len(names))])
     return plain.mapInArrow(renamed, inner).toDF(*schema.names)
 
 
+def quoted(names: Iterable[str]) -> list[str]:
+    """Column names as they are, whatever signs they hold."""
+    return ["`" + name.replace("`", "``") + "`" for name in names]
+
+
 def free_name(df: DataFrame, base: str) -> str:
     """``base``, or that with underscores, so that no column of ``df`` is hidden by it."""
     taken = {c.lower() for c in df.columns}

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcmart.llm.common import free_name, in_slices, run_folder, saved, ship_package
+from cdcmart.llm.common import free_name, in_slices, map_arrow, quoted, run_folder, saved, ship_package
 from cdcmart.llm.words import Words, mixed, words_of
 
 WIDTH = 10
@@ -159,7 +159,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, pass_c
     """
     spark = docs.sparkSession
     ship_package(spark)
-    items = benchmark.where("item_id is not null and text is not null").select("item_id", F.col("text").cast("string"))
+    items = benchmark.where("item_id is not null and text is not null")
+    items = items.select("item_id", F.col("text").cast("string")).distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     passes = max(1, -(-chars // pass_chars))
     names = []
@@ -210,7 +211,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, pass_c
                     schema.names,
                 )
 
-        out = out.mapInArrow(step, schema)
+        out = map_arrow(out, step, schema)
         if passes > 1:
             out = saved(out, folder, f"pass-{k}")
     return out
@@ -223,7 +224,8 @@ def n_hit(spans: str) -> F.Column:
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document."""
+    """doc_id, n_words, n_hit, n_items, items_sha256 and contaminated of every document. Null texts have no words; rows
+    with a null doc_id and repeated rows each get their result; other columns are not read."""
     found = find_leaks(docs.select("doc_id", "text"), benchmark)
     listed = F.concat_ws(",", F.array_sort(F.col("items").cast("array<string>")))
     return found.select(
@@ -239,4 +241,4 @@ def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` in which no benchmark window occurs, with their own columns."""
     found = find_leaks(docs, benchmark)
-    return found.where(F.size(found.columns[-2]) == 0).select(*docs.columns)
+    return found.where(F.size(found.columns[-2]) == 0).select(*quoted(docs.columns))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import in_slices, run_folder, saved, ship_package
+from cdcmart.llm.common import in_slices, quoted, run_folder, saved, ship_package
 from cdcmart.llm.components import components
 from cdcmart.llm.links import local_groups
 from cdcmart.llm.words import mixed, words_of
@@ -466,12 +466,13 @@ def join_similar(docs: DataFrame, threshold: float = THRESHOLD, recall: float =
 
 def one_of_each(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row of the smallest doc_id, one if it is
-    repeated, and all rows without words."""
+    repeated, and all rows without words. Null ids come last; columns of any name stay as they are."""
     folder = run_folder(docs.sparkSession, "jaccard")
-    names = docs.columns
     linked = link_classes(docs.select("doc_id", "text"), folder, threshold, recall)
     staying = linked.where("none = class_none and id = class_id").select("node", "none", "id")
-    keyed = docs.where(has_words()).withColumn("_node", node_of()).withColumn("_key", _id_key())
-    keyed = keyed.select(*names, F.col("_node").alias("node"), "_key.none", "_key.id")
-    kept = keyed.join(staying, ["node", "none", "id"], "left_semi").dropDuplicates(["node", "none", "id"]).select(*names)
+    # The caller's columns stand in one, so that none of them meets a name of this function.
+    row = F.struct(*quoted(docs.columns)).alias("row")
+    keyed = docs.where(has_words()).select(row, node_of().alias("node"), _id_key().alias("key"))
+    keyed = keyed.select("row", "node", "key.none", "key.id")
+    kept = keyed.join(staying, ["node", "none", "id"], "left_semi").dropDuplicates(["node", "none", "id"]).select("row.*")
     return kept.unionByName(docs.where(~has_words()))

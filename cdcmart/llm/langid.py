@@ -17,25 +17,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cdcmart.llm.common import free_name, in_slices, ship_package
+from cdcmart.llm.common import free_name, in_slices, map_arrow, quoted, ship_package
 from cdcmart.llm.words import LOWER
 
 SPAN = 64
 HIDDEN = 8
 _PAD = 256
 
-# The bounded sample: documents of each language, pieces of each document (anywhere in it), characters of
-# a piece; and the languages, most frequent first.
+# The bounded sample: documents of each language and of all languages together, pieces of each document (anywhere in
+# it), characters of a piece. All languages are learned.
 DOCUMENTS = 600
+MOST_DOCUMENTS = 64 * DOCUMENTS
 PIECES = 3
 PIECE_CHARS = 3 * SPAN
-LANGUAGES = 64
 
 _LETTER = regex.compile(r"\p{L}")
 UNKNOWN = "und"
 
-# A document below this mean probability has no language the network knows.
-LEAST_SCORE = 0.4
+# A document whose mean probability is below so many times that of chance, or below a half if that is more, has no
+# language the network knows.
+LEAST_TIMES_CHANCE = 1.6
 
 
 def windows_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -244,21 +245,25 @@ def remainder(doc_id: str | Column = "doc_id") -> Column:
 
 
 def fit(docs: DataFrame, documents: int = DOCUMENTS) -> Network | None:
-    """Train on a bounded sample of the rows that are not held out: about ``documents`` of each language, chosen by a
-    hash of their id, and of each a few pieces at places chosen likewise. Null texts, ids and languages teach nothing.
+    """Train on a bounded sample of the rows that are not held out: about ``documents`` of each language, fewer where
+    all languages come to more than ``MOST_DOCUMENTS``, chosen by a hash of id and text, and of each a few pieces at places
+    chosen likewise. A frequent id is sampled like any other, and repeated rows count once. Null texts, ids and
+    languages teach nothing.
     """
     rows = docs.where((remainder() != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().collect()
     if not counts:
         return None
-    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, documents / r["count"]))])
-    chance = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.lit(1 << 30)) / float(1 << 30)
+    each = min(documents, MOST_DOCUMENTS / len(counts))
+    rates = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, each / r["count"]))])
+    chance = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / float(1 << 30)
     room = F.greatest(F.char_length("text") - PIECE_CHARS, F.lit(0)) + 1
     places = [F.pmod(F.xxhash64(F.col("doc_id"), F.lit(k + 2)), room).cast("int") + 1 for k in range(PIECES)]
     pieces = F.array(*[F.substring("text", p, F.lit(PIECE_CHARS)) for p in places])
     sample = (
         rows.where(chance < F.try_element_at(rates, F.col("lang")))
         .select("lang", F.explode(F.array_distinct(pieces)).alias("piece"))
+        .distinct()
         .collect()
     )
     return train(sorted((r["lang"], r["piece"]) for r in sample))
@@ -298,7 +303,7 @@ def predict(docs: DataFrame, network: Network | None) -> DataFrame:
                 [*batch.schema.names, *names],
             )
 
-    return docs.mapInArrow(step, schema)
+    return map_arrow(docs, step, schema)
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -308,8 +313,17 @@ def report(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
-def known_only(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFrame:
-    """The rows of ``docs`` whose text is in a language of the corpus: not ``und``, and with at least ``least_score``."""
-    found = predict(docs, fit(docs))
+def least_score(languages: int) -> float:
+    """The mean probability from which a document counts as in one of so many languages."""
+    return min(0.5, LEAST_TIMES_CHANCE / max(1, languages))
+
+
+def known_only(docs: DataFrame, least: float | None = None) -> DataFrame:
+    """The rows of ``docs`` whose text is in a language of the corpus: not ``und``, and of at least the score ``least``, by
+    default that of :func:`least_score`. Null texts and those without a letter leave; repeated rows and null ids
+    stay as any other, and so do columns of any name."""
+    network = fit(docs)
+    found = predict(docs, network)
     lang, score = found.columns[-2:]
-    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= least_score)).select(*docs.columns)
+    bar = least if least is not None else least_score(len(network.languages) if network else 1)
+    return found.where((F.col(lang) != UNKNOWN) & (F.col(score) >= bar)).select(*quoted(docs.columns))

@@ -139,25 +139,26 @@ class Rewritten:
 
 
 # Letters of other scripts that look like Latin ones, and the Latin ones below them.
-_ALIKE = "АВЕЅІЈКМНОРСТХУасеѕіјорхуһԁԛԝкмтвнΑΒΕΖΗΙΚΜΝΟΡΤΥΧονικρυαγ"
-_LATIN = "ABESIJKMHOPCTXYacesijopxyhdqwkmtbhABEZHIKMNOPTYXovikpuay"
+_ALIKE = "АВЕЅІЈКМНОРСТХУасеѕіјорхуһԁԛԝкмтвнӏΑΒΕΖΗΙΚΜΝΟΡΤΥΧονικρυαγոսօıɑɡ"
+_LATIN = "ABESIJKMHOPCTXYacesijopxyhdqwkmtbhlABEZHIKMNOPTYXovikpuaynuoiag"
 _MARKS = {"-": "‐‑‒–—―−﹘﹣", ".": "․。﹒｡", "@": "﹫", "+": "﹢", " ": "   　"}
 _INVISIBLE = "­͏᠎​‌‍‎‏⁠⁡⁢⁣⁤﻿"
 
 
 @lru_cache(1)
 def look_alikes() -> dict[str, str]:
-    """What each look-alike stands for: fixed letters and marks, and by rule full-width and mathematical characters
-    and the decimal digits of all scripts."""
+    """What each look-alike stands for: fixed letters and marks, and by rule full-width, letter-like, circled and
+    mathematical characters and the digits of all scripts."""
     table = dict(zip(_ALIKE, _LATIN))
     table |= {c: mark for mark, alike in _MARKS.items() for c in alike}
     table |= {chr(c): " " for c in range(0x2000, 0x200B)}
     table |= {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
     table |= dict.fromkeys(_INVISIBLE, "") | {chr(c): "" for c in range(0xFE00, 0xFE10)}
     for c in map(chr, range(0x80, 0x20000)):
-        if unicodedata.category(c) == "Nd":
-            table[c] = str(unicodedata.decimal(c))
-        elif "\U0001d400" <= c <= "\U0001d7ff":
+        digit = unicodedata.digit(c, None)
+        if digit is not None:
+            table[c] = str(digit)
+        elif "\u2100" <= c <= "\u24ff" or "\U0001d400" <= c <= "\U0001d7ff":
             plain = unicodedata.normalize("NFKC", c)
             if len(plain) == 1 and plain.isascii() and plain.isalnum():
                 table[c] = plain
@@ -207,13 +208,13 @@ _DOT_WORDS = ("dot", "point", "punkt", "punto")
 _LEAST_SPELLED = 3
 
 _any = lambda words: "|".join(sorted(words, key=len, reverse=True))
-_GAP = r"[ \t,]{1,3}|[ ]?-[ ]?"
+_GAP = r"[ \t,.()-]{1,4}"
 _ITEM = rf"(?:(?:{_any(_TIMES)})[ ])?(?:{_any(_VALUE)})|[0-9]++"
 _ROW = re.compile(
-    rf"(?<![\w+])(?:plus[ ]|\+[ ]?)?(?:{_ITEM})(?:(?:{_GAP}|[ ](?:{_any(_DOT_WORDS)})[ ])(?:{_ITEM}))++(?!\w)", re.IGNORECASE
+    rf"(?<![\w+])(?:plus[ ]|\+[ ]?)?\(?(?:{_ITEM})(?:(?:{_GAP}|[ ](?:{_any(_DOT_WORDS)})[ ])(?:{_ITEM}))++(?!\w)", re.IGNORECASE
 )
 _ROW_PART = re.compile(
-    rf"(?P<plus>plus[ ]|\+[ ])|(?P<dot>[ ](?:{_any(_DOT_WORDS)})[ ])|(?P<gap>[ \t,-]+)"
+    rf"(?P<plus>plus[ ]|\+[ ])|(?P<dot>[ ](?:{_any(_DOT_WORDS)})[ ])|(?P<gap>[ \t,.()-]+)"
     rf"|(?:(?P<times>{_any(_TIMES)})[ ])?(?P<word>{_any(_VALUE)})|(?P<digits>[0-9]+)",
     re.IGNORECASE,
 )
@@ -246,7 +247,7 @@ def spelled_edits(text: str) -> list[Edit]:
     return edits
 
 
-_BEFORE = re.compile(r"(?:plus |\+ ?)?(?:[0-9]+(?:[ ]?[-,][ ]?|[ ]))*\Z", re.IGNORECASE)
+_BEFORE = re.compile(r"(?:plus |\+ ?)?\(?(?:[0-9]+[ \t,.()-]{1,4})*\Z", re.IGNORECASE)
 _MOST_BEFORE = 64  # a longer run of numbers in front of the first word is no identifier
 
 
@@ -272,12 +273,13 @@ def _row_edits(row: re.Match[str]) -> list[Edit]:
             times = _TIMES[p["times"].lower()] if p["times"] else 1
             edits.append((p.start(), p.end(), _VALUE[p["word"].lower()] * times))
         elif p["gap"] and spelled >= _LEAST_SPELLED and (parts[k - 1]["word"] or parts[k + 1]["word"]):
-            edits.append((p.start(), p.end(), ""))
+            # Of a gap beside a word only a dot has a meaning.
+            edits.append((p.start(), p.end(), "." if "." in p["gap"] else ""))
     return edits
 
 
 # Words for the marks of a mail address by language, and what follows "at" in plain prose.
-_AT_DOT = {"at": ("dot", "punkt"), "arroba": ("punto",), "arobase": ("point",)}
+_AT_DOT = {"at": ("dot", "punkt"), "ät": ("dot", "punkt"), "arroba": ("punto",), "arobase": ("point",)}
 _PROSE = frozenset("a an each every one that the this".split())
 _AT = re.compile(
     rf"[ ]?[\[({{<][ ]?(?P<mark>@|{_any(_AT_DOT)})[ ]?[\])}}>][ ]?|[ ](?P<word>{_any(_AT_DOT)})[ ]|(?P<plain>@)", re.IGNORECASE
@@ -287,13 +289,15 @@ _DOTS = {
     for word, dots in {**_AT_DOT, "@": _DOT_WORDS}.items()
 }
 _LABEL = re.compile(r"[A-Za-z0-9-]++")
+_TOLD = re.compile(r"[A-Za-z].*[0-9._]|[0-9._].*[A-Za-z]")
 _TOP_LABEL = re.compile(r"[A-Za-z]{2,24}(?![A-Za-z0-9])")
 _DOT_BEFORE = re.compile(r"(?:[ ]?[\[({<][ ]?(?:\.|dot)[ ]?[\])}>][ ]?|[ ]dot[ ])\Z", re.IGNORECASE)
 
 
 def address_edits(text: str) -> list[Edit]:
     """The marks of mail addresses: "at" in brackets, or as a word if a "dot" in brackets or as a word follows in the
-    domain; "dot" in brackets or as a word also where the at is plain."""
+    domain, or if the name before it is none of prose and the domain ends as one; "dot" in brackets or as a word also
+    where the at is plain."""
     edits: list[Edit] = []
     free = 0
     for at in _AT.finditer(text):
@@ -319,8 +323,13 @@ def address_edits(text: str) -> list[Edit]:
             end = label_after.end()
         if end == label.end():
             continue
-        if at["word"] and (not disguised or label[0].lower() in _PROSE):
+        if at["word"] and label[0].lower() in _PROSE:
             continue
+        if at["word"] and not disguised:
+            # As in "jo.5 at example.com": a name with a digit or mark, and a last label of letters before no sign.
+            last = text.rfind(".", label.end(), end) + 1
+            if not _TOLD.search(text[start : at.start()]) or not _TOP_LABEL.match(text, last) or text[end : end + 1] in ("@", "_"):
+                continue
         if at["plain"] and (not disguised or text[label.end()] == "."):
             # With a plain sign and dot the address stands as it is; words after it are not its own.
             continue

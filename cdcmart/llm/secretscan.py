@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cdcmart.llm.common import free_name, run_folder, saved
+from cdcmart.llm.common import free_name, quoted, run_folder, saved
 
 # The kinds in their order, pattern and least length (of group 2 for the first kind).
 KINDS = ("assign", "access", "hex", "live")
@@ -105,17 +105,27 @@ def find_secrets(
     gives way (see ``free_name``).
     """
     folder = run_folder(docs.sparkSession, "secrets")
-    row, out = free_name(docs, "row_id"), free_name(docs, "spans")
-    # Scanned once and written: the ids of the rows have to stay the same for the join below.
-    found = saved(
-        docs.withColumn(out, base_spans(F.col(text))).withColumn(row, F.monotonically_increasing_id()), folder, "base"
-    )
-    return _with_live(found, row, out, owner, repository, max_owners, max_repositories, folder)
+    found = _with_live(_found(docs, text, folder), owner, repository, max_owners, max_repositories, folder)
+    return found.select("doc.*", F.col("spans").alias(free_name(docs, "spans")))
+
 
+def _found(docs: DataFrame, text: str, folder: str) -> DataFrame:
+    """doc (a row of ``docs`` as one column, so that none of its names meets another), row_id and spans of every row.
+
+    Scanned once and written: the ids of the rows have to stay the same for the joins to come.
+    """
+    doc = F.struct(*quoted(docs.columns)).alias("doc")
+    spans = base_spans(F.col(*quoted([text]))).alias("spans")
+    return saved(docs.select(doc, F.monotonically_increasing_id().alias("row_id"), spans), folder, "base")
 
-def _single_spans(some: DataFrame, row: str, out: str, owner: str, repository: str) -> DataFrame:
+
+def _single_spans(some: DataFrame, owner: str, repository: str) -> DataFrame:
+    doc = F.col("doc")
     return some.select(
-        F.col(row).alias("row"), F.col(owner).alias("owner"), F.col(repository).alias("repository"), F.explode(out).alias("span")
+        "row_id",
+        doc.getField(owner).alias("owner"),
+        doc.getField(repository).alias("repository"),
+        F.explode("spans").alias("span"),
     ).withColumn("hash", F.sha2("span.value", 256))
 
 
@@ -133,17 +143,17 @@ def _copied(max_owners: int, max_repositories: int) -> Column:
 
 
 def _with_live(
-    found: DataFrame, row: str, out: str, owner: str, repository: str, max_owners: int, max_repositories: int, folder: str
+    found: DataFrame, owner: str, repository: str, max_owners: int, max_repositories: int, folder: str
 ) -> DataFrame:
-    none = found.where(F.size(out) == 0).drop(row)
-    some = found.where(F.size(out) > 0)
-    single = _single_spans(some, row, out, owner, repository)
+    """doc and spans, live ones included."""
+    none, some = found.where(F.size("spans") == 0), found.where(F.size("spans") > 0)
+    single = _single_spans(some, owner, repository)
     owned = _counted(single.where(live_looking(F.col("span.value"))))
     live = saved(owned.where(~_copied(max_owners, max_repositories)).select("hash"), folder, "live")
     added = (
         single.join(live, "hash")
         .select(
-            "row",
+            "row_id",
             F.struct(
                 value_places(F.col("span")).alias("start"),
                 F.col("span.end").alias("end"),
@@ -151,7 +161,7 @@ def _with_live(
                 F.col("span.value").alias("value"),
             ).alias("span"),
         )
-        .groupBy("row")
+        .groupBy("row_id")
         .agg(F.collect_set("span").alias("added"))
     )
     by_place = lambda a, b: (
@@ -159,9 +169,9 @@ def _with_live(
         .when(a["kind"] != b["kind"], a["kind"] - b["kind"])
         .otherwise(a["end"] - b["end"])
     )
-    merged = F.array_sort(F.concat(F.col(out), F.coalesce("added", F.slice(out, 1, 0))), by_place)
-    joined = some.join(added, some[row] == added["row"], "left").withColumn(out, merged).select(*none.columns)
-    return none.unionByName(joined)
+    merged = F.array_sort(F.concat("spans", F.coalesce("added", F.slice("spans", 1, 0))), by_place)
+    joined = some.join(added, "row_id", "left").select("doc", merged.alias("spans"))
+    return none.select("doc", "spans").unionByName(joined)
 
 
 def _listed(spans: Column) -> Column:
@@ -170,16 +180,17 @@ def _listed(spans: Column) -> Column:
 
 
 def report(docs: DataFrame) -> DataFrame:
-    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_live of every document."""
+    """doc_id, n_assign, n_access, n_hex, base_sha256, spans and n_live of every document. Null texts have no spans; rows
+    with a null doc_id and repeated rows each get their result; other columns are not read."""
     folder = run_folder(docs.sparkSession, "secrets")
     # The texts are not written again: only ids, owners and spans.
-    base = docs.select("doc_id", "source", base_spans(F.col("text")).alias("spans"))
-    found = saved(base.withColumn("row_id", F.monotonically_increasing_id()), folder, "base")
-    all_spans = _with_live(found, "row_id", "spans", "source", "doc_id", MAX_OWNERS, MAX_REPOSITORIES, folder)
+    doc = F.struct("doc_id", "source").alias("doc")
+    base = docs.select(doc, F.monotonically_increasing_id().alias("row_id"), base_spans(F.col("text")).alias("spans"))
+    all_spans = _with_live(saved(base, folder, "base"), "source", "doc_id", MAX_OWNERS, MAX_REPOSITORIES, folder)
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == KINDS.index(kind))).cast("long")
     live = KINDS.index("live")
     return all_spans.select(
-        "doc_id",
+        "doc.doc_id",
         count("assign").alias("n_assign"),
         count("access").alias("n_access"),
         count("hex").alias("n_hex"),
@@ -189,21 +200,17 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def _without_copied(docs: DataFrame, out: str) -> DataFrame:
-    """Add the base spans of every row as ``out``, but those whose value is a copied example."""
+def _without_copied(docs: DataFrame) -> DataFrame:
+    """doc and spans of every row: the base spans, but those whose value is a copied example."""
     folder = run_folder(docs.sparkSession, "secrets")
-    row = free_name(docs, "row_id")
-    found = saved(
-        docs.withColumn(out, base_spans(F.col("text"))).withColumn(row, F.monotonically_increasing_id()), folder, "base"
-    )
-    none = found.where(F.size(out) == 0).drop(row)
-    some = found.where(F.size(out) > 0)
-    single = _single_spans(some, row, out, "source", "doc_id")
+    found = _found(docs, "text", folder)
+    none, some = found.where(F.size("spans") == 0), found.where(F.size("spans") > 0)
+    single = _single_spans(some, "source", "doc_id")
     copied = saved(_counted(single).where(_copied(MAX_OWNERS, MAX_REPOSITORIES)).select("hash"), folder, "copied")
-    left_out = single.join(copied, "hash").groupBy("row").agg(F.collect_set("span.value").alias("examples"))
-    kept = F.filter(out, lambda s: ~F.coalesce(F.array_contains("examples", s["value"]), F.lit(False)))
-    joined = some.join(left_out, some[row] == left_out["row"], "left").withColumn(out, kept).select(*none.columns)
-    return none.unionByName(joined)
+    left_out = single.join(copied, "hash").groupBy("row_id").agg(F.collect_set("span.value").alias("examples"))
+    kept = F.filter("spans", lambda s: ~F.coalesce(F.array_contains("examples", s["value"]), F.lit(False)))
+    joined = some.join(left_out, "row_id", "left").select("doc", kept.alias("spans"))
+    return none.select("doc", "spans").unionByName(joined)
 
 
 def masked(docs: DataFrame, mask: str = "[secret]", keep_copied: bool = False) -> DataFrame:
@@ -212,11 +219,24 @@ def masked(docs: DataFrame, mask: str = "[secret]", keep_copied: bool = False) -
 
     With ``keep_copied``, ownership decides: a span whose value is a copied example stays in the text. All others
     are masked: live ones with the key before them, and those of one owner that do not look like a credential."""
-    spans, text = free_name(docs, "spans"), F.col("text")
     # A live span lies in its base span: without the counts there is nothing more to mask.
-    found = _without_copied(docs, spans) if keep_copied else docs.withColumn(spans, base_spans(text))
+    if keep_copied:
+        found = _without_copied(docs)
+    else:
+        doc = F.struct(*quoted(docs.columns)).alias("doc")
+        found = docs.select(doc, base_spans(F.col("text")).alias("spans"))
+    changed = F.size("spans") > 0
+    text = F.when(changed, _cut(F.col("doc.text"), F.col("spans"), mask)).otherwise(F.col("doc.text"))
+    found = found.select("doc", "spans", text.alias("masked"))
+    length = F.when(changed, F.char_length("masked").cast("long")).otherwise(F.col("doc").getField("n_chars"))
+    new = {"text": F.col("masked"), "n_chars": length}
+    return found.select(*[(new[c] if c in new else F.col("doc").getField(c)).alias(c) for c in docs.columns])
+
+
+def _cut(text: Column, spans: Column, mask: str) -> Column:
+    """The text with every span, overlapping ones as one, replaced by ``mask``."""
     # A span that begins before the last one has ended belongs to it.
-    cut = F.aggregate(
+    return F.aggregate(
         spans,
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda done, s: F.struct(
@@ -230,10 +250,3 @@ def masked(docs: DataFrame, mask: str = "[secret]", keep_copied: bool = False) -
         ),
         lambda done: F.concat(done["out"], text.substr(done["at"] + 1, F.char_length(text) - done["at"])),
     )
-    changed = F.size(spans) > 0
-    found = found.withColumn("text", F.when(changed, cut).otherwise(text))
-    if "n_chars" in docs.columns:
-        found = found.withColumn(
-            "n_chars", F.when(changed, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
-        )
-    return found.select(*docs.columns)

@@ -82,6 +82,11 @@ DISGUISES = [
     ("karte vier eins eins eins eins eins eins eins eins eins eins eins eins eins eins eins", "vier eins eins eins eins eins eins eins eins eins eins eins eins eins eins eins", 2, "4111111111111111"),
     ("call plus one five five five oh one two three four five", "plus one five five five oh one two three four five", 3, "+1555012345"),
     ("call +1 five-five-five zero-one-two three four five", "+1 five-five-five zero-one-two three four five", 3, "+15550123 45"),
+    ("call +one (five five five) 555-one two three four.", "+one (five five five) 555-one two three four", 3, "+1555555-1234"),
+    ("one nine two.one six eight.zero.one is up", "one nine two.one six eight.zero.one", 1, "192.168.0.1"),
+    ("ask hein.19 at mail5.example.com or", "hein.19 at mail5.example.com", 0, "hein.19@mail5.example.com"),
+    ("ask hein.19 at mail5 dot example dot com or", "hein.19 at mail5 dot example dot com", 0, "hein.19@mail5.example.com"),
+    ("ℎ.①@ⅿail.ex", "ℎ.①@ⅿail.ex", 0, "h.1@mail.ex"),
     ("call ＋1 (555)‑555‐1234", "＋1 (555)‑555‐1234", 3, "+1 (555)-555-1234"),
     ("call +1 (555) 555‒l2O4", "+1 (555) 555‒l2O4", 3, "+1 (555) 555-1204"),
 ]
@@ -102,7 +107,7 @@ def test_disguises_are_found_where_they_stand(text, stretch, kind, value):
 @pytest.mark.parametrize("text", [
     "look at this point in time", "we met at noon", "see foo@bar.com dot dot", "he works at example.com today", "mail a@b.de at once",
     "worked at the dot com", "one two three four five", "plus one", "lo Il 10 Oo", "été naïve œuvre Straße 12 345", "один два три", "at dot at dot",
-    "v1.2.3 of 2020", "from 10 to 20 dot", "seven at one point five", "foo@bar.com point two",
+    "v1.2.3 of 2020", "he.is at leosrm.25@mail4.example.com", "room 12 at a.b", "x2 at work.", "he2 at 1.2.3", "from 10 to 20 dot", "seven at one point five", "foo@bar.com point two",
 ])
 def test_plain_prose_has_no_disguise(text):
     assert [s for s in personal.personal_spans(text) if s[4]] == []
