@@ -219,19 +219,32 @@ SQL: dict[str, str] = {
             from page),
         judged as (select *, split_part(best, ' ', 1) as rule, split_part(best, ' ', 2) as action from ruled),
         tags as (
-            select form, host, unnest(regexp_extract_all(html, '<(link|meta)\\b[^>]*>', 0, 'is')) as tag
+            select form, host, path, unnest(regexp_extract_all(html, '<(link|meta)\\b[^>]*>', 0, 'is')) as tag
             from page where form is not null and html is not null),
         target as (
-            select form, host, case
+            select form, host, path, case
                 when regexp_matches(tag, '<link\\b.*\\brel\\s*=\\s*["'']?canonical\\b', 'is')
                     then regexp_extract(tag, '\\bhref\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is')
                 when regexp_matches(tag, '<meta\\b.*\\bhttp-equiv\\s*=\\s*["'']?refresh\\b', 'is')
                     then regexp_extract(tag, '\\burl\\s*=\\s*["'']?([^"''\\s>]+)', 1, 'is') end as t
             from tags),
+        link as (
+            select form, 'http://' || host as site, path, to_,
+                   case when starts_with(to_, '/') then to_ else case when starts_with(path, '/')
+                        then regexp_replace(path, '[^/]*$', '') else '/' end || to_ end as below
+            from (select *, regexp_replace(t, '&(amp|#38|#x26);', '&', 'gi') as to_ from target where t <> '') x),
         whole as (
-            select form as a, case when contains(t, '://') then t when starts_with(t, '//') then 'http:' || t
-                                   when starts_with(t, '/') then 'http://' || host || t end as w
-            from target where t <> ''),
+            select form as a, case when regexp_matches(to_, '^[A-Za-z][A-Za-z0-9+.-]*://') then to_
+                                   when regexp_matches(to_, '^[A-Za-z][A-Za-z0-9+.-]*:') or starts_with(to_, '#') then null
+                                   when starts_with(to_, '//') then 'http:' || to_
+                                   when starts_with(to_, '?') then site || path || to_
+                                   else site || array_to_string(list_reduce(
+                                            [[s] for s in string_split(regexp_extract(below, '^[^?#]*', 0, 's'), '/')],
+                                            lambda a, s: case when s[1] = '.' or s[1] = '..' and len(a) = 1 then a
+                                                           when s[1] = '..' then a[1 : len(a) - 1]
+                                                           else list_concat(a, s) end), '/')
+                                        || regexp_extract(below, '^[^?#]*(.*)$', 1, 's') end as w
+            from link),
         edge as (select a, {_form("w")} as b from whole where w is not null),
         both_ways as (select a, b from edge union select b, a from edge),
         reach(a, b) as (
@@ -251,7 +264,8 @@ SQL: dict[str, str] = {
         live as (
             select value from base
             where length(value) >= 16 and regexp_matches(value, '[0-9]') and regexp_matches(value, '[A-Za-z]')
-            group by value having count(distinct coalesce(source, chr(1))) <= 1),
+            group by value having count(distinct coalesce(source, chr(1))) <= {secretscan.MAX_OWNERS}
+                and count(distinct (coalesce(source, chr(1)), coalesce(doc_id, -1))) <= {secretscan.MAX_REPOSITORIES}),
         spans as (
             select doc_id, kind, nth, s, e from base
             union all

@@ -9,6 +9,8 @@ credential gets a span of its own, kind ``live``, beside the candidate's span.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,36 +34,67 @@ MAX_REPOSITORIES = 100
 LEAST_LIVE = 16
 
 
+_NO_SPANS = "cast(array() as array<struct<start:int,end:int,kind:int,value:string>>)"
+
+# Elements that a running sum is built up from at once: an array grows by copying, so it has to stay short.
+_STRETCH = 256
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, the value computed once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _running(lengths: Column) -> Column:
+    """For each element the sum of those before it: first within stretches, then over the stretches."""
+    grown = lambda d, x: F.struct((d["sum"] + x).alias("sum"), F.concat(d["before"], F.array(d["sum"])).alias("before"))
+    nothing = F.expr("struct(0 as sum, cast(array() as array<int>) as before)")
+    last = F.floor((F.size(lengths) - 1) / _STRETCH).cast("int")
+    stretches = F.transform(
+        F.sequence(F.lit(0), last),
+        lambda k: F.aggregate(F.slice(lengths, k * _STRETCH + 1, _STRETCH), nothing, grown),
+    )
+    return _with(
+        stretches,
+        lambda parts: F.flatten(
+            F.zip_with(
+                parts,
+                F.aggregate(parts, nothing, lambda d, x: grown(d, x["sum"]), lambda d: d["before"]),
+                lambda part, base: F.transform(part["before"], lambda x: x + base),
+            )
+        ),
+    )
+
+
 def _matches(text: Column, pattern: str, hint: Column, kind: str, group: int = 0) -> Column:
     """Spans of all matches: begin and end in characters, and value. The texts between the matches give the positions."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     between = F.split(text, pattern, -1)
-    start = F.aggregate(
-        F.arrays_zip(between.alias("gap"), found.alias("match"), values.alias("value")),
-        F.expr("struct(0 as at, cast(array() as array<struct<start:int,end:int,kind:int,value:string>>) as spans)"),
-        lambda done, part: F.struct(
-            (done["at"] + F.char_length(part["gap"]) + F.coalesce(F.char_length(part["match"]), F.lit(0))).alias("at"),
-            F.when(
-                part["match"].isNotNull(),
-                F.concat(
-                    done["spans"],
-                    F.array(
-                        F.struct(
-                            (done["at"] + F.char_length(part["gap"])).alias("start"),
-                            (done["at"] + F.char_length(part["gap"]) + F.char_length(part["match"])).alias("end"),
-                            F.lit(KINDS.index(kind)).alias("kind"),
-                            part["value"].alias("value"),
-                        )
-                    ),
-                ),
-            )
-            .otherwise(done["spans"])
-            .alias("spans"),
+    parts = F.arrays_zip(between.alias("gap"), found.alias("match"), values.alias("value"))
+    sized = F.transform(
+        parts,
+        lambda p: F.struct(
+            F.char_length(p["gap"]).alias("gap"), F.coalesce(F.char_length(p["match"]), F.lit(0)).alias("match"), p["value"].alias("value")
         ),
-        lambda done: done["spans"],
     )
-    return F.when(hint, start).otherwise(F.expr("cast(array() as array<struct<start:int,end:int,kind:int,value:string>>)"))
+
+    def placed(sizes: Column) -> Column:
+        before = _with(F.transform(sizes, lambda s: s["gap"] + s["match"]), _running)
+        spans = F.zip_with(
+            sizes,
+            before,
+            lambda s, at: F.struct(
+                (at + s["gap"]).alias("start"),
+                (at + s["gap"] + s["match"]).alias("end"),
+                F.lit(KINDS.index(kind)).alias("kind"),
+                s["value"].alias("value"),
+            ),
+        )
+        # What follows the last match is no match.
+        return F.slice(spans, F.lit(1), F.size(spans) - 1)
+
+    return F.when(hint, _with(sized, placed)).otherwise(F.expr(_NO_SPANS))
 
 
 def base_spans(text: Column) -> Column:

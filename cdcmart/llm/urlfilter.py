@@ -24,6 +24,9 @@ _TRACKING = r"(?<=[?&])(?:utm_[a-z]+|gclid|fbclid)=[^&]*(?:&|$)"
 _CANONICAL = r"(?is)<link\b(?=[^>]*\brel\s*=\s*[\"']?canonical\b)[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]+)"
 _REFRESH = r"(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*[\"']?refresh\b)[^>]*?\burl\s*=\s*[\"']?([^\"'\s>]+)"
 
+# How an ampersand is written in an attribute.
+_AMPERSAND = "(?i)&(?:amp|#38|#x26);"
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -48,8 +51,8 @@ def canonical_form(url: str | Column) -> Column:
 
 
 def links_of(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """Edges (a, b) of urls in canonical form: canonical links and refreshes of the pages. Links relative to the
-    host are completed; other relative ones name no host and are left out."""
+    """Edges (a, b) of urls in canonical form: canonical links and refreshes of the pages, each completed by the page's
+    own url (see :func:`whole_url`). Links that name no page are left out."""
     own = canonical_form(url)
     target = F.explode(
         F.concat(
@@ -57,14 +60,44 @@ def links_of(pages: DataFrame, url: str = "url", html: str = "html") -> DataFram
         )
     )
     linked = pages.where(F.col(html).isNotNull() & F.col(url).contains("://")).select(
-        own.alias("a"), host_of(url).alias("host"), target.alias("to")
+        own.alias("a"), host_of(url).alias("host"), path_of(url).alias("path"), target.alias("to")
+    )
+    whole = whole_url(F.regexp_replace("to", _AMPERSAND, "&"), F.col("host"), F.col("path"))
+    return linked.select("a", canonical_form(whole).alias("b")).where("b is not null")
+
+
+def whole_url(to: Column, host: Column, path: Column) -> Column:
+    """The url that a link leads to from the page at ``host`` and ``path``: whole ones as they are, others by their host,
+    by the page's folder, or by its path if they are a query only; ``.`` and ``..`` are resolved. Null for a
+    mere fragment and for schemes without a host."""
+    site, scheme = F.concat(F.lit("http://"), host), r"^[A-Za-z][A-Za-z0-9+.-]*:"
+    folder = F.regexp_replace(path, "[^/]*$", "")
+    below = F.when(to.startswith("/"), to).otherwise(F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), to))
+    relative = F.concat(
+        site, _without_dots(F.regexp_extract(below, r"(?s)^[^?#]*", 0)), F.regexp_extract(below, r"(?s)^[^?#]*(.*)$", 1)
+    )
+    return (
+        F.when(to.rlike(scheme + "//"), to)
+        .when(to.rlike(scheme) | to.startswith("#"), F.lit(None))
+        .when(to.startswith("//"), F.concat(F.lit("http:"), to))
+        .when(to.startswith("?"), F.concat(site, path, to))
+        .otherwise(relative)
     )
-    whole = (
-        F.when(F.col("to").contains("://"), F.col("to"))
-        .when(F.col("to").startswith("//"), F.concat(F.lit("http:"), "to"))
-        .when(F.col("to").startswith("/"), F.concat(F.lit("http://"), "host", "to"))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, its steps ``.`` and ``..`` taken."""
+    steps = F.split(path, "/", -1)
+    taken = F.aggregate(
+        F.slice(steps, F.lit(2), F.size(steps)),
+        F.slice(steps, 1, 1),
+        lambda a, s: F.when(s == ".", a)
+        .when((s == "..") & (F.size(a) > 1), F.slice(a, F.lit(1), F.size(a) - 1))
+        .when(s == "..", a)
+        .otherwise(F.concat(a, F.array(s))),
+        lambda a: F.array_join(a, "/"),
     )
-    return linked.select("a", canonical_form(whole).alias("b"))
+    return F.when(path.rlike(r"/\.\.?(/|$)"), taken).otherwise(path)
 
 
 def with_rules(pages: DataFrame, rules: DataFrame, folder: str) -> DataFrame:

@@ -233,3 +233,32 @@ def test_decisions_reach_aliases(spark):
     assert got[1] == "block" and got[2] == got[9] == "allow"
     more = spark.createDataFrame([("http://f.io/", "http://bad.net/x"), (None, "http://f.io/")], "a string, b string")
     assert {r.page_id: r.verdict for r in urlfilter.judge(frame.where("page_id <> 9"), RULES, more).collect()}[10] == "block"
+
+
+def test_relative_links_lead_to_their_pages(spark, tmp_path):
+    """Each page links to the blocked one by another form of its url; the SQL of the query agrees."""
+    duckdb = pytest.importorskip("duckdb")
+    from cdcmart.llm.queries import QUERIES, SQL
+
+    link = "<link rel='canonical' href='{}'>"
+    bad = "http://x.example.com/de/bad"
+    to = {
+        "http://x.example.com/de/a": "bad", "http://x.example.com/fr/a": "../de/bad", "http://x.example.com/fr/b/c/": "../../../de/./bad",
+        "http://x.example.com": "de/bad", "http://x.example.com/es/q": "/es/../de/bad", "http://y.io/a?b": "//x.example.com/de/bad",
+        "http://x.example.com/../a": "../../../de/bad", "http://x.example.com/it/a/b": "..", "http://x.example.com/it/": "./z/../../de/bad#top",
+        "http://z.io/1": "http://x.example.com/de/bad/", "http://z.io/2": "mailto:http", "http://z.io/3": "#de", "http://z.io/4": "de/bad?u=http://a.b",
+        "http://x.example.com/nl/p?x": "?p=1&amp;q=2", "http://x.example.com/nl/r": "/nl/p?p=1&#38;q=2",
+    }
+    pages = [(0, bad, "")] + [(i, url, link.format(t)) for i, (url, t) in enumerate(to.items(), 1)]
+    pages += [(90, "http://x.example.com/nl/p?p=1&q=2", link.format("/de/bad")), (91, "http://x.example.com/it", None), (92, None, link.format("x"))]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.page_id: r.verdict for r in QUERIES["op9_url_filter"](spark, str(tmp_path)).collect()}
+    left = {i for i, verdict in got.items() if verdict == "allow"}
+    ids = {url: i for i, (url, _) in enumerate(to.items(), 1)}
+    assert left == {ids[u] for u in ("http://z.io/2", "http://z.io/3", "http://z.io/4")} | {92}
+    db = duckdb.connect()
+    db.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    want = db.execute(SQL["op9_url_filter"])
+    columns = [d[0] for d in want.description]
+    found = QUERIES["op9_url_filter"](spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want.fetchall()))

@@ -1,9 +1,11 @@
 """WARC, chat and secrets against round trips and brute force; the pipeline; the package without these operators."""
 
+import random
 import re
 import shutil
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 import pytest
@@ -176,6 +178,18 @@ def test_spans_equal_brute_force(spark):
         assert [(x.start, x.kind, x.end, x.value) for x in r.s] == brute_spans(r.text)
 
 
+def test_many_matches_in_one_text(spark):
+    rng = random.Random(1)
+    for count in (255, 256, 257, 100_000):
+        parts = [rng.choice(["token=abcdef ", "é", "x secret: abcdefg1\n"]) for _ in range(count)]
+        text = "".join(parts)
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.perf_counter()
+        (row,) = docs.select(secretscan.base_spans(F.col("text")).alias("s")).collect()
+        assert [(x.start, x.kind, x.end, x.value) for x in row.s] == brute_spans(text)
+        assert time.perf_counter() - begin < 60
+
+
 def test_owners_tell_live_secrets_from_examples(spark):
     copied, own, word = "AKIA" + "EXAMPLE1" * 2, "abc123def456ghi789", "abcdefghijklmnopqrs"
     rows = [(i, f"é key {copied}", f"s{i % 3}") for i in range(6)] + [
