@@ -56,6 +56,33 @@ def latest_by_key(rows: DataFrame, key: Iterable[str], order_by: Iterable[str])
     )
 
 
+# Beyond the largest and below the smallest instant, in microseconds, and the range of an offset.
+_NO_TIME = -(10**18) + 1
+_OFFSETS = 2**64
+
+
+def _place(time: str, offset: str) -> Column:
+    """A time and a log position as one number; nulls come first."""
+    instant = F.coalesce(F.unix_micros(time), F.lit(_NO_TIME)).cast("decimal(18,0)")
+    return instant * F.lit(str(_OFFSETS)).cast("decimal(20,0)") + F.coalesce(F.col(offset), F.lit(-(2**63))).cast("decimal(20,0)")
+
+
+def latest_by_key_late(rows: DataFrame, key: Iterable[str], time: str, offset: str) -> DataFrame:
+    """Same result as :func:`latest_by_key` by a timestamp, then a log position, for rows that are wide and can be read
+    twice, as those of a cached batch.
+
+    First only the keys and one number for each row are aggregated, in a hash table; then the rows that hold the
+    largest number of their key are fetched by a semi-join. Whole rows are sorted and shuffled only where they won, or
+    where there are too many keys to broadcast.
+    """
+    key = list(key)
+    placed = rows.where(_all(F.col(k).isNotNull() for k in key)).withColumn("_place", _place(time, offset))
+    best = placed.groupBy(*key).agg(F.max("_place").alias("_place"))
+    winners = placed.join(best, [*key, "_place"], "left_semi").drop("_place")
+    # Rows that agree in key, time and position are one event read more than once.
+    return winners.repartition(*key).dropDuplicates(key)
+
+
 def latest_by_key_window(rows: DataFrame, key: Iterable[str], order_by: Iterable[str]) -> DataFrame:
     """Same result as :func:`latest_by_key`, as row number 1 of a window."""
     key = list(key)

@@ -343,4 +343,6 @@ GROUP BY field, type
 """,
 }
 
+_BODIES |= {"latest_by_key_late": _LATEST, "stream_history_once": _HISTORY}
+
 SQL = {name: PRELUDE + body for name, body in _BODIES.items()}

@@ -322,6 +322,12 @@ def latest_by_key(spark, sf_dir):
     return _change_view(latest, *_VERSIONED)
 
 
+@_query
+def latest_by_key_late(spark, sf_dir):
+    """The newest rows picked by key and position first, then fetched."""
+    return _change_view(upsert.latest_by_key_late(_changes(spark, sf_dir), b.USER_STATE.key, *b.USER_STATE.order_by), *_VERSIONED)
+
+
 @_query
 def latest_by_key_window(spark, sf_dir):
     changes = _changes(spark, sf_dir)
@@ -690,6 +696,17 @@ def stream_scd4_history(spark, sf_dir):
     return _history_view(stored)
 
 
+@_query
+def stream_history_once(spark, sf_dir):
+    """Half of the feed is read again after a replay was asked for: the history, as it is stored, holds each event once."""
+    mart = _streamed_users(spark, sf_dir)
+    repair.request_replay(mart, b.USER_STATE.name)
+    folder = f"{scratch_dir(spark, 'again')}/feed"
+    _append(_events(spark, sf_dir).where(F.col("offset") % 2 == 0), folder)
+    _stream_in(mart, b.USER_STATE.name, folder)
+    return _history_view(mart.table(b.USER_STATE.name).read_history())
+
+
 @_query
 def stream_soft_delete(spark, sf_dir):
     mart = _streamed_users(spark, sf_dir, deletes="soft")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cdcmart.functions import codec
 from cdcmart.functions.envelope import parse_changes, parse_events
-from cdcmart.operators import audit, upsert
+from cdcmart.operators import audit, history, upsert
 from cdcmart.sinks import files
 from cdcmart.sinks.mart import Mart, version_of
 from cdcmart.specs import OFFSET, PARTITION, TOPIC, TableSpec
@@ -100,7 +100,12 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
                     latest = upsert.denormalize(latest, known)
                 mart.commit(spec.name, upsert.apply_defaults(latest, spec, now.date()), version)
                 if spec.history:
-                    table.append_history(keyed, version, now)
+                    events = keyed
+                    if generation:
+                        # A replay reads events again: those that other batches have written are left out.
+                        others = table.read_history().where(F.col("batch_id") != version)
+                        events = history.not_in(keyed, others)
+                    table.append_history(events, version, now)
             if counts["without_key"]:
                 table.append_rejected(batch.where(~upsert.has_key(spec)), version)
             logger.info("%s batch %s: %s", name, batch_id, counts.asDict())

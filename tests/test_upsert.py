@@ -272,3 +272,50 @@ def test_salting_spreads_the_hot_key(spark):
         spark.conf.set("spark.sql.shuffle.partitions", width)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_late_materialisation_takes_the_same_rows(spark):
+    rng = random.Random(8)
+    times = [None, "0001-01-01 00:00:00", "9999-12-31 23:59:59.999999", "2024-01-01 00:00:00", "2024-01-01 00:00:00.000001"]
+    positions = [None, 0, -1, 2**63 - 1, 5]
+    given = {
+        (rng.choice([None, 1, 2, 3, 4]), rng.choice(["a", "b"]), rng.choice(times), rng.choice(positions)) for _ in range(400)
+    }
+    frame = spark.createDataFrame(
+        [(*g, f"text {i}") for i, g in enumerate(sorted(given, key=repr))], "k int, s string, t string, p long, wide string"
+    ).withColumn("t", F.col("t").cast("timestamp"))
+    late = rows(upsert.latest_by_key_late(frame, ["k", "s"], "t", "p"))
+    assert late == rows(upsert.latest_by_key(frame, ["k", "s"], ["t", "p"])) and len(late) == 8
+    # Events that were read twice are one row.
+    assert rows(upsert.latest_by_key_late(frame.unionByName(frame), ["k", "s"], "t", "p")) == late
+    assert upsert.latest_by_key_late(frame.limit(0), ["k", "s"], "t", "p").count() == 0
+
+
+def test_late_materialisation_sorts_no_whole_rows_before_a_shuffle(spark):
+    frame = spark.range(1000).select(
+        (F.col("id") % 50).alias("k"), F.timestamp_seconds("id").alias("t"), F.col("id").alias("p"), F.repeat(F.lit("x"), 100).alias("wide")
+    )
+    plan = upsert.latest_by_key_late(frame, ["k"], "t", "p")._jdf.queryExecution().executedPlan().toString().splitlines()
+    depth = {line: len(line) - len(line.lstrip(" :+-")) for line in plan}
+    exchanges = [line for line in plan if "Exchange" in line]
+    for line in plan:
+        if "Sort" in line:
+            # Every sort, also that of a sorting aggregate, stands above an exchange.
+            assert any(depth[e] > depth[line] for e in exchanges), line
+    assert sum("HashAggregate" in line for line in plan) == 2
+    before = upsert.latest_by_key(frame, ["k"], ["t", "p"])._jdf.queryExecution().executedPlan().toString()
+    assert before.count("SortAggregate") == 2 and "HashAggregate" not in before.replace("ObjectHashAggregate", "")
+
+
+@pytest.mark.parametrize("known", [True, False])
+def test_the_default_key_goes_round_the_join(spark, known):
+    """Half of the items have the default order, which may be an order all the same."""
+    items = spark.range(100).select(
+        F.col("id").alias("item"), F.when(F.col("id") % 2 == 0, 0).when(F.col("id") % 5 != 0, F.col("id")).cast("long").alias("order_id")
+    )
+    orders = spark.range(0 if known else 1, 60).select(F.col("id").alias("order_id"), F.lit("PENDING").alias("status"))
+    found = upsert.denormalize(items, orders)
+    want = sorted(((i, "PENDING" if (i % 2 == 0 and known) or (i % 2 and i % 5 and i < 60) else "unknown") for i in range(100)), key=repr)
+    assert rows(found, "item", "order_status") == want
+    stored = items.withColumn("order_status", F.lit("old"))
+    assert rows(upsert.sync_from(stored, orders), "item", "order_status") == [(i, "old" if s == "unknown" else s) for i, s in want]
