@@ -31,8 +31,8 @@ _EMPTY_MEMBER = b"\x1f\x8b\x08\x00\x00\x00\x00\x00\x00\xff\x03\x00" + bytes(8)
 _CLOSE = b"\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
-# The largest record that is believed; beyond it a length is taken for damage.
-MOST_BYTES = 1 << 30
+# The largest record that a column can hold; beyond it a length is taken for damage.
+MOST_BYTES = (1 << 31) - 1
 
 _BEGIN = re.compile(rb"WARC/1\.[01]\r\n")
 _LINE = re.compile(rb"([!#$%&'*+.^_`|~0-9A-Za-z-]+):[ \t]*([^\r\n]*)")
@@ -78,19 +78,27 @@ def member(data: bytes) -> bytes:
 
 @dataclass
 class Record:
+    """A record; ``offset`` and ``length`` are those of its bytes in the file, for one in a member those of the member."""
+
     offset: int
     headers: dict[str, str]
     payload: bytes
     http: dict[str, str] = field(default_factory=dict)
+    length: int = 0
 
 
 @dataclass
 class Gap:
-    """Bytes that no record was read from, and the check that failed first."""
+    """Bytes of the file that no record was read from, and the check that failed first.
+
+    In a member ``inside`` is the span of its inflated bytes that was lost. A member that gave a record as well is
+    counted by the record, so the gap has no length of its own: records and gaps cover the file.
+    """
 
     offset: int
     length: int
     reason: str
+    inside: tuple[int, int] | None = None
 
 
 class Damage(Exception):
@@ -136,7 +144,7 @@ def parse(data: bytes | memoryview, at: int = 0) -> tuple[Record, int]:
     if headers.get("warc-type") == "response" and (want := headers.get("warc-payload-digest")):
         if want != f"sha1:{base32_sha1(payload)}":
             raise Damage("payload digest")
-    return Record(at, headers, payload, http), end + 4
+    return Record(at, headers, payload, http, end + 4 - at), end + 4
 
 
 def _inflated(data: memoryview, at: int) -> tuple[bytes, int]:
@@ -164,8 +172,9 @@ def _inflated(data: memoryview, at: int) -> tuple[bytes, int]:
 def read(data: bytes) -> Iterator[Record | Gap]:
     """All records of an archive, plain, in members or mixed, and a gap for every run of bytes that gave none.
 
-    Bytes of a member that holds damaged records count as a gap as a whole if it gave no record, else the gap is inside it
-    and stands at the member's place. Nothing is read twice: the search goes on after each failed begin.
+    A member that gave no record is a gap as a whole; one that gave some and lost others has gaps inside it, which stand
+    at the member's place (see :class:`Gap`). An empty member is neither. Nothing is read twice: the search goes on after
+    each failed begin.
     """
     view = memoryview(data)
     starts = re.compile(re.escape(_MEMBER) + b"|" + _BEGIN.pattern)
@@ -177,8 +186,12 @@ def read(data: bytes) -> Iterator[Record | Gap]:
                 records = list(_plain(inner)) if inner else []
                 if lost < at:
                     yield Gap(lost, at - lost, reason)
+                whole = any(isinstance(r, Record) for r in records)
                 for r in records:
-                    yield Record(at, r.headers, r.payload, r.http) if isinstance(r, Record) else Gap(at, r.length, r.reason)
+                    if isinstance(r, Record):
+                        yield Record(at, r.headers, r.payload, r.http, after - at)
+                    else:
+                        yield Gap(at, 0 if whole else after - at, r.reason, (r.offset, r.offset + r.length))
             else:
                 found, after = parse(view, at)
                 if lost < at:
@@ -267,23 +280,24 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, members:
 
 
 def read_archives(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
-    """One row per record or gap of the archives below ``path``: file, offset, gap_bytes (null for a record), reason,
-    record_id, record_type, url, payload_digest (as stored), refers_to, payload_bytes (of the full payload, for a revisit
+    """One row per record or gap of the archives below ``path``: file, offset, length (in the file, of the whole member
+    for a record in one), gap_bytes (in the file, 0 for a gap inside a member that gave records, null for a record),
+    gap_from and gap_to (of a gap inside a member: its span of the inflated bytes), reason, record_id, record_type, url, payload_digest (as stored), refers_to, payload_bytes (of the full payload, for a revisit
     from the reply header it kept) and payload (null for a revisit).
 
     An archive is read by one task; Spark's ``binaryFile`` source limits it to 2 GB. An empty file has no rows.
     """
     ship_package(spark)
-    names = "file offset gap_bytes reason record_id record_type url payload_digest refers_to payload_bytes payload".split()
-    kinds = [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 6, pa.int64(), pa.binary()]
+    names = "file offset length gap_bytes gap_from gap_to reason record_id record_type url payload_digest refers_to payload_bytes payload".split()
+    kinds = [pa.string(), *[pa.int64()] * 5, *[pa.string()] * 6, pa.int64(), pa.binary()]
     schema = (
-        "file string, offset long, gap_bytes long, reason string, record_id string, record_type string, url string, "
+        "file string, offset long, length long, gap_bytes long, gap_from long, gap_to long, reason string, record_id string, record_type string, url string, "
         "payload_digest string, refers_to string, payload_bytes long, payload binary"
     )
 
     def row(file: str, found: Record | Gap) -> tuple:
         if isinstance(found, Gap):
-            return (file, found.offset, found.length, found.reason, *[None] * 7)
+            return (file, found.offset, found.length, found.length, *(found.inside or (None, None)), found.reason, *[None] * 7)
         h = found.headers
         kind = h.get("warc-type")
         size = len(found.payload)
@@ -291,7 +305,7 @@ def read_archives(spark: SparkSession, path: str, pattern: str = "*") -> DataFra
             kept = found.http.get("content-length", "")
             size = int(kept) if kept.isdecimal() else None
         return (
-            *(file, found.offset, None, None, h.get("warc-record-id"), kind, h.get("warc-target-uri")),
+            *(file, found.offset, found.length, *[None] * 4, h.get("warc-record-id"), kind, h.get("warc-target-uri")),
             *(h.get("warc-payload-digest"), h.get("warc-refers-to"), size),
             None if kind == "revisit" else found.payload,
         )

@@ -262,3 +262,30 @@ def test_relative_links_lead_to_their_pages(spark, tmp_path):
     columns = [d[0] for d in want.description]
     found = QUERIES["op9_url_filter"](spark, str(tmp_path)).select(*columns).collect()
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, want.fetchall()))
+
+
+def test_the_vectors_of_the_query_against_brute_force(spark, tmp_path):
+    """Every vector of the given table, and turned copies of a fifth of them, by double precision."""
+    from cdcmart.llm.queries import QUERIES
+
+    rng = np.random.default_rng(7)
+    given = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
+    for i, vector in given[::5]:
+        for k in range(1, 4):
+            noise = rng.normal(size=len(vector)) * np.linalg.norm(vector) / len(vector) ** 0.5
+            given.append((10_000 * k + i, [float(x) for x in np.array(vector) + rng.choice([0.1, 0.35, 0.48]) * noise]))
+    spark.createDataFrame(given, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/embeddings.parquet").collect()
+    data = np.array([r.embedding for r in rows], np.float64)
+    data /= np.linalg.norm(data, axis=1, keepdims=True)
+    near = data @ data.T >= 0.9
+    ids = np.array([r.vec_id for r in rows])
+    component = ids.copy()
+    while True:
+        least = np.where(near, component[None, :], component.max()).min(axis=1)
+        if (least == component).all():
+            break
+        component = least
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in QUERIES["op7_near_vectors"](spark, str(tmp_path)).collect()}
+    want = {int(i): (int(n) - 1, int(c), int(i) == int(c)) for i, n, c in zip(ids, near.sum(axis=1), component)}
+    assert got == want and len({n for n, _, _ in want.values()}) > 2

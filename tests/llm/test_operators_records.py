@@ -106,6 +106,43 @@ def test_a_wrong_length_or_digest_is_damage():
         assert ids(inside) == ["<urn:page:0>", "<urn:page:2>"] and any(isinstance(x, warc.Gap) for x in inside)
 
 
+@pytest.mark.parametrize("seed", range(30))
+def test_records_and_gaps_cover_the_file(seed):
+    rng = random.Random(seed)
+    parts = []
+    for n in range(rng.randint(0, 6)):
+        some = b"".join(records(rng.randint(1, 3)))
+        for _ in range(rng.randint(0, 2)):
+            at = rng.randrange(len(some))
+            some = some[:at] + bytes([rng.randrange(256)]) * rng.randint(0, 40) + some[at + rng.randint(0, 40) :]
+        parts.append(warc.member(some) if rng.random() < 0.6 else some)
+        if rng.random() < 0.3:
+            parts.append(rng.randbytes(rng.randint(1, 50)))
+    data = b"".join(parts)
+    if data and rng.random() < 0.3:
+        at = rng.randrange(len(data))
+        data = data[:at] + bytes([data[at] ^ 1]) + data[at + 1 :]
+    seen, found = 0, list(warc.read(data))
+    for x in sorted({(x.offset, x.length) for x in found if x.length}):
+        assert x[0] == seen
+        seen += x[1]
+    assert seen == len(data)
+    for gap in found:
+        if isinstance(gap, warc.Gap):
+            assert (gap.length == 0) <= (gap.inside is not None) and (gap.inside is None or gap.inside[0] < gap.inside[1])
+
+
+def test_a_gap_inside_a_member_has_its_inner_span(spark, tmp_path):
+    one, two, three = records(3)
+    broken = two.replace(b"payload 1", b"payload X", 1)
+    whole, lost = warc.member(one + broken + three), warc.member(broken)
+    (tmp_path / "a.warc.gz").write_bytes(whole + lost)
+    rows = warc.read_archives(spark, str(tmp_path)).collect()
+    gaps = [(r.offset, r.length, r.gap_bytes, r.gap_from, r.gap_to) for r in rows if r.gap_bytes is not None]
+    assert gaps == [(0, 0, 0, len(one), len(one + broken)), (len(whole), len(lost), len(lost), 0, len(broken))]
+    assert [(r.offset, r.length) for r in rows if r.gap_bytes is None] == [(0, len(whole))] * 2
+
+
 def test_mixed_archives_and_empty_members():
     one, two, three = records(3)
     assert len(ids(warc.read(one + warc.member(two) + warc._EMPTY_MEMBER + three))) == 3
@@ -250,13 +287,23 @@ def test_query_matches_sql(spark, db, name):
     assert rows and sorted(repr(tuple(r)) for r in got.select(*columns).collect()) == rows
 
 
-def test_pages_of_the_query(spark):
-    got = QUERIES["op5_warc"](spark, SMALL).collect()
-    pages = {r.page_id: r for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+def test_pages_of_the_query(spark, tmp_path):
+    # The given pages differ from each other, so a third is repeated under other ids, smaller ones too.
+    given = spark.read.parquet(f"{SMALL}/pages.parquet")
+    again = given.where("page_id % 3 = 0").withColumn("page_id", F.col("page_id") * 7 - 20)
+    given.unionByName(again.where("page_id < 0 or page_id > 1000 or page_id % 7 <> 0")).dropDuplicates(["page_id"]).write.parquet(f"{tmp_path}/pages.parquet")
+    got = QUERIES["op5_warc"](spark, str(tmp_path)).collect()
+    pages = {r.page_id: r for r in spark.read.parquet(f"{tmp_path}/pages.parquet").collect()}
     assert len(got) == len(pages)
+    first = {}
+    for i in sorted(pages):
+        first.setdefault((pages[i].html or "").encode(), i)
     for r in got:
         payload = (pages[r.page_id].html or "").encode()
         assert (r.payload_bytes, r.payload_digest) == (len(payload), warc.base32_sha1(payload))
+        want = ("response", None) if first[payload] == r.page_id else ("revisit", first[payload])
+        assert (r.record_type, r.refers_to) == want
+    assert len(first) < len(pages)
 
 
 def test_the_pipeline_stage_by_stage(spark, tmp_path):

@@ -259,3 +259,19 @@ def test_language_edges(spark):
     assert langid.report(docs.limit(0)).count() == 0
     unknown = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in langid.report(unknown).collect()} == {"und"}
+
+
+def test_the_tokens_of_the_query_equal_the_library(spark):
+    import hashlib
+
+    from cdcmart.llm.queries import QUERIES
+
+    own = library("byte_bpe_50k.json")
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    got = QUERIES["op1_bpe"](spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == len(docs)
+    for r in got:
+        ids = own.encode(docs[r.doc_id], add_special_tokens=False).ids
+        assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
+            len(ids), sha(",".join(map(str, ids))), sha(own.decode(ids, skip_special_tokens=False)))
