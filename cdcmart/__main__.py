@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cdcmart.functions import codec
 from cdcmart.operators import replay, reports, upsert
-from cdcmart.plans import repair, reporting
+from cdcmart.plans import catalog, repair, reporting
 from cdcmart.plans.incremental import MaintainedReports, refresh_after_commit
 from cdcmart.session import build_session
 from cdcmart.sinks import files
@@ -56,6 +56,10 @@ def build_parser() -> argparse.ArgumentParser:
     command("init", "commit an empty state for tables that have none")
     command("validate", "check that every table exists and has the right columns")
 
+    sub = command("catalog", "create or move the catalog tables that show the newest states, and check them")
+    sub.add_argument("--database", default=catalog.DATABASE)
+    sub.add_argument("--fold", action="store_true", help="fold pending changes first")
+
     sub = command("stream", "keep tables current from the change log")
     with_tables(sub)
     sub.add_argument("--format", default="kafka", choices=["kafka", *changes.FILE_FORMATS])
@@ -239,6 +243,9 @@ def main(argv: list[str] | None = None) -> int:
         mart.create()
     elif args.command == "validate":
         mart.validate()
+    elif args.command == "catalog":
+        print(json.dumps(catalog.register(mart, args.database, args.fold)))
+        catalog.validate(mart, args.database)
     elif args.command == "stream":
         _stream(mart, args)
     elif args.command == "report":

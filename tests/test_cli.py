@@ -4,6 +4,8 @@ import pytest
 from test_mart import Feed, customer, event, item, order
 
 from cdcmart.__main__ import build_parser, main
+from cdcmart.plans import catalog
+from cdcmart.sinks.mart import Mart
 
 
 def run(root, *words):
@@ -20,8 +22,10 @@ def test_a_day_with_the_command_line(spark, root, tmp_path, capsys):
         Feed(spark, tmp_path / source).send(*values)
     run(root, "init")
     run(root, "validate")
-    run(root, "stream", "--format", "parquet", "--path", str(tmp_path), "--once")
+    run(root, "stream", "--format", "parquet", "--path", str(tmp_path), "--once", "--audit", "--after-batch", "sync", "refresh")
     capsys.readouterr()
+    run(root, "audit", "--table", "orders")
+    assert json.loads(capsys.readouterr().out.splitlines()[0]) == {"table": "fact_orders", "lost offsets": 0}
     run(root, "report", "--name", "top_customers", "pending_items_by_product")
     places = {x["report"]: x["path"] for x in map(json.loads, capsys.readouterr().out.splitlines())}
     assert spark.read.parquet(places["top_customers"]).first().customer_name == "ann"
@@ -29,7 +33,14 @@ def test_a_day_with_the_command_line(spark, root, tmp_path, capsys):
     run(root, "report", "--name", "top_customers", "--show", "5", "--output", str(tmp_path / "out"))
     assert "ann" in capsys.readouterr().out
     run(root, "refresh", "--name", "top_customers")
-    assert "ann" in (said := capsys.readouterr().out) and json.loads(said.splitlines()[0]) == {"refreshed": True, "whole": True}
+    assert "ann" in (said := capsys.readouterr().out) and json.loads(said.splitlines()[0]) == {"refreshed": False, "whole": False}
+    with pytest.raises(RuntimeError, match="does not stand|missing"):
+        spark.sql("drop database if exists cli_mart cascade")
+        spark.sql("create database cli_mart")
+        catalog.validate(Mart(spark, root), "cli_mart")
+    run(root, "catalog", "--database", "cli_mart", "--fold")
+    assert spark.table("cli_mart.fact_orders").count() == 2
+    capsys.readouterr()
     run(root, "sync")
     run(root, "merge")
     run(root, "compact")
