@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from cdcmart.session import scratch_dir
+from cdcmart.sinks import files
 
 
 _PACKAGE = Path(__file__).resolve().parents[1]
@@ -92,9 +93,24 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
+_folders: dict[str, list[str]] = {}
+
+
 def run_folder(spark: SparkSession, label: str) -> str:
-    """A new folder for the tables one run writes, below the shared checkpoint folder."""
-    return scratch_dir(spark, label)
+    """A new folder for the tables one run writes, below the shared checkpoint folder. The results of the run are read
+    from there, so it stays until :func:`clean_up`."""
+    folder = scratch_dir(spark, label)
+    _folders.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
+def clean_up(spark: SparkSession) -> list[str]:
+    """Remove the tables that this application's runs have written, once their results have been read or stored
+    elsewhere; returns the folders."""
+    done = _folders.pop(spark.sparkContext.applicationId, [])
+    for folder in done:
+        files.remove_folder(spark, folder)
+    return done
 
 
 def saved(df: DataFrame, folder: str, name: str | None = None) -> DataFrame:

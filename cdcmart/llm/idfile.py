@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cdcmart.llm.common import in_slices, ship_package
@@ -421,15 +421,19 @@ def read_ids(spark: SparkSession, folder: str, with_ids: bool = False) -> DataFr
 def with_starts(documents: DataFrame) -> DataFrame:
     """Turn the starts within each file into starts within all files.
 
-    The sums have one row per file, so the running sum over them is small whatever the files hold.
+    The files of one range of keys are summed up by a window, however many they are; the driver gets a row for each
+    range, of which there are as many as the writer's shuffle had partitions.
     """
-    sums = documents.groupBy("part").agg(F.sum("n_tokens").alias("_sum")).collect()
+    sums = documents.groupBy("part").agg(F.sum("n_tokens").alias("_sum")).withColumn("_range", F.shiftright("part", 32))
     before, at = [], 0
-    for row in sorted(sums, key=lambda r: r["part"]):
-        before.append((row["part"], at))
-        at += row["_sum"]
+    for row in sums.groupBy("_range").agg(F.sum("_sum").alias("tokens")).sort("_range").collect():
+        before.append((row["_range"], at))
+        at += row["tokens"]
     if not before:
         return documents
-    bases = documents.sparkSession.createDataFrame(before, "part long, _base long")
+    ranges = documents.sparkSession.createDataFrame(before, "_range long, _first long")
+    earlier = Window.partitionBy("_range").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    files = sums.withColumn("_before", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)))
+    bases = files.join(ranges, "_range").select("part", (F.col("_before") + F.col("_first")).alias("_base"))
     joined = documents.join(bases, "part")
     return joined.withColumn("start", F.col("start") + F.col("_base")).drop("_base")

@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from cdcmart.llm import langid, secretscan
+from cdcmart.llm import common, langid, secretscan
+from cdcmart.sinks import files
 
 SMALL = "/root/testdata/sf0.001"
 NAMES = "id node none _node _key row examples added spans row_id hash owner key kept doc tokens a.b a`b n_words items lang_pred score c0".split()
@@ -63,3 +64,14 @@ def test_a_frequent_id_does_not_fill_the_sample(spark, monkeypatch):
     assert 300 < by["xx"] < 900 and by.get("yy", 0) <= 1
     assert sum(n for lang, n in by.items() if lang.startswith("z")) == 100
     assert langid.least_score(4) == 0.4 and langid.least_score(1) == 0.5 and langid.least_score(0) == 0.5
+
+
+def test_written_tables_are_removed_on_request(spark):
+    docs = spark.createDataFrame([(1, "token=abcdef1234567890xyz", "s")], "doc_id long, text string, source string")
+    other = common._folders.pop(spark.sparkContext.applicationId, [])
+    assert secretscan.report(docs).count() == 1
+    (folder,) = common._folders[spark.sparkContext.applicationId]
+    assert files.exists(spark, folder)
+    assert common.clean_up(spark) == [folder] and not files.exists(spark, folder)
+    assert common.clean_up(spark) == []
+    common._folders[spark.sparkContext.applicationId] = other
