@@ -655,7 +655,8 @@ def test_replay_over_a_kept_table(shop):
     feeds["orders"].run(mart, "orders")
     assert rows(mart.read("fact_orders")) == before
     table = mart.table("orders")
-    assert table.read_history().count() == 4
+    # The events were there: the replay has stored none of them again.
+    assert rows(table.read_history(), OFFSET) == [(0,), (1,)]
     assert rows(table.read_history(distinct=True), OFFSET) == [(0,), (1,)]
 
 
