@@ -35,7 +35,6 @@ _ORDERS_KNOWN_UNTIL = "2000-12-31"
 _GAP = ("1996-03-01", "1996-08-31")
 _BACKFILL = ("1996-01-01", "1996-12-31")
 _SALT = 16
-_BUCKETS = 8
 
 
 def _query(run: Query) -> Query:
@@ -507,8 +506,9 @@ def _bucketed(spark, sf_dir) -> tuple[bucketed.BucketedTable, bucketed.BucketedT
     orders = bucketed.BucketedTable(spark, f"orders_{mark}", "order_id")
     lost = F.col("line_no") >= 6
     rows = b.fact_order_items(spark, sf_dir).withColumn("order_id", F.when(~lost, F.col("order_id")).otherwise(0))
-    items.write(rows, _BUCKETS, folder, default=ORDER_ITEMS.defaults["order_id"])
-    orders.write(b.fact_orders(spark, sf_dir), _BUCKETS, folder, unique=True)
+    buckets = bucketed.width_for(rows)
+    items.write(rows, buckets, folder, default=ORDER_ITEMS.defaults["order_id"])
+    orders.write(b.fact_orders(spark, sf_dir), buckets, folder, unique=True)
     return items, orders
 
 

@@ -19,12 +19,21 @@ from cdcmart.sinks import files
 # Bytes of a bucket, of which a task reads one at a time.
 _BUCKET_BYTES = 256 * 1024**2
 
+# Rows of a bucket, which a task sorts to write it and again to join it.
+_BUCKET_ROWS = 500_000
+
 
 def width(input_bytes: int) -> int:
     """Buckets for a table of that size; both sides of a join take the number of the larger one."""
     return max(8, -(-input_bytes // _BUCKET_BYTES))
 
 
+def width_for(rows: DataFrame, bucket_rows: int = _BUCKET_ROWS) -> int:
+    """Buckets for these rows, which are counted. What a task holds follows from rows, whatever the bytes they are
+    compressed to."""
+    return max(8, -(-rows.count() // bucket_rows))
+
+
 class BucketedTable:
     """Rows in buckets of ``key``, and loose rows, as the catalog tables ``<name>`` and ``<name>_loose``."""
 
@@ -76,12 +85,13 @@ class BucketedTable:
 def parts(many: BucketedTable, one: BucketedTable) -> Iterable[tuple[DataFrame, DataFrame]]:
     """Pairs of frames whose joins on the key, taken together, are the join of the tables.
 
-    The first pair needs no exchange. The second holds the loose rows and what they can meet.
+    The first pair needs no exchange. The second holds the loose rows and what they can meet: one row at most for each
+    heavy key and the default, which is broadcast. A shuffle by the key would bring all rows of a heavy key to one task.
     """
     yield many.rows(), one.rows()
     loose = many.loose()
-    keys = loose.select(many.key).where(F.col(many.key).isNotNull()).distinct()
-    yield loose, one.rows().join(keys.withColumnRenamed(many.key, one.key), one.key, "left_semi")
+    keys = loose.select(many.key).where(F.col(many.key).isNotNull()).distinct().withColumnRenamed(many.key, one.key)
+    yield loose, F.broadcast(one.rows().join(F.broadcast(keys), one.key, "left_semi"))
 
 
 def by_parts(

@@ -7,6 +7,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from cdcmart.operators import upsert
+from cdcmart.plans import registry
 from cdcmart.sinks import bucketed
 from cdcmart.sinks.bucketed import BucketedTable
 
@@ -75,3 +76,40 @@ def test_empty_tables(spark, pair, tmp_path):
     one.write(orders(spark).limit(0), 4, str(tmp_path), unique=True)
     assert bucketed.by_parts(many, one, upsert.denormalize).count() == 0
     assert bucketed.width(0) == 8 and bucketed.width(10**12) == 3726
+
+
+def test_buckets_grow_with_the_rows(spark, pair, tmp_path):
+    """A bucket is one task's work: more rows make more buckets, not larger ones."""
+    many, _ = pair
+    lines = spark.range(40_000).select(F.col("id").alias("order_id"))
+    buckets = bucketed.width_for(lines, 2000)
+    assert (buckets, bucketed.width_for(lines.limit(10), 2000)) == (20, 8)
+    many.write(lines, buckets, str(tmp_path))
+    sizes = [r["count"] for r in many.rows().groupBy(F.col("_metadata.file_path")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 3000
+
+
+def test_the_bucketed_query_takes_its_width_from_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(bucketed.width_for, "__defaults__", (500,))
+    items, orders = registry._bucketed(spark, "/root/testdata/sf0.001")
+    n = registry.b.fact_order_items(spark, "/root/testdata/sf0.001").count()
+    assert n > 4000
+    for table in (items, orders):
+        told = {r.col_name: r.data_type for r in spark.sql(f"describe extended {table.name}").collect()}
+        assert int(told["Num Buckets"]) == -(-n // 500)
+        table.drop()
+
+
+def test_loose_rows_are_not_shuffled_by_their_key(spark, pair, tmp_path):
+    """All of them may have one key: only the distinct keys are shuffled."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        many, one = pair
+        many.write(items(spark), 4, str(tmp_path), default=0)
+        one.write(orders(spark, 0), 4, str(tmp_path), unique=True)
+        _, (left, right) = bucketed.parts(many, one)
+        met = left.join(right.where("status = 's0'").select("order_id"), "order_id")
+        assert shuffles(met) == 1
+        assert met.count() == left.join(orders(spark, 0).where("status = 's0'"), "order_id").count() >= 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
