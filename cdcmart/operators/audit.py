@@ -110,33 +110,41 @@ def outcomes(records: DataFrame, spec: TableSpec, encoding: str = codec.CONNECT)
     that is not known. ``missing_image``: the image that the operation speaks of is missing. ``misfit``: a value of
     the image does not fit its column; ``fields`` names them, and the parser keeps the row with nulls there.
     """
-    text = F.col("value").cast("string")
-    parsed = records.select(
+    # Each step is exploded out of a one-element array, so that it runs once a record: a filter on the outcome would
+    # be pushed below plain projections, and every mention of a parsed field there would parse the text again.
+    once = lambda column: F.explode(F.array(column))
+    texts = records.select(
         F.col("topic").alias(TOPIC),
         F.col("partition").alias(PARTITION),
         F.col("offset").alias(OFFSET),
-        text.alias("text"),
-        F.from_json(text, envelope_schema(spec.schema, encoding=encoding)).alias("event"),
-        F.from_json(text, "struct<before:map<string,variant>,after:map<string,variant>>").alias("raw"),
-        F.try_parse_json(text).alias("json"),
+        once(F.col("value").cast("string")).alias("text"),
     )
-    op = F.col("event.op")
+    event = F.from_json("text", envelope_schema(spec.schema, encoding=encoding))
+    raw = F.from_json("text", "struct<before:map<string,variant>,after:map<string,variant>>")
+    parsed = texts.select("*", once(F.struct(event.alias("event"), raw.alias("raw"))).alias("_parsed"))
+    op = F.col("_parsed.event.op")
     deleted = op == DELETE
-    image = F.when(deleted, F.col("event.before")).otherwise(F.col("event.after"))
-    raw = F.when(deleted, F.col("raw.before")).otherwise(F.col("raw.after"))
-    found = parsed.withColumns({"image": image, "given": raw}).withColumn("fields", _misfits(spec, encoding))
+    image = F.when(deleted, F.col("_parsed.event.before")).otherwise(F.col("_parsed.event.after"))
+    given = F.when(deleted, F.col("_parsed.raw.before")).otherwise(F.col("_parsed.raw.after"))
+    images = parsed.select(
+        TOPIC, PARTITION, OFFSET, "text", once(F.struct(op.alias("op"), image.alias("image"), given.alias("given"))).alias("_r")
+    ).select(TOPIC, PARTITION, OFFSET, "text", "_r.*")
+    found = images.select("*", once(_misfits(spec, encoding)).alias("misfits"))
+    op = F.col("op")
     outcome = (
         F.when(F.col("text").isNull(), TOMBSTONE)
-        .when(op.isNull() & ~_is_object(F.col("json")), NOT_JSON)
+        .when(op.isNull() & ~_is_object(F.try_parse_json("text")), NOT_JSON)
         .when(op.isNull(), NO_OP)
         .when(~op.isin(*UPSERTS, DELETE), UNKNOWN_OP)
         .when(F.col("given").isNull(), NO_IMAGE)
-        .when(F.size("fields") > 0, MISFIT)
-        .when(deleted, DELETED)
+        .when(F.size("misfits") > 0, MISFIT)
+        .when(op == DELETE, DELETED)
         .otherwise(CHANGE)
     )
-    fields = F.when(F.size("fields") > 0, F.array_join("fields", ","))
-    return found.select(TOPIC, PARTITION, OFFSET, outcome.alias("outcome"), fields.alias("fields"), "text")
+    fields = F.when(F.size("misfits") > 0, F.array_join("misfits", ","))
+    return found.select(
+        TOPIC, PARTITION, OFFSET, once(outcome).alias("outcome"), fields.alias("fields"), "text"
+    )
 
 
 def _is_object(json: Column) -> Column:

@@ -133,3 +133,11 @@ def test_a_batch_of_orders_syncs_the_items(spark, root, tmp_path):
     run(items, "order_items")
     assert stored() == [(1, "PROCESSING"), (2, "PROCESSING")]
     assert mart.table("order_items").read().where(F.col("order_status").isNull()).count() == 0
+
+
+def test_a_record_is_parsed_once(spark):
+    """A filter on the outcome repeats no parser: each of them stands once in the plan."""
+    log = records(spark, [event("c", customer(1))])
+    plan = audit.quarantine(log, CUSTOMERS)._jdf.queryExecution().optimizedPlan().toString()
+    # One for the typed images, one for the values as they were given.
+    assert plan.lower().count("from_json(") == 2
