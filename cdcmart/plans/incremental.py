@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 
 from cdcmart.operators import deltas
 from cdcmart.plans.reporting import RETENTION
+from cdcmart.session import small_tasks
 from cdcmart.sinks import files
 from cdcmart.sinks.mart import Mart
 
@@ -60,17 +61,19 @@ class MaintainedReports:
         reached = {name: t.settled_version() for name, t in tables.items()}
         if last and last["versions"] == reached:
             return None
-        parts = self._from_changes(last["versions"], reached) if last else None
-        whole = parts is None
-        if whole:
-            parts = self._from_tables(reached)
-        kept = last["parts"] if last and not whole else []
-        if len(kept) >= MOST_PARTS:
-            parts = {n: deltas.added_up(deltas.union([self._parts(n, kept), p]), n) for n, p in parts.items()}
-            kept = []
-        part = uuid.uuid4().hex
-        for name, rows in parts.items():
-            rows.write.parquet(f"{self.path}/{name}/part={part}")
+        stored = sum(files.size(self.mart.spark, t.path) for t in tables.values() if t.exists())
+        with small_tasks(self.mart.spark, stored):
+            parts = self._from_changes(last["versions"], reached) if last else None
+            whole = parts is None
+            if whole:
+                parts = self._from_tables(reached)
+            kept = last["parts"] if last and not whole else []
+            if len(kept) >= MOST_PARTS:
+                parts = {n: deltas.added_up(deltas.union([self._parts(n, kept), p]), n) for n, p in parts.items()}
+                kept = []
+            part = uuid.uuid4().hex
+            for name, rows in parts.items():
+                rows.write.parquet(f"{self.path}/{name}/part={part}")
         commit = {"versions": reached, "parts": [*kept, part], "whole": whole}
         if not files.create_new(self.mart.spark, f"{self.path}/commits/{number + 1}", json.dumps(commit)):
             # Another refresh was first; whatever it has not seen is seen by the next.

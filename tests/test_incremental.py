@@ -7,6 +7,8 @@ import pytest
 from helpers import event, rows
 from test_mart import Feed, customer, item, order
 
+from cdcmart import session
+from cdcmart.operators import deltas
 from cdcmart.plans import incremental, repair, reporting
 from cdcmart.plans.incremental import MaintainedReports, refresh_after_commit
 from cdcmart.sinks import files
@@ -142,3 +144,33 @@ def test_a_refresh_looks_up_changed_keys_only(spark, root, feeds):
     assert [tuple(r) for r in parts["pending_orders"].collect()] == [(1, -1)]
     plan = parts["open_orders"]._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("LeftSemi") >= 2
+
+
+def test_a_refresh_starts_as_wide_as_its_tables_are_large(spark, root, feeds, monkeypatch):
+    """The joins of a refresh get more tasks as the tables grow, and the session's settings come back."""
+    names = ("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    outside = [spark.conf.get(n, None) for n in names]
+    mart = Mart(spark, root)
+    maintained = MaintainedReports(mart)
+    feeds["orders"].send(*[event("c", order(i)) for i in range(20)])
+    feeds["order_items"].send(*[event("c", item(i, i)) for i in range(20)])
+    for name in ("orders", "order_items"):
+        feeds[name].run(mart, name)
+    monkeypatch.setattr(session, "_STORED_BYTES", 100)
+    seen, plain = [], deltas.pending_items
+
+    def noted(*args):
+        seen.append([int(spark.conf.get(n)) for n in names])
+        return plain(*args)
+
+    monkeypatch.setattr(deltas, "pending_items", noted)
+    maintained.refresh()
+    stored = sum(files.size(spark, mart.table(n).path) for n in ("orders", "order_items"))
+    assert seen == [[-(-stored // 100), session._JOIN_BYTES]] and stored > 1000
+    assert [spark.conf.get(n, None) for n in names] == outside
+    monkeypatch.setattr(deltas, "pending_items", lambda *_: 1 / 0)
+    feeds["orders"].send(event("u", order(3, "COMPLETED", 5)))
+    feeds["orders"].run(mart, "orders")
+    with pytest.raises(ZeroDivisionError):
+        maintained.refresh()
+    assert [spark.conf.get(n, None) for n in names] == outside
