@@ -610,8 +610,13 @@ def row_counts(spark, sf_dir):
 
 
 def _mart_table(spark, sf_dir, name) -> DataFrame:
+    """The newest rows are written before they are merged, as a batch is persisted: the status copy and the merge read
+    them several times, and each time would build and parse all records again."""
     spec, records = b.records_of(spark, sf_dir, name)
-    latest = upsert.drop_duplicate_keys(envelope.parse_changes(records, spec), spec)
+    path = f"{scratch_dir(spark, 'latest')}/{spec.name}"
+    parsed = upsert.drop_duplicate_keys(envelope.parse_changes(records, spec), spec)
+    parsed.write.parquet(path)
+    latest = spark.read.schema(parsed.schema).parquet(path)
     if spec.derived:
         latest = upsert.denormalize(latest, b.fact_orders(spark, sf_dir))
     state = spark.createDataFrame([], spec.mart_schema)
