@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -100,6 +100,17 @@ def drop_duplicate_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return latest_by_key(rows, spec.key, spec.order_by)
 
 
+def latest_and_counts(rows: DataFrame, spec: TableSpec, counts: Mapping[str, Column]) -> DataFrame:
+    """:func:`drop_duplicate_keys` that also counts, for each key, the rows of each condition; rows without a whole key
+    are kept as one row per key as well, so that none goes uncounted. For rows that are read only once."""
+    key = list(spec.key)
+    rest = [c for c in rows.columns if c not in key]
+    best = F.max_by(F.struct(*rest), F.struct(*spec.order_by))
+    totals = [F.count_if(condition).alias(name) for name, condition in counts.items()]
+    picked = [F.col(c) if c in key else F.col("_row").getField(c).alias(c) for c in rows.columns]
+    return rows.groupBy(*key).agg(best.alias("_row"), *totals).select(*picked, *counts)
+
+
 def merge_upsert(
     target: DataFrame,
     changes: DataFrame,

@@ -18,7 +18,7 @@ from cdcmart.plans import bindings as b
 from cdcmart.plans import repair
 from cdcmart.plans.incremental import MaintainedReports
 from cdcmart.plans.reporting import all_violations, report_set
-from cdcmart.session import prepare, scratch_dir
+from cdcmart.session import log_tasks, prepare, scratch_dir
 from cdcmart.sinks import bucketed
 from cdcmart.sinks.mart import Mart, version_of
 from cdcmart.sources.changes import change_stream
@@ -669,7 +669,8 @@ def _append(records: DataFrame, path: str) -> None:
 def _stream_in(mart: Mart, name: str, feed: str, **options) -> None:
     """Run the table's stream over the feed folder until it has read what is there."""
     records = change_stream(mart.spark, "parquet", {"path": feed})
-    start_mart_stream(mart, name, records, trigger=None, **options).awaitTermination()
+    with log_tasks(mart.spark):
+        start_mart_stream(mart, name, records, trigger=None, **options).awaitTermination()
 
 
 def _streamed_users(spark, sf_dir, later_first=False, on_conflict=None, **options) -> Mart:

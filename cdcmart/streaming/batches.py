@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cdcmart.functions import codec
 from cdcmart.functions.envelope import parse_changes, parse_events
 from cdcmart.operators import audit, history, upsert
+from cdcmart.session import coalesced_cache
 from cdcmart.sinks import files
 from cdcmart.sinks.mart import Mart, version_of
 from cdcmart.specs import OFFSET, PARTITION, TOPIC, TableSpec
@@ -20,6 +21,14 @@ logger = logging.getLogger(__name__)
 
 BatchHandler = Callable[[DataFrame, int], None]
 
+# Counts of a batch.
+_EVENTS = "events"
+_WITHOUT_KEY = "without_key"
+
+# Up to so many events the orders that a batch of items names are looked up by a semi-join, which is broadcast then;
+# with more of them it would shuffle all orders, as the join that follows does.
+_LOOKED_UP = 1_000_000
+
 # Called after a commit with the mart, the table's name and the version committed.
 OnCommit = Callable[[Mart, str, int], None]
 
@@ -74,28 +83,35 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
         version = version_of(generation, batch_id)
         # One processing time for both outputs, so that defaults agree.
         now = dt.datetime.now(dt.timezone.utc)
-        batch = batch.persist()
+        stored = [c for c in spec.columns if c in batch.columns]
+        conditions = {_EVENTS: F.lit(True), _WITHOUT_KEY: ~upsert.has_key(spec)}
+        conditions |= {
+            f"{c}_too_long": F.length(c) > size for c, size in spec.max_lengths.items() if c in batch.columns
+        }
+        if spec.history:
+            kept = batch.select(*stored, TOPIC, PARTITION)
+            measures = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
+        else:
+            # All that is needed of such a batch are its newest rows, so it is parsed into those and never held whole.
+            kept = upsert.latest_and_counts(batch.select(*stored), spec, conditions)
+            measures = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in conditions]
+        if orders:
+            measures += [F.min("order_id").alias("low"), F.max("order_id").alias("high")]
         try:
-            keyed = batch.where(upsert.has_key(spec))
-            measures = [
-                F.count(F.lit(1)).alias("events"),
-                F.count_if(~upsert.has_key(spec)).alias("without_key"),
-            ]
-            measures += [
-                F.count_if(F.length(c) > size).alias(f"{c}_too_long")
-                for c, size in spec.max_lengths.items()
-                if c in batch.columns
-            ]
-            if orders:
-                measures += [F.min("order_id").alias("low"), F.max("order_id").alias("high")]
-            # Fills the cache, so later plans know the batch's size.
-            counts = batch.agg(*measures).first()
-            if counts["events"] > counts["without_key"]:
-                stored = [c for c in spec.columns if c in keyed.columns]
-                latest = upsert.drop_duplicate_keys(keyed.select(*stored), spec)
+            with coalesced_cache(batch.sparkSession):
+                kept = kept.persist()
+                # Fills the cache, so later plans know the batch's size.
+                counts = kept.agg(*measures).first()
+            keyed = kept.where(upsert.has_key(spec))
+            if counts[_EVENTS] > counts[_WITHOUT_KEY]:
+                latest = keyed.select(*stored)
+                if spec.history:
+                    latest = upsert.drop_duplicate_keys(latest, spec)
                 if orders:
-                    wanted = keyed.select("order_id").where("order_id is not null")
                     bounds = (counts["low"], counts["high"]) if counts["low"] is not None else None
+                    wanted = None
+                    if counts[_EVENTS] <= _LOOKED_UP:
+                        wanted = keyed.select("order_id").where("order_id is not null")
                     known = mart.current(orders, wanted, bounds)
                     latest = upsert.denormalize(latest, known)
                 mart.commit(spec.name, upsert.apply_defaults(latest, spec, now.date()), version)
@@ -106,14 +122,15 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
                         others = table.read_history().where(F.col("batch_id") != version)
                         events = history.not_in(keyed, others)
                     table.append_history(events, version, now)
-            if counts["without_key"]:
+            if counts[_WITHOUT_KEY]:
+                # Rare, so a batch that was not held is parsed once more for them.
                 table.append_rejected(batch.where(~upsert.has_key(spec)), version)
             logger.info("%s batch %s: %s", name, batch_id, counts.asDict())
             for column, size in spec.max_lengths.items():
                 if broken := counts.asDict().get(f"{column}_too_long"):
                     logger.warning("%s batch %s: %s values of %s exceed %s", name, batch_id, broken, column, size)
         finally:
-            batch.unpersist()
+            kept.unpersist()
         if on_commit:
             on_commit(mart, spec.name, version)
 

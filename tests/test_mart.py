@@ -8,6 +8,7 @@ import pytest
 from helpers import decimal, event, records, rows
 from pyspark.sql import functions as F
 
+from cdcmart import session
 from cdcmart.operators import reports, upsert
 from cdcmart.plans import repair, reporting
 from cdcmart.plans.incremental import MaintainedReports
@@ -532,6 +533,51 @@ def test_item_status_follows_the_orders(shop):
     assert rows(mart.read("order_items", stored_status=True), "order_item_id", "order_status")[-1] == (4, "COMPLETED")
 
 
+def test_a_batch_without_history_is_held_as_its_newest_rows(spark, root, feed, monkeypatch):
+    mart, held = Mart(spark, root), []
+    frame = type(spark.range(0))
+    real = frame.persist
+    monkeypatch.setattr(frame, "persist", lambda df, *a: (held.append(sorted(df.columns)), real(df, *a))[1])
+    feed.send(
+        *[event("u", item(1, None, amount=n, minute=n)) for n in range(5)],
+        event("c", item(2, None)),
+        event("c", {"quanity": 9}),
+        '{"op":"c"}',
+    )
+    feed.run(mart, "order_items")
+    table = mart.table("order_items")
+    quantity = F.get_json_object(EXTRAS, "$.quanity").cast("int")
+    assert rows(table.read().select("order_item_id", quantity)) == [(1, 4), (2, 2)]
+    assert rows(spark.read.parquet(f"{table.path}/rejected"), OFFSET) == [(6,), (7,)]
+    # What is cached has a count beside each newest row: no event is held that a later one replaced.
+    assert held == [sorted([*(c for c in table.spec.columns if c != "order_status"), "events", "without_key"])]
+
+
+def test_many_items_join_the_orders_without_a_lookup(spark, root, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "_LOOKED_UP", 2)
+    mart, asked = Mart(spark, root), []
+    orders, items = Feed(spark, tmp_path / "orders"), Feed(spark, tmp_path / "items")
+    orders.send(event("c", order(10)), event("c", order(11, "COMPLETED")))
+    orders.run(mart, "orders")
+    real = Mart.current
+    monkeypatch.setattr(Mart, "current", lambda m, n, keys=None, *a: (asked.append(keys is None), real(m, n, keys, *a))[1])
+    items.send(event("c", item(1, 10)), event("c", item(2, 11)), event("c", item(3, 12)))
+    items.run(mart, "order_items")
+    items.send(event("c", item(4, 10)))
+    items.run(mart, "order_items")
+    assert asked == [True, False]
+    monkeypatch.undo()
+    assert status_of(mart) == [(1, "PENDING"), (2, "COMPLETED"), (3, "unknown"), (4, "PENDING")]
+
+
+def test_log_files_are_read_by_small_tasks(spark, feed):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    with session.log_tasks(spark):
+        assert spark.conf.get(name) == str(16 * 1024**2)
+    assert spark.conf.get(name) == before
+
+
 def test_both_status_sources_agree_after_sync(shop):
     mart, feeds = shop
     feeds["orders"].send(event("c", order(12, "PENDING", 1)), event("u", order(11, "COMPLETED", 1)))
