@@ -190,19 +190,23 @@ def fold_batches(
 ) -> DataFrame:
     """Fold many committed batches, each with one row per key, into one row per key.
 
-    Equals applying :func:`merge_latest` batch by batch, in a single aggregate.
+    Equals applying :func:`merge_latest` batch by batch, in a single pass. No batch repeats a key, so an aggregate before
+    the shuffle would sort all rows and merge none. A window lets the reader's columns alone be read and shuffled.
     """
-    rest = [c for c in batches.columns if c not in (*spec.key, version)]
+    key = list(spec.key)
+    rest = [c for c in batches.columns if c not in (*key, version)]
     order = [version] if on_conflict == LAST_BATCH else [*spec.order_by, version]
     first = [c for c in spec.insert_only if c in rest]
-    aggregates = [F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")]
-    if first:
-        aggregates.append(F.min_by(F.struct(*first), F.col(version)).alias("_first"))
-    picked = [
-        F.col("_first" if c in first else "_row").getField(c).alias(c)
-        for c in rest
-    ]
-    return batches.groupBy(*spec.key).agg(*aggregates).select(*spec.key, *picked)
+    same = Window.partitionBy(*key)
+    firsts = {f"_first_{c}": F.min_by(F.struct(c), F.col(version)).over(same) for c in first}
+    newest = same.orderBy(*[F.col(c).desc_nulls_last() for c in order])
+    ranked = (
+        batches.repartition(*key)
+        .withColumns({**firsts, "_rn": F.row_number().over(newest)})
+        .where("_rn = 1")
+    )
+    picked = [F.col(f"_first_{c}").getField(c).alias(c) if c in first else F.col(c) for c in rest]
+    return ranked.select(*key, *picked)
 
 
 def soft_delete(events: DataFrame, spec: TableSpec) -> DataFrame:

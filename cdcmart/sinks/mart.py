@@ -494,11 +494,13 @@ class Mart:
             state = upsert.sync_from(state, self.current("fact_orders"))
         return state
 
-    def current(self, name: str, keys: DataFrame | None = None, bounds: tuple | None = None) -> DataFrame:
-        """The stored current state of a table, wherever it is kept; for ``keys`` and ``bounds`` see
-        :meth:`MartTable.read`."""
+    def current(
+        self, name: str, keys: DataFrame | None = None, bounds: tuple | None = None, up_to: int | None = None
+    ) -> DataFrame:
+        """The stored current state of a table, wherever it is kept; for ``keys``, ``bounds`` and ``up_to`` see
+        :meth:`MartTable.read`. Tables kept outside have no versions, so ``up_to`` is not for them."""
         if name not in self.outside:
-            return self.table(name).read(keys=keys, bounds=bounds)
+            return self.table(name).read(up_to, keys, bounds)
         spec = self.table(name).spec
         rows = self.outside[name].read().select(*spec.columns)
         if bounds is not None:

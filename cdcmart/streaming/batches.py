@@ -104,7 +104,7 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
                 counts = kept.agg(*measures).first()
             keyed = kept.where(upsert.has_key(spec))
             if counts[_EVENTS] > counts[_WITHOUT_KEY]:
-                latest = keyed.select(*stored)
+                latest, as_of = keyed.select(*stored), None
                 if spec.history:
                     latest = upsert.drop_duplicate_keys(latest, spec)
                 if orders:
@@ -112,9 +112,14 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
                     wanted = None
                     if counts[_EVENTS] <= _LOOKED_UP:
                         wanted = keyed.select("order_id").where("order_id is not null")
-                    known = mart.current(orders, wanted, bounds)
+                    # With the first items of a table the status of all of them is that of one version of the orders.
+                    inside = not {spec.name, mart.table(orders).spec.name} & set(mart.outside)
+                    as_of = mart.table(orders).latest_version() if inside and not table.exists() else None
+                    known = mart.current(orders, wanted, bounds, as_of)
                     latest = upsert.denormalize(latest, known)
                 mart.commit(spec.name, upsert.apply_defaults(latest, spec, now.date()), version)
+                if as_of is not None and as_of >= 0:
+                    table.mark_synced(orders, as_of)
                 if spec.history:
                     events = keyed
                     if generation:

@@ -578,6 +578,27 @@ def test_log_files_are_read_by_small_tasks(spark, feed):
     assert spark.conf.get(name) == before
 
 
+def test_the_first_items_count_as_synced(shop):
+    mart, feeds = shop
+    items, orders = mart.table("order_items"), mart.table("orders")
+    assert items.synced_to("fact_orders") == orders.latest_version()
+    feeds["orders"].send(event("c", order(12, "PROCESSING", 1)))
+    feeds["orders"].run(mart, "orders")
+    version = repair.sync_status(mart)
+    assert rows(items.changed_since(version - 1, version), "order_item_id", "order_status") == [(2, "PROCESSING")]
+    # Items that come later leave the mark: those before them are as old as they were.
+    mark = items.synced_to("fact_orders")
+    feeds["orders"].send(event("u", order(10, "COMPLETED", 2)))
+    feeds["orders"].run(mart, "orders")
+    feeds["order_items"].send(event("c", item(4, 10)))
+    feeds["order_items"].run(mart, "order_items")
+    assert items.synced_to("fact_orders") == mark
+    assert repair.sync_status(mart) is not None
+    stored = mart.read("order_items", stored_status=True)
+    want = [(1, "COMPLETED"), (2, "PROCESSING"), (3, "unknown"), (4, "COMPLETED")]
+    assert rows(stored, "order_item_id", "order_status") == want
+
+
 def test_both_status_sources_agree_after_sync(shop):
     mart, feeds = shop
     feeds["orders"].send(event("c", order(12, "PENDING", 1)), event("u", order(11, "COMPLETED", 1)))

@@ -173,6 +173,18 @@ def test_all_merge_forms_equal_a_fold_by_hand(spark, on_conflict, seed):
         assert state(upsert.merge_latest(base, folded, SPEC, on_conflict)) == want
 
 
+@pytest.mark.parametrize("on_conflict", ["last_batch", "newest"])
+def test_a_fold_reads_and_shuffles_the_asked_columns_once(spark, tmp_path, on_conflict):
+    path = str(tmp_path / "batches")
+    for v in (1, 2):
+        things(spark, *[(i, f"{v}", "n", v, v) for i in range(v, 9)]).withColumn("v", F.lit(v)).write.mode("append").parquet(path)
+    folded = upsert.fold_batches(spark.read.parquet(path), SPEC, "v", on_conflict).select("id", "name")
+    assert rows(folded) == [(1, "1"), *[(i, "2") for i in range(2, 9)]]
+    plan = folded._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    assert "note" not in plan and "created_at" not in plan
+    assert "Aggregate" not in plan
+
+
 def test_defaults_of_every_table(spark):
     day = dt.date(2020, 2, 3)
 
