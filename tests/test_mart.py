@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cdcmart import session
 from cdcmart.operators import reports, upsert
-from cdcmart.plans import repair, reporting
+from cdcmart.plans import registry, repair, reporting
 from cdcmart.plans.incremental import MaintainedReports
 from cdcmart.sinks import files
 from cdcmart.sinks.external import Outside
@@ -578,6 +578,26 @@ def test_log_files_are_read_by_small_tasks(spark, feed):
     assert spark.conf.get(name) == before
 
 
+def test_the_shop_streams_run_side_by_side_and_items_after_orders(spark, monkeypatch):
+    seen = []
+
+    class Started:
+        def __init__(self, name):
+            self.name = name
+            seen.append(("start", name))
+
+        def awaitTermination(self):
+            seen.append(("end", self.name))
+
+    monkeypatch.setattr(registry, "_append", lambda *a: None)
+    monkeypatch.setattr(registry, "change_stream", lambda *a: None)
+    monkeypatch.setattr(registry, "start_mart_stream", lambda mart, name, *a, **o: Started(name))
+    registry._streamed_shop(spark, "/root/testdata/sf0.001")
+    first = ["dim_customer", "dim_product", "fact_orders"]
+    assert sorted(seen[:3]) == [("start", n) for n in first] and sorted(seen[3:6]) == [("end", n) for n in first]
+    assert seen[6:] == [("start", "fact_order_items"), ("end", "fact_order_items")]
+
+
 def test_the_first_items_count_as_synced(shop):
     mart, feeds = shop
     items, orders = mart.table("order_items"), mart.table("orders")
