@@ -89,7 +89,7 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
             f"{c}_too_long": F.length(c) > size for c, size in spec.max_lengths.items() if c in batch.columns
         }
         if spec.history:
-            kept = batch.select(*stored, TOPIC, PARTITION)
+            kept = batch
             measures = [F.count_if(condition).alias(name) for name, condition in conditions.items()]
         else:
             # All that is needed of such a batch are its newest rows, so it is parsed into those and never held whole.
@@ -128,8 +128,8 @@ def _handler(mart, name, generation, on_commit, orders=None) -> BatchHandler:
                         events = history.not_in(keyed, others)
                     table.append_history(events, version, now)
             if counts[_WITHOUT_KEY]:
-                # Rare, so a batch that was not held is parsed once more for them.
-                table.append_rejected(batch.where(~upsert.has_key(spec)), version)
+                # Rare, so a batch that was not held whole is parsed once more for them.
+                table.append_rejected((kept if spec.history else batch).where(~upsert.has_key(spec)), version)
             logger.info("%s batch %s: %s", name, batch_id, counts.asDict())
             for column, size in spec.max_lengths.items():
                 if broken := counts.asDict().get(f"{column}_too_long"):
