@@ -744,7 +744,8 @@ def stream_order_items(spark, sf_dir):
     folder = scratch_dir(spark, "items")
     mart = Mart(spark, f"{folder}/mart", {s.name: s for s in (ORDERS, b.LINE_ITEMS)})
     orders = b.source_orders(spark, sf_dir)
-    known = F.col("order_date") <= F.lit(_ORDERS_KNOWN_UNTIL).cast("date")
+    # Orders without a date come first, so that every order comes and a dated row of the same key still replaces them.
+    known = F.col("order_date").isNull() | (F.col("order_date") <= F.lit(_ORDERS_KNOWN_UNTIL).cast("date"))
 
     def arrive(name, rows, offset):
         spec = mart.specs[name]

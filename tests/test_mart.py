@@ -619,6 +619,28 @@ def test_the_first_items_count_as_synced(shop):
     assert rows(stored, "order_item_id", "order_status") == want
 
 
+def test_every_order_reaches_the_items(spark, tmp_path, monkeypatch):
+    """Orders that come before the items, after them and without a date; 4 comes with a date and without one."""
+    orders = [(1, "O", "1996-01-01"), (2, "P", "2001-05-01"), (3, "O", None), (4, "P", "2001-05-01"), (4, "O", None)]
+    spark.createDataFrame(
+        [(i, 1, status, day and dt.datetime.fromisoformat(day)) for i, status, day in orders],
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp",
+    ).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame(
+        [(i, 7, 1, 2.0, dt.datetime(1996, 1, 2)) for i in range(1, 6)],
+        "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_shipdate timestamp",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+
+    def found():
+        return rows(registry.QUERIES["stream_order_items"](spark, str(tmp_path)), "order_id", "order_status")
+
+    want = {1: "PENDING", 2: "PROCESSING", 3: "PENDING", 4: "PROCESSING", 5: "unknown"}
+    assert found() == sorted(want.items())
+    # Without the sync the items of late orders keep what they came with.
+    monkeypatch.setattr(repair, "sync_status", lambda *a: None)
+    assert found() == sorted({**want, 2: "unknown", 4: "PENDING"}.items())
+
+
 def test_both_status_sources_agree_after_sync(shop):
     mart, feeds = shop
     feeds["orders"].send(event("c", order(12, "PENDING", 1)), event("u", order(11, "COMPLETED", 1)))
